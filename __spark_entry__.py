@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from townsquare.functions import features, filters, sentiment, text
-from townsquare.functions.tails import correlation_p
 from townsquare.operators import (
     correlation,
     graph,
@@ -25,9 +24,9 @@ from townsquare.operators import (
     topics,
 )
 from townsquare.plans import jobs, monitor
-from townsquare.runtime import shared_folder
+from townsquare.runtime import freeze, shared_folder
 from townsquare.sources import readers, shaping, writers
-from townsquare.sources.tables import posts_from_tables
+from townsquare.sources.tables import posts_from_tables, spread
 from townsquare.streaming import daily as stream
 
 # Domains and words that occur in the generated texts.
@@ -57,7 +56,7 @@ def posts(spark: SparkSession, folder: str, **parts: bool) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/documents.parquet")
+    return spread(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id")
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -425,7 +424,7 @@ def sentiment_points(spark, folder):  # E16
 
 
 def length_points(spark, folder):  # E16
-    return rollups.length_points(texts(spark, folder))
+    return rollups.length_points(freeze(texts(spark, folder).drop("text", "text_cleaned")))
 
 
 # --- statistics (F) -----------------------------------------------------------------------------
@@ -466,7 +465,8 @@ def kendall(spark, folder):  # F6
 
 
 def adaptive_correlation(spark, folder):  # F7, F8
-    report = correlation.compute_correlations(texts(spark, folder).fillna(0.0, ["user_followers_count"]))
+    df = freeze(texts(spark, folder).fillna(0.0, ["user_followers_count"]).drop("text", "text_cleaned"))
+    report = correlation.compute_correlations(df)
     return rounded(report.select("name", "n", "correlation", "method_used"), "correlation")
 
 
@@ -533,7 +533,7 @@ def seasonal_multiplicative(spark, folder):  # F17
 
 
 def reddit_volume(spark, folder):  # F18
-    report = correlation.reddit_volume_correlation(texts(spark, folder))
+    report = correlation.reddit_volume_correlation(freeze(texts(spark, folder).drop("text", "text_cleaned")))
     return rounded(report.select("name", "n", "correlation", "method_used"), "correlation")
 
 
@@ -544,7 +544,7 @@ def cross_platform(spark, folder):  # F19
 
 
 def findings(spark, folder):  # F20
-    df = texts(spark, folder)
+    df = freeze(texts(spark, folder))
     return jobs.analysis_summary(
         correlation.compute_correlations(df),
         group_tests.statistical_tests(features.with_engagement_rate(df)),
@@ -630,7 +630,7 @@ def volume_alerts(spark, folder):  # K2, at one sigma
 
 
 def weak_correlations(spark, folder):  # K3
-    df = texts(spark, folder).fillna(0.0, ["user_followers_count"])
+    df = freeze(texts(spark, folder).fillna(0.0, ["user_followers_count"]).drop("text", "text_cleaned"))
     return rounded(monitor.weak_correlations(correlation.compute_correlations(df)), "correlation")
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from townsquare.functions.sentiment import BOOSTERS, LEXICON, NEGATORS
-from townsquare.functions.text import FUSED_WORDS, KEPT, SPACE, STOP_WORDS
+from townsquare.functions.text import FUSED_WORDS, STOP_WORDS
 
+SPACE = r"\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+KEPT = "a-zA-Z0-9áéíóúñü¿?¡!.,;:"
 DOMAINS = ("Data", "License", "Worthless", "Threat", "Best")
 RULE_LEXICON = {"with": 1.5, "there": -2.0, "this": 0.8, "license": 2.5, "worthless": -1.9, "les": 0.5, "und": -0.7}
 RULE_BOOSTERS = {"the": 0.293, "of": -0.293, "der": 0.293}

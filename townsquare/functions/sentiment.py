@@ -6,11 +6,14 @@ of our own. Everything is computed inside the row, so posts are neither exploded
 
 from __future__ import annotations
 
+import string
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from townsquare.functions.text import LETTERS, bind
+
 # Our own word scores, from -4 (worst) to 4 (best).
 LEXICON: Mapping[str, float] = {
     "amazing": 2.8,
@@ -165,7 +168,7 @@ BEFORE_BUT, AFTER_BUT = 0.5, 1.5
 ALPHA = 15.0
 CUT = 0.05
 
-WORD_BREAK = r"[^a-z0-9áéíóúñü]+"
+WORD_BREAK = rf"[^{LETTERS}{string.digits}áéíóúñü]+"
 
 
 def _literal_map(values: Mapping[str, float]) -> Column:
@@ -218,21 +221,19 @@ def sentiment_compound(
             lambda acc, score: acc + score,
         )
 
-    text = F.coalesce(cleaned, F.lit(""))
-    words = F.array_remove(F.split(text, WORD_BREAK), "")
-    # transform over a one-element array binds the value once for the expressions that reuse it.
-    raw = F.transform(F.array(words), total)[0]
-    questions = _count(text, "?")
-    emphasis = F.least(_count(text, "!"), F.lit(MAX_EXCLAMATIONS)) * F.lit(EXCLAMATION) + F.when(
-        questions > 3, MANY_QUESTIONS
-    ).when(questions > 1, questions * F.lit(QUESTION)).otherwise(0.0)
-
-    def squash(s: Column) -> Column:
-        moved = s + F.signum(s) * emphasis
-        return F.transform(F.array(moved), lambda m: m / F.sqrt(m * m + F.lit(ALPHA)))[0]
+    def compound(text: Column) -> Column:
+        words = F.array_remove(F.split(text, WORD_BREAK), "")
+        questions = _count(text, "?")
+        emphasis = F.least(_count(text, "!"), F.lit(MAX_EXCLAMATIONS)) * F.lit(EXCLAMATION) + F.when(
+            questions > 3, MANY_QUESTIONS
+        ).when(questions > 1, questions * F.lit(QUESTION)).otherwise(0.0)
+        return bind(
+            bind(words, total),
+            lambda s: bind(s + F.signum(s) * emphasis, lambda moved: moved / F.sqrt(moved * moved + F.lit(ALPHA))),
+        )
 
-    compound = F.transform(F.array(raw), squash)[0]
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.round(compound, 4)))
+    score = F.round(bind(F.coalesce(cleaned, F.lit("")), compound), 4)
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), score))
 
 
 def label_strict(score: Column, cut: float = CUT) -> Column:

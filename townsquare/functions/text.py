@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+import string
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,13 +13,15 @@ from townsquare.runtime import fits
 from townsquare.schema import TECHNOLOGY_DOMAINS
 
 # The characters counted as white space in Unicode text. Spelled out because the
-# JVM's \s is ASCII only.
-SPACE = (
-    r"\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+# JVM's \s is ASCII only; the ones up to 255 stand apart because the regex engine tests a class of
+# single such characters with one table look-up, which is what keeps the scans below fast.
+LATIN_SPACE = r" \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0"
+OTHER_SPACE = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACE = LATIN_SPACE + OTHER_SPACE
 
-# Characters that cleaned text keeps besides white space.
-KEPT = r"a-zA-Z0-9áéíóúñü¿?¡!.,;:"
+LETTERS = string.ascii_lowercase
+# Characters that cleaned (lower-case) text keeps besides white space.
+KEPT = LETTERS + string.digits + "áéíóúñü¿?¡!.,;:"
 
 # English stop words, in the form they have once apostrophes are gone.
 STOP_WORDS = tuple(
@@ -47,40 +51,55 @@ MAX_LEMMA_ROWS_IN_PLAN = 20_000
 _LEMMA_BUCKETS = 512
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _drop_all_but(text: Column, kept: str) -> Column:
+    """Drop every character that is neither in ``kept`` nor white space."""
+    return F.regexp_replace(text, rf"[^{kept}{LATIN_SPACE}](?<![{OTHER_SPACE}])", "")
+
+
+def _lower_without_urls(text: Column) -> Column:
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), rf"[hw](?:ttp|(?<=w)ww)[^{SPACE}]+", "")
+
+
 def clean_text(text: Column) -> Column:
     """Lower-case text without URLs, tags and special characters; single spaces; null → ''."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    t = F.regexp_replace(t, rf"(?:http|www)[^{SPACE}]+", "")
-    t = F.regexp_replace(t, r"<[^>\n]*>", "")
-    t = F.regexp_replace(t, rf"[^{KEPT}{SPACE}]+", "")
-    return F.trim(F.regexp_replace(t, rf"[{SPACE}]+", " "))
+    t = F.regexp_replace(_lower_without_urls(text), r"<[^>\n]*>", "")
+    t = _drop_all_but(t, KEPT)
+    # Only white space is left besides the kept characters. Single blanks are passed over.
+    return F.trim(F.regexp_replace(t, rf"[^{KEPT}](?:(?<! )[^{KEPT}]*|[^{KEPT}]+)", " "))
 
 
 def word_count(cleaned: Column) -> Column:
-    """Words of cleaned text. Its words are separated by exactly one space, so counting the
-    spaces is enough and no array is built."""
-    spaces = F.length(cleaned) - F.length(F.replace(cleaned, F.lit(" "), F.lit("")))
-    return F.when(F.coalesce(cleaned, F.lit("")) == "", 0).otherwise(spaces + 1)
+    """Words of cleaned text, which single blanks separate; '' has none."""
+    return F.size(F.array_remove(F.split(F.coalesce(cleaned, F.lit("")), " "), ""))
 
 
 def normalise(text: Column) -> Column:
     """Lower-case letters and white space only; URLs and tokens naming a site are dropped.
 
-    Each token is scanned once: the look-behind pins the match to the start of a token, so long
-    runs without white space cost linear time.
+    Few texts name a site, so the others skip that scan. Where it runs, the look-behind pins a
+    match to the start of a token, so long runs without white space cost linear time.
     """
-    t = F.lower(F.coalesce(text, F.lit("")))
-    t = F.regexp_replace(t, rf"(?:http|www)[^{SPACE}]+", "")
-    t = F.regexp_replace(t, rf"(?<![^{SPACE}])[^{SPACE}]*\.(?:com|org)[^{SPACE}]*", "")
-    return F.regexp_replace(t, rf"[^a-zA-Z{SPACE}]+", "")
+    site = rf"(?<![^{SPACE}])[^{SPACE}]*\.(?:com|org)[^{SPACE}]*"
+    without_sites = bind(
+        _lower_without_urls(text),
+        lambda t: F.when(t.contains(".com") | t.contains(".org"), F.regexp_replace(t, site, "")).otherwise(t),
+    )
+    return _drop_all_but(without_sites, LETTERS)
 
 
 def tokens(normalised: Column, stop_words: Iterable[str] = STOP_WORDS, min_length: int = 3) -> Column:
     """C4: tokens of normalised text, without stop words and short tokens."""
     stop = sorted(set(stop_words))
-    fused = "|".join(f"{first}(?={second}\\b)" for first, second in FUSED_WORDS)
-    split = F.split(F.regexp_replace(normalised, rf"\b({fused})", "$1 "), rf"[{SPACE}]+")
-    return F.filter(split, lambda token: (F.length(token) >= min_length) & ~token.isin(stop))
+    initials = "".join(sorted({first[0] for first, _ in FUSED_WORDS}))
+    fused = "|".join(rf"(?<={first[0]}){first[1:]}(?={second}(?![a-z]))" for first, second in FUSED_WORDS)
+    t = F.regexp_replace(normalised, rf"[^{LETTERS} ]", " ")
+    t = F.regexp_replace(t, rf"([{initials}](?<![a-z][a-z])(?:{fused}))", "$1 ")
+    return F.filter(F.split(t, " "), lambda token: (F.length(token) >= min_length) & ~token.isin(stop))
 
 
 def token_text(text: Column) -> Column:
@@ -121,17 +140,15 @@ def lemmatise(
 
 
 def _lookup_in_plan(token_array: Column, pairs: DataFrame) -> Column:
-    # One array of small maps, indexed by the token's hash, as a scalar subquery: a lookup then
-    # scans one bucket and not the whole table.
+    # The table (its size was checked) becomes one constant: an array of small maps, indexed by the
+    # token's hash, so that a lookup scans one bucket and not the whole table.
     def bucket(token: Column) -> Column:
         return F.pmod(F.hash(token), F.lit(_LEMMA_BUCKETS))
 
-    filled = pairs.groupBy(bucket(F.col("token")).alias("b")).agg(
-        F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("m")
-    )
-    by_bucket = filled.agg(F.map_from_entries(F.collect_list(F.struct("b", "m"))).alias("by_bucket"))
-    places = F.sequence(F.lit(0), F.lit(_LEMMA_BUCKETS - 1))
-    table = by_bucket.select(F.transform(places, lambda b: F.try_element_at("by_bucket", b))).scalar()
+    slots: list[dict[str, str]] = [{} for _ in range(_LEMMA_BUCKETS)]
+    for row in pairs.select("token", "lemma", bucket(F.col("token")).alias("b")).collect():
+        slots[row["b"]][row["token"]] = row["lemma"]
+    table = F.from_json(F.lit(json.dumps(slots)), "array<map<string,string>>")
     return F.transform(
         token_array,
         lambda token: F.coalesce(F.try_element_at(F.get(table, bucket(token)), token), token),

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from townsquare.functions.filters import source_contains, source_is
 from townsquare.runtime import drop_intermediate, freeze, read_intermediate, shared_folder, write_intermediate
 from townsquare.schema import UNKNOWN
 
-ARCS_PER_SALT = 1_000_000
+HUB_ARCS = 1_000_000
 MAX_HUBS = 100_000
 MIN_INFLUENCER_NODES = 5
 
@@ -172,8 +173,8 @@ def pagerank(
     alpha: float = 0.85,
     max_rounds: int = 100,
     tolerance: float | None = 1e-6,
-    arcs_per_salt: int = ARCS_PER_SALT,
-    rounds_per_write: int = 4,
+    hub_arcs: int = HUB_ARCS,
+    rounds_per_write: int = 5,
 ) -> DataFrame:
     """H6: (id, rank) by weighted PageRank over both directions of each edge.
 
@@ -183,66 +184,89 @@ def pagerank(
 
     * Nodes without a positive edge all keep one common rank, so it is tracked as a number and
       only connected nodes are iterated; the mass they hold needs no extra aggregate.
-    * Arcs are written once, bucketed by (source, salt), and are never shuffled again. A hub's arcs
-      are spread over as many salts as its degree asks for; the hub's rank is copied to each.
+    * Arcs are written once, bucketed by their source, and never shuffled again. A node with more
+      than ``hub_arcs`` arcs is a hub: its arcs are written evenly spread instead and meet the hubs'
+      ranks by broadcast. ``hub_arcs`` is raised where needed so that hubs stay below ``MAX_HUBS``.
     * Every few rounds end in a written table, so plans stay flat and a lost executor costs no more
       than those; the stop rule is looked at there.
     """
     spark = graph.nodes.sparkSession
-    both = graph.edges.filter(F.col("weight") > 0).select(
-        F.explode(
-            F.when(
-                F.col("src") == F.col("dst"),
-                F.array(F.struct("src", "dst", "weight")),
-            ).otherwise(
-                F.array(
-                    F.struct("src", "dst", "weight"),
-                    F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"),
-                )
-            )
-        ).alias("arc")
-    ).select("arc.*")
+    forth = F.struct("src", "dst", "weight")
+    back = F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    directions = F.when(F.col("src") == F.col("dst"), F.array(forth)).otherwise(F.array(forth, back))
+    arcs = graph.edges.filter(F.col("weight") > 0).select(F.inline(directions))
     degrees = freeze(
-        both.groupBy("src").agg(F.sum("weight").alias("out_weight"), F.count(F.lit(1)).alias("out_degree"))
+        arcs.groupBy("src").agg(F.sum("weight").alias("out_weight"), F.count(F.lit(1)).alias("out_degree"))
     )
     total = graph.nodes.count()
     if total == 0:
         return spark.createDataFrame([], "id string, rank double")
-    size = degrees.agg(F.count(F.lit(1)).alias("nodes"), F.coalesce(F.sum("out_degree"), F.lit(0)).alias("arcs")).first()
+    size = degrees.agg(
+        F.count(F.lit(1)).alias("nodes"),
+        F.coalesce(F.sum("out_degree"), F.lit(0)).alias("arcs"),
+        F.coalesce(F.max("out_degree"), F.lit(0)).alias("largest"),
+    ).first()
     isolated = total - size["nodes"]
-    # A hub has more arcs than this, so there are at most MAX_HUBS of them to broadcast.
-    hub_arcs = max(arcs_per_salt, math.ceil(size["arcs"] / MAX_HUBS))
-    sources = degrees.withColumn("salts", F.ceil(F.col("out_degree") / hub_arcs).cast("int"))
-    hubs = F.broadcast(sources.filter("salts > 1").select("src", "salts"))
-
-    arcs_table = f"townsquare_arcs_{uuid.uuid4().hex}"
-    arcs_path = f"{shared_folder(spark)}/townsquare/{arcs_table}"
+    hub_arcs = max(hub_arcs, math.ceil(size["arcs"] / MAX_HUBS))
+    has_hubs = size["largest"] > hub_arcs
+    if has_hubs:
+        # Each round then reads the ranks twice; chained rounds would double the plan each time.
+        rounds_per_write = 1
+
+    # A weightless arc from each node to itself carries the node's own values through the grouping.
+    own = degrees.select("src", F.col("src").alias("dst"), F.lit(0.0).alias("weight"), F.lit(True).alias("own"))
+    links = arcs.withColumn("own", F.lit(False)).unionByName(own)
+    hubs = degrees.filter(F.col("out_degree") > hub_arcs).select("src")
+    folder, name = f"{shared_folder(spark)}/townsquare", f"townsquare_arcs_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salted = both.join(hubs, "src", "left").select(
-        "src",
-        F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("dst"), F.col("salts").cast("long")))
-        .otherwise(0)
-        .cast("int")
-        .alias("salt"),
-        "dst",
-        "weight",
+    plain = links.join(F.broadcast(hubs), "src", "left_anti") if has_hubs else links
+    writer = plain.repartition(buckets, "src").write.bucketBy(buckets, "src").option("path", f"{folder}/{name}")
+    writer.saveAsTable(name)
+    plain = spark.table(name)
+    hub_path = None
+    if has_hubs:
+        spread = links.join(F.broadcast(hubs), "src", "left_semi").repartition(buckets, "src", "dst")
+        hub_path = write_intermediate(spread)
+        spread = read_intermediate(spark, hub_path, links.schema)
+
+    def next_round(current: DataFrame, base: float) -> DataFrame:
+        rates = current.withColumnRenamed("id", "src")
+        meetings = [plain.join(rates, "src")]
+        if has_hubs:
+            meetings.append(spread.join(F.broadcast(rates.filter("is_hub")), "src"))
+        flows = [
+            met.select(
+                F.col("dst").alias("id"),
+                (F.col("rank") * F.col("weight") / F.col("out_weight")).alias("flow"),
+                *(F.when(F.col("own"), F.col(c)).alias(c) for c in ("rank", "out_weight", "is_hub")),
+            )
+            for met in meetings
+        ]
+        return (
+            reduce(DataFrame.unionByName, flows)
+            .groupBy("id")
+            .agg(
+                (F.lit(alpha) * F.sum("flow") + F.lit(base)).alias("rank"),
+                F.max("out_weight").alias("out_weight"),
+                F.max("is_hub").alias("is_hub"),
+                F.max("rank").alias("old"),
+            )
+        )
+
+    lone_rank = 1.0 / total
+    current = degrees.select(
+        F.col("src").alias("id"),
+        F.lit(lone_rank).alias("rank"),
+        "out_weight",
+        (F.col("out_degree") > hub_arcs).alias("is_hub"),
     )
-    by_bucket = salted.repartition(buckets, "src", "salt").write.bucketBy(buckets, "src", "salt")
-    by_bucket.option("path", arcs_path).saveAsTable(arcs_table)
-    arcs = spark.table(arcs_table)
-
-    start = 1.0 / total
-    lone_rank = start
-    current = sources.select(F.col("src").alias("id"), F.lit(start).alias("rank"), "out_weight", "salts")
-    columns, path = current.columns, None
-    converged = tolerance is None
-    done = 0
+    columns, path, done, converged = current.columns, None, 0, tolerance is None
     while done < max_rounds:
         step = current
         for _ in range(min(rounds_per_write, max_rounds - done)):
             # Isolated nodes spread their mass evenly over all nodes.
             base = (alpha * isolated * lone_rank + (1.0 - alpha)) / total
-            step = _pagerank_round(arcs, step, alpha, base)
+            step = next_round(step.select(*columns), base)
             lone_change, lone_rank, done = abs(base - lone_rank), base, done + 1
         next_path = write_intermediate(step)
         table = read_intermediate(spark, next_path, step.schema)
@@ -255,37 +279,15 @@ def pagerank(
             converged = change + isolated * lone_change < total * tolerance
             if converged:
                 break
-    spark.sql(f"DROP TABLE IF EXISTS {arcs_table}")
-    drop_intermediate(spark, arcs_path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for finished in filter(None, (f"{folder}/{name}", hub_path)):
+        drop_intermediate(spark, finished)
     if not converged:
         raise RuntimeError(f"PageRank did not settle within {max_rounds} rounds")
     lone = graph.nodes.select("id").join(current.select("id"), "id", "left_anti")
     return current.select("id", "rank").union(lone.select("id", F.lit(lone_rank).alias("rank")))
 
 
-def _pagerank_round(arcs: DataFrame, current: DataFrame, alpha: float, base: float) -> DataFrame:
-    copies = current.select(
-        F.col("id").alias("src"),
-        (F.col("rank") / F.col("out_weight")).alias("rate"),
-        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-    )
-    received = arcs.join(copies, ["src", "salt"]).select(
-        F.col("dst").alias("id"), (F.col("rate") * F.col("weight")).alias("flow")
-    )
-    # The node's own row carries its fixed columns and old rank through the same grouping.
-    own = current.select("id", F.lit(0.0).alias("flow"), F.col("rank").alias("old"), "out_weight", "salts")
-    return (
-        received.unionByName(own, allowMissingColumns=True)
-        .groupBy("id")
-        .agg(
-            (F.lit(alpha) * F.sum("flow") + F.lit(base)).alias("rank"),
-            F.max("out_weight").alias("out_weight"),
-            F.max("salts").alias("salts"),
-            F.max("old").alias("old"),
-        )
-    )
-
-
 def influencers(graph: Graph, n: int = 10, **settings) -> DataFrame:
     """H7: the users among the ``n`` best-ranked nodes (so maybe fewer), with source and followers.
 

@@ -11,6 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a small input; a no-op once the scan has a task per core anyway.
+
+    Text work is bound by computation, and a small file is a single task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def posts_from_tables(spark: SparkSession, folder: str, text: bool = False, replies: bool = False) -> DataFrame:
     """The post view; ``text`` and ``replies`` each cost a join on a unique key, so ask only if needed."""
     events = spark.read.parquet(f"{folder}/events.parquet")
@@ -33,7 +42,7 @@ def posts_from_tables(spark: SparkSession, folder: str, text: bool = False, repl
         documents = spark.read.parquet(f"{folder}/documents.parquet").select(
             F.col("doc_id").alias("event_id"), "text"
         )
-        posts = posts.join(documents, "event_id", "left")
+        posts = spread(posts, "event_id").join(documents, "event_id", "left")
     if replies:
         previous = events.select(
             (F.col("event_id") + 1).alias("event_id"), F.col("user_id").cast("string").alias("in_reply_to_user_id")
