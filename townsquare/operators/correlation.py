@@ -21,7 +21,8 @@ REPORT_SCHEMA = "name string, n long, correlation double, p_value double, method
 def _ratio(covariance, x_spread, y_spread):
     """Null instead of a division by zero when a side does not vary."""
     r = F.try_divide(covariance, F.sqrt(x_spread) * F.sqrt(y_spread))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+    # least and greatest skip nulls, so an undefined value has to be kept apart.
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:

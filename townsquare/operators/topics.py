@@ -36,27 +36,33 @@ def fit_topics(
     k: int = 3,
     seed: int = 42,
     min_df: float = 2,
-    max_df: float = 0.95,
+    max_df: float | int = 0.95,
     vocabulary: int = 1 << 18,
-    rounds: int = 20,
+    rounds: int = 10,
 ) -> TopicModel | None:
     """G1 + G2: vocabulary and LDA over texts of more than ten characters; ``None`` below ten texts.
 
     Terms are counted by MLlib in one distributed pass; the vocabulary is what reaches the driver,
-    and ``vocabulary`` bounds it.
+    and ``vocabulary`` bounds it. Every round reads all texts.
     """
     texts = df.select(text_column).filter(longer_than(text_column))
     if len(texts.limit(MIN_DOCUMENTS).collect()) < MIN_DOCUMENTS:
         return None
     words = bag_of_words(texts, text_column).persist()
     try:
-        counter = CountVectorizer(
-            inputCol="words", outputCol="counts", minDF=min_df, maxDF=max_df, vocabSize=vocabulary
-        )
-        vectors = counter.fit(words)
-        if not vectors.vocabulary:
+        counter = CountVectorizer(inputCol="words", outputCol="counts", minDF=min_df, vocabSize=vocabulary)
+        if max_df < 1:
+            counter = counter.setMaxDF(max_df)
+        elif isinstance(max_df, int):
+            counter = counter.setMaxDF(float(max_df))  # MLlib reads 1 and above as a count of texts
+        found = counter.fit(words).vocabulary
+        if not found:
             return None
-        lda = LDA(k=k, seed=seed, optimizer="online", featuresCol="counts", maxIter=rounds)
+        # Equally frequent terms come in any order; sorting makes runs with one seed agree.
+        vectors = CountVectorizerModel.from_vocabulary(sorted(found), inputCol="words", outputCol="counts")
+        lda = LDA(
+            k=k, seed=seed, optimizer="online", featuresCol="counts", maxIter=rounds, subsamplingRate=1.0
+        )
         return TopicModel(vectors, lda.fit(vectors.transform(words)), text_column)
     finally:
         words.unpersist()
