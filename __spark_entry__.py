@@ -225,7 +225,7 @@ def _plural_lemmas(tokenised: DataFrame) -> DataFrame:
 
 
 def _lemmatised(spark, folder, **limits):
-    df = documents(spark, folder).select("doc_id", text.tokens(text.normalise(F.col("text"))).alias("tokens"))
+    df = freeze(documents(spark, folder).select("doc_id", text.tokens(text.normalise(F.col("text"))).alias("tokens")))
     return text.lemmatise(df, "tokens", _plural_lemmas(df), **limits).select("doc_id", "text_tokens_clean")
 
 
@@ -261,6 +261,7 @@ def parsed_times(spark, folder):  # C7
 
 def engagement_features(spark, folder):  # B4, C8-C12
     df = texts(spark, folder).withColumn("user_followers_count", F.coalesce("user_followers_count", F.lit(0.0)))
+    df = freeze(df.drop("text", "text_cleaned", "sentiment_compound", "sentiment_polarity", "sentiment_label"))
     scaled = features.with_z_scores(features.with_engagement_rate(df))
     return rounded(
         scaled.select(

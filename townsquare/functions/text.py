@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from townsquare.runtime import fits
+from townsquare.runtime import fits, freeze
 from townsquare.schema import TECHNOLOGY_DOMAINS
 
 # The characters counted as white space in Unicode text. Spelled out because the
@@ -121,7 +121,7 @@ def lemmatise(
     not shuffled. A larger one is joined: the distinct token lists are exploded, looked up with a
     shuffle join (hot tokens are split by adaptive execution) and put back together.
     """
-    pairs = lemmas.select("token", "lemma").dropna().dropDuplicates(["token"])
+    pairs = freeze(lemmas.select("token", "lemma").dropna().dropDuplicates(["token"]))
     if fits(pairs, max_rows_in_plan):
         return df.withColumn(output, F.array_join(_lookup_in_plan(F.col(token_column), pairs), " "))
 

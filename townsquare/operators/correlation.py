@@ -43,27 +43,43 @@ def _pair_counts(df: DataFrame, x: str, y: str) -> DataFrame:
     return complete_pairs(df, x, y).groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
 
 
-def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """one row (n, correlation), Pearson over average ranks.
+def _long_pairs(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Rows (name, x, y): every named pair's complete cases."""
+    sides = [
+        F.struct(F.lit(name).alias("name"), as_number(x).alias("x"), as_number(y).alias("y"))
+        for name, (x, y) in pairs.items()
+    ]
+    return df.select(F.inline(F.array(*sides))).dropna(subset=["x", "y"])
+
 
-    Equal pairs collapse first. x is ranked over (x, y) range partitions; the rank sums are then
-    combined per y, which leaves one row per distinct y to rank. No join on a data value is made.
+def spearman_all(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """F5 for all named pairs at once: rows (name, n, correlation), Pearson over average ranks.
+
+    Equal pairs collapse first. x is ranked over (name, x, y) range partitions; the rank sums are
+    then combined per y, which leaves one row per distinct y to rank. No join on a data value is
+    made, and the number of jobs does not grow with the number of pairs.
     """
-    by_x = rank_pairs(_pair_counts(df, x, y), "x", "y", "rank_x")
+    counts = _long_pairs(df, pairs).groupBy("name", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    by_x = rank_pairs(counts, "x", "y", "rank_x", ["name"])
     off_x = F.col("rank_x") - (F.col("rows") + 1) / 2
-    per_y = by_x.groupBy("y").agg(
+    per_y = by_x.groupBy("name", "y").agg(
         F.sum("n").alias("n"),
         F.sum(F.col("n") * off_x).alias("s"),
         F.sum(F.col("n") * off_x * off_x).alias("q"),
     )
-    by_y = running_total(per_y, "y", "n")
+    by_y = running_total(per_y, "y", "n", ["name"])
     off_y = F.col("before") + (F.col("n") + 1) / 2 - (F.col("before_total") + 1) / 2
-    return by_y.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+    return by_y.groupBy("name").agg(
+        F.sum("n").alias("n"),
         _ratio(F.sum(F.col("s") * off_y), F.sum("q"), F.sum(F.col("n") * off_y * off_y)).alias("correlation"),
     )
 
 
+def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
+    """F5 for one pair: one row (n, correlation), or none without complete pairs."""
+    return spearman_all(df, {"pair": (x, y)}).select("n", "correlation")
+
+
 def kendall(df: DataFrame, x: str, y: str) -> DataFrame:
     """one row with n, concordant and discordant pairs, tie terms and τ-b.
 
@@ -124,64 +140,78 @@ def kendall(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def _pair_moments(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> dict[str, dict]:
-    """Counts, variances, shape and covariance of every pair's complete cases, in one scan."""
-    columns = []
-    for name, (x, y) in pairs.items():
-        x_all, y_all = as_number(x), as_number(y)
-        xc, yc = F.when(y_all.isNotNull(), x_all), F.when(x_all.isNotNull(), y_all)
-        columns.append(
-            F.struct(
-                F.count(xc).alias("n"),
-                F.covar_pop(xc, yc).alias("covariance"),
-                *(
-                    measure(side).alias(f"{label}_{measure.__name__}")
-                    for label, side in (("x", xc), ("y", yc))
-                    for measure in (F.var_pop, F.skewness, F.kurtosis)
-                ),
-            ).alias(name)
+    """Counts, variances, shape and covariance of every pair's complete cases, in one scan.
+
+    One grouped aggregate in long form: a column per pair and measure would outgrow what the JVM
+    is willing to compile.
+    """
+    facts = (
+        _long_pairs(df, pairs)
+        .groupBy("name")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.covar_pop("x", "y").alias("covariance"),
+            *(
+                measure(side).alias(f"{side}_{measure.__name__}")
+                for side in ("x", "y")
+                for measure in (F.var_pop, F.skewness, F.kurtosis)
+            ),
         )
-    return {name: value.asDict() for name, value in df.agg(*columns).first().asDict().items()}
+    )
+    found = {row["name"]: row.asDict() for row in facts.collect()}  # a row per named pair
+    return {name: found.get(name, {"n": 0}) for name in pairs}
 
 
-def _correlate(df: DataFrame, name: str, x: str, y: str, stats: dict, method: str | None) -> tuple | None:
-    n = stats["n"]
-    if n < 2:
-        return None
+def _choose_method(df: DataFrame, x: str, y: str, stats: dict) -> str:
     pair = complete_pairs(df, x, y)
-    if method is None:
-        known = [
-            {"n": n, "skewness": stats[f"{s}_skewness"], "kurtosis": stats[f"{s}_kurtosis"]} for s in ("x", "y")
-        ]
-        normal = check_normality(pair, "x", known[0])["is_normal"] and check_normality(pair, "y", known[1])["is_normal"]
-        method = "pearson" if normal else "spearman"
-    if method == "pearson":
-        spread = (stats["x_var_pop"] * stats["y_var_pop"]) ** 0.5
-        r = max(-1.0, min(1.0, stats["covariance"] / spread)) if spread > 0 else None
-        p = correlation_p(r, n)
-    elif method == "spearman":
-        r = spearman(pair, "x", "y").first()["correlation"]
-        p = correlation_p(r, n) if n > 2 else None
-    elif method == "kendall":
-        row = kendall(pair, "x", "y").first()
-        r = row["correlation"]
-        ties = [tuple(float(row[f"{s}_{c}"]) for c in ("tied_pairs", "triples", "spread")) for s in ("x", "y")]
-        p = kendall_p(int(row["concordant"]), int(row["discordant"]), n, *ties) if r is not None else None
-    else:
-        return None
-    return name, n, r, p, method, p is not None and p < LEVEL
+    for side in ("x", "y"):
+        known = {"n": stats["n"], "skewness": stats[f"{side}_skewness"], "kurtosis": stats[f"{side}_kurtosis"]}
+        if not check_normality(pair, side, known)["is_normal"]:
+            return "spearman"
+    return "pearson"
+
+
+def _pearson_from(stats: dict) -> float | None:
+    spread = (stats["x_var_pop"] * stats["y_var_pop"]) ** 0.5
+    return max(-1.0, min(1.0, stats["covariance"] / spread)) if spread > 0 else None
+
+
+def _kendall_with_p(df: DataFrame, x: str, y: str, n: int) -> tuple[float | None, float | None]:
+    row = kendall(df, x, y).first()
+    if row["correlation"] is None:
+        return None, None
+    ties = [tuple(float(row[f"{s}_{c}"]) for c in ("tied_pairs", "triples", "spread")) for s in ("x", "y")]
+    return row["correlation"], kendall_p(int(row["concordant"]), int(row["discordant"]), n, *ties)
 
 
 def correlation_report(df: DataFrame, pairs: Mapping[str, tuple[str, str]], method: str | None = None) -> DataFrame:
     """F7 for every named pair: Pearson if both sides look normal, else Spearman, unless overridden.
 
-    One scan yields the moments of all pairs; only the pairs that need ranks cost further jobs.
-    A pair with fewer than two complete cases has no row.
+    One scan yields the moments of all pairs (and so every Pearson); the pairs that need ranks are
+    ranked together. Later steps scan ``df`` again, so pass a stored table, not a costly plan. A
+    pair with fewer than two complete cases has no row.
     """
+    stats = _pair_moments(df, pairs) if pairs else {}
+    usable = {name: pair for name, pair in pairs.items() if stats[name]["n"] >= 2}
+    methods = {name: method or _choose_method(df, *pair, stats[name]) for name, pair in usable.items()}
+    ranked = {name: usable[name] for name in usable if methods[name] == "spearman"}
+    # One row per named pair.
+    rho = {row["name"]: row["correlation"] for row in spearman_all(df, ranked).collect()} if ranked else {}
     rows = []
-    if pairs:
-        stats = _pair_moments(df, pairs)
-        rows = [_correlate(df, name, x, y, stats[name], method) for name, (x, y) in pairs.items()]
-    return df.sparkSession.createDataFrame([row for row in rows if row], REPORT_SCHEMA)
+    for name, (x, y) in usable.items():
+        n, used = stats[name]["n"], methods[name]
+        if used == "pearson":
+            r = _pearson_from(stats[name])
+            p = correlation_p(r, n)
+        elif used == "spearman":
+            r = rho[name]
+            p = correlation_p(r, n) if n > 2 else None
+        elif used == "kendall":
+            r, p = _kendall_with_p(df, x, y, n)
+        else:
+            continue
+        rows.append((name, n, r, p, used, p is not None and p < LEVEL))
+    return df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
 
 
 def optimal_correlation(df: DataFrame, x: str, y: str, method: str | None = None, name: str | None = None) -> DataFrame:

@@ -64,19 +64,24 @@ def with_average_rank(counts: DataFrame, value: str, output: str = "rank") -> Da
     return ranked.withColumn(output, F.col("before") + (F.col("n") + 1) / 2)
 
 
-def rank_pairs(pairs: DataFrame, value: str, other: str, output: str) -> DataFrame:
-    """Average rank of ``value`` for rows (value, other, n), each (value, other) present once.
+def rank_pairs(
+    pairs: DataFrame, value: str, other: str, output: str, group: Sequence[str] = ()
+) -> DataFrame:
+    """Average rank of ``value`` within its group for rows (group…, value, other, n).
 
-    A value that is very frequent may come with very many partners, so it is allowed to span
-    several range partitions; only the values at partition edges need a correction, which is a
-    broadcast of at most two rows per partition. Also adds ``rows``, the sum of all ``n``.
+    Each (group, value, other) is present once. A value that is very frequent may come with very
+    many partners, so it is allowed to span several range partitions; only the values at the edges
+    of a partition's groups need a correction, which is a broadcast of at most two rows per
+    partition and group. Also adds ``rows``, the sum of all ``n`` of the group.
     """
-    layout = range_layout(pairs, value, other)
-    sums = layout.groupBy(PART).agg(
+    group = list(group)
+    keys = [PART, *group]
+    layout = range_layout(pairs, *group, value, other)
+    sums = layout.groupBy(*keys).agg(
         F.min(value).alias("__first"), F.max(value).alias("__last"), F.sum("n").alias("__sum")
     )
-    # One row per partition: this window runs over the number of partitions, not over data.
-    ordered = Window.orderBy(PART)
+    # One row per partition and group: this window runs over partitions, not over data.
+    ordered = Window.partitionBy(*group).orderBy(PART)
     edges = F.broadcast(
         sums.withColumns(
             {
@@ -89,33 +94,29 @@ def rank_pairs(pairs: DataFrame, value: str, other: str, output: str) -> DataFra
             }
         )
     )
+    at_edge = layout.join(edges, keys).filter((F.col(value) == F.col("__first")) | (F.col(value) == F.col("__last")))
+    before_edge = F.col("__offset") + F.when(F.col(value) == F.col("__first"), 0).otherwise(
+        F.col("__sum") - F.col("__ties")
+    )
     spans = (
-        layout.join(edges, PART)
-        .filter((F.col(value) == F.col("__first")) | (F.col(value) == F.col("__last")))
-        .groupBy(PART, value, "__first", "__offset", "__sum")
+        at_edge.groupBy(*keys, value, "__first", "__offset", "__sum")
         .agg(F.sum("n").alias("__ties"))
-        .groupBy(F.col(value).alias("__value"))
-        .agg(
-            F.min(
-                F.col("__offset")
-                + F.when(F.col(value) == F.col("__first"), 0).otherwise(F.col("__sum") - F.col("__ties"))
-            ).alias("__span_before"),
-            F.sum("__ties").alias("__span_ties"),
-        )
+        .groupBy(*group, value)
+        .agg(F.min(before_edge).alias("__span_before"), F.sum("__ties").alias("__span_ties"))
     )
-    upto = Window.partitionBy(PART).orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = Window.partitionBy(*keys).orderBy(value).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     local = layout.select(
-        PART,
+        *keys,
         value,
         other,
         "n",
         F.sum("n").over(upto).alias("__upto"),
-        F.sum("n").over(Window.partitionBy(PART, value)).alias("__ties"),
+        F.sum("n").over(Window.partitionBy(*keys, value)).alias("__ties"),
     )
-    placed = local.join(edges, PART).join(F.broadcast(spans), F.col(value) == F.col("__value"), "left")
+    placed = local.join(edges, keys).join(F.broadcast(spans), [*group, value], "left")
     before = F.coalesce("__span_before", F.col("__offset") + F.col("__upto") - F.col("__ties"))
     ties = F.coalesce("__span_ties", "__ties")
-    return placed.select(value, other, "n", "rows", (before + (ties + 1) / 2).alias(output))
+    return placed.select(*group, value, other, "n", "rows", (before + (ties + 1) / 2).alias(output))
 
 
 def tie_sums(counts: DataFrame) -> DataFrame:

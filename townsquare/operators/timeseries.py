@@ -7,6 +7,7 @@ windows over it may run un-partitioned.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from townsquare.functions.tails import unit_root_p
+from townsquare.runtime import freeze
 
 MIN_DAYS = 7
 MIN_DECOMPOSITION_DAYS = 14
@@ -21,25 +23,34 @@ LEVEL = 0.05
 ADF_SCHEMA = "column string, test_statistic double, p_value double, lags int, n int, is_stationary boolean"
 
 
-def _regression_table(daily: DataFrame, column: str, lags: int) -> DataFrame:
-    """Rows (y, level, d1…d_lags): today's change, yesterday's level and the earlier changes."""
-    by_day = Window.orderBy("day")
-    v = F.col(column).cast("double")
-    change = v - F.lag(v).over(by_day)
-    base = daily.select("day", change.alias("y"), F.lag(v).over(by_day).alias("level"))
-    lagged = [F.lag("y", i).over(by_day).alias(f"d{i}") for i in range(1, lags + 1)]
-    return base.select("y", F.lit(1.0).alias("one"), "level", *lagged).dropna()
-
+def _gram_matrices(daily: DataFrame, lags: dict[str, int]) -> dict[str, tuple[np.ndarray, int]]:
+    """Per column the sums of products X'X and the row count, for regression rows with all lags.
 
-def _gram(table: DataFrame) -> tuple[np.ndarray, int]:
-    """X'X of all columns (y first) and the row count: one aggregate of products."""
-    names = table.columns
-    products = [F.sum(F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]]
-    row = table.agg(F.count(F.lit(1)), *products).first()
-    gram = np.zeros((len(names), len(names)))
-    upper = np.triu_indices(len(names))
-    gram[upper] = row[1:]
-    return gram + np.triu(gram, 1).T, row[0]
+    X holds today's change, 1, yesterday's level and the earlier changes. The products are summed
+    in long form, so the plan does not grow with the number of lags.
+    """
+    by_day = Window.orderBy("day")
+    changes, lagged = {}, {}
+    for name, depth in lags.items():
+        changes[f"{name}_level"] = F.lag(name).over(by_day)
+        changes[f"{name}_change"] = F.col(name) - F.lag(name).over(by_day)
+        for i in range(1, depth + 1):
+            lagged[f"{name}_change{i}"] = F.lag(f"{name}_change", i).over(by_day)
+    table = daily.withColumns(changes)
+    table = table.withColumns(lagged) if lagged else table
+    vectors = []
+    for name, depth in lags.items():
+        parts = [F.col(f"{name}_change"), F.lit(1.0), F.col(f"{name}_level")]
+        parts += [F.col(f"{name}_change{i}") for i in range(1, depth + 1)]
+        vectors.append(F.struct(F.lit(name).alias("name"), F.array(*parts).alias("row")))
+    rows = table.select(F.inline(F.array(*vectors))).filter(~F.exists("row", lambda v: v.isNull()))
+    left = rows.select("name", "row", F.posexplode("row").alias("i", "a"))
+    products = left.select("name", "i", "a", F.posexplode("row").alias("j", "b")).filter("j >= i")
+    sums = products.groupBy("name", "i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("s"))
+    grams = {name: np.zeros((depth + 3, depth + 3)) for name, depth in lags.items()}
+    for r in sums.collect():  # (lags + 3)² / 2 rows per column
+        grams[r["name"]][r["i"], r["j"]] = grams[r["name"]][r["j"], r["i"]] = r["s"]
+    return {name: (gram, round(gram[1, 1])) for name, gram in grams.items()}
 
 
 def _least_squares(gram: np.ndarray, terms: int) -> tuple[np.ndarray, float, np.ndarray]:
@@ -50,39 +61,44 @@ def _least_squares(gram: np.ndarray, terms: int) -> tuple[np.ndarray, float, np.
     return beta, max(float(gram[0, 0] - beta @ xy), 0.0), inverse
 
 
-def dickey_fuller(daily: DataFrame, column: str) -> dict:
-    """F16 for one column: augmented Dickey-Fuller with a constant, lag order by AIC."""
-    centred = daily.select("day", (F.col(column) - daily.agg(F.avg(column)).scalar()).alias(column))
-    n = daily.count()
+def dickey_fuller(daily: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
+    """F16: augmented Dickey-Fuller with a constant, lag order by AIC, for several daily columns."""
+    daily = freeze(daily.select("day", *(F.col(c).cast("double") for c in columns)))
+    facts = daily.agg(F.count(F.lit(1)).alias("n"), *(F.avg(c).alias(c) for c in columns)).first()
+    n = facts["n"]
     max_lag = min(n // 2 - 2, math.ceil(12 * (n / 100) ** 0.25))
     if max_lag < 0:
         raise ValueError("too few days")
-    gram, rows = _gram(_regression_table(centred, column, max_lag))
-    # Every candidate is a leading block of the same Gram matrix, over the same days.
-    best_lag = min(
-        range(max_lag + 1),
-        key=lambda k: rows * math.log(max(_least_squares(gram, k + 2)[1], 1e-300) / rows) + 2 * (k + 2),
-    )
-    gram, rows = _gram(_regression_table(centred, column, best_lag))
-    terms = best_lag + 2
-    beta, residual, inverse = _least_squares(gram, terms)
-    variance = residual / (rows - terms) * inverse[1, 1] if rows > terms else 0.0
-    t = float(beta[1] / math.sqrt(variance)) if variance > 0 else float("nan")
-    p = unit_root_p(t) if not math.isnan(t) else None
-    return {"statistic": t, "p_value": p, "lags": best_lag, "n": rows}
+    # Sums of products keep more digits around the mean; the constant absorbs the shift.
+    centred = daily.select("day", *((F.col(c) - F.lit(facts[c])).alias(c) for c in columns))
+    lags = {}
+    for name, (gram, rows) in _gram_matrices(centred, dict.fromkeys(columns, max_lag)).items():
+        # Every candidate is a leading block of the same matrix, over the same days.
+        lags[name] = min(
+            range(max_lag + 1),
+            key=lambda k: rows * math.log(max(_least_squares(gram, k + 2)[1], 1e-300) / rows) + 2 * (k + 2),
+        )
+    results = {}
+    for name, (gram, rows) in _gram_matrices(centred, lags).items():
+        terms = lags[name] + 2
+        beta, residual, inverse = _least_squares(gram, terms)
+        variance = residual / (rows - terms) * inverse[1, 1] if rows > terms else 0.0
+        t = float(beta[1] / math.sqrt(variance)) if variance > 0 else float("nan")
+        p = None if math.isnan(t) else unit_root_p(t)
+        results[name] = {"statistic": t, "p_value": p, "lags": lags[name], "n": rows}
+    return results
 
 
 def stationarity(daily: DataFrame) -> DataFrame:
     """F16: one row per daily column that varies; needs a week of days."""
     names = [c for c in daily.columns if c != "day"]
     facts = daily.agg(F.count(F.lit(1)).alias("n"), *(F.stddev_samp(c).alias(c) for c in names)).first()
-    rows = []
-    if facts["n"] >= MIN_DAYS:
-        for name in names:
-            if facts[name] and facts[name] > 0:
-                r = dickey_fuller(daily, name)
-                p = r["p_value"]
-                rows.append((name, r["statistic"], p, r["lags"], r["n"], p is not None and p < LEVEL))
+    varying = [c for c in names if facts[c] and facts[c] > 0] if facts["n"] >= MIN_DAYS else []
+    results = dickey_fuller(daily, varying) if varying else {}
+    rows = [
+        (name, r["statistic"], r["p_value"], r["lags"], r["n"], r["p_value"] is not None and r["p_value"] < LEVEL)
+        for name, r in results.items()
+    ]
     return daily.sparkSession.createDataFrame(rows, ADF_SCHEMA)
 
 
