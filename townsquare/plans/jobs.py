@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,47 +74,40 @@ def add_features(posts: DataFrame, karma_as_audience: bool = False) -> DataFrame
 
 
 def transform_posts(
-    frames: Mapping[str, DataFrame], enabled: bool = True, karma_as_audience: bool = False
+    frames: Mapping[str, DataFrame],
+    enabled: bool = True,
+    karma_as_audience: bool = False,
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame | None:
     """L1: union of sources → features → sentiment → imputation → rate and z-scores.
 
     Text is cleaned and scored once, into a written table; the rate's maximum and the z-scores'
-    means then come from two narrow columns of it.
+    means then come from two narrow columns of it. ``enrich`` (see ``enrich_columns``) runs before
+    that table is written, so that a job with both steps reads and writes the texts once.
     """
     if not enabled:
         return None
     posts = combine_sources(frames)
     if posts is None:
         return None
-    scored = with_sentiment(add_features(posts, karma_as_audience), inclusive=False)
-    table = freeze(fill_metrics(fill_unknown(scored)))
+    df = add_features(posts, karma_as_audience)
+    if enrich is None:
+        df = with_sentiment(df, inclusive=False)
+    df = fill_metrics(fill_unknown(df))
+    table = freeze(df if enrich is None else enrich(df))
     return with_z_scores(with_engagement_rate(table), drop_constant=True)
 
 
-@dataclass(frozen=True)
-class NlpResult:
-    posts: DataFrame
-    topics: DataFrame | None
-    sentiment_distribution: DataFrame
-
-
-def enrich_text(
-    posts: DataFrame,
-    domains: Iterable[str] = TECHNOLOGY_DOMAINS,
-    lemmas: DataFrame | None = None,
-    topics: bool = True,
-    num_topics: int = 5,
-    seed: int = 42,
-    min_df: float = 2,
-    max_df: float = 0.95,
-) -> NlpResult | None:
-    """L2: tokens (lemmas if a table is given), final sentiment label, topics and domain tags.
+def enrich_columns(
+    posts: DataFrame, domains: Iterable[str] = TECHNOLOGY_DOMAINS, lemmas: DataFrame | None = None
+) -> DataFrame:
+    """L2, row by row: tokens (lemmas if a table is given), final sentiment label and domain tags.
 
-    The text is the post's text, else its title; ``None`` if the table has neither column.
+    Tokens come from the post's text, else its title; a table with neither is returned as it is.
     Sentiment and tags read the cleaned text, in which digits and marks survive.
     """
     if not {"text", "title"} & set(posts.columns):
-        return None
+        return posts
     text = F.col("text") if "text" in posts.columns else F.col("title")
     df = posts if "text_cleaned" in posts.columns else posts.withColumn("text_cleaned", clean_text(text))
     df = df.withColumn("__tokens", tokens(normalise(text)))
@@ -122,13 +115,29 @@ def enrich_text(
         df = df.withColumn("text_tokens_clean", F.array_join("__tokens", " "))
     else:
         df = lemmatise(df, "__tokens", lemmas)
-    df = with_sentiment(df.drop("__tokens")).withColumn("tech_keywords", domain_tags(F.col("text_cleaned"), domains))
-    df = freeze(df)
-    model = (
-        topic_models.fit_topics(df, k=num_topics, seed=seed, min_df=min_df, max_df=max_df) if topics else None
-    )
-    described = topic_models.describe_topics(model) if model else None
-    return NlpResult(df, described, label_frequency(df))
+    return with_sentiment(df.drop("__tokens")).withColumn("tech_keywords", domain_tags(F.col("text_cleaned"), domains))
+
+
+@dataclass(frozen=True)
+class NlpResult:
+    posts: DataFrame
+    topics: DataFrame | None
+    sentiment_distribution: DataFrame
+
+
+def text_reports(posts: DataFrame, topics: bool = True, num_topics: int = 5, seed: int = 42, **limits) -> NlpResult:
+    """L2, over the whole table: topics and the label frequency of enriched (stored) posts."""
+    model = topic_models.fit_topics(posts, k=num_topics, seed=seed, **limits) if topics else None
+    return NlpResult(posts, topic_models.describe_topics(model) if model else None, label_frequency(posts))
+
+
+def enrich_text(
+    posts: DataFrame, domains: Iterable[str] = TECHNOLOGY_DOMAINS, lemmas: DataFrame | None = None, **topic_settings
+) -> NlpResult | None:
+    """L2 as a job of its own; ``None`` if the table has neither text nor title."""
+    if not {"text", "title"} & set(posts.columns):
+        return None
+    return text_reports(freeze(enrich_columns(posts, domains, lemmas)), **topic_settings)
 
 
 def network_sections(posts: DataFrame) -> dict[str, DataFrame]:
@@ -226,18 +235,15 @@ def run_job(
         results["validation"] = validation_report(spark, frames, params.as_of, params.required_columns)
     status = overall_status(results["validation"] if validated and frames else None, validated)
     results["validation_status"] = spark.createDataFrame([(status,)], "overall_status string")
-    posts = transform_posts(frames, params.on("transformation"), params.karma_as_audience)
+    enrich = partial(enrich_columns, domains=params.domains, lemmas=lemmas) if params.on("nlp") else None
+    posts = transform_posts(frames, params.on("transformation"), params.karma_as_audience, enrich)
     if posts is None:
         return results
-    if params.on("nlp"):
-        nlp = enrich_text(
-            posts, params.domains, lemmas, params.topics, params.num_topics, params.seed
-        )
-        if nlp is not None:
-            posts = nlp.posts
-            results["sentiment_distribution"] = nlp.sentiment_distribution
-            if nlp.topics is not None:
-                results["topics"] = nlp.topics
+    if "text_tokens_clean" in posts.columns:
+        nlp = text_reports(posts, params.topics, params.num_topics, params.seed)
+        results["sentiment_distribution"] = nlp.sentiment_distribution
+        if nlp.topics is not None:
+            results["topics"] = nlp.topics
     results |= analyse(posts, params)
     results["posts"] = posts
     if out is not None:
