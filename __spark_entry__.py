@@ -443,7 +443,8 @@ def normality_moments(spark, folder):  # F2
 
 def shapiro(spark, folder):  # the daily series is short enough for Shapiro-Wilk
     daily = rollups.daily_metrics(polar(spark, folder))
-    return normality.normality_report(daily, ["sentiment_polarity", "total_engagement", "reddit_engagement"])
+    report = normality.normality_report(daily, ["sentiment_polarity", "total_engagement", "reddit_engagement"])
+    return rounded(report.select("name", "n", "test", "statistic"), "statistic")
 
 
 def normality_gate(spark, folder):  # F3
@@ -541,7 +542,8 @@ def reddit_volume(spark, folder):  # F18
 def cross_platform(spark, folder):  # F19
     df = posts(spark, folder)
     names = rollups.platforms(df)
-    return correlation.cross_platform_correlation(rollups.platform_pivot(df, names), names)
+    report = correlation.cross_platform_correlation(rollups.platform_pivot(df, names), names)
+    return rounded(report.select("name", "n", "correlation", "method_used"), "correlation")
 
 
 def findings(spark, folder):  # F20

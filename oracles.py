@@ -284,6 +284,32 @@ z as (select *, (1 - 2 / (9 * a) - sign(q) * abs(q) ** (1.0 / 3)) / sqrt(2 / (9
 select cast(n as bigint) as n, round(g1, 6) + 0.0 as skewness, round(b2 - 3, 6) + 0.0 as kurtosis,
        round(z1 * z1 + z2 * z2, 3) + 0.0 as k2, round(exp(-(z1 * z1 + z2 * z2) / 2), 6) + 0.0 as p_value from z"""
 
+# Shapiro-Wilk weights for more than five values, with the normal quantile by a rational approximation.
+LOWER = """(((((-7.784894002430293e-03 * q - 3.223964580411365e-01) * q - 2.400758277161838) * q - 2.549732539343734) * q
+  + 4.374664141464968) * q + 2.938163982698783) / ((((7.784695709041462e-03 * q + 3.224671290700398e-01) * q
+  + 2.445134137142996) * q + 3.754408661907416) * q + 1)"""
+MIDDLE = """(((((-39.69683028665376 * r + 220.9460984245205) * r - 275.9285104469687) * r + 138.3577518672690) * r
+  - 30.66479806614716) * r + 2.506628277459239) * c / (((((-54.47609879822406 * r + 161.5858368580409) * r
+  - 155.6989798598866) * r + 66.80131188771972) * r - 13.28068155288572) * r + 1)"""
+
+
+def shapiro(column: str) -> str:
+    return f"""
+select '{column}' as name, count(*) as n, 'shapiro' as test,
+       round(sum(a * v) ** 2 / sum((v - mean) ** 2), 6) + 0.0 as statistic
+from (select place, v, mean, case when place = n then a1 when place = n - 1 then a2 when place = 1 then -a1
+             when place = 2 then -a2 else m / sqrt((ss - 2 * m1 ** 2 - 2 * m2 ** 2) / (1 - 2 * a1 ** 2 - 2 * a2 ** 2)) end as a
+      from (select *, m1 / sqrt(ss) + 0.221157 * u - 0.147981 * u ** 2 - 2.07119 * u ** 3 + 4.434685 * u ** 4 - 2.706056 * u ** 5 as a1,
+                   m2 / sqrt(ss) + 0.042981 * u - 0.293762 * u ** 2 - 1.752461 * u ** 3 + 5.682633 * u ** 4 - 3.582633 * u ** 5 as a2
+            from (select *, sum(m * m) over () as ss, max(m) over () as m1, 1 / sqrt(n) as u,
+                         max(case when place = n - 1 then m end) over () as m2
+                  from (select *, case when p < 0.02425 then {LOWER} when p > 0.97575 then -({LOWER}) else {MIDDLE} end as m
+                        from (select *, sqrt(-2 * ln(least(p, 1 - p))) as q, p - 0.5 as c, (p - 0.5) ** 2 as r
+                              from (select *, (place - 0.375) / (n + 0.25) as p
+                                    from (select {column} as v, row_number() over (order by {column}) as place,
+                                                 count(*) over () as n, avg({column}) over () as mean from metrics)))))))"""
+
+
 SENTIMENT_POLAR = "case when polarity >= 0.5 then 'positive' when polarity <= -0.5 then 'negative' else 'neutral' end"
 
 ADAPTIVE = (
@@ -547,6 +573,29 @@ from (select count(*) filter (t) as n1, count(*) filter (not t) as n2, avg(v) fi
         spearman("volume_vs_engagement", "word_count", "reddit_engagement", "texts", "data_source like '%reddit%'"),
         POST_TEXTS,
     ),
+    "shapiro": on_posts(
+        " union all ".join(shapiro(c) for c in ("sentiment_polarity", "total_engagement", "reddit_engagement")),
+        DAILY_METRICS,
+    ),
+    "cross_platform": on_posts(
+        "select 'reddit_kaggle_vs_twitter' as name, count(*) as n, round(corr(a, b), 6) + 0.0 as correlation, "
+        "'pearson' as method_used from (select avg(total_engagement) filter (data_source = 'reddit_kaggle') as a, "
+        "avg(total_engagement) filter (data_source = 'twitter') as b from engaged group by day) "
+        "where a is not null and b is not null"
+    ),
+    # Samples are large here, so the t quantile of the 5 % level is the normal one.
+    "findings": on_posts(
+        "select 'completed' as status, count(*) as correlations, 2::bigint as statistical_tests, "
+        "(select count(*) from (values "
+        + ", ".join(f"('{d}')" for d in DOMAINS)
+        + ") as d(domain) where exists (select 1 from texts where contains(text_cleaned, lower(domain)))) as domains_analyzed, "
+        "cast(count(*) filter (abs(correlation) * sqrt((n - 2) / (1 - correlation ** 2)) > 1.96) as integer) as findings from ("
+        + spearman("a", "word_count", "reddit_engagement", "texts")
+        + " union all "
+        + spearman("b", "user_followers_count", "total_engagement", "texts")
+        + ")",
+        POST_TEXTS,
+    ),
     "community_edges": on_posts("select * from edges", COMMUNITY),
     "community_nodes": on_posts("select * from nodes", COMMUNITY),
     "reply_edges": on_posts("select src, dst, 1.0::double as weight from redges", REPLIES),

@@ -20,6 +20,7 @@ from townsquare.schema import UNKNOWN
 
 HUB_ARCS = 1_000_000
 MAX_HUBS = 100_000
+ARCS_PER_BUCKET = 100_000
 MIN_INFLUENCER_NODES = 5
 
 
@@ -218,7 +219,7 @@ def pagerank(
     links = arcs.withColumn("own", F.lit(False)).unionByName(own)
     hubs = degrees.filter(F.col("out_degree") > hub_arcs).select("src")
     folder, name = f"{shared_folder(spark)}/townsquare", f"townsquare_arcs_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), size["arcs"] // ARCS_PER_BUCKET + 1)
     plain = links.join(F.broadcast(hubs), "src", "left_anti") if has_hubs else links
     writer = plain.repartition(buckets, "src").write.bucketBy(buckets, "src").option("path", f"{folder}/{name}")
     writer.saveAsTable(name)

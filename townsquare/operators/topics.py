@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from townsquare.functions.filters import longer_than
+from townsquare.runtime import freeze
 
 MIN_DOCUMENTS = 10
 TERMS_PER_TOPIC = 5
@@ -43,29 +44,26 @@ def fit_topics(
     """G1 + G2: vocabulary and LDA over texts of more than ten characters; ``None`` below ten texts.
 
     Terms are counted by MLlib in one distributed pass; the vocabulary is what reaches the driver,
-    and ``vocabulary`` bounds it. Every round reads all texts.
+    and ``vocabulary`` bounds it. Every round uses all texts.
     """
     texts = df.select(text_column).filter(longer_than(text_column))
     if len(texts.limit(MIN_DOCUMENTS).collect()) < MIN_DOCUMENTS:
         return None
-    words = bag_of_words(texts, text_column).persist()
-    try:
-        counter = CountVectorizer(inputCol="words", outputCol="counts", minDF=min_df, vocabSize=vocabulary)
-        if max_df < 1:
-            counter = counter.setMaxDF(max_df)
-        elif isinstance(max_df, int):
-            counter = counter.setMaxDF(float(max_df))  # MLlib reads 1 and above as a count of texts
-        found = counter.fit(words).vocabulary
-        if not found:
-            return None
-        # Equally frequent terms come in any order; sorting makes runs with one seed agree.
-        vectors = CountVectorizerModel.from_vocabulary(sorted(found), inputCol="words", outputCol="counts")
-        lda = LDA(
-            k=k, seed=seed, optimizer="online", featuresCol="counts", maxIter=rounds, subsamplingRate=1.0
-        )
-        return TopicModel(vectors, lda.fit(vectors.transform(words)), text_column)
-    finally:
-        words.unpersist()
+    words = bag_of_words(texts, text_column)
+    counter = CountVectorizer(inputCol="words", outputCol="counts", minDF=min_df, vocabSize=vocabulary)
+    if max_df < 1:
+        counter = counter.setMaxDF(max_df)
+    elif isinstance(max_df, int):
+        counter = counter.setMaxDF(float(max_df))  # MLlib reads 1 and above as a count of texts
+    found = counter.fit(words).vocabulary
+    if not found:
+        return None
+    # Equally frequent terms come in any order; sorting makes runs with one seed agree.
+    vectors = CountVectorizerModel.from_vocabulary(sorted(found), inputCol="words", outputCol="counts")
+    # The rounds below then read term counts and not texts.
+    counts = freeze(vectors.transform(words).select("counts"))
+    lda = LDA(k=k, seed=seed, optimizer="online", featuresCol="counts", maxIter=rounds, subsamplingRate=1.0)
+    return TopicModel(vectors, lda.fit(counts), text_column)
 
 
 def describe_topics(model: TopicModel, terms: int = TERMS_PER_TOPIC) -> DataFrame:

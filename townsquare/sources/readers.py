@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from townsquare.runtime import freeze
+
 RAW_FILE_GLOB = "*.{csv,parquet}"
 
 
@@ -73,7 +76,9 @@ def raw_dataset_names(spark: SparkSession, folder: str) -> list[str]:
         .load(root)
         .select("path")
     )
-    tail = F.substring_index(F.col("path"), f"/{root.rsplit('/', 1)[-1]}/", -1)
+    # Listed paths carry a scheme; what follows the folder's own path is the dataset's.
+    own_path = re.escape(re.sub(r"^[a-zA-Z0-9]+:(//[^/]*)?", "", root))
+    tail = F.split(F.col("path"), f"{own_path}/", 2)[1]
     names = files.select(F.substring_index(tail, "/", 1).alias("name")).distinct()
     keep = F.col("name").rlike(r"\.(csv|parquet)$") & ~F.col("name").startswith(".")
     return [row["name"] for row in names.filter(keep).orderBy("name").collect()]
@@ -111,9 +116,12 @@ def seeded_sample(df: DataFrame, n: int = 30_000, seed: int = 42) -> DataFrame:
     hashed = df.withColumn("__hash", F.xxhash64(F.lit(seed), *columns))
     share = min(1.0, (n + 8 * math.sqrt(n) + 8) / total)
     while True:
-        bound = int(-(2**63) + share * 2**64) - 1
-        kept = hashed.filter(F.col("__hash") <= F.lit(min(bound, 2**63 - 1)))
-        if share >= 1.0 or kept.count() >= n:
+        bound = min(int(share * 2**64) - 2**63 - 1, 2**63 - 1)
+        kept = hashed.filter(F.col("__hash") <= F.lit(bound))
+        if share >= 1.0:
+            break
+        kept = freeze(kept)
+        if kept.count() >= n:
             break
         share = min(1.0, share * 2)
     return kept.orderBy("__hash", *columns).limit(n).drop("__hash")

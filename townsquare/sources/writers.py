@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from townsquare.runtime import freeze
 from townsquare.sources import readers
 
 
@@ -24,7 +25,11 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy") -> str:
 
 
 def write_report(report: DataFrame, path: str) -> str | None:
-    """One JSON report section; an empty section writes nothing."""
+    """One JSON report section; an empty section writes nothing.
+
+    The section is computed once, into an intermediate table that is then looked at and converted.
+    """
+    report = freeze(report)
     if report.isEmpty():
         return None
     report.write.mode("overwrite").json(path)
