@@ -548,11 +548,12 @@ def cross_platform(spark, folder):  # F19
 
 def findings(spark, folder):  # F20
     df = freeze(texts(spark, folder))
-    return jobs.analysis_summary(
+    summary = jobs.analysis_summary(
         correlation.compute_correlations(df),
         group_tests.statistical_tests(features.with_engagement_rate(df)),
         rollups.domain_engagement(df, DOMAINS),
-    ).select("status", "correlations", "statistical_tests", "domains_analyzed", F.size("significant_findings").alias("findings"))
+    )
+    return summary.withColumn("findings", F.size("significant_findings")).drop("significant_findings")
 
 
 # --- topics (G) ---------------------------------------------------------------------------------

@@ -208,7 +208,8 @@ def test_c14_c15_c16_labels(spark):
 
 
 def test_b1_b4_nulls(spark):
-    df = spark.createDataFrame([(None, "t", None, 7.0), ("x", "t", 3.0, 7.0)], "text string, title string, user_followers_count double, author_post_karma double")
+    schema = "text string, title string, user_followers_count double, author_post_karma double"
+    df = spark.createDataFrame([(None, "t", None, 7.0), ("x", "t", 3.0, 7.0)], schema)
     assert column(df.select(filters.text_or_title(df).alias("t")), "t") == ["t", "x"]
     assert column(df.select(filters.audience(df).alias("a")), "a") == [0.0, 3.0]
     assert column(df.select(filters.audience(df, karma_as_audience=True).alias("a")), "a") == [7.0, 3.0]

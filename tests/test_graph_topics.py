@@ -80,7 +80,8 @@ def ranks_by_hand(nodes, edges, alpha=0.85, rounds=None):
 
 def star(spark, leaves=40):
     names = [f"n{i}" for i in range(leaves)] + ["hub", "lone", "minus"]
-    edges = [("hub", f"n{i}", float(i % 3 + 1)) for i in range(leaves)] + [("n0", "n1", 2.0), ("n2", "n2", 1.0), ("hub", "minus", -4.0)]
+    edges = [("hub", f"n{i}", float(i % 3 + 1)) for i in range(leaves)]
+    edges += [("n0", "n1", 2.0), ("n2", "n2", 1.0), ("hub", "minus", -4.0)]
     nodes = spark.createDataFrame(
         [(n, "user", "twitter", None, float(i)) for i, n in enumerate(names)],
         "id string, type string, source string, sentiment double, followers double",

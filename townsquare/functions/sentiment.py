@@ -242,7 +242,7 @@ def label_strict(score: Column, cut: float = CUT) -> Column:
 
 
 def label_inclusive(score: Column, cut: float = CUT) -> Column:
-    """Inclusive cuts; the pipeline's final label."""
+    """Inclusive cuts; the job's final label."""
     return F.when(score >= cut, "positive").when(score <= -cut, "negative").otherwise("neutral")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from townsquare.functions.filters import source_contains, source_is
@@ -31,13 +31,16 @@ def _f_ratio(values: DataFrame) -> DataFrame:
     per_group = values.groupBy("g").agg(
         F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.var_pop("v").alias("variance")
     )
-    grand = per_group.agg(F.sum(F.col("n") * F.col("mean")) / F.sum("n")).scalar()
+    # A row per named group, so the list is short; with it the values are read only once.
     sums = per_group.agg(
         F.count(F.lit(1)).alias("k"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.sum(F.col("n") * F.pow(F.col("mean") - grand, 2)).alias("between"),
+        F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("grand"),
         F.sum(F.col("n") * F.col("variance")).alias("within"),
+        F.collect_list(F.struct("n", "mean")).alias("groups"),
     )
+    spread = F.aggregate("groups", F.lit(0.0), lambda acc, g: acc + g["n"] * F.pow(g["mean"] - F.col("grand"), 2))
+    sums = sums.withColumn("between", spread)
     ratio = F.try_divide(
         F.try_divide(F.col("between"), F.col("k") - 1), F.try_divide(F.col("within"), F.col("n") - F.col("k"))
     )

@@ -13,7 +13,7 @@ from townsquare.functions.features import parse_time
 from townsquare.schema import DEFAULT_SUBREDDIT, REDDIT_RENAMES
 from townsquare.sources.readers import with_source
 
-# Columns the pipeline computes with; sources disagree on their types (long, double, string).
+# Columns that later steps compute with; sources disagree on their types (long, double, string).
 METRIC_COLUMNS = (
     "user_followers_count",
     "retweet_count",
