@@ -130,3 +130,44 @@ def test_every_oracle_belongs_to_a_query(driver):
 
 def test_entry(spark, driver):
     assert driver.entry(spark).count() == 2
+
+
+def test_pagerank_rounds_do_not_shuffle_arcs(spark, driver, monkeypatch):
+    from townsquare.operators import graph
+
+    plans, write = [], graph.write_intermediate
+
+    def record(df):
+        plans.append(plan_of(df))
+        return write(df)
+
+    monkeypatch.setattr(graph, "write_intermediate", record)
+    monkeypatch.setattr(graph, "ARCS_PER_BUCKET", 1)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        graph.pagerank(driver._community(spark, SMALL), max_rounds=3, tolerance=None, rounds_per_write=3)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    (plan,) = plans
+    assert plan.count("SortMergeJoin") == 3 and plan.count("townsquare_arcs_") == 3
+    # One shuffle for the starting ranks, then one per round: none of them moves arcs.
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_shared_folder_rules():
+    from types import SimpleNamespace
+
+    from townsquare.runtime import shared_folder
+
+    class Conf(dict):
+        set = dict.__setitem__
+
+    def session(master, **conf):
+        return SimpleNamespace(conf=Conf(conf), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("yarn", **{"spark.checkpoint.dir": "hdfs://x/cp/"})) == "hdfs://x/cp"
+    with pytest.raises(RuntimeError):
+        shared_folder(session("yarn"))
+    local = session("local[2]")
+    assert shared_folder(local) == shared_folder(local)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+_LOCAL_FALLBACK_CONF = "spark.townsquare.localScratch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -17,13 +18,13 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local-mode session may fall back to a temporary folder: on a cluster the
     executors would not see each other's files.
     """
-    folder = spark.conf.get(_CHECKPOINT_CONF, None)
+    folder = spark.conf.get(_CHECKPOINT_CONF, None) or spark.conf.get(_LOCAL_FALLBACK_CONF, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_CONF} to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="townsquare-")
-    spark.conf.set(_CHECKPOINT_CONF, folder)
+    spark.conf.set(_LOCAL_FALLBACK_CONF, folder)
     return folder
 
 
