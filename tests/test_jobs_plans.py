@@ -150,7 +150,7 @@ def test_pagerank_rounds_do_not_shuffle_arcs(spark, driver, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     (plan,) = plans
-    assert plan.count("SortMergeJoin") == 3 and plan.count("townsquare_arcs_") == 3
+    assert plan.count("SortMergeJoin") == 3 and plan.count("FileScan parquet spark_catalog.default.townsquare_arcs_") == 3
     # One shuffle for the starting ranks, then one per round: none of them moves arcs.
     assert plan.count("Exchange hashpartitioning") == 4
 
