@@ -501,8 +501,9 @@ union all select 'date_range', 'created_at', count(*)::double from posts where c
     ),
     "normality_moments": on_posts("", K2),
     "normality_gate": on_posts(
-        "select 'total_engagement' as name, count(*) as n, 'normaltest' as test, false as is_normal from engaged "
-        "union all select 'comments', count(comments), 'normaltest', false from engaged"
+        "select name, n, case when n < 5000 then 'shapiro' else 'normaltest' end as test, false as is_normal from ("
+        "select 'total_engagement' as name, count(*) as n from engaged "
+        "union all select 'comments', count(comments) from engaged)"
     ),
     "pearson": on_posts(
         "select count(*) as n, round(corr(total_engagement, user_followers_count), 6) + 0.0 as correlation from engaged "
