@@ -29,6 +29,14 @@ from townsquare.sources import readers, shaping, writers
 from townsquare.sources.tables import posts_from_tables, spread
 from townsquare.streaming import daily as stream
 
+try:
+    from townsquare.llm import queries as text_queries
+except ModuleNotFoundError as missing:
+    # The text operators are one removable package with their pipeline; anything else is an error.
+    if not (missing.name or "").startswith(("townsquare.llm", "corpus_pipeline")):
+        raise
+    text_queries = None
+
 # Domains and words that occur in the generated texts.
 DOMAINS = ("Data", "License", "Worthless", "Threat", "Best")
 RULE_LEXICON = {"with": 1.5, "there": -2.0, "this": 0.8, "license": 2.5, "worthless": -1.9, "les": 0.5, "und": -0.7}
@@ -789,11 +797,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
-    return {query.__name__: query for query in QUERIES}
+    return {query.__name__: query for query in QUERIES} | (text_queries.QUERIES if text_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every query that SQL can express on whole tables."""
     from oracles import ORACLES
 
-    return ORACLES
+    return ORACLES | (text_queries.ORACLES if text_queries else {})
