@@ -1,0 +1,240 @@
+"""Licences, line rules, personal data, token counts and languages against brute force."""
+
+import collections
+import hashlib
+import random
+import re
+
+import pytest
+
+from tests.llm.conftest import prose
+from townsquare.llm import language_id, licenses, line_rules, private_data, token_counts
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def by_text(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+# --- licences -----------------------------------------------------------------------------------
+
+
+def brute_base(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+    places, labels = [], set()
+    for label, phrase in licenses.BASE.items():
+        look = phrase.split()
+        for k in range(len(words)):
+            if words[k : k + len(look)] == look:
+                places.append(k)
+                labels.add(label)
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_licence_base_equals_brute_force(spark, docs, corpus, stored):
+    got = licenses.scan(docs, stored).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+    assert by_text(got.collect()) == by_text([(i, *brute_base(t)) for i, t, _, _ in corpus])
+
+
+def test_licence_labels(spark, stored):
+    texts = {
+        1: "x y This work is licensed under the GNU General Public License, version 3. z",
+        2: "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated"
+           " documentation files",
+        3: "the license of the public is general and granted free documentation copy person",
+        4: "All rights reserved. CC BY! all-rights-reserved",
+        5: "prose without any of it",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(docs, stored).collect()}
+    assert got[1]["labels"] == "gnu-gpl,gpl" and got[1]["score"] == 1.0
+    assert got[2]["labels"] == "mit" and 0.9 < got[2]["score"] <= 1.0 and got[2]["base_labels"] == ""
+    assert got[3]["labels"] == "" and got[3]["score"] == 0.0
+    assert (got[4]["labels"], got[4]["n_base"], got[4]["first_word"], got[4]["last_word"]) == ("cc-by,reserved", 3, 0, 5)
+    assert got[5]["labels"] == ""
+
+
+# --- line rules ---------------------------------------------------------------------------------
+
+
+def brute_rules(text):
+    text = text or ""
+    words = WORDS.findall(text)
+    seen, repeated = set(), 0
+    for line in text.split("\n"):
+        if WORDS.search(line):
+            repeated += line in seen
+            seen.add(line)
+    found = collections.Counter(zip(words, words[1:], words[2:], strict=False))
+    inside = set()
+    for k in range(len(words) - 2):
+        if found[tuple(words[k : k + 3])] > 1:
+            inside |= {k, k + 1, k + 2}
+    failed = len(words) < 50 or 100 * len(inside) > 50 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), repeated, len(inside), failed
+
+
+def test_line_rule_measures_equal_brute_force(docs, corpus, stored):
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    got = line_rules.judge(docs, stored).select(*columns).collect()
+    assert by_text(got) == by_text([(i, *brute_rules(t)) for i, t, _, _ in corpus])
+
+
+def test_boilerplate_goes_and_copies_stay(spark, stored):
+    rng = random.Random(3)
+    boiler = "subscribe to our letter and share 5 times"
+    copied = "\n".join(prose(rng, 12, 5000) for _ in range(10))
+    rows = []
+    for k in range(60):
+        lines = [prose(rng, 12, 5000) for _ in range(10)]
+        lines.insert(rng.randrange(10), boiler.replace("5", str(k)).upper())
+        rows.append((k, "\n".join(lines), "a"))
+    # Copies among each other: their lines have the same neighbours everywhere.
+    rows += [(100 + k, copied, "a") for k in range(40)]
+    # Depleted: nearly all of it is boilerplate of the host.
+    rows.append((200, "\n".join([boiler] * 9 + [prose(rng, 20, 5000)]), "a"))
+    rows.append((201, "\n".join([boiler] * 9 + [prose(rng, 20, 5000)]), "b"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", line_rules.F.lit(1))
+    got = {r["doc_id"]: r for r in line_rules.judge(docs, stored).collect()}
+    assert all(got[k]["removed_words"] == 8 and got[k]["kept"] for k in range(60))
+    assert all(got[100 + k]["removed_words"] == 0 and got[100 + k]["kept"] for k in range(40))
+    assert got[200]["removed_words"] == 72 and got[200]["depleted"] and not got[200]["kept"]
+    assert got[201]["removed_words"] == 0
+    cleaned = {r["doc_id"]: r for r in line_rules.clean(docs, stored).collect()}
+    assert 200 not in cleaned and cleaned[100]["text"] == copied and cleaned[100]["n_chars"] == 1
+    assert "SUBSCRIBE" not in cleaned[5]["text"] and cleaned[5]["n_chars"] == len(cleaned[5]["text"])
+    assert cleaned[5]["text"].count("\n") == 9
+
+
+# --- personal data ------------------------------------------------------------------------------
+
+PATTERNS = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+
+
+def brute_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in pattern.finditer(text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            ok = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in m.group().split(".")),
+                "card": 13 <= len(digits) <= 19 and private_data.luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if ok:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def odd_strings(n):
+    rng = random.Random(5)
+    pieces = ["a@b.c", "@", "+", "1", "42", ".", "-", " ", "(", ")", "4111 1111 1111 1111", "+1 (555) 010-9999", "x", "é",
+              "256.1.1.1", "1.2.3.4", "..", "a.b@c-d.e.f", "@@", "00000000", "\n", "++", "4111111111111111"]
+    return ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14))) for _ in range(n)]
+
+
+def test_base_spans_equal_the_patterns():
+    for text in odd_strings(4000):
+        spans = [(private_data.KINDS[k], a, b) for k, a, b in private_data.spans_of(text)]
+        assert [s for s in spans if s[0] in PATTERNS] == brute_spans(text), text
+
+
+def test_personal_data_rows(docs, corpus):
+    got = private_data.scan(docs).select("doc_id", "n_email", "base_sha256").collect()
+    want = []
+    for i, t, _, _ in corpus:
+        spans = brute_spans(t)
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        want.append((i, sum(s[0] == "email" for s in spans), hashlib.sha256(joined.encode()).hexdigest()))
+    assert by_text(got) == by_text(want)
+
+
+def test_masking(spark):
+    text = 'é mail a.b@c.org, see https://x.org/p?q=1. token = "abcdef0123456789" IBAN: DE89 3704 0044 0532 0130 00 end'
+    docs = spark.createDataFrame([(1, text, 3), (2, None, 3), (3, "", 0)], "doc_id long, text string, n_chars int")
+    got = {r["doc_id"]: r for r in private_data.redact(docs).collect()}
+    assert got[1]["text"] == 'é mail [EMAIL], see [URL]. token = "[SECRET]" IBAN: [IBAN] end'
+    assert got[1]["n_chars"] == len(got[1]["text"]) and got[2]["text"] is None and got[3]["text"] == ""
+
+
+def test_long_texts_are_linear():
+    for text in ("1" * 200_000, "a@" * 100_000, "1.2." * 50_000, "+1 " * 60_000, "a." * 100_000 + "@"):
+        private_data.spans_of(text)
+
+
+# --- token counts -------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return token_counts.Counter(token_counts.TOKENIZER)
+
+
+def test_counts_equal_the_library(docs, corpus, counter):
+    got = token_counts.count(docs).collect()
+    want = []
+    for i, t, _, _ in corpus:
+        n = len(counter.tokenizer.encode(t or "", add_special_tokens=False))
+        want.append((i, len((t or "").encode()), n, n > 2048))
+    assert by_text(got) == by_text(want)
+
+
+@pytest.mark.parametrize("text", [
+    " ".join(["it's", "don't", "<|endoftext|>", "é́", "１２", "a1b2", " ", "...", "'s", "naïve"] * 60),
+    "x" * 3000, "no space " + "y1" * 900 + " and more", "<|startoftext|>" * 200, "a  b\n\nc\t" * 300, "é" * 700,
+])
+def test_splices_equal_whole_encodings(counter, text):
+    whole = len(counter.tokenizer.encode(text, add_special_tokens=False))
+    for chunk, overlap in ((64, 8), (100, 16), (333, 32), (1000, 1)):
+        assert counter.of_huge(text, chunk, overlap) == whole
+    assert counter.of_texts([text]) == [whole]
+
+
+# --- languages ----------------------------------------------------------------------------------
+
+
+def test_languages_are_learned_and_told_apart(spark):
+    rng = random.Random(8)
+    parts = {"xx": ["ba", "lo", "mi"], "yy": ["schr", "ungt", "keit"], "zz": ["éa", "oû", "çi"]}
+    rows = []
+    for k in range(300):
+        lang = rng.choice(sorted(parts))
+        rows.append((k, " ".join("".join(rng.choice(parts[lang]) for _ in range(3)) for _ in range(20)), lang))
+    rows += [(1000, None, "xx"), (1001, "123 --", "yy"), (1002, "", None), (None, "balomi balo", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = {r["doc_id"]: r for r in language_id.identify(docs).collect()}
+    held = [r for r in rows[:300] if got[r[0]]["held_out"]]
+    assert held and all(got[i]["lang_pred"] == lang for i, _, lang in held)
+    assert all(got[k]["lang_pred"] == "und" and got[k]["score"] == 0 for k in (1000, 1001, 1002))
+    assert got[None]["lang_pred"] == "xx" and not got[None]["held_out"] and 0 < got[None]["score"] <= 1
+
+
+def test_held_out_labels_are_not_read(spark):
+    import zlib
+
+    rows = [(k, "balo mi" if k % 2 else "keit ung", "xx" if k % 2 else "yy") for k in range(200)]
+    spoiled = [(i, t, "qq" if zlib.crc32(str(i).encode()) % 4 == 2 else g) for i, t, g in rows]
+    schema = "doc_id long, text string, lang string"
+    first, second = (sorted(map(tuple, language_id.identify(spark.createDataFrame(x, schema)).collect())) for x in (rows, spoiled))
+    assert first == second
+
+
+# --- empty tables -------------------------------------------------------------------------------
+
+
+def test_empty_tables(nothing, stored):
+    assert licenses.scan(nothing, stored).count() == 0
+    assert line_rules.judge(nothing, stored).count() == 0
+    assert line_rules.clean(nothing, stored).columns == nothing.columns
+    assert private_data.scan(nothing).count() == 0
+    assert private_data.redact(nothing).count() == 0
+    assert token_counts.count(nothing).count() == 0
+    assert language_id.identify(nothing).count() == 0

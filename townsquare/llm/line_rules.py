@@ -40,7 +40,7 @@ LEFT_SHARE = 0.5
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 
-_DIGITS = re.compile(r"[0-9]+")
+_DIGITS = re.compile(r"\b[0-9]+\b")
 _LINES = "array<struct<line:bigint,context:bigint,words:int>>"
 _SCHEMA = (
     "doc_id bigint, source string, text_key bigint, n_words bigint, word_chars bigint, n_symbols bigint,"

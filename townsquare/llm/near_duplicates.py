@@ -32,9 +32,9 @@ from townsquare.llm.common import (
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-TREES = 24
-DEPTH = 6
-TARGET_RECALL = 0.9999
+TREES = 32
+DEPTH = 5
+TARGET_RECALL = 0.99999
 #: Texts a verification unit compares; two blocks make one unit of a larger bucket.
 BLOCK = 128
 _SEED = 20240501

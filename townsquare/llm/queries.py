@@ -8,10 +8,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from townsquare.llm import decontamination, line_rules, mixture, near_duplicates, private_data
+from townsquare.llm import (
+    decontamination,
+    language_id,
+    language_model,
+    licenses,
+    line_rules,
+    mixture,
+    near_duplicates,
+    private_data,
+    repeated_text,
+    token_counts,
+)
 from townsquare.llm.common import Stored, table
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "documents"))
+
+
+def op2_repeated_text(spark: SparkSession, folder: str) -> DataFrame:
+    with Stored(spark) as stored:
+        return repeated_text.remove(table(spark, folder, "documents"), stored)
+
+
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    with Stored(spark) as stored:
+        return licenses.scan(table(spark, folder, "documents"), stored)
+
+
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     with Stored(spark) as stored:
         return near_duplicates.join(table(spark, folder, "documents"), stored).select(
@@ -43,12 +68,26 @@ def op8_line_rules(spark: SparkSession, folder: str) -> DataFrame:
         )
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count(table(spark, folder, "documents"))
+
+
+def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    with Stored(spark) as stored:
+        return language_model.score(table(spark, folder, "documents"), stored)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op2_repeated_text": op2_repeated_text,
+    "op3_license_scan": op3_license_scan,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_source_mixture": op5_source_mixture,
     "op6_personal_data": op6_personal_data,
     "op7_benchmark_leaks": op7_benchmark_leaks,
     "op8_line_rules": op8_line_rules,
+    "op9_token_counts": op9_token_counts,
+    "op10_language_model": op10_language_model,
     "pipeline": corpus_pipeline.run,
 }
 
