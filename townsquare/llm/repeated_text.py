@@ -29,6 +29,8 @@ LENGTH = 200
 BLOCK = 64
 #: Extents of one block that a task compares; beyond, their windows are dealt by offset.
 GROUP_EXTENTS = 20_000
+#: Extents of many blocks that one call compares on average.
+BUCKET_EXTENTS = 4_000
 #: Bytes of a text that are sampled at a time.
 PIECE = 1 << 17
 _CODES = np.random.default_rng(20240503).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -139,32 +141,36 @@ def _window_codes(extent: bytes) -> np.ndarray:
     return Hasher(np.frombuffer(extent, dtype=np.uint8)).blocks(LENGTH)
 
 
-def _runs(marks: np.ndarray) -> list[list[int]]:
-    """Marked windows as [first, last + 1] pairs."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], marks.astype(np.int8), [0]])))
-    return edges.reshape(-1, 2).tolist()
-
-
 _ASKED = "text_id string, k int, block bigint, many boolean, extent binary, offset int"
 _ANSWER = "text_id string, k int, first int, last int"
 
 
 def _compare(frame: pd.DataFrame) -> pd.DataFrame:
-    """Repeated windows among the extents of one block."""
+    """Repeated windows among the extents of each block; one call takes many blocks."""
     codes = [_window_codes(x) for x in frame["extent"]]
-    sizes = [len(c) for c in codes]
-    offsets = np.repeat(frame["offset"].to_numpy(dtype=np.int64), sizes) - np.concatenate([np.arange(n) for n in sizes])
-    every = np.concatenate(codes) ^ _stirred(offsets.astype(np.int64).view(U64))
-    _, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
-    twice = np.split(counts[inverse] > 1, np.cumsum(sizes)[:-1])
-    rows = [
-        (t, k, a, b)
-        for t, k, many, marks in zip(frame["text_id"], frame["k"], frame["many"], twice, strict=True)
-        if not many
-        for a, b in _runs(marks)
-    ]
-    out = pd.DataFrame(rows, columns=["text_id", "k", "first", "last"])
-    return out.astype({"k": "int32", "first": "int32", "last": "int32"})
+    sizes = np.array([len(c) for c in codes])
+    every = np.concatenate(codes)
+    inside = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    offsets = np.repeat(frame["offset"].to_numpy(dtype=np.int64), sizes) - inside
+    blocks = np.repeat(frame["block"].to_numpy(dtype=np.int64), sizes)
+    every ^= _stirred(offsets.view(U64) + blocks.view(U64) * U64(0x9E3779B97F4A7C15))
+    order = np.argsort(every)
+    same = np.zeros(len(every) + 1, dtype=bool)
+    same[1:-1] = every[order[1:]] == every[order[:-1]]
+    marks = np.zeros(len(every) + len(sizes) + 1, dtype=np.int8)
+    # A zero before each extent parts its windows from the extent's before it.
+    own = np.repeat(np.arange(len(sizes)), sizes) + np.arange(len(every)) + 1
+    twice = np.empty(len(every), dtype=bool)
+    twice[order] = same[1:] | same[:-1]
+    marks[own] = twice & ~np.repeat(frame["many"].to_numpy(dtype=bool), sizes)
+    edges = np.flatnonzero(np.diff(marks)).reshape(-1, 2)
+    begins = np.cumsum(sizes) - sizes + np.arange(len(sizes))
+    which = np.searchsorted(begins, edges[:, 0], side="right") - 1
+    first = edges - begins[which][:, None]
+    return pd.DataFrame({
+        "text_id": frame["text_id"].to_numpy()[which], "k": frame["k"].to_numpy()[which].astype("int32"),
+        "first": first[:, 0].astype("int32"), "last": first[:, 1].astype("int32"),
+    })
 
 
 def _removed(n: int, runs: list[tuple[int, int]]) -> list[list[int]]:
@@ -236,8 +242,10 @@ def remove(docs: DataFrame, stored: Stored, group_extents: int = GROUP_EXTENTS)
         return {n: pa.array(c, kind) for n, c, kind in zip(names, columns, kinds, strict=True)}
 
     extents = stored.put(map_rows(texts.where("asks is not null"), ["text_id", "text", "asks", "firsts"], ask, _ASKED))
+    buckets = extents.count() // BUCKET_EXTENTS + 1
     crowded = extents.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > group_extents).select("block")
-    few = extents.join(crowded, "block", "left_anti").groupBy("block").applyInPandas(_compare, _ANSWER)
+    bucket = F.pmod(F.xxhash64("block"), F.lit(buckets))
+    few = extents.join(crowded, "block", "left_anti").groupBy(bucket).applyInPandas(_compare, _ANSWER)
     parts = few.unionByName(_dealt(extents.join(crowded, "block", "left_semi")))
     parts = parts.groupBy("text_id").agg(F.collect_list(F.struct("k", "first", "last")).alias("parts"))
     joined = texts.drop("asks").join(parts, "text_id", "left")
