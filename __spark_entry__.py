@@ -24,7 +24,7 @@ from townsquare.operators import (
     topics,
 )
 from townsquare.plans import jobs, monitor
-from townsquare.runtime import freeze, shared_folder
+from townsquare.runtime import freeze, own_path, scratch_scope, shared_folder
 from townsquare.sources import readers, shaping, writers
 from townsquare.sources.tables import posts_from_tables, spread
 from townsquare.streaming import daily as stream
@@ -79,13 +79,21 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
     return sentiment.with_sentiment(df)
 
 
-def polar(spark: SparkSession, folder: str) -> DataFrame:
-    """Posts with a cheap stand-in score in [-1, 1] for roll-ups that do not read the text."""
-    score = (F.coalesce("comments", F.col("retweet_count") % 100) - 50) / 50
-    labelled = posts(spark, folder).withColumn("sentiment_compound", score)
-    return labelled.withColumns(
-        {"sentiment_polarity": score, "sentiment_label": sentiment.label_inclusive(score, 0.5)}
-    )
+SCORED = (
+    "id", "created_at", "data_source", "subreddit", "user_id", "user_followers_count", "twitter_engagement",
+    "reddit_engagement", "total_engagement", "word_count", "sentiment_compound", "sentiment_polarity", "sentiment_label",
+)
+
+
+def scored(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    """Posts with the sentiment and the word count of their texts, as one narrow stored table."""
+    return freeze(texts(spark, folder).select(*SCORED, *more))
+
+
+def measured(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The named columns of posts, among them the word count but no sentiment, as a stored table."""
+    df = posts(spark, folder, text=True)
+    return freeze(df.withColumn("word_count", text.word_count(text.clean_text(F.col("text")))).select(*columns))
 
 
 def raw_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -115,7 +123,7 @@ def raw_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def scratch(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/townsquare/{uuid.uuid4().hex}"
+    return own_path(spark, f"{shared_folder(spark)}/townsquare/{uuid.uuid4().hex}")
 
 
 # --- sources and sinks (A) ----------------------------------------------------------------------
@@ -124,7 +132,8 @@ def scratch(spark: SparkSession) -> str:
 def csv_roundtrip(spark, folder):  # A1, A7
     df = documents(spark, folder).select("doc_id", "text", "lang", "n_chars")
     path, schema = writers.write_csv(df, scratch(spark)), df.schema
-    return readers.read_csv(spark, path, schema).withColumn("chars", F.length("text")).drop("text")
+    # The texts hold line breaks, so their quoted fields span lines.
+    return readers.read_csv(spark, path, schema, multi_line=True).withColumn("chars", F.length("text")).drop("text")
 
 
 def raw_folder(spark, folder):  # A3, A4: rows per dataset of a raw folder; the missing location is skipped
@@ -134,7 +143,7 @@ def raw_folder(spark, folder):  # A3, A4: rows per dataset of a raw folder; the
     writers.write_parquet(frames["reddit_kaggle"], f"{base}/reddit.parquet")
     found, path = readers.first_available(spark, [f"{base}/missing.csv", f"{base}/reddit.parquet"])
     out = found.agg(F.count(F.lit(1)).alias("count")).select(F.lit("first:reddit.parquet").alias("dataset"), "count")
-    for name, df in readers.read_raw_folder(spark, base).items():
+    for name, df in readers.read_raw_folder(spark, base, multi_line=True).items():
         out = out.union(df.agg(F.count(F.lit(1)).alias("count")).select(F.lit(name), "count"))
     return out
 
@@ -154,7 +163,7 @@ def run_folders(spark, folder):  # A8, A9, A10: two runs stored, the newest one
 
 
 def seeded_sample(spark, folder):  # A5
-    return readers.seeded_sample(posts(spark, folder).select("id", "data_source"), n=3000)
+    return readers.seeded_sample(posts(spark, folder).select("id", "data_source"), n=3000, key="id")
 
 
 def combined_sources(spark, folder):  # A6, A11-A14, C7
@@ -353,7 +362,7 @@ def sentiment_distribution(spark, folder):  # E1
 
 
 def platform_summary(spark, folder):  # E2
-    return rollups.platform_summary(polar(spark, folder))
+    return rollups.platform_summary(scored(spark, folder))
 
 
 def domain_engagement(spark, folder):  # E3
@@ -362,16 +371,16 @@ def domain_engagement(spark, folder):  # E3
 
 
 def daily_metrics(spark, folder):  # E4
-    return rounded(rollups.daily_metrics(polar(spark, folder)), "sentiment_polarity")
+    return rounded(rollups.daily_metrics(scored(spark, folder)), "sentiment_polarity")
 
 
-def daily_gaps(spark, folder):  # E4, E8 over a series with missing days
-    sparse = posts(spark, folder).filter(F.dayofmonth("created_at") % 4 != 2)
-    return rollups.daily_volume(sparse)
+def daily_gaps(spark, folder):  # E4, E8: every fourth day moved 90 days on, so that days are missing
+    moved = F.when(F.dayofmonth("created_at") % 4 == 2, F.col("created_at") + F.expr("interval 90 days"))
+    return rollups.daily_volume(posts(spark, folder).withColumn("created_at", F.coalesce(moved, "created_at")))
 
 
 def daily_describe(spark, folder):  # E5
-    df = rollups.daily_describe(rollups.daily_metrics(polar(spark, folder)))
+    df = rollups.daily_describe(rollups.daily_metrics(scored(spark, folder)))
     return rounded(df, "mean", "std", "min", "q25", "q50", "q75", "max", digits=4)
 
 
@@ -380,8 +389,7 @@ def daily_volume_by_source(spark, folder):  # E6
 
 
 def daily_sentiment(spark, folder):  # E7
-    df = polar(spark, folder).filter(F.dayofmonth("created_at") % 5 != 3)
-    return rounded(rollups.daily_sentiment(df), "mean_sentiment")
+    return rounded(rollups.daily_sentiment(scored(spark, folder)), "mean_sentiment")
 
 
 def daily_volume(spark, folder):  # E8
@@ -397,7 +405,7 @@ def top_categories(spark, folder):  # E10
 
 
 def top_posts(spark, folder):  # E11
-    return rollups.top_posts(polar(spark, folder))
+    return rollups.top_posts(scored(spark, folder, "text_cleaned"))
 
 
 def histogram(spark, folder):  # E12
@@ -429,11 +437,11 @@ def date_extent(spark, folder):  # E15
 
 
 def sentiment_points(spark, folder):  # E16
-    return rounded(rollups.sentiment_points(polar(spark, folder)), "sentiment_compound")
+    return rounded(rollups.sentiment_points(scored(spark, folder)), "sentiment_compound")
 
 
 def length_points(spark, folder):  # E16
-    return rollups.length_points(freeze(texts(spark, folder).drop("text", "text_cleaned")))
+    return rounded(rollups.length_points(scored(spark, folder), key="id"), "sentiment_compound")
 
 
 # --- statistics (F) -----------------------------------------------------------------------------
@@ -450,8 +458,9 @@ def normality_moments(spark, folder):  # F2
 
 
 def shapiro(spark, folder):  # the daily series is short enough for Shapiro-Wilk
-    daily = rollups.daily_metrics(polar(spark, folder))
-    report = normality.normality_report(daily, ["sentiment_polarity", "total_engagement", "reddit_engagement"])
+    daily = rollups.daily_metrics(scored(spark, folder))
+    names = ["sentiment_polarity", "total_engagement", "reddit_engagement", "word_count"]
+    report = normality.normality_report(daily, names)
     return rounded(report.select("name", "n", "test", "statistic"), "statistic")
 
 
@@ -475,14 +484,18 @@ def kendall(spark, folder):  # F6
 
 
 def adaptive_correlation(spark, folder):  # F7, F8
-    df = freeze(texts(spark, folder).fillna(0.0, ["user_followers_count"]).drop("text", "text_cleaned"))
-    report = correlation.compute_correlations(df)
+    report = correlation.compute_correlations(_correlated(spark, folder))
     return rounded(report.select("name", "n", "correlation", "method_used"), "correlation")
 
 
+def _correlated(spark, folder):
+    columns = ("data_source", "user_followers_count", "word_count", "twitter_engagement", "reddit_engagement", "total_engagement")
+    return measured(spark, folder, *columns).fillna(0.0, ["user_followers_count"])
+
+
 def sentiment_correlations(spark, folder):  # F8, third family
     report = correlation.compute_correlations(
-        polar(spark, folder),
+        scored(spark, folder),
         volume_vs_engagement=False,
         influencer_activity_vs_virality=False,
         sentiment_vs_commercial_metrics=True,
@@ -504,9 +517,9 @@ def kruskal(spark, folder):  # F11
 
 
 def sentiment_comparison(spark, folder):  # F12
-    rows = [group_tests.compare_sentiments(polar(spark, folder))]
+    rows = [group_tests.compare_sentiments(scored(spark, folder))]
     report = spark.createDataFrame(rows, group_tests.REPORT_SCHEMA)
-    return rounded(report.select("name", "statistic", "test_used"), "statistic", digits=4)
+    return rounded(report.select("name", "statistic", "p_value", "test_used", "significant"), "statistic", "p_value", digits=4)
 
 
 def welch(spark, folder):  # F13
@@ -527,23 +540,26 @@ def platform_comparison(spark, folder):  # F15
 
 
 def adf(spark, folder):  # F16
-    return timeseries.stationarity(rollups.daily_metrics(polar(spark, folder)))
+    return rounded(
+        timeseries.stationarity(rollups.daily_metrics(scored(spark, folder)), max_lag=0).select("column", "test_statistic", "lags", "n"),
+        "test_statistic",
+    )
 
 
 def seasonal(spark, folder):  # F17
-    daily = rollups.daily_metrics(polar(spark, folder)).select("day", "total_engagement")
+    daily = rollups.daily_metrics(scored(spark, folder)).select("day", "total_engagement")
     parts = timeseries.decompose(daily, "total_engagement")
     return rounded(parts, "trend", "seasonal", "resid", digits=4)
 
 
 def seasonal_multiplicative(spark, folder):  # F17
-    daily = rollups.daily_metrics(polar(spark, folder)).select("day", "total_engagement")
+    daily = rollups.daily_metrics(scored(spark, folder)).select("day", "total_engagement")
     parts = timeseries.decompose(daily, "total_engagement", "multiplicative")
     return rounded(parts, "trend", "seasonal", "resid")
 
 
 def reddit_volume(spark, folder):  # F18
-    report = correlation.reddit_volume_correlation(freeze(texts(spark, folder).drop("text", "text_cleaned")))
+    report = correlation.reddit_volume_correlation(measured(spark, folder, "data_source", "word_count", "reddit_engagement"))
     return rounded(report.select("name", "n", "correlation", "method_used"), "correlation")
 
 
@@ -555,7 +571,7 @@ def cross_platform(spark, folder):  # F19
 
 
 def findings(spark, folder):  # F20
-    df = freeze(texts(spark, folder))
+    df = scored(spark, folder, "text_cleaned")
     summary = jobs.analysis_summary(
         correlation.compute_correlations(df),
         group_tests.statistical_tests(features.with_engagement_rate(df)),
@@ -571,13 +587,17 @@ def _topic_input(spark, folder):
     return documents(spark, folder).select("doc_id", text.token_text(F.col("text")).alias("text_tokens_clean"))
 
 
+def vocabulary(spark, folder):  # G1
+    return topics.vocabulary(_topic_input(spark, folder), "text_tokens_clean")
+
+
 def topic_terms(spark, folder):  # G1-G3
-    return topics.describe_topics(topics.fit_topics(_topic_input(spark, folder), k=3, rounds=5)).select("topic", "label")
+    return topics.describe_topics(topics.fit_topics(_topic_input(spark, folder), k=3)).select("topic", "label")
 
 
 def dominant_topics(spark, folder):  # G4
     df = _topic_input(spark, folder)
-    return topics.dominant_topic(df, topics.fit_topics(df, k=3, rounds=5)).select("doc_id", "dominant_topic")
+    return topics.dominant_topic(df, topics.fit_topics(df, k=3)).select("doc_id", "dominant_topic")
 
 
 # --- graphs (H) ---------------------------------------------------------------------------------
@@ -634,7 +654,7 @@ def influencers(spark, folder):  # H7
 
 
 def sentiment_alerts(spark, folder):  # K1
-    return rounded(monitor.sentiment_alerts(polar(spark, folder), threshold=0.0), "mean_sentiment")
+    return rounded(monitor.sentiment_alerts(scored(spark, folder), threshold=0.0), "mean_sentiment")
 
 
 def volume_alerts(spark, folder):  # K2, at one sigma
@@ -642,8 +662,8 @@ def volume_alerts(spark, folder):  # K2, at one sigma
 
 
 def weak_correlations(spark, folder):  # K3
-    df = freeze(texts(spark, folder).fillna(0.0, ["user_followers_count"]).drop("text", "text_cleaned"))
-    return rounded(monitor.weak_correlations(correlation.compute_correlations(df)), "correlation")
+    report = correlation.compute_correlations(_correlated(spark, folder))
+    return rounded(monitor.weak_correlations(report), "correlation")
 
 
 def control_limits(spark, folder):  # K4
@@ -689,16 +709,17 @@ def transform_job(spark, folder):  # L1
 
 def nlp_job(spark, folder):  # L2
     df = documents(spark, folder).select(F.col("doc_id").alias("id"), "text")
-    result = jobs.enrich_text(df, DOMAINS, topics=False)
+    result = jobs.enrich_text(df, DOMAINS)
     return result.posts.select(
         "id", "text_tokens_clean", "sentiment_label", F.array_join("tech_keywords", "|").alias("tech_keywords")
     )
 
 
 def full_job(spark, folder):  # L3, L4: every section's row count
-    params = jobs.Params(domains=DOMAINS, topics=False, decomposition="additive")
-    sections = jobs.run_job(spark, raw_frames(spark, folder), params)
-    rows = [(name, df.count()) for name, df in sections.items()]
+    params = jobs.Params(domains=DOMAINS, decomposition="additive", as_of=AS_OF)
+    with scratch_scope():
+        sections = jobs.run_job(spark, raw_frames(spark, folder), params)
+        rows = [(name, df.count()) for name, df in sections.items()]
     return spark.createDataFrame(rows, "section string, rows long")
 
 
@@ -768,6 +789,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     reddit_volume,
     cross_platform,
     findings,
+    vocabulary,
     topic_terms,
     dominant_topics,
     community_edges,

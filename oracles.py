@@ -39,9 +39,6 @@ posts as (
   left join events p on p.event_id = e.event_id - 1
 ), engaged as (
   select *, twitter_engagement + reddit_engagement as total_engagement from posts
-), polar as (
-  select *, (coalesce(comments, retweet_count - 100 * floor(retweet_count / 100)) - 50) / 50 as polarity
-  from engaged
 )"""
 
 
@@ -123,7 +120,7 @@ texts as (
   select e.*, src.cleaned as text_cleaned, {words_in('src.cleaned')} as word_count, compound,
          {LABEL.format('compound')} as sentiment_label
   from engaged e join src using (id) join scores using (id)
-)"""
+), polar as (select *, compound as polarity from texts)"""
 
 TAGS = "array_to_string(list_filter([{}], lambda w: w is not null), '|')".format(
     ", ".join("case when contains({0}, '" + d.lower() + "') then '" + d + "' end" for d in DOMAINS)
@@ -137,13 +134,13 @@ days as (select cast(unnest(generate_series((select min(day) from daily)::timest
          interval 1 day)) as date) as day)"""
 
 
-DAILY_METRICS = calendar(
+DAILY_METRICS = POST_TEXTS + ", " + calendar(
     "select day, avg(polarity) as sentiment_polarity, sum(total_engagement) as total_engagement, "
-    "sum(reddit_engagement) as reddit_engagement from polar group by day"
+    "sum(reddit_engagement) as reddit_engagement, cast(sum(word_count) as bigint) as word_count from polar group by day"
 ) + """,
 metrics as (
   select days.day, sentiment_polarity, coalesce(total_engagement, 0) as total_engagement,
-         coalesce(reddit_engagement, 0) as reddit_engagement
+         coalesce(reddit_engagement, 0) as reddit_engagement, coalesce(word_count, 0) as word_count
   from days left join daily using (day) where sentiment_polarity is not null
 )"""
 
@@ -163,14 +160,14 @@ select '{name}' as name, count(*) as n, round(corr(rx, ry), 6) + 0.0 as correlat
   from (select {x} as x, {y} as y from {table} where {where} and {x} is not null and {y} is not null))"""
 
 
-def f_ratio(source: str) -> str:
-    """F of ``source`` rows (g, v)."""
+def f_ratio(source: str, tag: str = "") -> str:
+    """F of ``source`` rows (g, v), in a CTE named f with the tag."""
     return f"""
-grouped as (select g, count(*) as n, avg(v) as m, var_pop(v) as s from ({source}) group by g),
-total as (select avg(v) as m from ({source})),
-f as (select count(*) as k, cast(sum(n) as bigint) as n,
-       sum(n * (grouped.m - total.m) ** 2) / (count(*) - 1) / (sum(n * s) / (sum(n) - count(*))) as statistic
-      from grouped, total)"""
+grouped{tag} as (select g, count(*) as n, avg(v) as m, var_pop(v) as s from ({source}) group by g),
+total{tag} as (select avg(v) as m from ({source})),
+f{tag} as (select count(*) as k, cast(sum(n) as bigint) as n,
+       sum(n * (g.m - t.m) ** 2) / (count(*) - 1) / (sum(n * s) / (sum(n) - count(*))) as statistic
+      from grouped{tag} g, total{tag} t)"""
 
 
 def kruskal(source: str) -> str:
@@ -310,8 +307,6 @@ from (select place, v, mean, case when place = n then a1 when place = n - 1 then
                                                  count(*) over () as n, avg({column}) over () as mean from metrics)))))))"""
 
 
-SENTIMENT_POLAR = "case when polarity >= 0.5 then 'positive' when polarity <= -0.5 then 'negative' else 'neutral' end"
-
 ADAPTIVE = (
     spearman("volume_vs_engagement", "word_count", "reddit_engagement", "texts")
     + " union all "
@@ -429,7 +424,8 @@ union all select 'date_range', 'created_at', count(*)::double from posts where c
         "select data_source, round(avg(polarity), 4) + 0.0 as sentiment_polarity_mean, round(stddev_samp(polarity), 4) + 0.0 "
         "as sentiment_polarity_std, count(polarity) as sentiment_polarity_count, round(avg(total_engagement), 4) + 0.0 as "
         "total_engagement_mean, round(sum(total_engagement), 4) + 0.0 as total_engagement_sum, "
-        "round(median(total_engagement), 4) + 0.0 as total_engagement_median from polar group by data_source"
+        "round(median(total_engagement), 4) + 0.0 as total_engagement_median from polar group by data_source",
+        POST_TEXTS,
     ),
     "domain_engagement": on_posts(
         "select domain, count(*) as count, round(avg(total_engagement), 4) + 0.0 as mean_engagement, "
@@ -439,26 +435,28 @@ union all select 'date_range', 'created_at', count(*)::double from posts where c
         POST_TEXTS,
     ),
     "daily_metrics": on_posts(
-        "select day, round(sentiment_polarity, 6) + 0.0 as sentiment_polarity, total_engagement, reddit_engagement from metrics",
+        "select day, round(sentiment_polarity, 6) + 0.0 as sentiment_polarity, total_engagement, reddit_engagement, word_count from metrics",
         DAILY_METRICS,
     ),
     "daily_gaps": on_posts(
         "select days.day, coalesce(count, 0) as count from days left join daily using (day)",
-        calendar("select day, count(*) as count from posts where day(created_at) % 4 <> 2 group by day"),
+        calendar(
+            "select day + case when day(created_at) % 4 = 2 then 90 else 0 end as day, count(*) as count from posts group by 1"
+        ),
     ),
     "daily_describe": on_posts(
         " union all ".join(
             f"select '{c}' as \"column\", count({c}) as count, round(avg({c}), 4) + 0.0 as mean, round(stddev_samp({c}), 4) + 0.0 as std, "
             f"round(min({c}), 4) + 0.0 as min, round(quantile_cont({c}, 0.25), 4) + 0.0 as q25, round(quantile_cont({c}, 0.5), 4) + 0.0 "
             f"as q50, round(quantile_cont({c}, 0.75), 4) + 0.0 as q75, round(max({c}), 4) + 0.0 as max from metrics"
-            for c in ("sentiment_polarity", "total_engagement", "reddit_engagement")
+            for c in ("sentiment_polarity", "total_engagement", "reddit_engagement", "word_count")
         ),
         DAILY_METRICS,
     ),
     "daily_volume_by_source": on_posts("select day, data_source, count(*) as count from posts group by all"),
     "daily_sentiment": on_posts(
         "select days.day, round(m, 6) + 0.0 as mean_sentiment from days left join daily using (day)",
-        calendar("select day, avg(polarity) as m from polar where day(created_at) % 5 <> 3 group by day"),
+        POST_TEXTS + ", " + calendar("select day, avg(polarity) as m from polar group by day"),
     ),
     "daily_volume": on_posts(
         "select days.day, coalesce(count, 0) as count from days left join daily using (day)",
@@ -472,8 +470,9 @@ union all select 'date_range', 'created_at', count(*)::double from posts where c
         "select subreddit, count(*) as posts from posts group by subreddit order by posts desc, subreddit limit 10"
     ),
     "top_posts": on_posts(
-        f"select id, created_at, subreddit, total_engagement, {SENTIMENT_POLAR} as sentiment_label from polar "
-        "order by total_engagement desc, id limit 50"
+        "select id, created_at, subreddit, text_cleaned, total_engagement, sentiment_label from polar "
+        "order by total_engagement desc, id limit 50",
+        POST_TEXTS,
     ),
     "histogram": on_posts(
         "select cast(least(30, 1 + floor((total_engagement - lo) * 30 / (hi - lo))) as integer) as bin, count(*) as count "
@@ -497,8 +496,16 @@ union all select 'date_range', 'created_at', count(*)::double from posts where c
     "distinct_users": on_posts("select distinct user_id from posts"),
     "date_extent": on_posts("select min(day) as first_day, max(day) as last_day from posts"),
     "sentiment_points": on_posts(
-        "select id, data_source, round(polarity, 6) + 0.0 as sentiment_compound, total_engagement from polar"
+        "select id, data_source, round(polarity, 6) + 0.0 as sentiment_compound, total_engagement, "
+        "cast(word_count as integer) as word_count from polar",
+        POST_TEXTS,
+    ),
+    "length_points": on_posts(
+        "select id, data_source, cast(word_count as integer) as word_count, round(compound, 6) + 0.0 as sentiment_compound "
+        "from texts order by md5('42|' || id) limit 1000",
+        POST_TEXTS,
     ),
+    "seeded_sample": on_posts("select id, data_source from posts order by md5('42|' || id) limit 3000"),
     "normality_moments": on_posts("", K2),
     "normality_gate": on_posts(
         "select name, n, case when n < 5000 then 'shapiro' else 'normaltest' end as test, false as is_normal from ("
@@ -528,7 +535,8 @@ from (select sum(n) as n, sum(n) * (sum(n) - 1) / 2.0 as pairs, sum(n * (n - 1)
             spearman(f"{s}_vs_{e}", "polarity", e, "polar")
             for s in ("sentiment_compound", "sentiment_polarity")
             for e in ("twitter_engagement", "reddit_engagement", "total_engagement")
-        )
+        ),
+        POST_TEXTS,
     ),
     "levene": on_posts(
         "select k, n, round(statistic, 6) + 0.0 as statistic from f",
@@ -547,9 +555,22 @@ from (select sum(n) as n, sum(n) * (sum(n) - 1) / 2.0 as pairs, sum(n * (n - 1)
         kruskal(f"select subreddit as g, total_engagement as v from engaged where subreddit in {TYPES}"),
     ),
     "sentiment_comparison": on_posts(
+        # With three groups the tails of chi-square and F have closed forms.
         "select 'sentiment_engagement_comparison' as name, round(statistic, 4) + 0.0 as statistic, "
-        "'Kruskal-Wallis (Heteroscedastic)' as test_used from h",
-        kruskal(f"select {SENTIMENT_POLAR} as g, total_engagement as v from polar"),
+        "round(p, 4) + 0.0 as p_value, test_used, p < 0.05 as significant from ("
+        "select 'Kruskal-Wallis (Heteroscedastic)' as test_used, statistic, exp(-statistic / 2) as p, true as unequal from h "
+        "union all select 'ANOVA (Fisher)', statistic, pow(1 + 2 * statistic / (n - k), -(n - k) / 2.0), false from f_anova) "
+        "where unequal = (select pow(1 + 2 * statistic / (n - k), -(n - k) / 2.0) < 0.05 from f_levene)",
+        POST_TEXTS
+        + ", "
+        + kruskal("select sentiment_label as g, total_engagement as v from polar")
+        + ", medians as (select sentiment_label as g, median(total_engagement) as m from polar group by 1), "
+        + f_ratio("select sentiment_label as g, total_engagement as v from polar", "_anova")
+        + ", "
+        + f_ratio(
+            "select sentiment_label as g, abs(total_engagement - m) as v from polar join medians on medians.g = sentiment_label",
+            "_levene",
+        ),
     ),
     "welch": on_posts(
         """
@@ -568,6 +589,20 @@ from (select count(*) filter (t) as n1, count(*) filter (not t) as n2, avg(v) fi
         "from u",
         mann_whitney("select data_source as g, total_engagement as v from engaged"),
     ),
+    "adf": on_posts(
+        " union all ".join(
+            f"select '{c}' as \"column\", round(b / sqrt((syy - b * b * sxx) / (n - 2) / sxx), 6) + 0.0 as test_statistic, "
+            "0::integer as lags, n from (select regr_slope(d, y) as b, regr_sxx(d, y) as sxx, regr_syy(d, y) as syy, "
+            f"count(*) as n from (select {c} - lag({c}) over (order by day) as d, lag({c}) over (order by day) as y from metrics) "
+            "where d is not null)"
+            for c in ("sentiment_polarity", "total_engagement", "reddit_engagement", "word_count")
+        ),
+        DAILY_METRICS,
+    ),
+    "vocabulary": (
+        f"select term, count(*) as documents from (select unnest(list_distinct({token_list('text')})) as term from documents) "
+        "group by term having count(*) >= 2 and count(*) <= 0.95 * (select count(*) from documents)"
+    ),
     "seasonal": on_posts("", seasonal(False)),
     "seasonal_multiplicative": on_posts("", seasonal(True)),
     "reddit_volume": on_posts(
@@ -575,7 +610,7 @@ from (select count(*) filter (t) as n1, count(*) filter (not t) as n2, avg(v) fi
         POST_TEXTS,
     ),
     "shapiro": on_posts(
-        " union all ".join(shapiro(c) for c in ("sentiment_polarity", "total_engagement", "reddit_engagement")),
+        " union all ".join(shapiro(c) for c in ("sentiment_polarity", "total_engagement", "reddit_engagement", "word_count")),
         DAILY_METRICS,
     ),
     "cross_platform": on_posts(
@@ -615,7 +650,7 @@ from (select count(*) filter (t) as n1, count(*) filter (not t) as n2, avg(v) fi
     "sentiment_alerts": on_posts(
         "select day, round(m, 6) + 0.0 as mean_sentiment from (select days.day, m from days left join daily using (day) "
         "order by days.day desc limit 3) where m < 0.0",
-        calendar("select day, avg(polarity) as m from polar group by day"),
+        POST_TEXTS + ", " + calendar("select day, avg(polarity) as m from polar group by day"),
     ),
     "volume_alerts": on_posts(
         "select day, count, round(lim, 6) + 0.0 as \"limit\" from filled, (select avg(count) + stddev_samp(count) as lim, "

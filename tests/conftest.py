@@ -32,9 +32,9 @@ def spark():
 def twitter(spark):
     return spark.createDataFrame(
         [
-            ("tw1", "2023-01-01", "AI is amazing!", "user1", 1000, 10, 20, "twitter"),
-            ("tw2", "2023-01-02", "Machine learning rocks", "user2", 5000, 50, 100, "twitter"),
-            ("tw3", "2023-01-03", "Data science future", "user3", 200, 2, 5, "twitter"),
+            ("tw1", "2022-05-01", "This solar roof is great!", "mia", 1300, 12, 31, "twitter"),
+            ("tw2", "2022-05-02", "Wind farms keep growing", "noor", 4100, 45, 92, "twitter"),
+            ("tw3", "2022-05-03", "Grid news today", "ola", 260, 3, 4, "twitter"),
         ],
         "id string, created_at string, text string, user_id string, user_followers_count long, "
         "retweet_count long, favorite_count long, data_source string",
@@ -45,9 +45,9 @@ def twitter(spark):
 def reddit(spark):
     return spark.createDataFrame(
         [
-            ("rd1", "2023-01-01 10:00:00", "AI Discussion", "Great post about AI", 100, 10, "artificial", "reddit"),
-            ("rd2", "2023-01-02 11:00:00", "ML Tutorial", None, -50, 5, None, "reddit"),
-            ("rd3", "2023-01-03 12:00:00", "Data Analysis", "Data science insights", 75, 8, "datascience", "reddit"),
+            ("rd1", "2022-05-01 10:00:00", "Heat pumps", "Ours has run for a year", 90, 12, "heating", "reddit"),
+            ("rd2", "2022-05-02 11:00:00", "Draughty doors", None, -40, 7, None, "reddit"),
+            ("rd3", "2022-05-03 12:00:00", "Attic plans", "Which wool to take", 66, 9, "insulation", "reddit"),
         ],
         "post_id string, datetime string, title string, text string, score long, comments long, tag string, "
         "data_source string",

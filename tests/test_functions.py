@@ -102,6 +102,21 @@ def test_c5_lemmas_in_plan_and_by_join(spark, limit):
     assert column(got, "text_tokens_clean") == ["cat run cat", "", "dog", None, "cat run cat"]
 
 
+@pytest.mark.parametrize("limit", [20_000, 0])
+def test_c5_both_paths_agree_on_odd_lists(spark, limit):
+    rows = [(1, ["a b", "cats"]), (2, ["a", "b", "cats"]), (3, [None, "cats"]), (4, ["cats"]), (5, [None]), (6, [""])]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>")
+    lemmas = spark.createDataFrame([("cats", "feline"), ("cats", "cat"), (None, "x")], "token string, lemma string")
+    got = text.lemmatise(df, "tokens", lemmas, max_rows_in_plan=limit).orderBy("id")
+    assert column(got, "text_tokens_clean") == ["a b cat", "a b cat", "cat", "cat", "", ""]
+
+
+@pytest.mark.parametrize("value", ["see wttpfoo bar", "hww.x stays", "a http://x.y b", "www.z w", "http", "www x"])
+def test_c1_c3_urls(spark, value):
+    assert one(spark, value, text.clean_text) == reference_clean(value)
+    assert one(spark, value, text.token_text) == " ".join(reference_tokens(value))
+
+
 def test_c6_domain_tags(spark):
     df = texts(spark, "learning python is great for ai", "cooking pzza", None)
     got = column(df.orderBy("id").select(text.domain_tags(F.col("text"), ["AI", "Python"]).alias("t")), "t")
@@ -177,9 +192,9 @@ def reference_sentiment(value):
 
 def test_c13_signs_and_rules(spark):
     score = lambda v: one(spark, v, sentiment.sentiment_compound)
-    assert score("i love this amazing technology") > 0.05
-    assert score("this is terrible and bad") < -0.05
-    assert score("it is a book") == 0.0
+    assert score("we love the good garden") > 0.05
+    assert score("an awful trip and bad food") < -0.05
+    assert score("the train leaves at nine") == 0.0
     assert score("") == 0.0 and score(None) == 0.0
     assert score("not good") < 0 < score("good") < score("very good") < score("very good!!!")
     assert score("good but bad") < 0
@@ -220,11 +235,11 @@ def test_b1_b4_nulls(spark):
 
 def test_b2_b3_imputation(spark):
     df = spark.createDataFrame(
-        [("hello", 10.0, 5.0, 1.0), (None, 20.0, None, 2.0), ("world", None, 10.0, None)],
+        [("oak", 7.5, 3.0, 4.0), (None, 1.0, None, 6.0), ("elm", None, 8.0, None)],
         "text_col string, total_engagement double, word_count double, other_num double",
     )
     rows = filters.fill_metrics(filters.fill_unknown(df)).collect()
-    assert [r["text_col"] for r in rows] == ["hello", "unknown", "world"]
+    assert [r["text_col"] for r in rows] == ["oak", "unknown", "elm"]
     assert rows[2]["total_engagement"] == 0 and rows[1]["word_count"] == 0
     assert rows[2]["other_num"] is None
 
@@ -233,11 +248,11 @@ def test_b5_b12_filters(spark, twitter):
     df = twitter.withColumn("created_at", F.to_timestamp("created_at"))
     odd = spark.createDataFrame([(None,), ("my_REDDIT",), ("twitter",)], "data_source string")
     assert df.filter(filters.in_sources(["twitter"])).count() == 3
-    assert df.filter(filters.in_date_range(dt.date(2023, 1, 1), dt.date(2023, 1, 2))).count() == 2
+    assert df.filter(filters.in_date_range(dt.date(2022, 5, 1), dt.date(2022, 5, 2))).count() == 2
     assert odd.filter(filters.source_contains("reddit")).count() == 1
     assert odd.filter(filters.source_contains("reddit", ignore_case=False)).count() == 0
     assert odd.filter(filters.source_is("twitter")).count() == 1
-    assert df.filter(filters.longer_than("text", 14)).count() == 2
+    assert df.filter(filters.longer_than("text", 15)).count() == 2
     pairs = spark.createDataFrame([(1.0, 2.0), (None, 1.0), (float("nan"), 1.0)], "a double, b double")
     assert filters.complete_pairs(pairs, "a", "b").count() == 1
     assert filters.with_time(df.withColumn("created_at", F.lit(None).cast("timestamp"))).count() == 0

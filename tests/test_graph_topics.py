@@ -120,7 +120,41 @@ def test_h7_influencers(spark):
     )
     assert graph.influencers(communities, **loose).count() == 9
     assert graph.influencers(graph.Graph(g.nodes.limit(4), g.edges.limit(0))).count() == 0
-    assert graph.influencers(g, max_rounds=2).count() == 0
+    with pytest.raises(graph.NotSettled):
+        graph.influencers(g, max_rounds=2)
+
+
+def test_h6_hubs_and_stop_rule_agree(spark):
+    _, _, g = star(spark)
+    whole = {r["id"]: r["rank"] for r in graph.pagerank(g).collect()}
+    split = {r["id"]: r["rank"] for r in graph.pagerank(g, hub_arcs=1).collect()}
+    assert split == pytest.approx(whole, abs=1e-12)
+
+
+def test_h6_cleans_up_and_raises_on_failure(spark, monkeypatch):
+    _, _, g = star(spark)
+    before = {t.name for t in spark.catalog.listTables()}
+
+    def broken(*_):
+        raise RuntimeError("no folder")
+
+    monkeypatch.setattr(graph, "read_intermediate", broken)
+    with pytest.raises(RuntimeError, match="no folder"):
+        graph.influencers(g)
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_g1_vocabulary(spark):
+    df = spark.createDataFrame([("oak elm elm",), ("oak ash",), ("oak fir yew",), ("elm a",)], "t string")
+    got = {r["term"]: r["documents"] for r in topics.vocabulary(df, "t", 2, 0.7).collect()}
+    assert got == {"elm": 2}
+    assert {r["term"] for r in topics.vocabulary(df, "t", 0.5, 1.0).collect()} == {"oak", "elm"}
+
+
+def test_g1_too_many_terms_raise(spark, monkeypatch):
+    monkeypatch.setattr(topics, "MAX_TERMS", 2)
+    with pytest.raises(ValueError, match="terms"):
+        topics.fit_topics(documents(spark), k=2)
 
 
 def test_interaction_graph(spark):

@@ -1,5 +1,6 @@
 """L: whole jobs, and properties of the physical plans."""
 
+import datetime as dt
 import importlib
 
 import pytest
@@ -22,10 +23,10 @@ def driver():
 def test_l1_transform(spark, twitter, reddit):
     df = jobs.transform_posts({"twitter": twitter, "reddit_kaggle": reddit})
     rows = {r["id"]: r for r in df.collect()}
-    assert "ai is amazing" in rows["tw1"]["text_cleaned"]
+    assert "solar roof is great" in rows["tw1"]["text_cleaned"]
     assert rows["tw1"]["sentiment_label"] == "positive"
-    assert rows["rd2"]["text"] == "ML Tutorial" and rows["rd2"]["user_id"] == "unknown"
-    assert rows["rd2"]["total_engagement"] == 60.0 and rows["tw2"]["total_engagement"] == 150.0
+    assert rows["rd2"]["text"] == "Draughty doors" and rows["rd2"]["user_id"] == "unknown"
+    assert rows["rd2"]["total_engagement"] == 54.0 and rows["tw2"]["total_engagement"] == 137.0
     assert max(r["engagement_rate"] for r in rows.values()) == 1.0
     assert {"total_engagement_normalized", "word_count_normalized"} <= set(df.columns)
     assert jobs.transform_posts({"twitter": twitter}, enabled=False) is None
@@ -33,24 +34,24 @@ def test_l1_transform(spark, twitter, reddit):
 
 
 def test_l2_nlp(spark):
-    df = spark.createDataFrame([("Original text about AI", "Title")], "text string, title string")
-    result = jobs.enrich_text(df, ["AI"])
+    df = spark.createDataFrame([("Two sheds with solar tiles", "Sheds")], "text string, title string")
+    result = jobs.enrich_text(df, ["Solar"])
     row = result.posts.first()
-    assert row["text_tokens_clean"] == "original text" and row["tech_keywords"] == ["AI"]
+    assert row["text_tokens_clean"] == "two sheds solar tiles" and row["tech_keywords"] == ["Solar"]
     assert result.topics is None and result.sentiment_distribution.first()["count"] == 1
-    assert column(jobs.enrich_text(df.select("title")).posts, "text_cleaned") == ["title"]
+    assert column(jobs.enrich_text(df.select("title")).posts, "text_cleaned") == ["sheds"]
     assert jobs.enrich_text(df.select(F.lit(1).alias("x"))) is None
 
 
 def test_f20_summary(spark):
     found = spark.createDataFrame(
-        [("volume_vs_engagement", 0.8, 0.01, "pearson", True), ("weak", 0.1, 0.5, "spearman", False)],
+        [("length_and_replies", 0.44, 0.0312, "kendall", True), ("faint", 0.07, 0.61, "spearman", False)],
         "name string, correlation double, p_value double, method_used string, significant boolean",
     )
     other = spark.range(1)
     row = jobs.analysis_summary(found, other, other).first()
     assert (row["status"], row["correlations"], row["statistical_tests"], row["domains_analyzed"]) == ("completed", 2, 1, 1)
-    assert row["significant_findings"] == ["Correlation volume_vs_engagement is significant (p=0.0100) using pearson"]
+    assert row["significant_findings"] == ["Correlation length_and_replies is significant (p=0.0312) using kendall"]
 
 
 def test_l3_l4_whole_job(spark, driver, tmp_path):
@@ -101,7 +102,7 @@ def test_plans_have_no_global_window_over_posts(spark, driver):
     posts = driver.posts(spark, SMALL)
     plan = plan_of(rollups.histogram(posts))
     assert "Window" not in plan and "SinglePartition" in plan
-    summary = plan_of(rollups.platform_summary(driver.polar(spark, SMALL)))
+    summary = plan_of(rollups.platform_summary(driver.scored(spark, SMALL)))
     assert "Window" in summary and "percentile" not in summary
 
 
@@ -117,7 +118,7 @@ def test_date_filter_reaches_the_scan(spark, driver):
 
 
 def test_same_result_under_other_partitioning(spark, driver):
-    posts = driver.polar(spark, SMALL)
+    posts = driver.scored(spark, SMALL)
     base = rollups.platform_summary(posts).orderBy("data_source").collect()
     for n in (1, 7):
         assert rollups.platform_summary(posts.repartition(n)).orderBy("data_source").collect() == base
@@ -125,7 +126,7 @@ def test_same_result_under_other_partitioning(spark, driver):
 
 def test_every_oracle_belongs_to_a_query(driver):
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert len(driver.queries()) == len(driver.QUERIES)
+    assert set(driver.queries()) >= {query.__name__ for query in driver.QUERIES}
 
 
 def test_entry(spark, driver):
@@ -155,6 +156,47 @@ def test_pagerank_rounds_do_not_shuffle_arcs(spark, driver, monkeypatch):
     assert plan.count("Exchange hashpartitioning") == 4
 
 
+def test_scratch_scope_deletes_what_it_wrote(spark):
+    import os
+
+    from townsquare import runtime
+
+    folder = f"{runtime.shared_folder(spark)}/townsquare"
+    outer = runtime.freeze(spark.range(3))
+    before = set(os.listdir(folder))
+    with pytest.raises(KeyError), runtime.scratch_scope():
+        assert runtime.freeze(spark.range(4)).count() == 4
+        assert set(os.listdir(folder)) != before
+        raise KeyError
+    assert set(os.listdir(folder)) == before and outer.count() == 3
+
+
+def test_monitoring_read(spark, driver, tmp_path):
+    from townsquare.plans import monitor
+    from townsquare.sources import writers
+
+    base = str(tmp_path / "runs")
+    df = driver.scored(spark, SMALL, "text_cleaned")
+    writers.save_run(base, "r1", df, {})
+    read = monitor.monitoring(spark, base, "r1", sources=["reddit_kaggle", "twitter"], volume_sigma=1.0, sentiment_drop=1.0)
+    assert read["kpis"].first()["total_posts"] == df.count()
+    reddit = df.filter("data_source = 'reddit_kaggle'")
+    assert read["top_posts"].count() == 50 and read["histogram"].agg(F.sum("count")).first()[0] == reddit.count()
+    assert {"sentiment drop"} <= {r["title"] for r in read["alerts"].collect()}
+    only = monitor.monitoring(spark, base, "r1", sources=["twitter"])
+    assert only["top_categories"].count() == 0 and only["kpis"].first()["reddit_posts"] == 0
+
+
+def test_as_of_defaults_to_now(spark, twitter, reddit):
+    late = twitter.withColumn("created_at", F.lit("2026-03-01"))
+    report = jobs.run_job(spark, {"twitter": late}, jobs.Params(topics=False, enabled={"transformation": False}))["validation"]
+    issues = [i["check"] for r in report.collect() for i in r["issues"]]
+    assert "future_dates" not in issues
+    old = jobs.Params(topics=False, enabled={"transformation": False}, as_of=dt.datetime(2020, 1, 1))
+    issues = [i["check"] for r in jobs.run_job(spark, {"twitter": late}, old)["validation"].collect() for i in r["issues"]]
+    assert "future_dates" in issues
+
+
 def test_shared_folder_rules():
     from types import SimpleNamespace
 

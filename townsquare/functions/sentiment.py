@@ -1,7 +1,7 @@
 """Lexicon sentiment as array expressions.
 
-Scores follow the published rule-based model of Hutto and Gilbert (2014) over a small word list
-of our own. Everything is computed inside the row, so posts are neither exploded nor shuffled.
+Scores follow the published rule-based model of Hutto and Gilbert (2014), VADER, over a small
+part of its public word list (MIT licence). Everything is computed inside the row, so posts are neither exploded nor shuffled.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from townsquare.functions.text import LETTERS, bind
 
-# Our own word scores, from -4 (worst) to 4 (best).
+# Word scores as in the public VADER lexicon (MIT licence), from -4 (worst) to 4 (best).
 LEXICON: Mapping[str, float] = {
     "amazing": 2.8,
     "awesome": 3.1,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+
+import numpy as np
 from statistics import NormalDist
 
 _TINY = 1e-300
@@ -10,6 +12,10 @@ _EPS = 1e-15
 _MAX_STEPS = 1_000_000
 
 
+#: Values of U up to which its distribution is built cell by cell.
+MAX_CELLS = 20_000_000
+
+
 def regularised_beta(a: float, b: float, x: float) -> float:
     """I_x(a, b), by the usual continued fraction."""
     if x <= 0:
@@ -78,8 +84,8 @@ def correlation_p(r: float | None, n: int) -> float | None:
 
 
 def mann_whitney_p(u1: float, n1: int, n2: int, tie_term: float) -> float:
-    """Two-sided p of U: exact for a small tie-free sample, else normal with tie correction."""
-    if tie_term == 0 and min(n1, n2) <= 8 and n1 * n2 <= 20_000:
+    """Two-sided p of U: exact for a tie-free sample with a small group, else normal with tie correction."""
+    if tie_term == 0 and 0 < min(n1, n2) <= 8:
         return _mann_whitney_exact(max(u1, n1 * n2 - u1), n1, n2)
     n = n1 + n2
     variance = n1 * n2 / 12 * ((n + 1) - tie_term / (n * (n - 1)))
@@ -90,17 +96,29 @@ def mann_whitney_p(u1: float, n1: int, n2: int, tie_term: float) -> float:
 
 
 def _mann_whitney_exact(u: float, n1: int, n2: int) -> float:
-    # Counts of each U are the coefficients of the Gaussian binomial of (n1 + n2, n1).
+    """P of a U at least ``u`` on either side, without ties.
+
+    The smaller group's members fall between those of the larger one, and the counts of U are
+    the coefficients of a Gaussian binomial, built as shares so that they stay below one. Where
+    U can take more than MAX_CELLS values, the larger group's gaps are as good as continuous
+    and U is a sum of uniform variables, with an error of the order of small / large.
+    """
     small, large = sorted((n1, n2))
-    counts = [1] + [0] * (n1 * n2)
+    cells = n1 * n2 + 1
+    if cells > MAX_CELLS:
+        x = small - (u - 0.5) / large
+        terms = ((-1) ** k * math.comb(small, k) * max(0.0, x - k) ** small for k in range(small + 1))
+        return min(1.0, 2 * max(0.0, sum(terms)) / math.factorial(small))
+    shares = np.zeros(cells)
+    shares[0] = 1.0
     for i in range(1, small + 1):
-        step = large + i
-        for k in range(n1 * n2, step - 1, -1):
-            counts[k] -= counts[k - step]
-        for k in range(i, n1 * n2 + 1):
-            counts[k] += counts[k - i]
-    tail = sum(counts[math.ceil(u) :])
-    return min(1.0, 2 * tail / math.comb(n1 + n2, small))
+        # Times (1 - x^(large + i)), divided by (1 - x^i); i / (large + i) keeps the total at one.
+        moved = shares.copy()
+        if large + i < cells:
+            moved[large + i :] -= shares[: cells - large - i]
+        padded = np.concatenate([moved, np.zeros(-cells % i)]).reshape(-1, i)
+        shares = np.cumsum(padded, axis=0).ravel()[:cells] * (i / (large + i))
+    return min(1.0, max(0.0, 2 * float(shares[math.ceil(u) :].sum())))
 
 
 def kendall_p(

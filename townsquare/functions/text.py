@@ -49,6 +49,7 @@ FUSED_WORDS = (
 
 MAX_LEMMA_ROWS_IN_PLAN = 20_000
 _LEMMA_BUCKETS = 512
+_LEMMA_SALTS = 16
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -62,7 +63,7 @@ def _drop_all_but(text: Column, kept: str) -> Column:
 
 
 def _lower_without_urls(text: Column) -> Column:
-    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), rf"[hw](?:ttp|(?<=w)ww)[^{SPACE}]+", "")
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), rf"(?:http|www)[^{SPACE}]+", "")
 
 
 def clean_text(text: Column) -> Column:
@@ -119,26 +120,35 @@ def lemmatise(
     ``lemmas(token, lemma)`` is the caller's table, one row per token; a token it lacks stays.
     A table within ``max_rows_in_plan`` travels with the plan as hash-bucketed maps, so posts are
     not shuffled. A larger one is joined: the distinct token lists are exploded, looked up with a
-    shuffle join (hot tokens are split by adaptive execution) and put back together.
+    shuffle join over salted tokens and put back together. Both ways give the same rows: a null
+    token is left out, and of several lemmas of a token the least counts.
     """
-    pairs = freeze(lemmas.select("token", "lemma").dropna().dropDuplicates(["token"]))
+    pairs = freeze(lemmas.select("token", "lemma").dropna().groupBy("token").agg(F.min("lemma").alias("lemma")))
     if fits(pairs, max_rows_in_plan):
         return df.withColumn(output, F.array_join(_lookup_in_plan(F.col(token_column), pairs), " "))
 
     lists = df.select(F.col(token_column).alias("__list")).distinct()
-    keyed = lists.withColumn("__key", F.sha2(F.array_join("__list", " "), 256))
+    keyed = lists.withColumn("__key", _list_key("__list"))
     exploded = keyed.select("__key", F.posexplode("__list").alias("__pos", "token"))
-    looked_up = exploded.join(pairs, "token", "left").select(
+    # A hot token is dealt over as many tasks as there are salts.
+    salted = exploded.withColumn("__salt", F.pmod(F.hash("__key", "__pos"), F.lit(_LEMMA_SALTS)))
+    dealt = pairs.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_LEMMA_SALTS - 1))))
+    looked_up = salted.join(dealt, ["token", "__salt"], "left").select(
         "__key", F.struct("__pos", F.coalesce("lemma", "token").alias("word")).alias("__at")
     )
     texts = looked_up.groupBy("__key").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("__at")), lambda at: at["word"]), " ").alias(output)
     )
-    keys = df.withColumn("__key", F.sha2(F.array_join(token_column, " "), 256))
+    keys = df.withColumn("__key", _list_key(token_column))
     joined = keys.join(texts, "__key", "left").drop("__key")
     return joined.withColumn(output, F.coalesce(output, F.when(F.col(token_column).isNotNull(), "")))
 
 
+def _list_key(column: str) -> Column:
+    # Of the list itself, so that lists which only look alike when joined stay apart.
+    return F.sha2(F.to_json(F.struct(F.col(column).alias("l")), {"ignoreNullFields": "false"}), 256)
+
+
 def _lookup_in_plan(token_array: Column, pairs: DataFrame) -> Column:
     # The table (its size was checked) becomes one constant: an array of small maps, indexed by the
     # token's hash, so that a lookup scans one bucket and not the whole table.

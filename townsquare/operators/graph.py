@@ -6,7 +6,6 @@ undirected ``edges(src, dst, weight)`` with src <= dst and one row per pair.
 
 from __future__ import annotations
 
-import math
 import uuid
 from dataclasses import dataclass
 from functools import reduce
@@ -24,6 +23,10 @@ ARCS_PER_BUCKET = 100_000
 MIN_INFLUENCER_NODES = 5
 
 
+class NotSettled(RuntimeError):
+    """The rounds did not suffice for the ranks to settle."""
+
+
 @dataclass(frozen=True)
 class Graph:
     nodes: DataFrame
@@ -179,18 +182,19 @@ def pagerank(
 ) -> DataFrame:
     """H6: (id, rank) by weighted PageRank over both directions of each edge.
 
-    ``tolerance`` stops once the summed change is below tolerance · nodes; ``None`` runs exactly
-    ``max_rounds``. Raises ``RuntimeError`` if the rounds do not suffice. Negative weights count
-    as 0.
+    ``tolerance`` stops after the first round whose summed change is below tolerance · nodes;
+    ``None`` runs exactly ``max_rounds``. Raises ``NotSettled`` if the rounds do not suffice.
+    Negative weights count as 0.
 
     * Nodes without a positive edge all keep one common rank, so it is tracked as a number and
       only connected nodes are iterated; the mass they hold needs no extra aggregate.
     * Arcs are written once, bucketed by their source, and never shuffled again. A node with more
       than ``hub_arcs`` arcs is a hub: its arcs are written evenly spread instead and meet the hubs'
-      ranks by broadcast. ``hub_arcs`` is raised where needed so that hubs stay below ``MAX_HUBS``.
-    * Every few rounds end in a written table, so plans stay flat and a lost executor costs no more
-      than those; the stop rule is looked at there.
+      ranks by broadcast, or by a shuffle join where there are more than ``MAX_HUBS`` hubs.
+    * Rounds end in a written table, so plans stay flat and a lost executor costs no more than one;
+      a fixed number of rounds without hubs is written every ``rounds_per_write``.
     """
+    graph = Graph(freeze(graph.nodes), freeze(graph.edges))
     spark = graph.nodes.sparkSession
     forth = F.struct("src", "dst", "weight")
     back = F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
@@ -205,13 +209,14 @@ def pagerank(
     size = degrees.agg(
         F.count(F.lit(1)).alias("nodes"),
         F.coalesce(F.sum("out_degree"), F.lit(0)).alias("arcs"),
-        F.coalesce(F.max("out_degree"), F.lit(0)).alias("largest"),
+        F.count(F.when(F.col("out_degree") > hub_arcs, 1)).alias("hubs"),
     ).first()
     isolated = total - size["nodes"]
-    hub_arcs = max(hub_arcs, math.ceil(size["arcs"] / MAX_HUBS))
-    has_hubs = size["largest"] > hub_arcs
-    if has_hubs:
-        # Each round then reads the ranks twice; chained rounds would double the plan each time.
+    has_hubs = size["hubs"] > 0
+    few = F.broadcast if size["hubs"] <= MAX_HUBS else lambda df: df
+    if has_hubs or tolerance is not None:
+        # With hubs each round reads the ranks twice and chained rounds would double the plan each
+        # time; a stop rule is looked at after every round, whatever the graph's size.
         rounds_per_write = 1
 
     # A weightless arc from each node to itself carries the node's own values through the grouping.
@@ -220,71 +225,73 @@ def pagerank(
     hubs = degrees.filter(F.col("out_degree") > hub_arcs).select("src")
     folder, name = f"{shared_folder(spark)}/townsquare", f"townsquare_arcs_{uuid.uuid4().hex}"
     buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), size["arcs"] // ARCS_PER_BUCKET + 1)
-    plain = links.join(F.broadcast(hubs), "src", "left_anti") if has_hubs else links
-    writer = plain.repartition(buckets, "src").write.bucketBy(buckets, "src").option("path", f"{folder}/{name}")
-    writer.saveAsTable(name)
-    plain = spark.table(name)
+    plain = links.join(few(hubs), "src", "left_anti") if has_hubs else links
     hub_path = None
-    if has_hubs:
-        spread = links.join(F.broadcast(hubs), "src", "left_semi").repartition(buckets, "src", "dst")
-        hub_path = write_intermediate(spread)
-        spread = read_intermediate(spark, hub_path, links.schema)
-
-    def next_round(current: DataFrame, base: float) -> DataFrame:
-        rates = current.withColumnRenamed("id", "src")
-        meetings = [plain.join(rates, "src")]
+    try:
+        writer = plain.repartition(buckets, "src").write.bucketBy(buckets, "src").option("path", f"{folder}/{name}")
+        writer.saveAsTable(name)
+        plain = spark.table(name)
         if has_hubs:
-            meetings.append(spread.join(F.broadcast(rates.filter("is_hub")), "src"))
-        flows = [
-            met.select(
-                F.col("dst").alias("id"),
-                (F.col("rank") * F.col("weight") / F.col("out_weight")).alias("flow"),
-                *(F.when(F.col("own"), F.col(c)).alias(c) for c in ("rank", "out_weight", "is_hub")),
-            )
-            for met in meetings
-        ]
-        return (
-            reduce(DataFrame.unionByName, flows)
-            .groupBy("id")
-            .agg(
-                (F.lit(alpha) * F.sum("flow") + F.lit(base)).alias("rank"),
-                F.max("out_weight").alias("out_weight"),
-                F.max("is_hub").alias("is_hub"),
-                F.max("rank").alias("old"),
+            spread = links.join(few(hubs), "src", "left_semi").repartition(buckets, "src", "dst")
+            hub_path = write_intermediate(spread)
+            spread = read_intermediate(spark, hub_path, links.schema)
+
+        def next_round(current: DataFrame, base: float) -> DataFrame:
+            rates = current.withColumnRenamed("id", "src")
+            meetings = [plain.join(rates, "src")]
+            if has_hubs:
+                meetings.append(spread.join(few(rates.filter("is_hub")), "src"))
+            flows = [
+                met.select(
+                    F.col("dst").alias("id"),
+                    (F.col("rank") * F.col("weight") / F.col("out_weight")).alias("flow"),
+                    *(F.when(F.col("own"), F.col(c)).alias(c) for c in ("rank", "out_weight", "is_hub")),
+                )
+                for met in meetings
+            ]
+            return (
+                reduce(DataFrame.unionByName, flows)
+                .groupBy("id")
+                .agg(
+                    (F.lit(alpha) * F.sum("flow") + F.lit(base)).alias("rank"),
+                    F.max("out_weight").alias("out_weight"),
+                    F.max("is_hub").alias("is_hub"),
+                    F.max("rank").alias("old"),
+                )
             )
-        )
 
-    lone_rank = 1.0 / total
-    current = degrees.select(
-        F.col("src").alias("id"),
-        F.lit(lone_rank).alias("rank"),
-        "out_weight",
-        (F.col("out_degree") > hub_arcs).alias("is_hub"),
-    )
-    columns, path, done, converged = current.columns, None, 0, tolerance is None
-    while done < max_rounds:
-        step = current
-        for _ in range(min(rounds_per_write, max_rounds - done)):
-            # Isolated nodes spread their mass evenly over all nodes.
-            base = (alpha * isolated * lone_rank + (1.0 - alpha)) / total
-            step = next_round(step.select(*columns), base)
-            lone_change, lone_rank, done = abs(base - lone_rank), base, done + 1
-        next_path = write_intermediate(step)
-        table = read_intermediate(spark, next_path, step.schema)
-        current = table.select(*columns)
-        if path is not None:
-            drop_intermediate(spark, path)
-        path = next_path
-        if tolerance is not None:
-            change = table.agg(F.coalesce(F.sum(F.abs(F.col("rank") - F.col("old"))), F.lit(0.0))).first()[0]
-            converged = change + isolated * lone_change < total * tolerance
-            if converged:
-                break
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    for finished in filter(None, (f"{folder}/{name}", hub_path)):
-        drop_intermediate(spark, finished)
+        lone_rank = 1.0 / total
+        current = degrees.select(
+            F.col("src").alias("id"),
+            F.lit(lone_rank).alias("rank"),
+            "out_weight",
+            (F.col("out_degree") > hub_arcs).alias("is_hub"),
+        )
+        columns, path, done, converged = current.columns, None, 0, tolerance is None
+        while done < max_rounds:
+            step = current
+            for _ in range(min(rounds_per_write, max_rounds - done)):
+                # Isolated nodes spread their mass evenly over all nodes.
+                base = (alpha * isolated * lone_rank + (1.0 - alpha)) / total
+                step = next_round(step.select(*columns), base)
+                lone_change, lone_rank, done = abs(base - lone_rank), base, done + 1
+            next_path = write_intermediate(step)
+            table = read_intermediate(spark, next_path, step.schema)
+            current = table.select(*columns)
+            if path is not None:
+                drop_intermediate(spark, path)
+            path = next_path
+            if tolerance is not None:
+                change = table.agg(F.coalesce(F.sum(F.abs(F.col("rank") - F.col("old"))), F.lit(0.0))).first()[0]
+                converged = change + isolated * lone_change < total * tolerance
+                if converged:
+                    break
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for finished in filter(None, (f"{folder}/{name}", hub_path)):
+            drop_intermediate(spark, finished)
     if not converged:
-        raise RuntimeError(f"PageRank did not settle within {max_rounds} rounds")
+        raise NotSettled(f"PageRank did not settle within {max_rounds} rounds")
     lone = graph.nodes.select("id").join(current.select("id"), "id", "left_anti")
     return current.select("id", "rank").union(lone.select("id", F.lit(lone_rank).alias("rank")))
 
@@ -292,16 +299,14 @@ def pagerank(
 def influencers(graph: Graph, n: int = 10, **settings) -> DataFrame:
     """H7: the users among the ``n`` best-ranked nodes (so maybe fewer), with source and followers.
 
-    Graphs of fewer than five nodes, and those whose ranks do not settle, have none.
+    Graphs of fewer than five nodes have none. Raises ``NotSettled`` as ``pagerank`` does.
     """
+    graph = Graph(freeze(graph.nodes), graph.edges)
     spark = graph.nodes.sparkSession
     empty = spark.createDataFrame([], "id string, rank_score double, source string, followers double")
     if len(graph.nodes.limit(MIN_INFLUENCER_NODES).collect()) < MIN_INFLUENCER_NODES:
         return empty
-    try:
-        ranks = pagerank(graph, **settings)
-    except RuntimeError:
-        return empty
+    ranks = pagerank(graph, **settings)
     best = ranks.orderBy(F.desc("rank"), "id").limit(n)
     # ``n`` rows.
     found = graph.nodes.join(F.broadcast(best), "id").filter(F.col("type") == "user")

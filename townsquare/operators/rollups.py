@@ -228,6 +228,6 @@ def sentiment_points(df: DataFrame) -> DataFrame:
     return available(df, ("id", "data_source", "sentiment_compound", "total_engagement", "word_count"))
 
 
-def length_points(df: DataFrame, n: int = 1000, seed: int = 42) -> DataFrame:
+def length_points(df: DataFrame, n: int = 1000, seed: int = 42, key: str | None = None) -> DataFrame:
     """Sentiment against word count, a bounded repeatable sample."""
-    return seeded_sample(available(df, ("id", "data_source", "word_count", "sentiment_compound")), n, seed)
+    return seeded_sample(available(df, ("id", "data_source", "word_count", "sentiment_compound")), n, seed, key)

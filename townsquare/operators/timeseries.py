@@ -61,12 +61,16 @@ def _least_squares(gram: np.ndarray, terms: int) -> tuple[np.ndarray, float, np.
     return beta, max(float(gram[0, 0] - beta @ xy), 0.0), inverse
 
 
-def dickey_fuller(daily: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
-    """F16: augmented Dickey-Fuller with a constant, lag order by AIC, for several daily columns."""
+def dickey_fuller(daily: DataFrame, columns: Sequence[str], max_lag: int | None = None) -> dict[str, dict]:
+    """F16: augmented Dickey-Fuller with a constant, lag order by AIC, for several daily columns.
+
+    ``max_lag`` bounds the orders tried; 0 is the plain test.
+    """
     daily = freeze(daily.select("day", *(F.col(c).cast("double") for c in columns)))
     facts = daily.agg(F.count(F.lit(1)).alias("n"), *(F.avg(c).alias(c) for c in columns)).first()
     n = facts["n"]
-    max_lag = min(n // 2 - 2, math.ceil(12 * (n / 100) ** 0.25))
+    usual = math.ceil(12 * (n / 100) ** 0.25) if max_lag is None else max_lag
+    max_lag = min(n // 2 - 2, usual)
     if max_lag < 0:
         raise ValueError("too few days")
     # Sums of products keep more digits around the mean; the constant absorbs the shift.
@@ -89,12 +93,12 @@ def dickey_fuller(daily: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
     return results
 
 
-def stationarity(daily: DataFrame) -> DataFrame:
+def stationarity(daily: DataFrame, max_lag: int | None = None) -> DataFrame:
     """F16: one row per daily column that varies; needs a week of days."""
     names = [c for c in daily.columns if c != "day"]
     facts = daily.agg(F.count(F.lit(1)).alias("n"), *(F.stddev_samp(c).alias(c) for c in names)).first()
     varying = [c for c in names if facts[c] and facts[c] > 0] if facts["n"] >= MIN_DAYS else []
-    results = dickey_fuller(daily, varying) if varying else {}
+    results = dickey_fuller(daily, varying, max_lag) if varying else {}
     rows = [
         (name, r["statistic"], r["p_value"], r["lags"], r["n"], r["p_value"] is not None and r["p_value"] < LEVEL)
         for name, r in results.items()

@@ -5,9 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from townsquare.functions.filters import longer_than
@@ -15,6 +15,8 @@ from townsquare.runtime import freeze
 
 MIN_DOCUMENTS = 10
 TERMS_PER_TOPIC = 5
+#: The model holds a row per term; beyond this it is an error, never a silent cut.
+MAX_TERMS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -31,6 +33,23 @@ def bag_of_words(df: DataFrame, text_column: str) -> DataFrame:
     return remover.transform(df.withColumn("__raw", raw)).drop("__raw")
 
 
+def vocabulary(df: DataFrame, text_column: str, min_df: float = 2, max_df: float | int = 0.95) -> DataFrame:
+    """G1: (term, documents), every term whose document frequency lies within the limits.
+
+    Fractional limits are shares of all texts, whole ones counts of texts.
+    """
+    words = bag_of_words(df, text_column)
+    total = words.agg(F.count(F.lit(1))).scalar()
+    counted = words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("documents")
+    )
+
+    def bound(limit: float) -> Column:
+        return total * limit if isinstance(limit, float) and limit <= 1 else F.lit(limit)
+
+    return counted.filter((F.col("documents") >= bound(min_df)) & (F.col("documents") <= bound(max_df)))
+
+
 def fit_topics(
     df: DataFrame,
     text_column: str = "text_tokens_clean",
@@ -38,27 +57,23 @@ def fit_topics(
     seed: int = 42,
     min_df: float = 2,
     max_df: float | int = 0.95,
-    vocabulary: int = 1 << 18,
     rounds: int = 10,
 ) -> TopicModel | None:
     """G1 + G2: vocabulary and LDA over texts of more than ten characters; ``None`` below ten texts.
 
-    Terms are counted by MLlib in one distributed pass; the vocabulary is what reaches the driver,
-    and ``vocabulary`` bounds it. Every round uses all texts.
+    Terms are counted as a DataFrame; every term within the limits reaches the model, whose
+    vocabulary the driver holds. More than MAX_TERMS raise ``ValueError``. Every round uses all texts.
     """
     texts = df.select(text_column).filter(longer_than(text_column))
     if len(texts.limit(MIN_DOCUMENTS).collect()) < MIN_DOCUMENTS:
         return None
     words = bag_of_words(texts, text_column)
-    counter = CountVectorizer(inputCol="words", outputCol="counts", minDF=min_df, vocabSize=vocabulary)
-    if max_df < 1:
-        counter = counter.setMaxDF(max_df)
-    elif isinstance(max_df, int):
-        counter = counter.setMaxDF(float(max_df))  # MLlib reads 1 and above as a count of texts
-    found = counter.fit(words).vocabulary
+    found = [row["term"] for row in vocabulary(texts, text_column, min_df, max_df).limit(MAX_TERMS + 1).collect()]
+    if len(found) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} terms; raise min_df")
     if not found:
         return None
-    # Equally frequent terms come in any order; sorting makes runs with one seed agree.
+    # Terms come in any order; sorting makes runs with one seed agree.
     vectors = CountVectorizerModel.from_vocabulary(sorted(found), inputCol="words", outputCol="counts")
     # The rounds below then read term counts and not texts.
     counts = freeze(vectors.transform(words).select("counts"))

@@ -41,6 +41,7 @@ from townsquare.sources.shaping import combine_sources
 from townsquare.sources.writers import save_run
 
 STAGES = ("validation", "transformation", "nlp", "network", "analysis")
+NETWORK_SECTIONS = ("community_metrics", "community_influencers", "reply_metrics", "reply_centrality", "top_users")
 
 
 @dataclass(frozen=True)
@@ -58,7 +59,19 @@ class Params:
     decomposition: str | None = None
     pivot_grain: str = "day"
     required_columns: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: REQUIRED_COLUMNS)
-    as_of: dt.datetime = dt.datetime(2026, 1, 1)
+    #: Posts after this time are reported as of the future; unset, the time of the run.
+    as_of: dt.datetime | None = None
+    max_null_share: float | None = None
+    null_checked: tuple[str, ...] | None = None
+    date_range: tuple[str, str] | None = None
+    min_df: float = 2
+    max_df: float | int = 0.95
+    alert_limits: Mapping[str, float] = field(default_factory=dict)
+    network_metrics: tuple[str, ...] = NETWORK_SECTIONS
+
+    def quality_limits(self) -> dict:
+        limits = {"max_null_share": self.max_null_share, "null_checked": self.null_checked, "date_range": self.date_range}
+        return {name: value for name, value in limits.items() if value is not None}
 
     def on(self, stage: str) -> bool:
         return self.enabled.get(stage, True)
@@ -140,19 +153,31 @@ def enrich_text(
     return text_reports(freeze(enrich_columns(posts, domains, lemmas)), **topic_settings)
 
 
-def network_sections(posts: DataFrame) -> dict[str, DataFrame]:
-    """H1-H7 for the community graph and the reply graph, named apart."""
+def network_sections(posts: DataFrame, wanted: Iterable[str] = NETWORK_SECTIONS) -> dict[str, DataFrame]:
+    """H1-H7 for the community graph and the reply graph, named apart.
+
+    Ranks that do not settle leave the influencers out; any other error is raised.
+    """
+    wanted = set(wanted)
     graph = graphs.community_graph(posts)
     frozen = graphs.Graph(freeze(graph.nodes), freeze(graph.edges))
     replies = graphs.reply_graph(posts)
     frozen_replies = graphs.Graph(freeze(replies.nodes), freeze(replies.edges))
-    return {
-        "community_metrics": graphs.graph_metrics(frozen),
-        "community_influencers": graphs.influencers(frozen),
-        "reply_metrics": graphs.graph_metrics(frozen_replies),
-        "reply_centrality": graphs.top_central(frozen_replies),
-        "top_users": top_users(posts),
+    sections = {
+        "community_metrics": lambda: graphs.graph_metrics(frozen),
+        "community_influencers": lambda: graphs.influencers(frozen),
+        "reply_metrics": lambda: graphs.graph_metrics(frozen_replies),
+        "reply_centrality": lambda: graphs.top_central(frozen_replies),
+        "top_users": lambda: top_users(posts),
     }
+    found = {}
+    for name, section in sections.items():
+        if name in wanted:
+            try:
+                found[name] = section()
+            except graphs.NotSettled:
+                continue
+    return found
 
 
 def analysis_summary(
@@ -185,7 +210,7 @@ def analyse(posts: DataFrame, params: Params = Params()) -> dict[str, DataFrame]
         "statistical_tests": statistical_tests(posts, **params.tests),
     }
     if params.on("network") and {"user_id", "data_source"} <= columns:
-        sections |= network_sections(posts)
+        sections |= network_sections(posts, params.network_metrics)
     if "created_at" in columns:
         daily = freeze(daily_metrics(posts))
         if len(daily.columns) > 1 and daily.count() >= 7:
@@ -211,7 +236,7 @@ def analyse(posts: DataFrame, params: Params = Params()) -> dict[str, DataFrame]
             specific.append(cross_platform_correlation(pivoted, names))
         if specific:
             sections["project_specific_metrics"] = reduce(DataFrame.unionByName, specific)
-        sections["alerts"] = alerts(posts, sections["correlations"])
+        sections["alerts"] = alerts(posts, sections["correlations"], **params.alert_limits)
     sections["summary"] = analysis_summary(
         sections["correlations"], sections["statistical_tests"], sections.get("technology_domains")
     )
@@ -232,7 +257,10 @@ def run_job(
     results: dict[str, DataFrame] = {}
     validated = params.on("validation")
     if validated:
-        results["validation"] = validation_report(spark, frames, params.as_of, params.required_columns)
+        results["validation"] = validation_report(
+            spark, frames, params.as_of or dt.datetime.now(dt.UTC).replace(tzinfo=None), params.required_columns,
+            **params.quality_limits(),
+        )
     status = overall_status(results["validation"] if validated and frames else None, validated)
     results["validation_status"] = spark.createDataFrame([(status,)], "overall_status string")
     enrich = partial(enrich_columns, domains=params.domains, lemmas=lemmas) if params.on("nlp") else None
@@ -240,7 +268,9 @@ def run_job(
     if posts is None:
         return results
     if "text_tokens_clean" in posts.columns:
-        nlp = text_reports(posts, params.topics, params.num_topics, params.seed)
+        nlp = text_reports(
+            posts, params.topics, params.num_topics, params.seed, min_df=params.min_df, max_df=params.max_df
+        )
         results["sentiment_distribution"] = nlp.sentiment_distribution
         if nlp.topics is not None:
             results["topics"] = nlp.topics

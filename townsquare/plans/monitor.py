@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from townsquare.operators.rollups import daily_sentiment, daily_volume, daily_volume_by_source
+from townsquare.functions.filters import in_date_range, in_sources, source_contains, with_time
+from townsquare.operators.rollups import (
+    daily_sentiment,
+    daily_volume,
+    daily_volume_by_source,
+    histogram,
+    kpis,
+    top_categories,
+    top_posts,
+)
+from townsquare.sources.readers import load_run
 
 SENTIMENT_DROP = -0.1
 SENTIMENT_DAYS = 3
@@ -51,7 +63,13 @@ def control_limits(df: DataFrame, sigma: float = VOLUME_SIGMA) -> DataFrame:
 ALERT_SCHEMA = "level string, title string, detail string"
 
 
-def alerts(df: DataFrame, correlations: DataFrame | None = None) -> DataFrame:
+def alerts(
+    df: DataFrame,
+    correlations: DataFrame | None = None,
+    sentiment_drop: float = SENTIMENT_DROP,
+    volume_sigma: float = VOLUME_SIGMA,
+    weak_correlation: float = WEAK_CORRELATION,
+) -> DataFrame:
     """K1-K3 as one list: a row per kind of alert and, for correlations, per name."""
 
     def dates(found: DataFrame, level: str, title: str) -> DataFrame:
@@ -63,11 +81,11 @@ def alerts(df: DataFrame, correlations: DataFrame | None = None) -> DataFrame:
     parts = []
     if "created_at" in df.columns:
         if "sentiment_compound" in df.columns:
-            parts.append(dates(sentiment_alerts(df), "critical", "sentiment drop"))
-        parts.append(dates(volume_alerts(df), "warning", "volume anomaly"))
+            parts.append(dates(sentiment_alerts(df, sentiment_drop), "critical", "sentiment drop"))
+        parts.append(dates(volume_alerts(df, volume_sigma), "warning", "volume anomaly"))
     if correlations is not None:
         parts.append(
-            weak_correlations(correlations).select(
+            weak_correlations(correlations, weak_correlation).select(
                 F.lit("info").alias("level"),
                 F.lit("weak correlation").alias("title"),
                 F.col("name").alias("detail"),
@@ -77,3 +95,33 @@ def alerts(df: DataFrame, correlations: DataFrame | None = None) -> DataFrame:
     for part in parts:
         out = out.unionByName(part)
     return out
+
+
+def monitoring(
+    spark: SparkSession,
+    base: str,
+    run_id: str,
+    sources: Sequence[str] | None = None,
+    dates: tuple | None = None,
+    correlations: DataFrame | None = None,
+    **limits: float,
+) -> dict[str, DataFrame]:
+    """The monitoring read: one stored run, filtered, as figures, volumes and alerts.
+
+    ``sources`` and ``dates`` narrow everything; categories, histogram and top posts are those
+    of the Reddit-like posts.
+    """
+    posts = with_time(load_run(spark, base, run_id))
+    if sources is not None:
+        posts = posts.filter(in_sources(sources))
+    if dates is not None:
+        posts = posts.filter(in_date_range(*dates))
+    reddit = posts.filter(source_contains("reddit"))
+    return {
+        "kpis": kpis(posts),
+        "daily_volume": daily_volume_by_source(posts),
+        "top_categories": top_categories(reddit),
+        "histogram": histogram(reddit),
+        "top_posts": top_posts(reddit),
+        "alerts": alerts(posts, correlations, **limits),
+    }

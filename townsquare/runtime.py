@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 _LOCAL_FALLBACK_CONF = "spark.townsquare.localScratch"
+#: Intermediate tables not yet deleted; the innermost scope owns what is written inside it.
+_WRITTEN: dict[str, SparkSession] = {}
+_SCOPES: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,16 +37,52 @@ def shared_folder(spark: SparkSession) -> str:
 def write_intermediate(df: DataFrame) -> str:
     """Write ``df`` as a Parquet table in the shared folder and return its path."""
     path = f"{shared_folder(df.sparkSession)}/townsquare/{uuid.uuid4().hex}"
+    own_path(df.sparkSession, path)
     df.write.parquet(path)
     return path
 
 
+def own_path(spark: SparkSession, path: str) -> str:
+    """Note a path for deletion with the innermost scope, or when the process ends."""
+    _WRITTEN[path] = spark
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Delete on exit, also after a failure, every intermediate table written inside.
+
+    For work whose results have been written or collected before the scope ends.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        for path in paths:
+            if path in _WRITTEN:
+                drop_intermediate(_WRITTEN[path], path)
+
+
+@atexit.register
+def _drop_all() -> None:
+    for path, spark in list(_WRITTEN.items()):
+        try:
+            drop_intermediate(spark, path)
+        except Exception:  # the session may be gone, and with it the way to the folder
+            return
+
+
 def read_intermediate(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
 def drop_intermediate(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table this library wrote itself."""
+    _WRITTEN.pop(path, None)
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 

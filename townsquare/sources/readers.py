@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,20 +13,18 @@ from pyspark.sql import types as T
 
 from townsquare.runtime import freeze
 
-RAW_FILE_GLOB = "*.{csv,parquet}"
-
 
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A1: CSV with a header; types come from ``schema`` or, for ad-hoc reads, are inferred.
 
     With a schema the columns are matched to the header by name, so a file may hold them in
-    any order and may lack some (those become null). Quoted fields may span lines; where they
-    never do, ``multi_line=False`` lets Spark split large files into many tasks.
+    any order and may lack some (those become null). Large files are split into many tasks; where
+    quoted fields may span lines, ``multi_line=True`` reads them whole, at a task per file.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if schema is None:
@@ -53,59 +51,66 @@ def read_parquet(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
-def read_any(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_any(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+) -> DataFrame:
     """Scan by suffix: ``.csv`` or ``.parquet``."""
     if path.rstrip("/").endswith(".csv"):
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, multi_line)
     if path.rstrip("/").endswith(".parquet"):
         return read_parquet(spark, path, schema)
     raise ValueError(f"neither .csv nor .parquet: {path}")
 
 
+def _listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly under a folder, by one listing of the Hadoop file system; [] if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        return []
+    return sorted(status.getPath().getName() for status in store.listStatus(path))
+
+
 def raw_dataset_names(spark: SparkSession, folder: str) -> list[str]:
     """Names of the datasets in a raw folder: each top-level ``.csv``/``.parquet`` file or folder.
 
-    Only the file listing is read (the ``content`` column is pruned); hidden names are skipped
-    by Spark's own listing. The result has one row per dataset, not per file.
+    One level is listed, however many files the datasets hold; hidden names are skipped.
     """
-    root = folder.rstrip("/")
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", RAW_FILE_GLOB)
-        .load(root)
-        .select("path")
-    )
-    # Listed paths carry a scheme; what follows the folder's own path is the dataset's.
-    own_path = re.escape(re.sub(r"^[a-zA-Z0-9]+:(//[^/]*)?", "", root))
-    tail = F.split(F.col("path"), f"{own_path}/", 2)[1]
-    names = files.select(F.substring_index(tail, "/", 1).alias("name")).distinct()
-    keep = F.col("name").rlike(r"\.(csv|parquet)$") & ~F.col("name").startswith(".")
-    return [row["name"] for row in names.filter(keep).orderBy("name").collect()]
+    names = _listed(spark, folder.rstrip("/"))
+    return [name for name in names if re.search(r"\.(csv|parquet)$", name) and not name.startswith((".", "_"))]
 
 
-def read_raw_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """A3: one lazy DataFrame per dataset of a raw folder."""
+def read_raw_folder(
+    spark: SparkSession,
+    folder: str,
+    schemas: Mapping[str, T.StructType] | None = None,
+    multi_line: bool = False,
+) -> dict[str, DataFrame]:
+    """A3: one lazy DataFrame per dataset of a raw folder; ``schemas`` go by dataset name."""
     root = folder.rstrip("/")
-    return {name: read_any(spark, f"{root}/{name}") for name in raw_dataset_names(spark, root)}
+    return {
+        name: read_any(spark, f"{root}/{name}", (schemas or {}).get(name), multi_line)
+        for name in raw_dataset_names(spark, root)
+    }
 
 
 def first_available(
-    spark: SparkSession, paths: Iterable[str], schema: T.StructType | None = None
+    spark: SparkSession, paths: Iterable[str], schema: T.StructType | None = None, multi_line: bool = False
 ) -> tuple[DataFrame, str] | None:
     """A4: the first candidate location that can be scanned, with its path; ``None`` if none can."""
     for path in paths:
         try:
-            return read_any(spark, path, schema), path
+            return read_any(spark, path, schema, multi_line), path
         except (AnalysisException, ValueError):
             continue
     return None
 
 
-def seeded_sample(df: DataFrame, n: int = 30_000, seed: int = 42) -> DataFrame:
+def seeded_sample(df: DataFrame, n: int = 30_000, seed: int = 42, key: str | None = None) -> DataFrame:
     """A5: exactly min(n, rows) rows without replacement, repeatable under any partitioning.
 
-    Rows are ranked by a seeded hash of their content. A hash cut keeps a little more than
+    Rows are ranked by the MD5 of the seed and a ``key`` column, or of the seed and the whole row
+    where none is named. A hash cut keeps a little more than
     ``n`` rows before the ordered limit, so the final sort sees about ``n`` rows in all and
     not ``n`` per input task; the cut is widened in the rare case that it keeps too few.
     """
@@ -113,11 +118,12 @@ def seeded_sample(df: DataFrame, n: int = 30_000, seed: int = 42) -> DataFrame:
     if total <= n:
         return df
     columns = [F.col(f"`{c}`") for c in df.columns]
-    hashed = df.withColumn("__hash", F.xxhash64(F.lit(seed), *columns))
+    content = F.col(key).cast("string") if key else F.to_json(F.struct(*columns))
+    hashed = df.withColumn("__hash", F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(content, F.lit("")))))
     share = min(1.0, (n + 8 * math.sqrt(n) + 8) / total)
     while True:
-        bound = min(int(share * 2**64) - 2**63 - 1, 2**63 - 1)
-        kept = hashed.filter(F.col("__hash") <= F.lit(bound))
+        bound = min(int(share * 16**8), 16**8 - 1)
+        kept = hashed.filter(F.substring("__hash", 1, 8) <= F.lit(f"{bound:08x}"))
         if share >= 1.0:
             break
         kept = freeze(kept)
@@ -133,21 +139,9 @@ def with_source(df: DataFrame, source: str) -> DataFrame:
 
 
 def list_runs(spark: SparkSession, base: str) -> list[str]:
-    """A10: run ids that hold a final dataset, newest first.
-
-    Partition values are taken from the listing alone; no data file is opened.
-    """
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .schema("path string, modificationTime timestamp, length long, content binary, run_id string")
-            .option("pathGlobFilter", "*.parquet")
-            .load(f"{base.rstrip('/')}/posts")
-        )
-        runs = files.select("run_id").distinct().orderBy(F.desc("run_id"))
-        return [row["run_id"] for row in runs.collect()]
-    except AnalysisException:
-        return []
+    """A10: run ids that hold a final dataset, newest first; one level is listed."""
+    names = _listed(spark, f"{base.rstrip('/')}/posts")
+    return sorted((name.removeprefix("run_id=") for name in names if name.startswith("run_id=")), reverse=True)
 
 
 def load_run(spark: SparkSession, base: str, run_id: str) -> DataFrame:

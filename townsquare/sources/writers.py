@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from townsquare.runtime import freeze
 from townsquare.sources import readers
@@ -62,21 +63,23 @@ def ingest(
     spark,
     candidates: Mapping[str, list[str]],
     out_folder: str,
-    sampled: tuple[str, ...] = ("reddit_kaggle",),
+    sampled: tuple[str, ...] = (),
     n: int = 30_000,
     seed: int = 42,
     enabled: bool = True,
+    schemas: Mapping[str, T.StructType] | None = None,
+    multi_line: bool = False,
 ) -> dict[str, str]:
     """A4-A7 in one step: pick each source's first usable location and return its path.
 
-    A source named in ``sampled`` is cut to a bounded sample (``n=None`` keeps all rows), tagged
+    All rows are kept unless asked otherwise: a source named in ``sampled`` is cut to a bounded sample (``n=None`` keeps all rows), tagged
     and written next to the others as CSV; the rest are used where they lie.
     """
     if not enabled:
         return {}
     paths = {}
     for source, locations in candidates.items():
-        found = readers.first_available(spark, locations)
+        found = readers.first_available(spark, locations, (schemas or {}).get(source), multi_line)
         if found is None:
             continue
         df, path = found
