@@ -197,7 +197,8 @@ def remove(docs: DataFrame, stored: Stored, group_extents: int = GROUP_EXTENTS)
     places = base.select(
         "text_id", F.posexplode(F.arrays_zip("blocks", "extents")).alias("k", "s")
     ).select("text_id", "k", F.col("s.blocks").alias("block"), F.col("s.extents").alias("extent_name"))
-    blocks = (
+    # Stored, so that the join below is free to split a block that a third of all texts share.
+    blocks = stored.put(
         places.groupBy("block")
         .agg(F.count("*").alias("n"), F.min("extent_name").alias("least"), F.max("extent_name").alias("most"))
         .where("n > 1").select("block", (F.col("least") != F.col("most")).alias("differ"))
@@ -215,7 +216,7 @@ def remove(docs: DataFrame, stored: Stored, group_extents: int = GROUP_EXTENTS)
     ).groupBy("text_id").agg(F.collect_list("ask").alias("asks"))
     wholes = whole.groupBy("text_id").agg(F.collect_list("k").alias("wholes"))
     wanted = stored.put(asked.join(wholes, "text_id", "full"))
-    stored.drop(hits, names)
+    stored.drop(blocks, hits, names)
     firsts = base.select("text_id", "firsts").dropDuplicates(["text_id"])
     texts = stored.put(
         docs.select(text_id(), F.col("text").cast("string").alias("text"))
