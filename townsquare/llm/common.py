@@ -191,16 +191,15 @@ def components(edges: DataFrame, stored: Stored, a: str = "a", b: str = "b") ->
             both.where("b > a").join(least, "a")
             .select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
         )
-        large = stored.put(large)
-        stored.drop(edges)
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a")
+        before = edges
         edges = stored.put(
             small.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
                                            F.struct(F.col("a"), F.col("m").alias("b")))).alias("e"))
             .select("e.*").where("a != b").distinct()
         )
-        stored.drop(large)
+        stored.drop(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == signature:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

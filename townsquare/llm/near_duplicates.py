@@ -36,7 +36,11 @@ TREES = 32
 DEPTH = 5
 TARGET_RECALL = 0.99999
 #: Texts a verification unit compares; two blocks make one unit of a larger bucket.
-BLOCK = 128
+BLOCK = 256
+#: Rows of a narrow side (a few longs each) up to which it is broadcast; beyond, joins shuffle.
+SMALL_ROWS = 2_000_000
+#: Bytes of shingle sets, of many units, that one call verifies on average.
+UNIT_BYTES = 8_000_000
 _SEED = 20240501
 _SCHEMA = "doc_id bigint, text_key bigint, set_key bigint, n_shingles int, signature array<int>, shingles binary"
 _CHUNK = 2048
@@ -97,6 +101,11 @@ def _text_key():
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
+def small_side(stored_table: DataFrame) -> DataFrame:
+    """A stored narrow table, broadcast where its counted rows are within the bound."""
+    return F.broadcast(stored_table) if stored_table.count() <= SMALL_ROWS else stored_table
+
+
 def prefixes(classes: DataFrame, trees: int, depth: int, stored_depth: int) -> DataFrame:
     """Rows (set_key, prefixes): a hash of the first ``depth`` values of every tree."""
     paths = [
@@ -126,51 +135,68 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+class Unit:
+    """Counts, weights and spanning edges of the verified links among a unit's texts."""
+
+    def __init__(self, ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], trees: int, depth: int) -> None:
+        self.ids, self.sets, self.trees, self.depth = ids, sets, trees, depth
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        self.counts, self.weights = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids))
+        self.root = np.arange(len(ids))
+        self.first, self.second = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+
+    def link(self, similarity: float, across: bool, paths: np.ndarray | None, tree: int) -> None:
+        """Verify the pairs within one block or across two; with ``paths``, those that meet in
+        this tree for the first time."""
+        second = self.second if across else self.first
+        if not len(self.first) or not len(second):
+            return
+        shared = _overlaps([self.sets[i] for i in self.first], [self.sets[i] for i in second])
+        together = self.sizes[self.first][:, None] + self.sizes[second][None, :] - shared
+        linked = shared * 1000 >= round(similarity * 1000) * together
+        if not across:
+            linked &= second[None, :] > self.first[:, None]
+        jaccard = shared / together
+        for row in np.flatnonzero(linked.any(axis=1)):
+            i, at = self.first[row], np.flatnonzero(linked[row])
+            if paths is not None and tree:
+                at = at[~(paths[second[at], :tree] == paths[i, :tree]).any(axis=1)]
+            if not len(at):
+                continue
+            partners = second[at]
+            w = 1 / found_probability(jaccard[row, at], self.trees, self.depth)
+            self.counts[i] += len(partners)
+            self.weights[i] += w.sum()
+            self.counts[partners] += 1
+            self.weights[partners] += w
+            roots = np.unique(self.root[[i, *partners]])
+            self.root[np.isin(self.root, roots)] = roots[0]
+
+
 def _verify(trees: int, depth: int, similarity: float):
-    """A function for one unit: its verified links as counts and one spanning edge per text."""
-
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
-        bucketed = bool(frame["by_prefix"].iloc[0])
-        frame = frame.sort_values(["side", "set_key"], kind="stable").reset_index(drop=True)
-        sides = frame["side"].to_numpy()
-        same = not frame["across"].iloc[0]
-        first = np.flatnonzero(sides == 0)
-        second = first if same else np.flatnonzero(sides == 1)
-        ids = frame["set_key"].to_numpy()
-        sets = [unpacked(x) for x in frame["shingles"]]
-        sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        counts = np.zeros(len(ids), dtype=np.int64)
-        weights = np.zeros(len(ids))
-        root = np.arange(len(ids))
-        paths = np.array(frame["prefixes"].tolist(), dtype=np.int64) if bucketed else None
-        tree = int(frame["tree"].iloc[0])
-        if len(first) and len(second):
-            shared = _overlaps([sets[i] for i in first], [sets[i] for i in second])
-            together = sizes[first][:, None] + sizes[second][None, :] - shared
-            linked = shared * 1000 >= round(similarity * 1000) * together
-            for k, i in enumerate(first):
-                row = linked[k] & ((second > i) if same else True)
-                partners = second[row]
-                if bucketed and tree and len(partners):
-                    # A pair belongs to the first tree in which it meets.
-                    row_in = (paths[partners, :tree] == paths[i, :tree]).any(axis=1)
-                    partners = partners[~row_in]
-                if not len(partners):
-                    continue
-                j = shared[k][np.searchsorted(second, partners)] / (
-                    sizes[i] + sizes[partners] - shared[k][np.searchsorted(second, partners)]
-                )
-                w = 1 / found_probability(j, trees, depth)
-                counts[i] += len(partners)
-                weights[i] += w.sum()
-                counts[partners] += 1
-                weights[partners] += w
-                roots = np.unique(root[[i, *partners]])
-                root[np.isin(root, roots)] = roots[0]
-        hit = counts > 0
-        return pd.DataFrame(
-            {"set_key": ids[hit], "links": counts[hit], "weight": weights[hit], "joined": ids[root[hit]]}
-        )
+    """A function over the rows of many units: their verified links."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["unit", "side", "set_key"], kind="stable", ignore_index=True)
+        units = frame["unit"].to_numpy()
+        cuts = np.flatnonzero(np.concatenate([[True], units[1:] != units[:-1], [True]]))
+        ids, sides = frame["set_key"].to_numpy(), frame["side"].to_numpy()
+        done = []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            unit = Unit(ids[a:b], sides[a:b], [unpacked(x) for x in frame["shingles"].iloc[a:b]], trees, depth)
+            by_prefix = frame["by_prefix"].iat[a]
+            paths = np.array(frame["prefixes"].iloc[a:b].tolist(), dtype=np.int64) if by_prefix else None
+            unit.link(similarity, bool(frame["across"].iat[a]), paths, int(frame["tree"].iat[a]))
+            done.append(unit)
+        hit = [u.counts > 0 for u in done]
+
+        def gathered(values: list[np.ndarray]) -> np.ndarray:
+            return np.concatenate([v[h] for v, h in zip(values, hit, strict=True)])
+
+        return pd.DataFrame({
+            "set_key": gathered([u.ids for u in done]), "links": gathered([u.counts for u in done]),
+            "weight": gathered([u.weights for u in done]), "joined": gathered([u.ids[u.root] for u in done]),
+        })
 
     return run
 
@@ -178,10 +204,12 @@ def _verify(trees: int, depth: int, similarity: float):
 def verified(signed: DataFrame, classes: DataFrame, stored: Stored, trees: int, depth: int, stored_depth: int,
              similarity: float) -> DataFrame:
     """Rows (set_key, links, weight, joined) of the verified links at this depth."""
-    paths = stored.put(prefixes(classes, trees, depth, stored_depth))
+    paths = prefixes(classes, trees, depth, stored_depth)
     rows = paths.select("set_key", F.posexplode("prefixes").alias("tree", "prefix"))
-    heads = rows.groupBy("prefix").agg(F.min("set_key").alias("head"), F.count("*").alias("members")).where("members > 1")
-    met = stored.put(rows.join(heads, "prefix").select("set_key", "tree", "prefix", "head", "members"))
+    heads = stored.put(
+        rows.groupBy("prefix").agg(F.min("set_key").alias("head"), F.count("*").alias("members")).where("members > 1")
+    )
+    met = stored.put(rows.join(small_side(heads), "prefix").select("set_key", "tree", "prefix", "head", "members"))
     regions = components(met.select(F.col("set_key").alias("a"), F.col("head").alias("b")), stored)
     regions = stored.put(
         regions.unionByName(regions.select(F.col("root").alias("node"), "root")).distinct()
@@ -196,7 +224,7 @@ def verified(signed: DataFrame, classes: DataFrame, stored: Stored, trees: int,
     )
     # Large regions: each bucket by blocks; a text goes to the units of its block with every other.
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = met.join(large, "set_key").withColumn("blocks", blocks).withColumn(
+    dealt = met.join(large, "set_key", "left_semi").withColumn("blocks", blocks).withColumn(
         "block", F.pmod(F.xxhash64("set_key", "tree"), F.col("blocks")).cast("int")
     )
     partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -206,19 +234,25 @@ def verified(signed: DataFrame, classes: DataFrame, stored: Stored, trees: int,
         (F.col("block") != F.col("other")).alias("across"), "set_key",
     )
     members = small.unionByName(units)
-    sets = stored.put(
-        signed.join(regions.select(F.col("node").alias("set_key")), "set_key", "left_semi")
-        .select("set_key", "shingles").dropDuplicates(["set_key"]).join(paths, "set_key")
+    inside = small_side(regions.select(F.col("node").alias("set_key")))
+    bytes_of = classes.join(inside, "set_key", "left_semi").select("set_key", (6 * F.col("n_shingles")).alias("n"))
+    times = members.groupBy("set_key").agg(F.count("*").alias("units"))
+    size = times.join(bytes_of, "set_key").agg(F.sum(F.col("units") * F.col("n"))).first()[0]
+    buckets = (size or 0) // UNIT_BYTES + 1
+    # All keyed by set_key: the sets are shuffled here once, and once more to their units.
+    sets = (
+        signed.join(inside, "set_key", "left_semi").select("set_key", "shingles").dropDuplicates(["set_key"])
+        .join(paths.join(inside, "set_key", "left_semi"), "set_key")
     )
     plain = members.join(sets, "set_key").select(
         "unit", "side", "tree", "by_prefix", "across", "set_key", "shingles",
         F.when(F.col("by_prefix"), F.col("prefixes")).alias("prefixes"),
     )
-    out = plain.groupBy("unit").applyInPandas(
+    out = plain.groupBy(F.pmod(F.xxhash64("unit"), F.lit(buckets))).applyInPandas(
         _verify(trees, depth, similarity), "set_key bigint, links bigint, weight double, joined bigint"
     )
     out = stored.put(out)
-    stored.drop(paths, met, regions, large, sets)
+    stored.drop(heads, met, regions, large)
     return out
 
 
@@ -245,6 +279,7 @@ def join(
         filled.groupBy("set_key").agg(
             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"),
             F.first("signature").alias("signature"),
+            F.first("n_shingles").alias("n_shingles"),
         )
     )
     at = depth
@@ -279,8 +314,13 @@ def join(
 
 def one_of_each(docs: DataFrame, stored: Stored) -> DataFrame:
     """``docs`` with one document of every group; rows repeated with id and text appear once."""
-    kept = join(docs, stored).where("kept").select(F.col("doc_id").alias("__llm_doc"), F.col("text_key").alias("__llm_text"))
+    found = join(docs, stored).groupBy(F.col("doc_id").alias("__llm_doc"), F.col("text_key").alias("__llm_text")).agg(
+        F.bool_or("kept").alias("__llm_kept"), (F.count("*") > 1).alias("__llm_again")
+    )
+    # Most rows are kept and appear once; only the others have to be looked up.
+    odd = small_side(stored.put(found.where("not __llm_kept or __llm_again")))
     own = docs.withColumn("__llm_own", _text_key())
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__llm_doc")) & (F.col("__llm_own") == F.col("__llm_text"))
-    return own.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__llm_own"]).select(*docs.columns)
-
+    once = own.join(odd, same, "left_anti")
+    again = own.join(odd.where("__llm_kept"), same, "left_semi").dropDuplicates(["doc_id", "__llm_own"])
+    return once.unionByName(again).select(*docs.columns)
