@@ -108,6 +108,29 @@ def test_boilerplate_goes_and_copies_stay(spark, stored):
     assert cleaned[5]["text"].count("\n") == 9
 
 
+def test_fixed_footers_go_and_near_copies_count_once(spark, stored):
+    rng = random.Random(4)
+    footer = ["we use cookies on this page", "read the terms of our house", "all about us and the team"]
+    boiler = "subscribe to our letter"
+    rows = []
+    for k in range(40):
+        lines = [prose(rng, 12, 5000) for _ in range(10)]
+        rows.append((k, "\n".join([*lines[:4], boiler, *lines[4:], *footer]), "a" if k % 2 else None))
+    rows = [(k, t, "a") for k, t, _ in rows] + [(1000 + k, t, None) for k, t, _ in rows]
+    near = [prose(rng, 12, 5000) for _ in range(12)]
+    for k in range(30):
+        words = "\n".join([*near[:6], boiler, *near[6:]]).split(" ")
+        words[rng.randrange(60, len(words) - 1)] = f"other{k}"
+        rows.append((100 + k, " ".join(words), "a"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = {r["doc_id"]: r for r in line_rules.judge(docs, stored).collect()}
+    footer_words = sum(len(x.split()) for x in [*footer, boiler])
+    assert all(got[k]["removed_words"] == footer_words for k in [*range(40), *range(1000, 1040)])
+    # Of the near copies only the boilerplate goes (a changed word may lie in it), not their own 12 lines.
+    text = {k: t for k, t, _ in rows}
+    assert all(got[k]["removed_words"] == 4 * (boiler in text[k].split("\n")) and got[k]["kept"] for k in range(100, 130))
+
+
 # --- personal data ------------------------------------------------------------------------------
 
 PATTERNS = {

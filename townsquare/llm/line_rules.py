@@ -1,9 +1,9 @@
 """Quality rules: frequent lines across documents, and documents they leave depleted.
 
-Lines are normalised and hashed; per host, the documents holding a line are counted, lines
-above the limit are removed, and documents that lose too much are rejected. Copies must not
-make prose look like boilerplate, so a line counts once for each pair of neighbouring lines
-it is found between, and only lines that move among different neighbours are removed.
+Lines are normalised and hashed; per host, the distinct documents holding a line are counted,
+lines above the limit are removed, and documents that lose too much are rejected. Copies must
+not make prose look like boilerplate, so equal texts of a host are one document, and near
+copies of each other, found by a MinHash sketch of the whole text, are one as well.
 """
 
 from __future__ import annotations
@@ -19,33 +19,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from townsquare.llm.common import (
+    U64,
     Stored,
     as_text,
+    components,
     encoded,
     hashed_words,
     map_rows,
     small_batches,
     windows,
 )
+from townsquare.llm.near_duplicates import signature
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 #: A line is frequent in a host above this share of its documents and at least this number.
 LINE_SHARE = 0.02
 LINE_DOCUMENTS = 20
-#: Of the places of a frequent line, the share that must have neighbours of their own.
-LINE_DIVERSITY = 0.8
+#: Texts of a host are one document if so much of their 3-word windows is shared, as their sketches tell.
+COPY_SIMILARITY = 0.7
+#: A sketch has so many bands of so many values; texts that share a band are compared.
+BANDS = 16
+BAND_VALUES = 4
 #: A document is depleted when less than this share of its words is left.
 LEFT_SHARE = 0.5
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 
 _DIGITS = re.compile(r"\b[0-9]+\b")
-_LINES = "array<struct<line:bigint,context:bigint,words:int>>"
+_LINES = "array<struct<line:bigint,words:int>>"
 _SCHEMA = (
     "doc_id bigint, source string, text_key bigint, n_words bigint, word_chars bigint, n_symbols bigint,"
-    f" n_dup_lines bigint, n_repeat_words bigint, lines {_LINES}"
+    f" n_dup_lines bigint, n_repeat_words bigint, sketch array<int>, lines {_LINES}"
 )
+_RNG = np.random.default_rng(20240601)
+_FACTORS = _RNG.integers(1, 1 << 32, BANDS * BAND_VALUES, dtype=np.uint32) | np.uint32(1)
+_TERMS = _RNG.integers(1, 1 << 32, BANDS * BAND_VALUES, dtype=np.uint32)
 
 
 def normal_line(line: str) -> str:
@@ -74,7 +83,13 @@ def repeated_words(h: np.ndarray) -> int:
     return int((np.cumsum(covered)[:-1] > 0).sum())
 
 
-def measure(text: str) -> tuple[int, int, int, int, int]:
+def sketch(words: np.ndarray) -> np.ndarray | None:
+    """MinHash values of the 3-word windows; a text without words has none."""
+    w = windows(words, min(3, len(words))) if len(words) else words
+    return signature(w >> U64(16), _FACTORS, _TERMS) if len(w) else None
+
+
+def measure(text: str) -> tuple[int, int, int, int, int, np.ndarray | None]:
     words = hashed_words(encoded(text))
     filled = [line for line in text.split("\n") if line.strip(SPACES)]
     return (
@@ -83,22 +98,17 @@ def measure(text: str) -> tuple[int, int, int, int, int]:
         sum(map(text.count, SYMBOLS)),
         len(filled) - len(set(filled)),
         repeated_words(words),
+        sketch(words),
     )
 
 
 def document_lines(text: str) -> list[dict]:
-    """Each distinct normalised line once, with a hash of its neighbours and its words in all."""
-    filled = [line for line in text.split("\n") if line.strip(SPACES)]
-    hashes = [line_hash(line) for line in filled]
+    """Each distinct normalised line once, with its words in all."""
     found: dict[int, dict] = {}
-    for k, (line, h) in enumerate(zip(filled, hashes, strict=True)):
-        words = len(encoded(line).split())
-        if h in found:
-            found[h]["words"] += words
-        else:
-            around = (hashes[k - 1] if k else 0, hashes[k + 1] if k + 1 < len(hashes) else 0)
-            context = int(xxhash.xxh3_64_intdigest(np.array(around, dtype=np.int64).tobytes()) >> 1)
-            found[h] = {"line": h, "context": context, "words": words}
+    for line in text.split("\n"):
+        if line.strip(SPACES):
+            h = line_hash(line)
+            found.setdefault(h, {"line": h, "words": 0})["words"] += len(encoded(line).split())
     return list(found.values())
 
 
@@ -108,7 +118,7 @@ def profile(docs: DataFrame) -> DataFrame:
     def run(ids, texts, sources, keys):
         texts = [as_text(t) for t in texts]
         measures = [measure(t) for t in texts]
-        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "sketch")
         out = {"doc_id": ids, "source": sources, "text_key": keys}
         out |= {name: [m[k] for m in measures] for k, name in enumerate(names)}
         return _arrow(out | {"lines": [document_lines(t) for t in texts]})
@@ -125,32 +135,76 @@ def text_key() -> Column:
 
 def _arrow(out: dict) -> dict:
     kinds = {"doc_id": pa.int64(), "source": pa.string(), "text_key": pa.int64()}
-    line = pa.list_(pa.struct([("line", pa.int64()), ("context", pa.int64()), ("words", pa.int32())]))
-    return {k: pa.array(v, line if k == "lines" else kinds.get(k, pa.int64())) for k, v in out.items()}
+    kinds["sketch"] = pa.list_(pa.int32())
+    kinds["lines"] = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int32())]))
+    return {k: pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()}
+
+
+def _node() -> Column:
+    """A text of a host."""
+    return F.xxhash64(F.col("source").isNull(), F.coalesce("source", F.lit("")), "text_key").alias("node")
+
+
+def copies(profiled: DataFrame, stored: Stored) -> DataFrame:
+    """Rows (node, root): the texts of a host that are near copies of others, and one text for each group.
+
+    Texts that share a band of their sketches with the band's least text are compared with it
+    on whole sketches; pairs similar enough are edges. Only keys and sketches are moved.
+    """
+    texts = profiled.where("sketch is not null").select("source", _node(), "sketch")
+    paths = [
+        F.xxhash64(F.col("source").isNull(), "source", F.lit(t), *[F.col("sketch")[t * BAND_VALUES + k] for k in range(BAND_VALUES)])
+        for t in range(BANDS)
+    ]
+    bands = texts.select("node", F.explode(F.array(*paths)).alias("band"))
+    least = (
+        bands.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+        .where("first != last").select("band", "first")
+    )
+    pairs = stored.put(bands.join(least, "band").where("node != first").select("node", "first").distinct())
+    sketches = texts.select("node", "sketch").dropDuplicates(["node"])
+    ends = pairs.select("node").union(pairs.select("first")).distinct()
+    sketches = stored.put(sketches.join(ends, "node", "left_semi"))
+    other = sketches.select(F.col("node").alias("first"), F.col("sketch").alias("other"))
+    equal = F.aggregate(
+        F.zip_with("sketch", "other", lambda a, b: (a == b).cast("int")), F.lit(0), lambda total, one: total + one
+    )
+    edges = (
+        pairs.join(sketches, "node").join(other, "first")
+        .where(equal >= COPY_SIMILARITY * BANDS * BAND_VALUES)
+        .select(F.col("node").alias("a"), F.col("first").alias("b"))
+    )
+    return components(edges, stored)
 
 
-def frequent_lines(profiled: DataFrame, share: float, documents: int, diversity: float) -> DataFrame:
+def frequent_lines(profiled: DataFrame, stored: Stored, share: float, documents: int) -> DataFrame:
     """Lines above the limits: rows (source, line).
 
-    Three grouping steps, each combined map-side, so a line found in a third of all
-    documents reaches its last task as a few partial counts.
+    A first count of rows, combined map-side, leaves the lines that can be frequent at all;
+    for these the documents are counted, near copies as one.
     """
-    places = profiled.select("source", "text_key", F.explode("lines").alias("l")).select(
-        "source", "text_key", F.col("l.line").alias("line"), F.col("l.context").alias("context")
+    roots = stored.put(copies(profiled, stored))
+    places = profiled.select("source", "text_key", F.explode("lines.line").alias("line"))
+    often = (
+        places.groupBy("source", "line").count().where(F.col("count") > documents)
+        .select(F.col("source").alias("often_source"), F.col("line").alias("often_line"))
     )
+    same_line = (F.col("line") == F.col("often_line")) & F.col("source").eqNullSafe(F.col("often_source"))
+    root = F.coalesce("root", "node")
+    texts = profiled.select("source", _node()).distinct()
     hosts = (
-        profiled.select("source", "text_key").distinct().groupBy("source").agg(F.count("*").alias("host_texts"))
-        .withColumnRenamed("source", "host")
+        texts.join(roots, "node", "left").select("source", root.alias("root")).distinct()
+        .groupBy(F.col("source").alias("host")).agg(F.count("*").alias("host_documents"))
     )
     counted = (
-        places.distinct()
-        .groupBy("source", "line", "context").agg(F.count("*").alias("texts"))
-        .groupBy("source", "line").agg(F.count("*").alias("contexts"), F.sum("texts").alias("texts"))
-        .where((F.col("contexts") > documents) & (F.col("contexts") >= diversity * F.col("texts")))
+        places.join(often, same_line, "left_semi").select("source", "line", _node()).distinct()
+        .join(roots, "node", "left").select("source", "line", root.alias("root")).distinct()
+        .groupBy("source", "line").agg(F.count("*").alias("documents"))
+        .where(F.col("documents") > documents)
     )
     return (
         counted.join(hosts, F.col("source").eqNullSafe(F.col("host")))
-        .where(F.col("contexts") > share * F.col("host_texts"))
+        .where(F.col("documents") > share * F.col("host_documents"))
         .select("source", "line")
     )
 
@@ -160,7 +214,6 @@ def judge(
     stored: Stored,
     share: float = LINE_SHARE,
     documents: int = LINE_DOCUMENTS,
-    diversity: float = LINE_DIVERSITY,
     left_share: float = LEFT_SHARE,
 ) -> DataFrame:
     """One row per document: measures, words removed with frequent lines, and the verdict.
@@ -171,7 +224,7 @@ def judge(
     columns besides doc_id, text and source are ignored.
     """
     profiled = stored.put(profile(docs))
-    frequent = frequent_lines(profiled, share, documents, diversity)
+    frequent = stored.put(frequent_lines(profiled, stored, share, documents))
     own = profiled.select("source", "text_key", F.explode("lines").alias("l")).select(
         F.col("source").alias("own_source"), "text_key", F.col("l.line").alias("own_line"), F.col("l.words").alias("words")
     ).distinct()
@@ -183,7 +236,7 @@ def judge(
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     removed = F.coalesce("removed_words", F.lit(0))
     return (
-        profiled.drop("lines")
+        profiled.drop("lines", "sketch")
         .join(lost, F.col("source").eqNullSafe(F.col("own_source")) & (F.col("text_key") == F.col("lost_key")), "left")
         .withColumn("removed_words", removed.cast("bigint"))
         .withColumn("base_failed", failed)
