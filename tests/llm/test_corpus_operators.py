@@ -251,6 +251,17 @@ def test_leaks_and_reparameterised_leaks(spark, stored):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 5, 7, 9] and kept.columns == docs.columns
 
 
+def test_names_do_not_depend_on_neighbours(spark, stored):
+    rng = random.Random(10)
+    bench = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    other = ITEM.replace("12", "77").replace("Miller", "Smith")
+    rows = [(k, f"{prose(rng, 20)} \u0130 \u1e9e \u212a {prose(rng, 5)}") for k in range(6)] + [(50, other), (51, f"\u0130. {other}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for n in (1, 4):
+        got = decontamination.label(docs.repartition(n), bench, stored).where("contaminated").collect()
+        assert sorted(r["doc_id"] for r in got) == [50, 51]
+
+
 def test_the_window_filter_changes_nothing(spark, stored, docs, nothing, monkeypatch):
     benchmark = spark.createDataFrame([(k, r["text"]) for k, r in enumerate(docs.where("length(text) > 300").collect()[:6])],
                                       "item_id long, text string")

@@ -91,13 +91,16 @@ class Template:
         units = units[_UNIT_CODES[at] == hashes[units]]
         hashes[units] = _PLACE["unit"]
         slot[units] = True
-        if len(own) == len(low) and len(starts) > 1:
-            capital = np.flatnonzero(_UPPER[own[starts]] & ~slot)
+        if len(starts) > 1:
+            # Lower case may change a word's length, never the number of words.
+            own_starts, own_ends = word_runs(own, ALNUM)
+            capital = np.flatnonzero(_UPPER[own[own_starts]] & ~slot)
             capital = capital[capital > 0]
             if len(capital):
                 stops, upper = _counted(_STOP[own]), _counted(_UPPER[own])
-                title = (upper[ends[capital]] - upper[starts[capital]] == 1) & (ends[capital] - starts[capital] > 1)
-                inside = stops[starts[capital]] == stops[ends[capital - 1]]
+                begin, end = own_starts[capital], own_ends[capital]
+                title = (upper[end] - upper[begin] == 1) & (end - begin > 1)
+                inside = stops[begin] == stops[own_ends[capital - 1]]
                 names = capital[title & inside]
                 hashes[names] = _PLACE["name"]
                 slot[names] = True
