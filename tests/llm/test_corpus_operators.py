@@ -262,6 +262,29 @@ def test_names_do_not_depend_on_neighbours(spark, stored):
         assert sorted(r["doc_id"] for r in got) == [50, 51]
 
 
+def test_slots_are_judged_by_window_and_copies_are_found(spark, stored):
+    rng = random.Random(14)
+    half = [prose(rng, 40), prose(rng, 40)]
+    long = f"{half[0]} costs 12 and {half[1]} takes 12 more"
+    pair = "the boat with red sails carries 4 men while the other boat carries 9 women to the shore"
+    items = {1: long, 2: pair, 3: "12 kg 15 m 8 s", 4: "Berlin or Rome", 5: "Which river runs through old Vienna today?",
+             6: "Then Anna met Karl and Maria met Otto in Paris near Lyon"}
+    texts = {
+        1: long.replace("takes 12", "takes 13"),
+        2: pair.replace("4", "6").replace("9", "6"),
+        3: f"{half[0]}, 12 kg 15 m 8 s, and so on",
+        4: "is it berlin or rome",
+        5: "he asked: so Which river runs through old Vienna today? and left",
+        6: f"{half[1]} {items[6].lower()}",
+        7: items[6].replace(" and", "\nand").replace(" in ", "\nin ").replace("Anna ", "Anna\n").replace("Karl", "\nKarl"),
+        10: "12 kg 15 m 9 s", 11: "berlin or paris", 12: "which river runs through old",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontamination.label(docs, bench, stored).collect()}
+    assert got == {1: [1], 2: [2], 3: [3], 4: [4], 5: [5], 6: [6], 7: [6], 10: [], 11: [], 12: []}
+
+
 def test_the_window_filter_changes_nothing(spark, stored, docs, nothing, monkeypatch):
     benchmark = spark.createDataFrame([(k, r["text"]) for k, r in enumerate(docs.where("length(text) > 300").collect()[:6])],
                                       "item_id long, text string")

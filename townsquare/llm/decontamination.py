@@ -2,9 +2,11 @@
 
 Texts are canonicalised word by word: numbers, units and names become typed placeholders,
 everything else its lower-cased letters and digits. Windows of the templates are joined by
-hash with those of the benchmark. A document leaks an item if windows on one diagonal cover
-enough of it and their slots are consistent: each value of the item answers to one value of
-the document and the other way round, so re-parameterised questions are found too.
+hash with those of the benchmark. A document leaks an item if windows with consistent slots
+cover enough of it: on a diagonal each value of the item answers to one value of the
+document, and windows that hold a value with several answers do not count. So re-parameterised
+questions are found too. Windows of the literal lower-cased words stand beside the templates,
+so that a copy is found whatever its capitals, line ends and share of numbers are.
 """
 
 from __future__ import annotations
@@ -12,10 +14,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from townsquare.llm.common import (
     ALNUM,
@@ -32,9 +36,12 @@ from townsquare.llm.common import (
 )
 
 WINDOW = 8
+#: Shorter items are looked for as literal words only.
 SHORTEST = 4
 #: Share of an item's windows that must be found.
 COVER = 0.5
+#: The same for literal windows: copies, where changed values are the templates' part.
+LITERAL_COVER = 0.8
 #: Up to so many benchmark windows travel to the scan as a filter; beyond, all windows are joined.
 FILTER_WINDOWS = 2_000_000
 GROUP_CHARS = 1 << 16
@@ -48,6 +55,7 @@ def _code(word: bytes) -> np.ndarray:
     return run_hashes(np.frombuffer(word, dtype=np.uint8), np.array([0]), np.array([len(word)]))[0]
 
 
+_LITERAL = _code(b"\0literal")
 _PLACE = {kind: _code(b"\0" + kind.encode()) for kind in ("number", "measure", "unit", "name")}
 _UNIT_CODES = np.sort(np.array([_code(u.encode()) for u in sorted(UNITS)], dtype=U64))
 _UNIT_TABLE = np.zeros(1 << 16, dtype=bool)
@@ -74,6 +82,7 @@ class Template:
         low = np.frombuffer(self.data, dtype=np.uint8)
         starts, ends = word_runs(low, ALNUM)
         hashes = run_hashes(low, starts, ends)
+        self.literal, self.literal_starts = hashes.copy(), starts
         first = low[starts]
         lead = _DIGIT[first]
         slot = np.zeros(len(starts), dtype=bool)
@@ -115,6 +124,10 @@ class Template:
         """Hashes of all windows of so many words."""
         return windows(self.hashes, length) ^ U64(length)
 
+    def literal_windows(self, length: int) -> np.ndarray:
+        """The same of the literal words, where each part of a number is a word."""
+        return windows(self.literal, length) ^ (_LITERAL + U64(length))
+
     def tells(self, places: np.ndarray, length: int) -> np.ndarray:
         """Which windows hold enough literal words to tell texts apart."""
         slots = _counted(self.slot)
@@ -133,45 +146,58 @@ _WINDOW_TYPE = pa.list_(
 )
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """Rows (template, item_ids, length, n_windows, windows), one per distinct template.
+def _entries(item: int, text: str, cover: float) -> Iterator[tuple]:
+    """The template of an item, if it has windows with enough literal words, and its literal words."""
+    t = Template(text)
+    length = min(WINDOW, len(t.hashes))
+    if length >= SHORTEST:
+        h = t.windows(length)
+        good = t.tells(np.arange(len(h)), length)
+        seen: dict[str, int] = {}
+        pattern = [seen.setdefault(t.value(k), len(seen)) for k in range(len(t.hashes)) if t.slot[k]]
+        key = xxhash.xxh3_64_intdigest(t.hashes.tobytes() + np.array(pattern, dtype=np.int64).tobytes())
+        kept = [
+            {"place": int(k), "hash": int(h[k].view(np.int64)), "slots": t.values(k, length)}
+            for k in np.flatnonzero(good)
+        ]
+        if kept:
+            yield int(U64(key).view(np.int64)), item, length, len(kept), False, cover, kept
+    length = min(WINDOW, len(t.literal))
+    if length:
+        h = t.literal_windows(length)
+        key = xxhash.xxh3_64_intdigest(t.literal.tobytes(), seed=1)
+        kept = [{"place": k, "hash": x, "slots": []} for k, x in enumerate(h.view(np.int64).tolist())]
+        yield int(U64(key).view(np.int64)), item, length, len(kept), True, max(cover, LITERAL_COVER), kept
+
+
+def benchmark_windows(benchmark: DataFrame, cover: float = COVER) -> DataFrame:
+    """Rows (template, item_ids, length, n_windows, literal, least, windows), one per distinct
+    template and one per distinct sequence of literal words.
 
     Items with equal templates and the same pattern of equal slots answer to the same
-    documents and stand together. Items under SHORTEST canonical words are not looked for.
+    documents and stand together. Items without a word are not looked for.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for item, text in zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True):
-                t = Template(as_text(text))
-                length = min(WINDOW, len(t.hashes))
-                if length < SHORTEST:
-                    continue
-                h = t.windows(length)
-                good = t.tells(np.arange(len(h)), length)
-                seen: dict[str, int] = {}
-                pattern = [seen.setdefault(t.value(k), len(seen)) for k in range(len(t.hashes)) if t.slot[k]]
-                key = xxhash.xxh3_64_intdigest(t.hashes.tobytes() + np.array(pattern, dtype=np.int64).tobytes())
-                kept = [
-                    {"place": int(k), "hash": int(h[k].view(np.int64)), "slots": t.values(k, length)}
-                    for k in np.flatnonzero(good)
-                ]
-                if kept:
-                    out.append((int(U64(key).view(np.int64)), item, length, len(kept), kept))
+                out += _entries(item, as_text(text), cover)
             if out:
                 columns = list(zip(*out, strict=True))
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), _WINDOW_TYPE)
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.float64(), _WINDOW_TYPE)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    names=["template", "item_id", "length", "n_windows", "windows"],
+                    names=["template", "item_id", "length", "n_windows", "literal", "least", "windows"],
                 )
 
     items = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
-    rows = items.mapInArrow(run, f"template bigint, item_id bigint, length int, n_windows int, windows {_WINDOWS}")
-    return rows.groupBy("template").agg(
-        F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.first("length").alias("length"),
-        F.first("n_windows").alias("n_windows"), F.first("windows").alias("windows"),
+    schema = f"template bigint, item_id bigint, length int, n_windows int, literal boolean, least double, windows {_WINDOWS}"
+    # Slot values are those of the item with the least id, whatever the partitions are.
+    return items.mapInArrow(run, schema).groupBy("template").agg(
+        F.sort_array(F.collect_set("item_id")).alias("item_ids"),
+        *[F.first(name).alias(name) for name in ("length", "n_windows", "literal", "least")],
+        F.min(F.struct(F.coalesce("item_id", F.lit(-1 << 63)), "windows"))["windows"].alias("windows"),
     )
 
 
@@ -208,22 +234,24 @@ def _groups(texts: list[str | None]) -> Iterator[list[int]]:
         yield rows
 
 
-def _found(texts: list[str], rows: list[int], lengths: list[int], filters: Filter | None) -> Iterator[tuple]:
+def _found(texts: list[str], rows: list[int], lengths: list[tuple[bool, int]], filters: Filter | None) -> Iterator[tuple]:
     """Windows of the texts that pass the filter: row, place, hash, slot values."""
     t = Template("\n".join(texts))
     begins = np.cumsum([0] + [len(encoded(x.lower())) + 1 for x in texts])
-    first = np.searchsorted(t.starts, begins)
-    for length in lengths:
-        h = t.windows(length)
+    firsts = {False: np.searchsorted(t.starts, begins), True: np.searchsorted(t.literal_starts, begins)}
+    for literal, length in lengths:
+        first = firsts[literal]
+        h = t.literal_windows(length) if literal else t.windows(length)
         places = filters.hits(h) if filters else np.arange(len(h))
-        places = places[t.tells(places, length)]
+        if not literal:
+            places = places[t.tells(places, length)]
         which = np.searchsorted(first, places, side="right") - 1
         inside = places + length <= first[which + 1]
         for k, d in zip(places[inside], which[inside], strict=True):
-            yield rows[d], int(k - first[d]), int(h[k].view(np.int64)), t.values(k, length)
+            yield rows[d], int(k - first[d]), int(h[k].view(np.int64)), [] if literal else t.values(k, length)
 
 
-def document_windows(docs: DataFrame, lengths: list[int], known: np.ndarray | None) -> DataFrame:
+def document_windows(docs: DataFrame, lengths: list[tuple[bool, int]], known: np.ndarray | None) -> DataFrame:
     """Rows (doc_id, text_key, place, hash, slots) of the windows that may be the benchmark's."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(known)
@@ -255,6 +283,22 @@ def _text_key():
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
+@F.pandas_udf(T.StructType().add("places", T.ArrayType(T.IntegerType())).add("same", T.BooleanType()))
+def consistent(hits: pd.Series) -> pd.DataFrame:
+    """Of the windows found on a diagonal, those without a value that has several answers in
+    the document, and whether all windows hold the item's own values."""
+    places, same = [], []
+    for rows in hits:
+        answers: dict[str, set[str]] = {}
+        for row in rows:
+            for value, answer in zip(row["item_slots"], row["slots"], strict=True):
+                answers.setdefault(value, set()).add(answer)
+        good = [row["item_place"] for row in rows if all(len(answers[v]) == 1 for v in row["item_slots"])]
+        places.append(sorted(set(good)))
+        same.append(all(found == {value} for value, found in answers.items()))
+    return pd.DataFrame({"places": places, "same": same})
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, stored: Stored, cover: float = COVER) -> DataFrame:
     """Rows (doc_id, text_key, item_ids, cover, verbatim): what each contaminated text leaks.
 
@@ -264,34 +308,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, stored: Stored, cover: float =
     either side give an empty result.
     """
     spark: SparkSession = docs.sparkSession
-    templates = stored.put(benchmark_windows(benchmark).coalesce(8))
-    n_windows, lengths = templates.agg(F.sum("n_windows"), F.collect_set("length")).first()
+    templates = stored.put(benchmark_windows(benchmark, cover).coalesce(8))
+    n_windows, lengths = templates.agg(F.sum("n_windows"), F.collect_set(F.struct("literal", "length"))).first()
     known = None
     if (n_windows or 0) <= FILTER_WINDOWS:
         known = np.array(
             [r[0] for r in templates.select(F.explode("windows.hash")).distinct().toLocalIterator()], dtype=np.int64
         ).view(U64)
-    found = stored.put(document_windows(docs, sorted(lengths or []), known))
-    items = templates.select("template", "n_windows", F.explode("windows").alias("w")).select(
-        "template", "n_windows", F.col("w.place").alias("item_place"), F.col("w.hash").alias("hash"),
-        F.col("w.slots").alias("item_slots"),
+    found = stored.put(document_windows(docs, sorted(map(tuple, lengths or [])), known))
+    kept = ("template", "n_windows", "literal", "least")
+    items = templates.select(*kept, F.explode("windows").alias("w")).select(
+        *kept, F.col("w.place").alias("item_place"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("item_slots")
     )
     met = found.join(items, "hash").withColumn("diagonal", F.col("place") - F.col("item_place"))
-    pairs = F.arrays_zip(F.col("item_slots").alias("item_slots"), F.col("slots").alias("slots"))
-    runs = (
-        met.withColumn("pairs", pairs)
-        .groupBy("doc_id", "text_key", "template", "n_windows", "diagonal")
-        .agg(F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-        .withColumn("left", F.size(F.array_distinct("pairs.item_slots")))
-        .withColumn("right", F.size(F.array_distinct("pairs.slots")))
-        .where((F.size("pairs") == F.col("left")) & (F.size("pairs") == F.col("right")))
-        .withColumn("same", F.forall("pairs", lambda p: p["item_slots"] == p["slots"]))
+    group = ("doc_id", "text_key", *kept)
+    diagonals = met.groupBy(*group, "diagonal").agg(
+        F.collect_set(F.struct("item_place", "item_slots", "slots")).alias("hits")
     )
+    judged = diagonals.withColumn("judged", consistent("hits")).select(*group, "judged.*")
+    n = F.size(F.array_distinct(F.flatten(F.collect_list("places"))))
     covered = (
-        runs.groupBy("doc_id", "text_key", "template", "n_windows")
-        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"), F.max("same").alias("same"))
+        judged.groupBy(*group)
+        .agg(n.alias("n"), F.max("same").alias("same"))
         .withColumn("cover", F.col("n") / F.col("n_windows"))
-        .where(F.col("cover") >= cover)
+        .where(F.col("cover") >= F.col("least"))
+        .withColumn("same", F.when(F.col("literal"), F.col("n") == F.col("n_windows")).otherwise(F.col("same")))
     )
     out = covered.join(templates.select("template", "item_ids"), "template").groupBy("doc_id", "text_key").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
