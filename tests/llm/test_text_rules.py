@@ -56,6 +56,16 @@ def test_licence_labels(spark, stored):
     assert got[5]["labels"] == ""
 
 
+def test_every_notice_of_a_long_list_is_found(spark, stored):
+    notices = [(label, text) for label, text, _ in licenses.TEMPLATES[:11]]
+    filler = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, f" {filler} ".join(t for _, t in notices))] + [(k, "prose") for k in range(10, 40)]
+    # All but the rarest notices are common in the corpus.
+    rows += [(100 + k, t) for k, (label, t) in enumerate(notices * 5) if label not in ("mpl", "unlicense", "apache-2.0")]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), stored).collect()}
+    assert {label for label, _ in notices} <= set(got[1]["labels"].split(","))
+
+
 # --- line rules ---------------------------------------------------------------------------------
 
 

@@ -1,14 +1,14 @@
 """License scan by a positional rare-token index.
 
-The index posts each licence word to its places in the templates. Of a document's licence
-words those with the highest inverse document frequency, over the whole corpus, are looked
-up; places that agree on one relative position make a candidate, and the template's key
-phrases must stand where the candidate puts them.
+Each template is posted under the word of its key phrase with the highest inverse document
+frequency, over the whole corpus. Every place of such a word in a document, however many
+there are, is looked up; where the key phrase stands around it, the template is aligned
+from there to both sides, and the words found in order near their places are its score.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from townsquare.llm.common import ALNUM, U64, Stored, as_text, encoded, map_rows
 
 #: Fixed phrases: every place counts, whatever stands around it.
 BASE = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
-#: Fixed notices: label, text, key phrases.
+#: Fixed notices, in long and short forms: label, text, key phrases; the first one anchors the form.
 TEMPLATES = (
     ("apache-2.0", "licensed under the apache license version 2 0 you may not use this file except in compliance with"
      " the license", ("apache license",)),
@@ -40,27 +40,26 @@ TEMPLATES = (
 )
 #: Words too common to be looked up; base phrases keep theirs.
 COMMON = frozenset("a and any are for in into is of or that the this to use under with you".split())
-RARE_WORDS = 8
-#: A candidate needs this share of the weight of its template's words in place.
+#: A candidate needs this share of the weight of its template's words, in order and near their places.
 MIN_SCORE = 0.6
+#: Words by which a word may be shifted against its anchor, beside a quarter of its distance.
+SLACK = 3
 GROUP_CHARS = 1 << 17
 
 
 class Index:
-    """Licence words by hash, and their places in the templates."""
+    """Licence words by hash, the words of the templates and of their key phrases, with places."""
 
     def __init__(self) -> None:
         words = {w for t in TEMPLATES for w in t[1].split()} - COMMON
         words |= {w for phrase in BASE.values() for w in phrase.split()}
         self.words = sorted(words)
         self.number = {w: k for k, w in enumerate(self.words)}
-        self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.parts: list[list[tuple[int, int]]] = []
         self.keys: list[list[list[tuple[int, int]]]] = []
         for t, (_, text, phrases) in enumerate(TEMPLATES):
             parts = text.split()
-            for place, word in enumerate(parts):
-                if word in self.number:
-                    self.postings[self.number[word]].append((t, place))
+            self.parts.append([(self.number[w], k) for k, w in enumerate(parts) if w in self.number])
             self.keys.append([])
             for phrase in phrases:
                 look = phrase.split()
@@ -146,29 +145,69 @@ def base_places(words: list[int], places: list[int]) -> tuple[list[int], set[str
     return starts, labels
 
 
-def templates_in(words: list[int], places: list[int], idf: dict[int, float]) -> dict[str, float]:
+class Lookup:
+    """The templates by the rarest word of their first key phrase."""
+
+    def __init__(self, idf: dict[int, float]) -> None:
+        ix = index()
+        self.idf = idf
+        self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for t, phrases in enumerate(ix.keys):
+            word, there = max(phrases[0], key=lambda x: (idf.get(x[0], float("inf")), -x[0]))
+            self.postings[word].append((t, there))
+        self.entry = np.zeros(len(ix.words), dtype=bool)
+        self.entry[list(self.postings)] = True
+
+
+def _aligned(parts: list[tuple[int, int]], at: dict[int, int], shift: int, anchor: range, idf: dict[int, float]) -> float:
+    """Weight of the words found in order, going left and right from the anchor.
+
+    A word may stand SLACK and a quarter of its distance from the anchor beside its place: the
+    best common subsequence of template and document within that band.
+    """
+    total = sum(idf.get(w, 0.0) for w, k in parts if k in anchor and at.get(shift + k) == w)
+    for side in (-1, 1):
+        edge = anchor.start if side < 0 else anchor.stop - 1
+        # Best weight of an alignment that ends at a distance in the document, in rising order.
+        best: dict[int, float] = {0: 0.0}
+        for w, k in sorted(((w, (k - edge) * side) for w, k in parts if (k - edge) * side > 0), key=lambda x: x[1]):
+            slack = SLACK + k // 4
+            new = {}
+            for d in range(max(1, k - slack), k + slack + 1):
+                if at.get(shift + edge + side * d) == w:
+                    new[d] = max(v for e, v in best.items() if e < d) + idf.get(w, 0.0)
+            for d, v in new.items():
+                best[d] = max(best.get(d, 0.0), v)
+        total += max(best.values())
+    return total
+
+
+def templates_in(words: list[int], places: list[int], lookup: Lookup) -> dict[str, float]:
     """Labels of the templates found, each with its best score."""
-    ix = index()
-    at = dict(zip(places, words, strict=True))
-    rare = sorted(set(words), key=lambda w: (-idf.get(w, 0.0), w))[:RARE_WORDS]
-    chosen = set(rare)
-    votes: Counter = Counter()
-    for place, word in at.items():
-        if word in chosen:
-            for template, there in ix.postings.get(word, ()):
-                votes[template, place - there] += 1
+    ix, idf = index(), lookup.idf
+    hits = np.flatnonzero(lookup.entry[np.asarray(words)])
     found: dict[str, float] = {}
-    for (template, shift), count in votes.items():
-        if count < 2:
-            continue
-        if not all(at.get(shift + there) == w for phrase in ix.keys[template] for w, there in phrase):
-            continue
-        label, text, _ = TEMPLATES[template]
-        weights = [(idf.get(ix.number[w], 0.0), at.get(shift + k) == ix.number[w]) for k, w in enumerate(text.split()) if w in ix.number]
-        whole = sum(w for w, _ in weights)
-        value = sum(w for w, there in weights if there) / whole if whole else 0.0
-        if value >= MIN_SCORE:
-            found[label] = max(found.get(label, 0.0), min(1.0, value))
+    if not len(hits):
+        return found
+    at = dict(zip(places, words, strict=True))
+    for hit in hits:
+        for template, there in lookup.postings[words[hit]]:
+            shift = places[hit] - there
+            first, *others = ix.keys[template]
+            label, text, phrases = TEMPLATES[template]
+            if found.get(label) == 1.0 or not all(at.get(shift + k) == w for w, k in first):
+                continue
+            drift = SLACK + len(text.split()) // 4
+            if not all(
+                any(all(at.get(shift + move + k) == w for w, k in phrase) for move in range(-drift, drift + 1))
+                for phrase in others
+            ):
+                continue
+            whole = sum(idf.get(w, 0.0) for w, _ in ix.parts[template])
+            anchor = range(min(k for _, k in first), max(k for _, k in first) + 1)
+            value = _aligned(ix.parts[template], at, shift, anchor, idf) / whole if whole else 0.0
+            if value >= MIN_SCORE:
+                found[label] = max(found.get(label, 0.0), 1.0 if value > 1 - 1e-9 else value)
     return found
 
 
@@ -184,11 +223,13 @@ def scan(docs: DataFrame, stored: Stored) -> DataFrame:
     frequency = found.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").count().collect()
     idf = {r["w"]: float(np.log((1 + documents) / (1 + r["count"]))) + 1e-9 for r in frequency}
 
+    lookup = Lookup(idf)
+
     def run(ids, n_words, words, places):
         out = []
         for w, p in zip(words, places, strict=True):
             starts, base = base_places(w, p) if w else ([], set())
-            more = templates_in(w, p, idf) if w else {}
+            more = templates_in(w, p, lookup) if w else {}
             out.append((
                 len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
                 ",".join(sorted(base | set(more))), 1.0 if base else max(more.values(), default=0.0),
