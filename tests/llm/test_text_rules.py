@@ -56,6 +56,22 @@ def test_licence_labels(spark, stored):
     assert got[5]["labels"] == ""
 
 
+def test_short_and_shifted_licence_forms(spark, stored):
+    texts = {
+        1: "Licensed under the Apache License, Version 2.0.",
+        2: 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in'
+           " compliance with the License.",
+        3: "Released under the MIT License.",
+        4: "er kam mit der license des general",
+        5: "Permission to use, copy, modify, and/or distribute this software in any form, for any purpose with or"
+           " without fee is hereby granted",
+    }
+    docs = spark.createDataFrame([*texts.items(), *((k, "prose") for k in range(10, 40))], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(docs, stored).collect()}
+    assert [got[k]["labels"] for k in texts] == ["apache-2.0", "apache-2.0", "mit", "", "isc"]
+    assert got[1]["score"] > 0.9 and got[3]["score"] > 0.9
+
+
 def test_every_notice_of_a_long_list_is_found(spark, stored):
     notices = [(label, text) for label, text, _ in licenses.TEMPLATES[:11]]
     filler = " ".join(f"w{k}" for k in range(40))

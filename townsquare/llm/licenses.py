@@ -37,6 +37,20 @@ TEMPLATES = (
     ("proprietary", "all rights reserved no part of this publication may be reproduced distributed or transmitted in any"
      " form", ("rights reserved no part", "reproduced distributed")),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software",)),
+    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in"
+     " compliance with the license", ("apache license version 2 0",)),
+    *((label, name, (name,)) for label, names in {
+        "apache-2.0": ("apache license version 2 0", "apache license 2 0", "apache 2 0 license", "identifier apache 2 0"),
+        "bsd": ("bsd license", "bsd 2 clause", "bsd 3 clause", "2 clause bsd", "3 clause bsd"),
+        "cc-attribution": ("creative commons attribution",),
+        "gnu-agpl": ("gnu affero general public license", "identifier agpl 3 0"),
+        "gnu-gpl": ("gnu general public license", "gnu gpl", "identifier gpl 2 0", "identifier gpl 3 0"),
+        "gnu-lgpl": ("gnu lesser general public license", "gnu lgpl", "identifier lgpl 2 1", "identifier lgpl 3 0"),
+        "isc": ("isc license", "identifier isc"),
+        "mit": ("mit license", "identifier mit"),
+        "mpl": ("mozilla public license", "identifier mpl 2 0"),
+        "unlicense": ("unlicense license", "the unlicense", "identifier unlicense"),
+    }.items() for name in names),
 )
 #: Words too common to be looked up; base phrases keep theirs.
 COMMON = frozenset("a and any are for in into is of or that the this to use under with you".split())
