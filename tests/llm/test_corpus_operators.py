@@ -358,6 +358,22 @@ def test_the_model_learns_word_order(spark, stored):
     assert gain > 0.25
 
 
+def test_scores_do_not_depend_on_the_layout(spark, stored, monkeypatch):
+    monkeypatch.setattr(language_model, "PART_TOKENS", 8192)
+    rng = random.Random(15)
+    rows = []
+    for k in range(600):
+        w = rng.randrange(60)
+        rows.append((k, " ".join(f"t{(w + 7 * j + rng.randrange(2)) % 60}" for j in range(60))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, many = (
+        {r["doc_id"]: (r["score"], r["base_score"], r["n_tokens"]) for r in language_model.score(docs.repartition(n), stored).collect()}
+        for n in (2, 64)
+    )
+    assert max(abs(one[k][0] - many[k][0]) for k in one) < 0.01
+    assert sum(s - b for s, b, _ in many.values()) / sum(n for _, _, n in many.values()) > 0.1
+
+
 def test_the_model_without_training_texts(spark, nothing, stored):
     held = [k for k in range(60) if zlib.crc32(str(k).encode()) % 7 == 2]
     docs = spark.createDataFrame([(k, "a b c") for k in held], "doc_id long, text string")

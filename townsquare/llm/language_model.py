@@ -1,8 +1,9 @@
 """Log-bilinear language model, trained in numpy with noise-contrastive estimation.
 
 Word counts come from the whole training corpus. The VOCABULARY most frequent words, and one
-class for all others, get vectors; every task trains a model on its own texts from a common
-start, and the models are averaged by their tokens. A context of two words predicts the
+class for all others, get vectors. Texts are dealt by a hash to parts of a fixed size; in each
+round every part trains a model from the last average, and the models are averaged by their
+tokens. A context of two words predicts the
 next through a product of vectors, so matrix products give the scores of all word pairs and
 the normalising sums of all contexts; a token's normalised log-probability is then three
 look-ups. Words outside the vocabulary share their class's probability by their counts.
@@ -29,6 +30,9 @@ BATCH_TOKENS = 4096
 NOISE = 64
 RATE = 0.08
 SEED = 7
+#: Rounds of training and averaging, and tokens of a part that trains one model in a round.
+ROUNDS = 3
+PART_TOKENS = 1 << 20
 GROUP_CHARS = 1 << 18
 #: Distinct words a counting task holds before it hands them on.
 HELD_WORDS = 1 << 20
@@ -218,34 +222,94 @@ def contexts(index: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarra
     return far, near
 
 
-def train(training: DataFrame, lexicon: Lexicon) -> Model:
-    """Train in every task from a common start and average the models by their tokens.
+def deal(training: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """Rows (part, key, words): texts as vocabulary numbers, dealt by a hash of id and text, so
+    that parts and their order do not depend on the layout of the input."""
+    small_batches(training.sparkSession)
+    shared = training.sparkSession.sparkContext.broadcast(lexicon)
+    parts = max(1, -(-lexicon.total // PART_TOKENS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = shared.value
+        for batch in batches:
+            numbers, keys = batch.column(0), batch.column(1)
+            texts = [as_text(t) for t in batch.column(2).to_pylist()]
+            for rows in groups(texts):
+                h, starts = tokens([texts[r] for r in rows])
+                index = lexicon.look(h)[0].astype(np.int32)
+                words = pa.ListArray.from_arrays(pa.array(np.append(starts, len(h)), pa.int32()), pa.array(index))
+                cut = slice(rows[0], rows[-1] + 1)
+                yield pa.RecordBatch.from_arrays([numbers[cut], keys[cut], words], names=["part", "key", "words"])
+
+    key = F.xxhash64("text", "doc_id")
+    keyed = training.select(F.pmod(key, F.lit(parts)).cast("int").alias("part"), key.alias("key"), "text")
+    dealt = keyed.mapInArrow(run, "part int, key bigint, words array<int>")
+    return dealt.repartition(parts, "part").sortWithinPartitions("part", "key")
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Part, word numbers and starts of texts: a part at a time, in pieces if texts are huge."""
+    part, held, size = -1, [], 0
+
+    def piece() -> tuple[int, np.ndarray, np.ndarray]:
+        starts = np.cumsum([0] + [len(x) for x in held])[:-1]
+        return part, np.concatenate(held).astype(np.int64), starts
+
+    for batch in batches:
+        words = batch.column(1)
+        offsets, values = words.offsets.to_numpy(), words.values.to_numpy()
+        for row, number in enumerate(batch.column(0).to_pylist()):
+            if held and (number != part or size >= 2 * PART_TOKENS):
+                yield piece()
+                held, size = [], 0
+            part = number
+            held.append(values[offsets[row] : offsets[row + 1]])
+            size += len(held[-1])
+    if held:
+        yield piece()
+
+
+def train(training: DataFrame, lexicon: Lexicon, stored: Stored) -> Model:
+    """Rounds of training in every part from the last average."""
+    end = int(lexicon.look(np.array([END], dtype=U64))[0][0])
+    model = Model(lexicon.size, lexicon.share)
+    dealt = stored.put(deal(training, lexicon))
+    for number in range(ROUNDS):
+        _round(dealt, lexicon.share, model, number, end)
+    stored.drop(dealt)
+    return model
 
-    Averages are built in two steps over salted groups, so no task holds more than a few
-    hundred parts, whatever the number of tasks.
+
+def _round(dealt: DataFrame, share: np.ndarray, model: Model, number: int, end: int) -> None:
+    """Train every part from ``model`` and put the average by tokens in its place.
+
+    A task sums the models of its parts; sums are built in two steps over salted groups, so
+    no task holds more than a few hundred of them, whatever the number of tasks.
     """
-    spark = training.sparkSession
-    shared = spark.sparkContext.broadcast(lexicon)
+    shared = dealt.sparkSession.sparkContext.broadcast((share, model.flat()))
     parts_schema = "part int, salt int, weight double, data binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        lexicon = shared.value
-        number = TaskContext.get().partitionId()
-        trainer = Trainer(lexicon.share, number)
-        end = int(lexicon.look(np.array([END], dtype=U64))[0][0])
-        for batch in batches:
-            texts = [as_text(t) for t in batch.column(0).to_pylist()]
-            for rows in groups(texts):
-                h, starts = tokens([texts[r] for r in rows])
-                trainer.learn(lexicon.look(h)[0], starts, end)
-        if trainer.seen:
-            flat = trainer.model.flat().astype(np.float64) * trainer.seen
+        share, start = shared.value
+        task = TaskContext.get().partitionId()
+        flat, seen, trainer, last = np.zeros(len(start)), 0, None, -1
+        for part, index, starts in _parts(batches):
+            if part != last and trainer is not None:
+                flat += trainer.model.flat().astype(np.float64) * trainer.seen
+                seen += trainer.seen
+            if part != last:
+                trainer, last = Trainer(share, part * ROUNDS + number), part
+                trainer.model.load(start)
+            trainer.learn(index, starts, end)
+        if trainer is not None:
+            flat += trainer.model.flat().astype(np.float64) * trainer.seen
+            seen += trainer.seen
             pieces = np.array_split(flat, max(1, len(flat) // (_BLOCK * WIDTH)))
             yield pa.RecordBatch.from_pydict({
-                "part": pa.array(range(len(pieces)), pa.int32()), "salt": pa.array([number % SALTS] * len(pieces), pa.int32()),
-                "weight": [float(trainer.seen)] * len(pieces), "data": [p.tobytes() for p in pieces],
+                "part": pa.array(range(len(pieces)), pa.int32()), "salt": pa.array([task % SALTS] * len(pieces), pa.int32()),
+                "weight": [float(seen)] * len(pieces), "data": [p.tobytes() for p in pieces],
             })
 
     def summed(frame: pd.DataFrame) -> pd.DataFrame:
@@ -255,13 +319,12 @@ def train(training: DataFrame, lexicon: Lexicon) -> Model:
             "weight": [frame["weight"].sum()], "data": [total.tobytes()],
         })
 
-    parts = training.select("text").mapInArrow(run, parts_schema)
+    parts = dealt.select("part", "words").mapInArrow(run, parts_schema)
     parts = parts.groupBy("part", "salt").applyInPandas(summed, parts_schema)
     rows = parts.groupBy("part").applyInPandas(summed, parts_schema).orderBy("part").collect()
-    model = Model(lexicon.size, lexicon.share)
     if rows:
         model.load(np.concatenate([np.frombuffer(r["data"]) / r["weight"] for r in rows]))
-    return model
+    shared.unpersist()
 
 
 class Tables:
@@ -292,12 +355,12 @@ def score(docs: DataFrame, stored: Stored) -> DataFrame:
     slim = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out().alias("held_out")
     )
-    training = slim.where("not held_out").select("text")
+    training = slim.where("not held_out").select("doc_id", "text")
     counts = stored.put(count_words(training))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = frequent_words(counts).toPandas()
     lexicon = Lexicon(top["word"].to_numpy(dtype=np.int64).view(U64), top["c"].to_numpy(dtype=np.int64), total, distinct)
-    model = train(training, lexicon) if total else None
+    model = train(training, lexicon, stored) if total else None
     shared = docs.sparkSession.sparkContext.broadcast((lexicon, model, uuid.uuid4().hex))
     base_log = float(np.log10(total + distinct + 1))
     rest_log = float(np.log10(lexicon.rest_total + lexicon.rest_distinct + 1))
