@@ -540,6 +540,11 @@ def platform_comparison(spark, folder):  # F15
 
 
 def adf(spark, folder):  # F16
+    df = timeseries.stationarity(rollups.daily_metrics(scored(spark, folder)))
+    return rounded(df, "test_statistic", "p_value")
+
+
+def adf_lag0(spark, folder):  # F16
     return rounded(
         timeseries.stationarity(rollups.daily_metrics(scored(spark, folder)), max_lag=0).select("column", "test_statistic", "lags", "n"),
         "test_statistic",
@@ -784,6 +789,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     mann_whitney,
     platform_comparison,
     adf,
+    adf_lag0,
     seasonal,
     seasonal_multiplicative,
     reddit_volume,

@@ -589,7 +589,7 @@ from (select count(*) filter (t) as n1, count(*) filter (not t) as n2, avg(v) fi
         "from u",
         mann_whitney("select data_source as g, total_engagement as v from engaged"),
     ),
-    "adf": on_posts(
+    "adf_lag0": on_posts(
         " union all ".join(
             f"select '{c}' as \"column\", round(b / sqrt((syy - b * b * sxx) / (n - 2) / sxx), 6) + 0.0 as test_statistic, "
             "0::integer as lags, n from (select regr_slope(d, y) as b, regr_sxx(d, y) as sxx, regr_syy(d, y) as syy, "
