@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from townsquare.llm import (
     decontamination,
+    fingerprints,
     language_id,
     language_model,
     licenses,
     line_rules,
     mixture,
     near_duplicates,
+    prefix_trie,
     private_data,
     repeated_text,
+    spelling,
     token_counts,
 )
 from townsquare.llm.common import Stored, table
+from townsquare.llm.oracles import ORACLES
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,6 +81,21 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
         return language_model.score(table(spark, folder, "documents"), stored)
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    with Stored(spark) as stored:
+        return prefix_trie.report(table(spark, folder, "conversations"), stored)
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    with Stored(spark) as stored:
+        return spelling.variants(table(spark, folder, "documents"), stored)
+
+
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    with Stored(spark) as stored:
+        return fingerprints.edited_pairs(table(spark, folder, "documents"), stored)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_repeated_text": op2_repeated_text,
@@ -88,7 +107,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_rules": op8_line_rules,
     "op9_token_counts": op9_token_counts,
     "op10_language_model": op10_language_model,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_fingerprints": op13_fingerprints,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
