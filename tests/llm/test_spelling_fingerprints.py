@@ -133,7 +133,7 @@ def test_levels_and_choice_equal_brute_force(monkeypatch):
 def brute_edits(rows, rarity):
     def digest(text):
         data = np.frombuffer(text.encode(), dtype=np.uint8)
-        return fingerprints.written(fingerprints.features(data, rarity[fingerprints.levels(data)]))
+        return fingerprints.written(fingerprints.packed(fingerprints.features(data, rarity[fingerprints.levels(data)])))
 
     rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(r[1].encode()).hexdigest()))
     out = []

@@ -141,18 +141,22 @@ def filters(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1)
 
 
-def written(hashes: np.ndarray) -> str:
-    """A fingerprint as text: the number of features, then the filters."""
-    return f"{len(hashes)}:{base64.b64encode(filters(hashes).tobytes()).decode()}"
+def packed(hashes: np.ndarray) -> bytes:
+    """A fingerprint as bytes: the number of features in eight, then the filters."""
+    return len(hashes).to_bytes(8, "big") + filters(hashes).tobytes()
 
 
-def read(fingerprint: str) -> tuple[int, np.ndarray]:
-    count, _, code = fingerprint.partition(":")
-    data = np.frombuffer(base64.b64decode(code), dtype=np.uint8)
-    return int(count), data.reshape(-1, BITS // 8)
+def written(fingerprint: bytes) -> str:
+    """A fingerprint as text: base64 of its bytes."""
+    return base64.b64encode(fingerprint).decode()
 
 
-def likeness(one: str, other: str) -> float:
+def read(fingerprint: str | bytes) -> tuple[int, np.ndarray]:
+    data = base64.b64decode(fingerprint) if isinstance(fingerprint, str) else fingerprint
+    return int.from_bytes(data[:8], "big"), np.frombuffer(data, dtype=np.uint8, offset=8).reshape(-1, BITS // 8)
+
+
+def likeness(one: str | bytes, other: str | bytes) -> float:
     """Likeness of two fingerprints, 0 to 1, the same both ways; equal ones have 1, an empty one and another 0.
 
     Each filter of the shorter digest meets its best partner in the longer one; the results are
@@ -163,7 +167,7 @@ def likeness(one: str, other: str) -> float:
     (count, a), (other_count, b) = sorted((read(one), read(other)), key=lambda d: (d[0], d[1].tobytes()))
     if not count:
         return 0.0
-    a, b = a.view(U64), b.view(U64)
+    a, b = np.ascontiguousarray(a).view(U64), np.ascontiguousarray(b).view(U64)
     ones_a = np.bitwise_count(a).sum(axis=1, dtype=np.int64)
     ones_b = np.bitwise_count(b).sum(axis=1, dtype=np.int64)
     total = 0.0
@@ -216,7 +220,7 @@ def fingerprints(texts: list[str], rarity: np.ndarray, edits: list[tuple[int, st
     for plan in plans:
         data = parts[k]
         rank = next_ranks()
-        own = written(features(data, rank))
+        own = packed(features(data, rank))
         if plan is None:
             out.append((own, None, None))
             continue
@@ -224,7 +228,7 @@ def fingerprints(texts: list[str], rarity: np.ndarray, edits: list[tuple[int, st
         tail = parts[k]
         whole = np.concatenate([data[:seam], tail])
         whole_rank = np.concatenate([rank[:seam], next_ranks()])
-        out.append((own, text, written(features(whole, whole_rank))))
+        out.append((own, text, packed(features(whole, whole_rank))))
     return out
 
 
@@ -259,13 +263,13 @@ def level_counts(texts: DataFrame) -> list[int]:
 
 
 ROWS = (
-    "part int, kind string, doc_id long, text string, n_chars long, edited_sha256 string, fingerprint string, "
-    "edited_fingerprint string, near_edited double, near_next double"
+    "part int, kind string, doc_id long, text string, n_chars long, edited_sha256 binary, fingerprint binary, "
+    "edited_fingerprint binary, near_edited double, near_next double"
 )
 _FIELDS = [field.split()[0] for field in ROWS.split(", ")]
 _ROW_SCHEMA = pa.schema([
     ("part", pa.int32()), ("kind", pa.string()), ("doc_id", pa.int64()), ("text", pa.string()), ("n_chars", pa.int64()),
-    ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
+    ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
     ("near_edited", pa.float64()), ("near_next", pa.float64()),
 ])
 
@@ -284,7 +288,7 @@ def _results(rows: list[tuple], rarity: np.ndarray, following: list[tuple]) -> l
     out = []
     for (name, text), (own, edited, edited_own), (after, _, _) in zip(rows, found, found[1:], strict=False):
         out.append({
-            "kind": "done", "doc_id": name, "n_chars": len(text), "edited_sha256": hashlib.sha256(encoded(edited)).hexdigest(),
+            "kind": "done", "doc_id": name, "n_chars": len(text), "edited_sha256": hashlib.sha256(encoded(edited)).digest(),
             "fingerprint": own, "edited_fingerprint": edited_own,
             "near_edited": likeness(own, edited_own), "near_next": likeness(own, after),
         })
@@ -353,5 +357,7 @@ def edited_pairs(docs: DataFrame, stored: Stored) -> DataFrame:
             for name, text, following in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 yield _batch(_results([(name, text)], rarity, [(None, following)]))
 
-    shown = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    return made.where("kind = 'done'").select(*shown).unionByName(lasts.mapInArrow(close, ROWS).select(*shown))
+    found = made.where("kind = 'done'").drop("text").unionByName(lasts.mapInArrow(close, ROWS).drop("text"))
+    # Spark may break base64 into lines.
+    as_text = {c: F.regexp_replace(F.base64(c), "[\r\n]", "") for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(as_text | {"edited_sha256": F.lower(F.hex("edited_sha256"))}).drop("part", "kind")
