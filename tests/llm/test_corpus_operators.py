@@ -374,6 +374,31 @@ def test_scores_do_not_depend_on_the_layout(spark, stored, monkeypatch):
     assert sum(s - b for s, b, _ in many.values()) / sum(n for _, _, n in many.values()) > 0.1
 
 
+def test_the_gain_rises_with_the_corpus(spark, stored, monkeypatch):
+    monkeypatch.setattr(language_model, "PART_TOKENS", 1 << 14)
+    rng = random.Random(5)
+    kinds = {end: [f"{rng.randrange(10**6)}{end}" for _ in range(4000)] for end in ("ung", "ment", "ido")}
+    rows = []
+    for k in range(2400):
+        words = kinds[rng.choice(list(kinds))]
+        rows.append((k, " ".join(rng.choice(words) for _ in range(60))))
+    gains = []
+    for n in (100, 2400):
+        docs = spark.createDataFrame(rows[:n], "doc_id long, text string").repartition(3)
+        held = language_model.score(docs, stored).where("held_out").agg({"score": "sum", "base_score": "sum", "n_tokens": "sum"}).first()
+        gains.append((held["sum(score)"] - held["sum(base_score)"]) / held["sum(n_tokens)"])
+    # Most words are rare: what is learnt about them comes from their endings.
+    assert gains[1] > gains[0] and gains[1] > 0.2
+
+
+def test_frequent_words_of_one_count(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "FREQUENT", 1000)
+    end = int(language_model.END.view("int64"))
+    counts = spark.createDataFrame([(k * 7919, 5) for k in range(1, 6000)] + [(end, 900)], "word long, c long")
+    found = language_model.frequent_words(counts).collect()
+    assert 700 < len(found) <= 1001 and end in {r["word"] for r in found}
+
+
 def test_the_model_without_training_texts(spark, nothing, stored):
     held = [k for k in range(60) if zlib.crc32(str(k).encode()) % 7 == 2]
     docs = spark.createDataFrame([(k, "a b c") for k in held], "doc_id long, text string")

@@ -1,28 +1,34 @@
 """Log-bilinear language model, trained in numpy with noise-contrastive estimation.
 
-Word counts come from the whole training corpus. The VOCABULARY most frequent words, and one
-class for all others, get vectors. Texts are dealt by a hash to parts of a fixed size; in each
-round every part trains a model from the last average, and the models are averaged by their
-tokens. A context of two words predicts the
-next through a product of vectors, so matrix products give the scores of all word pairs and
-the normalising sums of all contexts; a token's normalised log-probability is then three
-look-ups. Words outside the vocabulary share their class's probability by their counts.
+Word counts come from the whole training corpus. The softmax is factored: the most frequent words
+are symbols of their own, and every other word, seen or not, belongs to one of ``CLASSES`` classes by its
+ending, so each word of the corpus has a vector, its own or its class's. A context of two symbols predicts the
+next one through a product of vectors; a word of a class then has its share of the class by its
+counts, which come from all training texts. Matrix products give the scores of all pairs of symbols and the
+normalising sums of all contexts, so a token's normalised log-probability is three look-ups.
+
+Texts are dealt by a hash to parts of a fixed size; in each round every part trains a model from the last
+average, and the models are averaged by their tokens. A model thus moves by ``ROUNDS`` times ``PART_TOKENS``
+tokens at most, however large the corpus; more text means more models in each average.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from townsquare.llm.common import SPACED, U64, Stored, as_text, encoded, map_rows, run_hashes, small_batches, word_runs
+from townsquare.llm.common import SPACED, U64, Stored, as_text, encoded, map_rows, mix, run_hashes, small_batches, word_runs
 
+#: Symbols of the model: classes of words by their ending, then the most frequent words.
 VOCABULARY = 2048
+CLASSES = 512
 #: Most frequent words whose counts travel to the scoring tasks; rarer words are joined.
 FREQUENT = 1 << 17
 WIDTH = 32
@@ -36,7 +42,6 @@ PART_TOKENS = 1 << 20
 GROUP_CHARS = 1 << 18
 #: Distinct words a counting task holds before it hands them on.
 HELD_WORDS = 1 << 20
-SALTS = 1024
 _BLOCK = 128
 END = run_hashes(np.frombuffer(b"\n", dtype=np.uint8), np.array([0]), np.array([1]))[0]
 
@@ -46,12 +51,18 @@ def held_out() -> Column:
 
 
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-cased words with an end after each text, and where each text begins."""
+    """Hashes of the lower-cased words with an end after each text, and where each text begins.
+
+    The low bits of a word's hash are its class, which its last three bytes decide.
+    """
     data = [encoded(t).lower() for t in texts]
     view = np.frombuffer(b"\n".join(data), dtype=np.uint8)
     starts, ends = word_runs(view, SPACED)
     edges = np.searchsorted(starts, np.cumsum([0] + [len(d) + 1 for d in data]))
-    out = np.insert(run_hashes(view, starts, ends), edges[1:], END)
+    last = [np.where(ends - k >= starts, view[ends - k], 0).astype(U64) for k in (1, 2, 3)]
+    ending = mix(mix(last[0], last[1]), last[2]) >> U64(40)
+    hashes = (run_hashes(view, starts, ends) & ~U64(CLASSES - 1)) | (ending & U64(CLASSES - 1))
+    out = np.insert(hashes, edges[1:], END)
     return out, edges[:-1] + np.arange(len(texts))
 
 
@@ -98,42 +109,51 @@ def count_words(training: DataFrame) -> DataFrame:
 
 
 def frequent_words(counts: DataFrame) -> DataFrame:
-    """The most frequent words, at most FREQUENT and the end: whole steps of a logarithmic
-    scale of counts, found from a histogram of a few hundred rows, so nothing is sorted."""
+    """The most frequent words, about FREQUENT at most and the end: whole steps of a logarithmic
+    scale of counts, found from a histogram of a few hundred rows, so nothing is sorted. Of the
+    step that no longer fits, the words with the smallest mixed hashes come along."""
     step = F.floor(F.log2(F.col("c")) * 16)
-    left, least = FREQUENT, None
+    wanted = F.col("word") == F.lit(int(END.view(np.int64)))
+    left = FREQUENT
     for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        if row["count"] > left:
+            share = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int((1 << 20) * 0.95 * left / row["count"])
+            return counts.where(wanted | ((step == row["step"]) & share))
+        wanted |= step == row["step"]
         left -= row["count"]
-        if left < 0:
-            break
-        least = row["step"]
-    end = F.col("word") == F.lit(int(END.view(np.int64)))
-    return counts.where(end if least is None else end | (step >= least))
+    return counts.where(wanted)
 
 
 class Lexicon:
-    """The frequent words: sorted hashes, counts and places in the vocabulary (0: the rest)."""
+    """The frequent words: sorted hashes, counts and symbols; the first symbols are the classes of all other words.
+
+    ``classes`` has the tokens and the distinct words of each class, frequent ones included.
+    """
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, distinct: int) -> None:
-        order = np.lexsort((words, -counts))[: VOCABULARY - 1]
-        index = np.zeros(len(words), dtype=np.int32)
-        index[order] = np.arange(1, len(order) + 1)
+    def __init__(self, words: np.ndarray, counts: np.ndarray, classes: tuple[np.ndarray, np.ndarray]) -> None:
+        order = np.lexsort((words, -counts))[: VOCABULARY - CLASSES]
+        if len(words) and not (words[order] == END).any():
+            order[-1] = np.flatnonzero(words == END)[0]
+        own_class = (words & U64(CLASSES - 1)).astype(np.int32)
+        index = own_class.copy()
+        index[order] = np.arange(CLASSES, CLASSES + len(order))
         by_hash = np.argsort(words)
         self.words, self.counts, self.index = words[by_hash], counts[by_hash], index[by_hash]
-        self.total, self.distinct, self.size = total, distinct, len(order) + 1
-        known = np.zeros(self.size)
-        known[index[order]] = counts[order]
-        self.rest_total = total - int(known.sum())
-        self.rest_distinct = distinct - len(order)
-        known[0] = self.rest_total + 1
+        self.total, self.distinct, self.size = int(classes[0].sum()), int(classes[1].sum()), CLASSES + len(order)
+        tokens, distinct = (x.astype(np.int64) for x in classes)
+        np.subtract.at(tokens, own_class[order], counts[order])
+        np.subtract.at(distinct, own_class[order], 1)
+        #: log10 of what the shares of a class's words are counted against; one more for what was never seen.
+        self.rest_log = np.concatenate([np.log10(tokens + distinct + 1.0), np.zeros(len(order))])
+        known = np.concatenate([tokens + 1.0, counts[order]])
         self.share = known / known.sum()
 
     def look(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Vocabulary numbers and counts; a count of -1 marks words beyond the frequent ones."""
+        """Symbols and counts; a count of -1 marks words beyond the frequent ones."""
         at = np.searchsorted(self.words, h)
         at[at == len(self.words)] = 0
         found = self.words[at] == h
-        return np.where(found, self.index[at], 0), np.where(found, self.counts[at], -1)
+        return np.where(found, self.index[at], (h & U64(CLASSES - 1)).astype(np.int32)), np.where(found, self.counts[at], -1)
 
 
 class Model:
@@ -160,16 +180,27 @@ class Model:
             at += x.size
 
 
-def _gathered(index: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sums of the rows of ``values`` by ``index``."""
-    order = np.argsort(index, kind="stable")
-    ordered = index[order]
+def _gathered(index: np.ndarray, values: np.ndarray, size: int, room: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``values`` by ``index``; ``room`` holds the sorted rows."""
+    # Small whole numbers are sorted by their digits, in linear time; pairs of floats are added as one complex number.
+    order = np.argsort(index.astype(np.uint16) if size <= 1 << 16 else index, kind="stable")
+    ordered = index.take(order)
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    out = np.zeros((size, *values.shape[1:]), dtype=np.float32)
-    out[ordered[first]] = np.add.reduceat(values[order], first, axis=0)
+    values.take(order, axis=0, out=room[: len(order)], mode="clip")
+    out = np.zeros((size, values.shape[1]), dtype=np.float32)
+    out[ordered[first]] = np.add.reduceat(room[: len(order)].view(np.complex64), first, axis=0).view(np.float32)
     return out
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """The logistic function, in place."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 class Trainer:
     """Noise-contrastive estimation with noise shared by a batch, and Adagrad steps."""
 
@@ -180,28 +211,49 @@ class Trainer:
         self.log_noise = np.log(NOISE * share).astype(np.float32)
         self.squares = [np.full(x.shape, 1e-2, dtype=np.float32) for x in self.model.arrays()]
         self.seen = 0
+        # Room for a batch, kept from step to step: fresh pages for every product would cost as much as the sums.
+        self.rows = [np.empty((BATCH_TOKENS, WIDTH), dtype=np.float32) for _ in range(5)]
+        self.pairs = [np.empty((2 * BATCH_TOKENS, WIDTH), dtype=np.float32) for _ in range(2)]
+        self.against = np.empty((BATCH_TOKENS, NOISE), dtype=np.float32)
 
     def step(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> None:
         m = self.model
         size, n = len(m.bias), len(word)
         noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), size - 1)
-        a, b, q = m.context[near], m.context[far], m.target[word]
-        h = a * m.near + b * m.far
-        true = np.einsum("ij,ij->i", h, q) + m.bias[word] - self.log_noise[word]
-        false = h @ m.target[noise].T + (m.bias[noise] - self.log_noise[noise])
-        up = (-1 / (1 + np.exp(np.clip(true, -30, 30)))).astype(np.float32)
-        down = (1 / (1 + np.exp(-np.clip(false, -30, 30)))).astype(np.float32)
-        dh = up[:, None] * q + down @ m.target[noise]
-        d_target = _gathered(word, up[:, None] * h, size)
-        np.add.at(d_target, noise, down.T @ h)
+        a, b, q, h, dh = (room[:n] for room in self.rows)
+        down, both = self.against[:n], self.pairs[0][: 2 * n]
+        for source, index, out in ((m.context, near, a), (m.context, far, b), (m.target, word, q)):
+            source.take(index, axis=0, out=out, mode="clip")
+        np.multiply(a, m.near, out=h)
+        np.multiply(b, m.far, out=dh)
+        h += dh
+        up = _sigmoid(np.einsum("ij,ij->i", h, q) + (m.bias - self.log_noise).take(word))
+        up -= 1
+        drawn = m.target[noise]
+        np.matmul(h, drawn.T, out=down)
+        down += m.bias[noise] - self.log_noise[noise]
+        _sigmoid(down)
+        np.matmul(down, drawn, out=dh)
+        q *= up[:, None]
+        dh += q
+        d_noise, d_noise_bias = down.T @ h, np.ones(n, dtype=np.float32) @ down
+        h *= up[:, None]
+        d_target = _gathered(word, h, size, self.pairs[1])
+        np.add.at(d_target, noise, d_noise)
         d_bias = np.bincount(word, weights=up, minlength=size).astype(np.float32)
-        np.add.at(d_bias, noise, down.sum(axis=0))
-        d_context = _gathered(near, dh * m.near, size) + _gathered(far, dh * m.far, size)
-        grads = [d_context, d_target, (dh * a).sum(axis=0), (dh * b).sum(axis=0), d_bias]
-        for x, g, s in zip(m.arrays(), grads, self.squares, strict=True):
-            g /= np.sqrt(n)
+        np.add.at(d_bias, noise, d_noise_bias)
+        np.multiply(dh, m.near, out=both[:n])
+        np.multiply(dh, m.far, out=both[n:])
+        d_context = _gathered(np.concatenate([near, far]), both, size, self.pairs[1])
+        a *= dh
+        b *= dh
+        d_near, d_far = a.sum(axis=0), b.sum(axis=0)
+        for x, g, s in zip(m.arrays(), [d_context, d_target, d_near, d_far, d_bias], self.squares, strict=True):
+            g /= np.sqrt(np.float32(n))
             s += g * g
-            x -= RATE * g / np.sqrt(s)
+            g /= np.sqrt(s)
+            g *= np.float32(RATE)
+            x -= g
         self.seen += n
 
     def learn(self, index: np.ndarray, starts: np.ndarray, end: int) -> None:
@@ -244,7 +296,13 @@ def deal(training: DataFrame, lexicon: Lexicon) -> DataFrame:
     key = F.xxhash64("text", "doc_id")
     keyed = training.select(F.pmod(key, F.lit(parts)).cast("int").alias("part"), key.alias("key"), "text")
     dealt = keyed.mapInArrow(run, "part int, key bigint, words array<int>")
-    return dealt.repartition(parts, "part").sortWithinPartitions("part", "key")
+    # The parts of a task lie side by side, so the number of tasks follows the cluster and not the tokens.
+    return dealt.repartitionByRange(min(parts, tasks(training.sparkSession)), "part").sortWithinPartitions("part", "key")
+
+
+def tasks(spark: SparkSession) -> int:
+    """Tasks that a round is dealt to at most."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -283,9 +341,10 @@ def train(training: DataFrame, lexicon: Lexicon, stored: Stored) -> Model:
 def _round(dealt: DataFrame, share: np.ndarray, model: Model, number: int, end: int) -> None:
     """Train every part from ``model`` and put the average by tokens in its place.
 
-    A task sums the models of its parts; sums are built in two steps over salted groups, so
-    no task holds more than a few hundred of them, whatever the number of tasks.
+    A task sums the models of its parts; sums are built in two steps over salted groups, each of as
+    many sums as the root of the number of tasks, one piece of the model at a time.
     """
+    salts = math.isqrt(tasks(dealt.sparkSession)) + 1
     shared = dealt.sparkSession.sparkContext.broadcast((share, model.flat()))
     parts_schema = "part int, salt int, weight double, data binary"
 
@@ -308,7 +367,7 @@ def _round(dealt: DataFrame, share: np.ndarray, model: Model, number: int, end:
             seen += trainer.seen
             pieces = np.array_split(flat, max(1, len(flat) // (_BLOCK * WIDTH)))
             yield pa.RecordBatch.from_pydict({
-                "part": pa.array(range(len(pieces)), pa.int32()), "salt": pa.array([task % SALTS] * len(pieces), pa.int32()),
+                "part": pa.array(range(len(pieces)), pa.int32()), "salt": pa.array([task % salts] * len(pieces), pa.int32()),
                 "weight": [float(seen)] * len(pieces), "data": [p.tobytes() for p in pieces],
             })
 
@@ -357,13 +416,16 @@ def score(docs: DataFrame, stored: Stored) -> DataFrame:
     )
     training = slim.where("not held_out").select("doc_id", "text")
     counts = stored.put(count_words(training))
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    classes = np.zeros((2, CLASSES), dtype=np.int64)
+    by_class = counts.groupBy(F.col("word").bitwiseAND(F.lit(CLASSES - 1)).alias("class")).agg(F.sum("c"), F.count("*"))
+    for number, c, words in by_class.collect():
+        classes[:, number] = c, words
+    total, distinct = map(int, classes.sum(axis=1))
     top = frequent_words(counts).toPandas()
-    lexicon = Lexicon(top["word"].to_numpy(dtype=np.int64).view(U64), top["c"].to_numpy(dtype=np.int64), total, distinct)
+    lexicon = Lexicon(top["word"].to_numpy(dtype=np.int64).view(U64), top["c"].to_numpy(dtype=np.int64), tuple(classes))
     model = train(training, lexicon, stored) if total else None
     shared = docs.sparkSession.sparkContext.broadcast((lexicon, model, uuid.uuid4().hex))
     base_log = float(np.log10(total + distinct + 1))
-    rest_log = float(np.log10(lexicon.rest_total + lexicon.rest_distinct + 1))
 
     def run(ids, held, texts):
         lexicon, model, name = shared.value
@@ -387,7 +449,7 @@ def score(docs: DataFrame, stored: Stored) -> DataFrame:
             else:
                 end = int(lexicon.look(np.array([END], dtype=U64))[0][0])
                 by_token = _TABLES[name].log_probability(*contexts(index, starts, end), index) / np.log(10)
-                by_token += np.where(index == 0, log_count - rest_log, 0.0)
+                by_token += np.where(index < CLASSES, log_count, 0.0) - lexicon.rest_log[index]
             values = (np.ones(len(h)), found > 0, log_count, by_token)
             for n, v in zip(names, values, strict=True):
                 out[n][rows] = np.add.reduceat(v.astype(np.float64), starts)
@@ -423,8 +485,8 @@ def score(docs: DataFrame, stored: Stored) -> DataFrame:
     zero = F.lit(0)
     log_count = F.col("log_count") + F.coalesce("tail_log", F.lit(0.0))
     base = log_count - F.col("n_tokens") * base_log
-    # The map has already taken rest_log from frequent words outside the vocabulary and, with
-    # a log count of zero, from the rare ones.
+    # The map has already set the words of a class against their class, the rare ones with a
+    # log count of zero.
     own = F.col("log_model") + F.coalesce("tail_log", F.lit(0.0))
     return scored.drop("tail").join(rest, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
