@@ -5,9 +5,11 @@ Only wiring lives here; the operators are in ``townsquare``. Survey ids are give
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ from townsquare.plans import jobs, monitor
 from townsquare.runtime import freeze, own_path, scratch_scope, shared_folder
 from townsquare.sources import readers, shaping, writers
 from townsquare.sources.tables import posts_from_tables, spread
+from townsquare.streaming import alerts as live_alerts
 from townsquare.streaming import daily as stream
 
 try:
@@ -85,9 +88,14 @@ SCORED = (
 )
 
 
-def scored(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+def scored(spark: SparkSession, folder: str, *more: str, only: tuple[str, ...] = SCORED) -> DataFrame:
     """Posts with the sentiment and the word count of their texts, as one narrow stored table."""
-    return freeze(texts(spark, folder).select(*SCORED, *more))
+    return freeze(texts(spark, folder).select(*only, *more))
+
+
+def daily_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily metrics as a stored table of one row a day; the posts are scored on the way and not stored."""
+    return freeze(rollups.daily_metrics(texts(spark, folder)))
 
 
 def measured(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -349,9 +357,16 @@ def quality_issues(spark, folder):  # D4-D7, D9
     return found.select("check", "column", r("value").alias("value"))
 
 
-def validation_report(spark, folder):  # D8
-    report = quality.validation_report(spark, raw_frames(spark, folder), AS_OF)
-    return report.select("dataset", "source", "status", F.array_join("missing", ",").alias("missing"))
+def validation_report(spark, folder):  # D8, with every issue and the overall status
+    limits = {"max_null_share": 0.1, "null_checked": ("text",), "date_range": ("2024-01-05", "2024-01-20")}
+    dated = posts(spark, folder, text=True).filter(filters.source_is("twitter")).select("id", "created_at", "text", "retweet_count")
+    frames = raw_frames(spark, folder) | {"twitter_feed": dated}
+    report = freeze(quality.validation_report(spark, frames, AS_OF - dt.timedelta(days=5), **limits))
+    issue = F.transform("issues", lambda i: F.concat_ws(":", i["check"], i["column"], F.round(i["value"], 4).cast("decimal(20,4)"), i["message"]))
+    return report.select(
+        "dataset", "source", "status", F.array_join("missing", ",").alias("missing"), F.array_join(issue, "; ").alias("issues"),
+        F.lit(quality.overall_status(report)).alias("overall_status"),
+    )
 
 
 # --- roll-ups (E) -------------------------------------------------------------------------------
@@ -371,7 +386,7 @@ def domain_engagement(spark, folder):  # E3
 
 
 def daily_metrics(spark, folder):  # E4
-    return rounded(rollups.daily_metrics(scored(spark, folder)), "sentiment_polarity")
+    return rounded(rollups.daily_metrics(texts(spark, folder)), "sentiment_polarity")
 
 
 def daily_gaps(spark, folder):  # E4, E8: every fourth day moved 90 days on, so that days are missing
@@ -380,7 +395,7 @@ def daily_gaps(spark, folder):  # E4, E8: every fourth day moved 90 days on, so
 
 
 def daily_describe(spark, folder):  # E5
-    df = rollups.daily_describe(rollups.daily_metrics(scored(spark, folder)))
+    df = rollups.daily_describe(daily_table(spark, folder))
     return rounded(df, "mean", "std", "min", "q25", "q50", "q75", "max", digits=4)
 
 
@@ -389,7 +404,7 @@ def daily_volume_by_source(spark, folder):  # E6
 
 
 def daily_sentiment(spark, folder):  # E7
-    return rounded(rollups.daily_sentiment(scored(spark, folder)), "mean_sentiment")
+    return rounded(rollups.daily_sentiment(texts(spark, folder)), "mean_sentiment")
 
 
 def daily_volume(spark, folder):  # E8
@@ -405,7 +420,10 @@ def top_categories(spark, folder):  # E10
 
 
 def top_posts(spark, folder):  # E11
-    return rollups.top_posts(scored(spark, folder, "text_cleaned"))
+    # The fifty posts are found by their figures; only their texts are cleaned and scored.
+    best = rollups.top_posts(posts(spark, folder, text=True), columns=("id", "created_at", "subreddit", "text", "total_engagement"))
+    cleaned = freeze(best).withColumn("text_cleaned", text.clean_text(F.col("text")))
+    return sentiment.with_sentiment(cleaned).select(*rollups.POST_COLUMNS)
 
 
 def histogram(spark, folder):  # E12
@@ -458,7 +476,7 @@ def normality_moments(spark, folder):  # F2
 
 
 def shapiro(spark, folder):  # the daily series is short enough for Shapiro-Wilk
-    daily = rollups.daily_metrics(scored(spark, folder))
+    daily = daily_table(spark, folder)
     names = ["sentiment_polarity", "total_engagement", "reddit_engagement", "word_count"]
     report = normality.normality_report(daily, names)
     return rounded(report.select("name", "n", "test", "statistic"), "statistic")
@@ -485,7 +503,7 @@ def kendall(spark, folder):  # F6
 
 def adaptive_correlation(spark, folder):  # F7, F8
     report = correlation.compute_correlations(_correlated(spark, folder))
-    return rounded(report.select("name", "n", "correlation", "method_used"), "correlation")
+    return rounded(report, "correlation", "p_value")
 
 
 def _correlated(spark, folder):
@@ -500,7 +518,7 @@ def sentiment_correlations(spark, folder):  # F8, third family
         influencer_activity_vs_virality=False,
         sentiment_vs_commercial_metrics=True,
     )
-    return rounded(report.select("name", "n", "correlation", "method_used"), "correlation")
+    return rounded(report, "correlation", "p_value")
 
 
 def levene(spark, folder):  # F9
@@ -536,43 +554,43 @@ def mann_whitney(spark, folder):  # F14
 def platform_comparison(spark, folder):  # F15
     df = features.with_engagement_rate(posts(spark, folder))
     report = spark.createDataFrame([group_tests.compare_platforms(df)], group_tests.REPORT_SCHEMA)
-    return rounded(report.select("name", "statistic", "test_used"), "statistic", digits=1)
+    return rounded(rounded(report.select("name", "statistic", "p_value", "test_used", "significant"), "p_value"), "statistic", digits=1)
 
 
 def adf(spark, folder):  # F16
-    df = timeseries.stationarity(rollups.daily_metrics(scored(spark, folder)))
+    df = timeseries.stationarity(daily_table(spark, folder))
     return rounded(df, "test_statistic", "p_value")
 
 
 def adf_lag0(spark, folder):  # F16
     return rounded(
-        timeseries.stationarity(rollups.daily_metrics(scored(spark, folder)), max_lag=0).select("column", "test_statistic", "lags", "n"),
+        timeseries.stationarity(daily_table(spark, folder), max_lag=0).select("column", "test_statistic", "lags", "n"),
         "test_statistic",
     )
 
 
 def seasonal(spark, folder):  # F17
-    daily = rollups.daily_metrics(scored(spark, folder)).select("day", "total_engagement")
+    daily = daily_table(spark, folder).select("day", "total_engagement")
     parts = timeseries.decompose(daily, "total_engagement")
     return rounded(parts, "trend", "seasonal", "resid", digits=4)
 
 
 def seasonal_multiplicative(spark, folder):  # F17
-    daily = rollups.daily_metrics(scored(spark, folder)).select("day", "total_engagement")
+    daily = daily_table(spark, folder).select("day", "total_engagement")
     parts = timeseries.decompose(daily, "total_engagement", "multiplicative")
     return rounded(parts, "trend", "seasonal", "resid")
 
 
 def reddit_volume(spark, folder):  # F18
     report = correlation.reddit_volume_correlation(measured(spark, folder, "data_source", "word_count", "reddit_engagement"))
-    return rounded(report.select("name", "n", "correlation", "method_used"), "correlation")
+    return rounded(report, "correlation", "p_value")
 
 
 def cross_platform(spark, folder):  # F19
     df = posts(spark, folder)
     names = rollups.platforms(df)
     report = correlation.cross_platform_correlation(rollups.platform_pivot(df, names), names)
-    return rounded(report.select("name", "n", "correlation", "method_used"), "correlation")
+    return rounded(report, "correlation", "p_value")
 
 
 def findings(spark, folder):  # F20
@@ -582,7 +600,7 @@ def findings(spark, folder):  # F20
         group_tests.statistical_tests(features.with_engagement_rate(df)),
         rollups.domain_engagement(df, DOMAINS),
     )
-    return summary.withColumn("findings", F.size("significant_findings")).drop("significant_findings")
+    return summary.withColumn("significant_findings", F.array_join("significant_findings", "; "))
 
 
 # --- topics (G) ---------------------------------------------------------------------------------
@@ -655,11 +673,16 @@ def influencers(spark, folder):  # H7
     return rounded(graph.influencers(_community(spark, folder)), "rank_score")
 
 
+def influencers_20(spark, folder):  # H7 after exactly twenty rounds
+    return rounded(graph.influencers(_community(spark, folder), max_rounds=20, tolerance=None), "rank_score", digits=8)
+
+
 # --- monitoring (K) and whole jobs (L) ----------------------------------------------------------
 
 
 def sentiment_alerts(spark, folder):  # K1
-    return rounded(monitor.sentiment_alerts(scored(spark, folder), threshold=0.0), "mean_sentiment")
+    # Days whose texts score 0 lie below this threshold.
+    return rounded(monitor.sentiment_alerts(texts(spark, folder), threshold=0.01), "mean_sentiment")
 
 
 def volume_alerts(spark, folder):  # K2, at one sigma
@@ -675,19 +698,111 @@ def control_limits(spark, folder):  # K4
     return rounded(monitor.control_limits(posts(spark, folder)), "centre_line", "upper_limit")
 
 
-def daily_stream(spark, folder):  # K5: all input taken as a stream; only closed days come out
-    schema = events(spark, folder).schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    even = F.col("event_id") % 2 == 0
+def _live(spark, folder) -> DataFrame:
+    """The posts of ``posts_from_tables`` as a stream of the event table, with the sentiment of their texts."""
+    source = spark.readStream.schema(events(spark, folder).schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     live = source.select(
         F.col("ts").alias("created_at"),
-        F.when(even, "twitter").otherwise("reddit_kaggle").alias("data_source"),
+        F.when(F.col("event_id") % 2 == 0, "twitter").otherwise("reddit_kaggle").alias("data_source"),
         F.col("value").alias("total_engagement"),
+        F.col("event_id").alias("doc_id"),
     )
+    known = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    cleaned = live.join(known, "doc_id", "left").withColumn("text_cleaned", text.clean_text(F.col("text")))
+    return sentiment.with_sentiment(cleaned)
+
+
+def daily_stream(spark, folder):  # K5: all input taken as a stream; only closed days come out
+    out, checkpoint = scratch(spark), scratch(spark)
+    stream.start_daily(stream.daily_stream(_live(spark, folder)), out, checkpoint).awaitTermination()
+    closed = spark.read.schema("data_source string, count long, total_engagement double, mean_sentiment double, day date").parquet(out)
+    return rounded(rounded(closed, "total_engagement", digits=4), "mean_sentiment")
+
+
+def sentiment_drop_stream(spark, folder):  # K5: closed days below the threshold
+    out, checkpoint = scratch(spark), scratch(spark)
+    low = stream.sentiment_drop_stream(_live(spark, folder), threshold=0.01).select("day", "data_source", "mean_sentiment")
+    stream.start_daily(low, out, checkpoint).awaitTermination()
+    return rounded(spark.read.schema("day date, data_source string, mean_sentiment double").parquet(out), "mean_sentiment")
+
+
+def watch_stream(spark, folder):  # K5 with K1, K2, E7: running figures and alerts of the closed days, from keyed state
     out, checkpoint = scratch(spark), scratch(spark)
-    stream.start_daily(stream.daily_stream(live), out, checkpoint).awaitTermination()
-    closed = spark.read.schema("data_source string, count long, total_engagement double, day date").parquet(out)
-    return rounded(closed, "total_engagement", digits=4)
+    live_alerts.start_watch(live_alerts.watch_stream(_live(spark, folder), drop=0.01, sigma=1.0), out, checkpoint).awaitTermination()
+    closed = spark.read.schema(monitor.WATCH_SCHEMA).parquet(out)
+    return rounded(closed, "mean_sentiment", "recent_sentiment", "limit")
+
+
+def daily_watch(spark, folder):  # the same over a finished table, all days
+    watched = monitor.daily_watch(texts(spark, folder), drop=0.01, sigma=1.0)
+    return rounded(watched, "mean_sentiment", "recent_sentiment", "limit")
+
+
+def monitoring_read(spark, folder):  # A10, E6, E9, E10, E12, K1, K2: a committed run read again; a run that broke off is not seen
+    base = scratch(spark)
+    table = scored(spark, folder, "text_cleaned")
+    writers.save_run(base, "20240101_000000", table, {"kpis": rollups.kpis(table)})
+    broken = table.withColumn("word_count", F.assert_true(F.lit(False), "this run breaks off").cast("int"))
+    with contextlib.suppress(Exception):
+        writers.save_run(base, "20240201_000000", table, {"kpis": broken})
+    newest = readers.list_runs(spark, base)[0]
+    read = monitor.monitoring(spark, base, newest, sources=["twitter", "reddit_kaggle"], dates=DATE_RANGE, sentiment_drop=0.01, volume_sigma=1.0)
+    figure = F.col("value").cast("double")
+    kpi = read["kpis"].select(F.explode(F.array(*(
+        F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias("value"))
+        for c in ("total_posts", "reddit_posts", "twitter_posts", "total_engagement")
+    ))).alias("e")).select(F.lit("kpis").alias("part"), "e.*")
+    parts = [
+        kpi,
+        read["daily_volume"].select(F.lit("daily_volume"), F.concat_ws(" ", F.col("day").cast("string"), "data_source"), F.col("count")),
+        read["top_categories"].select(F.lit("top_categories"), "subreddit", F.col("posts")),
+        read["histogram"].select(F.lit("histogram"), F.col("bin").cast("string"), F.col("count")),
+        read["top_posts"].select(F.lit("top_posts"), "id", F.col("total_engagement")),
+        read["alerts"].select(F.lit("alerts"), F.concat_ws(": ", "level", "title", "detail"), F.lit(1.0)),
+    ]
+    whole = reduce(DataFrame.union, parts).select(F.lit(newest).alias("run_id"), "part", "item", r(figure, 4).alias("value"))
+    return whole
+
+
+def analysis_job(spark, folder):  # L3: the figures of the analysis sections over one post table, in long form
+    params = jobs.Params(domains=DOMAINS, network_metrics=("community_metrics", "top_users"))
+    table = scored(spark, folder, "text_cleaned", "author")
+    found = jobs.analyse(table, params)
+
+    def figures(section: str, key: str, *columns: str) -> DataFrame:
+        entries = F.array(*(F.struct(F.lit(c).alias("figure"), F.col(c).cast("double").alias("value")) for c in columns))
+        return found[section].select(F.lit(section).alias("section"), F.col(key).alias("item"), F.explode(entries).alias("e")).select("section", "item", "e.*")
+
+    found["community_metrics"] = found["community_metrics"].withColumn("graph", F.lit("community"))
+    parts = [
+        figures("correlations", "name", "n", "correlation", "p_value"),
+        figures("cross_platform", "data_source", "total_engagement_mean", "total_engagement_sum", "total_engagement_median"),
+        figures("technology_domains", "domain", "count", "mean_engagement", "mean_sentiment"),
+        figures("daily_summary", "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"),
+        figures("top_users", "user_id", "total_engagement"),
+        figures("community_metrics", "graph", "number_of_nodes", "number_of_edges", "average_degree", "density"),
+        figures("summary", "status", "correlations", "statistical_tests", "domains_analyzed"),
+    ]
+    return reduce(DataFrame.unionByName, parts).withColumn("value", r("value", 4))
+
+
+def stored_job(spark, folder):  # L4, A9, A10: the whole job stored as a run; its posts and reports read again
+    base = scratch(spark)
+    params = jobs.Params(domains=DOMAINS, as_of=AS_OF, topics=False, enabled={"network": False})
+    jobs.run_job(spark, raw_frames(spark, folder), params, out=(base, "20240301_000000"))
+    run_id = readers.list_runs(spark, base)[0]
+    stored = readers.load_run(spark, base, run_id)
+    count = F.count(F.lit(1)).cast("double")
+    by_source = stored.groupBy("data_source").agg(count.alias("posts"), F.sum("total_engagement").alias("total_engagement"),
+                                                  F.sum("word_count").cast("double").alias("word_count"))
+    long = by_source.select("data_source", F.explode(F.array(*(
+        F.struct(F.lit(c).alias("figure"), F.col(c).alias("value")) for c in ("posts", "total_engagement", "word_count")
+    ))).alias("e")).select(F.lit("posts").alias("part"), F.col("data_source").alias("item"), "e.*")
+    labels = readers.load_report(spark, base, "sentiment_distribution", run_id)
+    status = readers.load_report(spark, base, "validation_status", run_id)
+    return long.union(
+        labels.select(F.lit("sentiment_distribution"), "sentiment_label", F.lit("count"), F.col("count").cast("double"))
+    ).union(status.select(F.lit("validation_status"), "overall_status", F.lit("datasets"), F.lit(2.0)))
 
 
 def transform_job(spark, folder):  # L1
@@ -807,13 +922,20 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     pagerank_10,
     pagerank,
     influencers,
+    influencers_20,
     sentiment_alerts,
     volume_alerts,
     weak_correlations,
     control_limits,
     daily_stream,
+    sentiment_drop_stream,
+    watch_stream,
+    daily_watch,
+    monitoring_read,
     transform_job,
     nlp_job,
+    analysis_job,
+    stored_job,
     full_job,
 )
 

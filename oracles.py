@@ -152,9 +152,37 @@ def average_ranks(source: str, column: str) -> str:
     )
 
 
+def correlation_p(r: str, n: str) -> str:
+    """Two-sided p of a correlation: Student's t with n - 2 degrees of freedom as a finite sum, for even and odd ones."""
+    x = f"greatest(1 - {r} * {r}, 1e-300)"
+    even = f"list_sum(list_transform(range(0, ({n} - 2) // 2), lambda j: exp(lgamma(j + 0.5) - lgamma(j + 1) - 0.5 * ln(pi()) + j * ln({x}))))"
+    odd = (
+        f"coalesce(list_sum(list_transform(range(1, ({n} - 3) // 2 + 1), lambda j: exp(0.5 * ln(pi()) - ln(2) + lgamma(j) - lgamma(j + 0.5) "
+        f"+ (j - 0.5) * ln({x})))), 0)"
+    )
+    return f"1 - case when {n} % 2 = 0 then abs({r}) * {even} else 2 / pi() * (asin(abs({r})) + abs({r}) * {odd}) end"
+
+
+def normal_p(z: str) -> str:
+    """Two-sided p of a standard normal value, by its power series; beyond 6 it is 0 in the digits compared."""
+    terms = (
+        f"list_sum(list_transform(range(0, 120), lambda k: exp((2 * k + 1) * ln(greatest({z}, 1e-300)) - {z} * {z} / 2 "
+        f"- ((k + 1) * ln(2) + lgamma(k + 1.5) - 0.5 * ln(pi())))))"
+    )
+    return f"case when {z} <= 0 then 1.0 when {z} > 6 then 0.0 else 1 - sqrt(2 / pi()) * {terms} end"
+
+
+def reported(body: str) -> str:
+    """Report rows of ``body`` rows (name, n, correlation, method_used): rounded, with p and significance."""
+    return (
+        "select name, n, round(correlation, 6) + 0.0 as correlation, round(p, 6) + 0.0 as p_value, method_used, p < 0.05 as significant "
+        f"from (select *, {correlation_p('correlation', 'n')} as p from ({body}))"
+    )
+
+
 def spearman(name: str, x: str, y: str, table: str, where: str = "true") -> str:
     return f"""
-select '{name}' as name, count(*) as n, round(corr(rx, ry), 6) + 0.0 as correlation, 'spearman' as method_used from (
+select '{name}' as name, count(*) as n, corr(rx, ry) as correlation, 'spearman' as method_used from (
   select rank() over (order by x) + (count(*) over (partition by x) - 1) / 2.0 as rx,
          rank() over (order by y) + (count(*) over (partition by y) - 1) / 2.0 as ry
   from (select {x} as x, {y} as y from {table} where {where} and {x} is not null and {y} is not null))"""
@@ -230,7 +258,7 @@ degrees as (select rnodes.id, count(ends.id) as degree from rnodes left join end
 central as (select id, degree, round(degree / ((select count(*) from rnodes) - 1)::double, 6) + 0.0 as centrality from degrees)"""
 
 
-def pagerank(rounds: int) -> str:
+def pagerank(rounds: int, body: str = "select id, round(rank, 8) + 0.0 as rank from {last}") -> str:
     steps = [
         f"""{COMMUNITY},
 arcs as (select src, dst, weight from edges where weight > 0
@@ -247,7 +275,70 @@ p0 as (select id, 1.0::double / (select count(*) from nodes) as rank from nodes)
   from nodes left join (select dst as id, sum(rank * weight / w) as flow
                         from arcs join outs using (src) join p{i} on p{i}.id = arcs.src group by dst) f using (id))"""
         )
-    return on_posts(f"select id, round(rank, 8) + 0.0 as rank from p{rounds}", ", ".join(steps))
+    return on_posts(body.replace("{last}", f"p{rounds}"), ", ".join(steps))
+
+
+def topic_model(k: int, rounds: int, fold_in: int, seed: int = 42) -> str:
+    """CTEs of the topic model over the documents: weights w<rounds>, sizes, totals and, for each text, f<fold_in>."""
+    topics, prior = range(k), f"{1 / k!r}::double"
+
+    def shared(source: str, totals: str, known: bool) -> str:
+        parts = [f"(w{i} + {prior}) / (s{i} + {prior} * size)" + (f" * (t{i} + {prior})" if known else "") for i in topics]
+        whole = " + ".join(f"p{i}" for i in topics)
+        return (
+            "select text, term, " + ", ".join(f"n * p{i} / ({whole}) as g{i}" for i in topics)
+            + " from (select text, term, n, " + ", ".join(f"{p} as p{i}" for i, p in enumerate(parts)) + f" from {source}, {totals}, sizes)"
+        )
+
+    def sums(source: str, key: str, name: str) -> str:
+        return f"select {key}, " + ", ".join(f"sum(g{i}) as {name}{i}" for i in topics) + f" from {source} group by {key}"
+
+    steps = [
+        f"toks as (select doc_id as text, {token_list('text')} as ws from documents)",
+        "long_texts as (select text, ws from toks where len(array_to_string(ws, ' ')) > 10)",
+        "spread as (select text, unnest(ws) as term from long_texts)",
+        "found as (select term from (select distinct text, term from spread) group by term having count(*) >= 2 "
+        "and count(*) <= 0.95 * (select count(*) from long_texts))",
+        "sizes as materialized (select count(*) as size from found)",
+        "counts as materialized (select text, term, count(*) as n from spread join found using (term) group by all)",
+        "w0 as materialized (select term, "
+        + ", ".join(f"('0x' || substr(md5('{seed}|{i}|' || term), 1, 8))::bigint / 4294967296.0::double as w{i}" for i in topics)
+        + " from found)",
+    ]
+    total = ", ".join(f"sum(w{i}) as s{i}" for i in topics)
+    for number in range(rounds):
+        steps.append(f"s{number} as materialized (select {total} from w{number})")
+        source = f"counts join w{number} using (term)" + (f" join t{number} using (text)" if number else "")
+        steps.append(f"g{number} as materialized ({shared(source, f's{number}', bool(number))})")
+        steps.append(f"w{number + 1} as materialized ({sums(f'g{number}', 'term', 'w')})")
+        steps.append(f"t{number + 1} as materialized ({sums(f'g{number}', 'text', 't')})")
+    steps.append(f"totals as materialized (select {total} from w{rounds})")
+    for number in range(fold_in):
+        source = f"counts join w{rounds} using (term)" + (f" join f{number} using (text)" if number else "")
+        steps.append(f"f{number + 1} as materialized ({sums('(' + shared(source, 'totals', bool(number)) + ')', 'text', 't')})")
+    return "with " + ", ".join(steps)
+
+
+#: Days the daily stream has closed when all events are read.
+CLOSED = "cast(created_at as date) + interval 1 day <= (select max(ts) from events) - interval 2 day"
+
+
+def watched(through: str) -> str:
+    """CTEs ending in ``w``: each source's days up to ``through`` with running figures."""
+    return f"""
+by_day as (select data_source, day, count(*) as count, avg(polarity) as m from polar where day <= {through} group by all),
+spans as (select data_source, cast(unnest(generate_series(min(day)::timestamp, {through}::timestamp, interval 1 day)) as date) as day
+          from by_day group by data_source),
+w as (select data_source, day, coalesce(count, 0) as count, m, avg(m) over (u rows between 2 preceding and current row) as recent,
+             row_number() over u as days,
+             avg(coalesce(count, 0)) over (u rows unbounded preceding) + stddev_samp(coalesce(count, 0)) over (u rows unbounded preceding) as lim
+      from spans left join by_day using (data_source, day) window u as (partition by data_source order by day))"""
+
+
+WATCHED = (
+    "select data_source, day, count, round(m, 6) + 0.0 as mean_sentiment, round(recent, 6) + 0.0 as recent_sentiment, "
+    "round(lim, 6) + 0.0 as \"limit\", coalesce(days > 5 and count > lim, false) as volume_alert, coalesce(m < 0.01, false) as sentiment_alert from w"
+)
 
 
 PLURALS = f"""
@@ -413,9 +504,20 @@ union all select 'variance', 'author_post_karma', 0.0
 union all select 'future_dates', 'created_at', year(max(created_at))::double from posts having max(created_at) > '2024-01-16'
 union all select 'date_range', 'created_at', count(*)::double from posts where created_at < '2024-01-05' or created_at > '2024-01-20'"""
     ),
-    "validation_report": (
-        "select * from (values ('twitter', 'twitter', 'FAILED', 'created_at'), ('reddit_kaggle', 'reddit', 'PASSED', '')) "
-        "as t(dataset, source, status, missing) where (select count(*) from events) > 0"
+    "validation_report": on_posts(
+        # Only the third table has a time column by the name that is looked for.
+        "select dataset, source, status, missing, coalesce(string_agg(issue, '; ' order by issue), '') as issues, 'FAILED' as overall_status "
+        "from (values ('twitter', 'twitter', 'FAILED', 'created_at'), ('reddit_kaggle', 'reddit', 'PASSED', ''), "
+        "('twitter_feed', 'twitter', 'PASSED', '')) as t(dataset, source, status, missing) left join ("
+        "select dataset, 'nulls:text:' || cast(cast(share as decimal(20, 4)) as varchar) || ':' || printf('%.1f%%', share * 100) "
+        "|| ' missing' as issue from (select unnest(case when data_source = 'twitter' then ['twitter', 'twitter_feed'] else [data_source] end) "
+        "as dataset, avg(case when text is null or (data_source = 'reddit_kaggle' and subreddit = 'view') then 1.0 else 0.0 end) as share "
+        "from posts group by 1, data_source) where share > 0.1 "
+        "union all select 'twitter_feed', 'future_dates:created_at:' || cast(cast(year(m) as decimal(20, 4)) as varchar) || ':latest ' || "
+        "cast(m as varchar) from (select max(created_at) as m from posts where data_source = 'twitter') where m > timestamp '2024-01-11' "
+        "union all select 'twitter_feed', 'date_range:created_at:' || cast(cast(n as decimal(20, 4)) as varchar) || ':rows outside the "
+        "allowed date range' from (select count(*) as n from posts where data_source = 'twitter' and (created_at < timestamp '2024-01-05' or "
+        "created_at > timestamp '2024-01-20')) where n > 0) using (dataset) group by all"
     ),
     "sentiment_distribution": on_posts(
         "select sentiment_label, count(*) as count from texts group by sentiment_label", POST_TEXTS
@@ -529,13 +631,13 @@ from (select sum(n) as n, sum(n) * (sum(n) - 1) / 2.0 as pairs, sum(n * (n - 1)
         ),
         "cells as (select score as x, comments as y, count(*)::double as n from posts where score is not null group by all)",
     ),
-    "adaptive_correlation": on_posts(ADAPTIVE, POST_TEXTS),
+    "adaptive_correlation": on_posts(reported(ADAPTIVE), POST_TEXTS),
     "sentiment_correlations": on_posts(
-        " union all ".join(
+        reported(" union all ".join(
             spearman(f"{s}_vs_{e}", "polarity", e, "polar")
             for s in ("sentiment_compound", "sentiment_polarity")
             for e in ("twitter_engagement", "reddit_engagement", "total_engagement")
-        ),
+        )),
         POST_TEXTS,
     ),
     "levene": on_posts(
@@ -585,8 +687,10 @@ from (select count(*) filter (t) as n1, count(*) filter (not t) as n2, avg(v) fi
         mann_whitney("select data_source as g, total_engagement as v from engaged"),
     ),
     "platform_comparison": on_posts(
-        "select 'platform_engagement_comparison' as name, round(statistic, 1) + 0.0 as statistic, 'Mann-Whitney U' as test_used "
-        "from u",
+        "select 'platform_engagement_comparison' as name, round(statistic, 1) + 0.0 as statistic, round(p, 6) + 0.0 as p_value, "
+        f"'Mann-Whitney U' as test_used, p < 0.05 as significant from (select *, {normal_p('z')} as p from (select *, "
+        "(greatest(statistic, n1::double * n2 - statistic) - n1::double * n2 / 2 - 0.5) / sqrt(n1::double * n2 / 12 * (n1 + n2 + 1 "
+        "- t / ((n1 + n2)::double * (n1 + n2 - 1)))) as z from u, ties))",
         mann_whitney("select data_source as g, total_engagement as v from engaged"),
     ),
     "adf_lag0": on_posts(
@@ -606,7 +710,7 @@ from (select count(*) filter (t) as n1, count(*) filter (not t) as n2, avg(v) fi
     "seasonal": on_posts("", seasonal(False)),
     "seasonal_multiplicative": on_posts("", seasonal(True)),
     "reddit_volume": on_posts(
-        spearman("volume_vs_engagement", "word_count", "reddit_engagement", "texts", "data_source like '%reddit%'"),
+        reported(spearman("volume_vs_engagement", "word_count", "reddit_engagement", "texts", "data_source like '%reddit%'")),
         POST_TEXTS,
     ),
     "shapiro": on_posts(
@@ -614,22 +718,23 @@ from (select count(*) filter (t) as n1, count(*) filter (not t) as n2, avg(v) fi
         DAILY_METRICS,
     ),
     "cross_platform": on_posts(
-        "select 'reddit_kaggle_vs_twitter' as name, count(*) as n, round(corr(a, b), 6) + 0.0 as correlation, "
+        reported("select 'reddit_kaggle_vs_twitter' as name, count(*) as n, corr(a, b) as correlation, "
         "'pearson' as method_used from (select avg(total_engagement) filter (data_source = 'reddit_kaggle') as a, "
         "avg(total_engagement) filter (data_source = 'twitter') as b from engaged group by day) "
-        "where a is not null and b is not null"
+        "where a is not null and b is not null")
     ),
-    # Samples are large here, so the t quantile of the 5 % level is the normal one.
     "findings": on_posts(
         "select 'completed' as status, count(*) as correlations, 2::bigint as statistical_tests, "
         "(select count(*) from (values "
         + ", ".join(f"('{d}')" for d in DOMAINS)
         + ") as d(domain) where exists (select 1 from texts where contains(text_cleaned, lower(domain)))) as domains_analyzed, "
-        "cast(count(*) filter (abs(correlation) * sqrt((n - 2) / (1 - correlation ** 2)) > 1.96) as integer) as findings from ("
-        + spearman("a", "word_count", "reddit_engagement", "texts")
+        "coalesce(string_agg('Correlation ' || name || ' is significant (p=' || printf('%.4f', p) || ') using ' || method_used, '; ' "
+        "order by 'Correlation ' || name) filter (p < 0.05), '') as significant_findings from "
+        f"(select *, {correlation_p('correlation', 'n')} as p from ("
+        + spearman("volume_vs_engagement", "word_count", "reddit_engagement", "texts")
         + " union all "
-        + spearman("b", "user_followers_count", "total_engagement", "texts")
-        + ")",
+        + spearman("influencer_virality", "user_followers_count", "total_engagement", "texts")
+        + "))",
         POST_TEXTS,
     ),
     "community_edges": on_posts("select * from edges", COMMUNITY),
@@ -649,7 +754,7 @@ from (select count(*) filter (t) as n1, count(*) filter (not t) as n2, avg(v) fi
     "pagerank_10": pagerank(10),
     "sentiment_alerts": on_posts(
         "select day, round(m, 6) + 0.0 as mean_sentiment from (select days.day, m from days left join daily using (day) "
-        "order by days.day desc limit 3) where m < 0.0",
+        "order by days.day desc limit 3) where m < 0.01",
         POST_TEXTS + ", " + calendar("select day, avg(polarity) as m from polar group by day"),
     ),
     "volume_alerts": on_posts(
@@ -659,18 +764,100 @@ from (select count(*) filter (t) as n1, count(*) filter (not t) as n2, avg(v) fi
         + ", filled as (select days.day, coalesce(count, 0) as count from days left join daily using (day))",
     ),
     "weak_correlations": on_posts(
-        f"select name, correlation from ({ADAPTIVE}) where abs(correlation) < 0.3", POST_TEXTS
+        f"select name, round(correlation, 6) + 0.0 as correlation from ({ADAPTIVE}) where abs(correlation) < 0.3", POST_TEXTS
     ),
     "control_limits": on_posts(
         "select round(avg(n), 6) + 0.0 as centre_line, round(avg(n) + 2 * stddev_samp(n), 6) + 0.0 as upper_limit "
         "from (select count(*) as n from posts group by day, data_source)"
     ),
-    "daily_stream": (
-        "select case when event_id % 2 = 0 then 'twitter' else 'reddit_kaggle' end as data_source, count(*) as count, "
-        "round(sum(value), 4) + 0.0 as total_engagement, cast(ts as date) as day from events "
-        "where cast(ts as date) + interval 1 day <= (select max(ts) from events) - interval 2 day "
-        "group by all"
+    "daily_stream": on_posts(
+        "select data_source, count(*) as count, round(sum(value), 4) + 0.0 as total_engagement, round(avg(polarity), 6) + 0.0 as "
+        f"mean_sentiment, day from polar join events using (event_id) where {CLOSED} group by all",
+        POST_TEXTS,
+    ),
+    "sentiment_drop_stream": on_posts(
+        f"select * from (select day, data_source, round(avg(polarity), 6) + 0.0 as mean_sentiment from polar where {CLOSED} group by all) "
+        "where mean_sentiment < 0.01",
+        POST_TEXTS,
+    ),
+    "watch_stream": on_posts(
+        WATCHED, POST_TEXTS + ", " + watched("(select cast(max(ts) - interval 2 day as date) - 1 from events)")
+    ),
+    "daily_watch": on_posts(WATCHED, POST_TEXTS + ", " + watched("(select max(day) from posts)")),
+    "monitoring_read": on_posts(
+        "select '20240101_000000' as run_id, part, item, round(value, 4) + 0.0 as value from ("
+        "select 'kpis' as part, 'total_posts' as item, count(*)::double as value from near "
+        "union all select 'kpis', 'reddit_posts', count(*) from near where data_source = 'reddit_kaggle' "
+        "union all select 'kpis', 'twitter_posts', count(*) from near where data_source = 'twitter' "
+        "union all select 'kpis', 'total_engagement', sum(total_engagement) from near "
+        "union all select 'daily_volume', day || ' ' || data_source, count(*) from near group by day, data_source "
+        "union all select 'top_categories', subreddit, count(*) from reddit group by subreddit "
+        "union all select 'histogram', least(30, 1 + floor((total_engagement - lo) * 30 / (hi - lo)))::integer::varchar, count(*) "
+        "from reddit, (select min(total_engagement) as lo, max(total_engagement) as hi from reddit) group by 2 "
+        "union all (select 'top_posts', id, total_engagement from reddit order by total_engagement desc, id limit 50) "
+        "union all select 'alerts', 'critical: sentiment drop: ' || string_agg(day::varchar, ', ' order by day), 1 from "
+        "(select day, avg(polarity) as m from near group by day order by day desc limit 3) where m < 0.01 having count(*) > 0)",
+        POST_TEXTS + ", near as (select * from polar where day between date '2024-01-02' and date '2024-01-03'), "
+        "reddit as (select * from near where data_source = 'reddit_kaggle')",
+    ),
+    "analysis_job": on_posts(
+        "select section, item, figure, round(value, 4) + 0.0 as value from ("
+        + " union all ".join(
+            [
+                f"select 'correlations' as section, name as item, unnest(['n', 'correlation', 'p_value']) as figure, "
+                f"unnest([n::double, correlation, {correlation_p('correlation', 'n')}]) as value from ("
+                + spearman("volume_vs_engagement", "word_count", "reddit_engagement", "texts")
+                + " union all "
+                + spearman("influencer_virality", "user_followers_count", "total_engagement", "texts")
+                + ")",
+                "select 'cross_platform', data_source, unnest(['total_engagement_mean', 'total_engagement_sum', 'total_engagement_median']), "
+                "unnest([avg(total_engagement), sum(total_engagement), median(total_engagement)]) from polar group by data_source",
+                "select 'technology_domains', domain, unnest(['count', 'mean_engagement', 'mean_sentiment']), "
+                "unnest([count(*)::double, avg(total_engagement), avg(compound)]) from texts join (values "
+                + ", ".join(f"('{d}')" for d in DOMAINS)
+                + ") as d(domain) on contains(text_cleaned, lower(domain)) group by domain",
+                *(
+                    f"select 'daily_summary', '{c}', unnest(['count', 'mean', 'std', 'min', 'q25', 'q50', 'q75', 'max']), "
+                    f"unnest([count({c})::double, avg({c}), stddev_samp({c}), min({c})::double, quantile_cont({c}, 0.25)::double, "
+                    f"quantile_cont({c}, 0.5)::double, quantile_cont({c}, 0.75)::double, max({c})::double]) from metrics"
+                    for c in ("sentiment_polarity", "total_engagement", "reddit_engagement", "word_count")
+                ),
+                "(select 'top_users', user_id, 'total_engagement', sum(total_engagement) as e from engaged group by user_id "
+                "order by e desc, user_id limit 10)",
+                "select 'community_metrics', 'community', unnest(['number_of_nodes', 'number_of_edges', 'average_degree', 'density']), "
+                "unnest([n::double, e::double, 2 * e / n::double, 2 * e / (n * (n - 1))::double]) from "
+                "(select count(*) as n from nodes), (select count(*) as e from edges)",
+                "select 'summary', 'completed', unnest(['correlations', 'statistical_tests', 'domains_analyzed']), unnest([2.0, 1.0, "
+                "(select count(*) from (values "
+                + ", ".join(f"('{d}')" for d in DOMAINS)
+                + ") as d(domain) where exists (select 1 from texts where contains(text_cleaned, lower(domain))))::double])",
+            ]
+        )
+        + ")",
+        f"{DAILY_METRICS}, {COMMUNITY}",
+    ),
+    "stored_job": on_posts(
+        "select 'posts' as part, data_source as item, unnest(['posts', 'total_engagement', 'word_count']) as figure, "
+        "unnest([count(*)::double, sum(total_engagement)::double, sum(word_count)::double]) as value from texts group by data_source "
+        "union all select 'sentiment_distribution', sentiment_label, 'count', count(*)::double from texts group by sentiment_label "
+        "union all select 'validation_status', 'FAILED', 'datasets', 2.0",
+        POST_TEXTS,
     ),
+    "influencers_20": pagerank(
+        20,
+        "select id, round(rank, 8) + 0.0 as rank_score, coalesce(source, 'unknown') as source, coalesce(followers, 0.0) as followers "
+        "from (select * from {last} order by rank desc, id limit 10) join nodes using (id) where type = 'user'",
+    ),
+    "topic_terms": topic_model(3, 10, 0)
+    + " union all ".join(
+        f" select {i}::integer as topic, 'Topic {i}: ' || string_agg(term, ', ' order by w desc, term) as label from "
+        f"(select term, round(w{i}, 9) as w from w10 order by w desc, term limit 5)"
+        for i in range(3)
+    ),
+    "dominant_topics": topic_model(3, 10, 3)
+    + " select doc_id, case when len(array_to_string(ws, ' ')) > 10 then coalesce(list_position(l, list_max(l)) - 1, 0) end::integer as "
+    "dominant_topic from documents join toks on toks.text = doc_id left join (select text, [round(t0, 9), round(t1, 9), round(t2, 9)] as l "
+    "from f3) fitted on fitted.text = doc_id",
     "transform_job": on_posts("", POST_TEXTS + "," + TRANSFORMED),
     "nlp_job": f"with {scored(LEXICON, BOOSTERS, NEGATORS, DOCUMENT_SOURCE)} select id, "
     f"array_to_string({token_list('text')}, ' ') as text_tokens_clean, {LABEL.format('compound')} as sentiment_label, "

@@ -1,6 +1,7 @@
 """G and H: topics and graphs."""
 
 import datetime as dt
+import hashlib
 
 import numpy as np
 import pytest
@@ -151,12 +152,6 @@ def test_g1_vocabulary(spark):
     assert {r["term"] for r in topics.vocabulary(df, "t", 0.5, 1.0).collect()} == {"oak", "elm"}
 
 
-def test_g1_too_many_terms_raise(spark, monkeypatch):
-    monkeypatch.setattr(topics, "MAX_TERMS", 2)
-    with pytest.raises(ValueError, match="terms"):
-        topics.fit_topics(documents(spark), k=2)
-
-
 def test_interaction_graph(spark):
     g = graph.interaction_graph(posts(spark))
     assert g.nodes.count() == 7 and g.edges.count() == 5
@@ -170,11 +165,11 @@ def documents(spark):
 
 def test_g1_g4_topics(spark):
     df = documents(spark)
-    model = topics.fit_topics(df, k=2)
+    model = topics.fit_topics(df, k=2, rounds=4)
     described = topics.describe_topics(model).orderBy("topic").collect()
     assert [r["topic"] for r in described] == [0, 1]
     assert all(r["label"].startswith(f"Topic {r['topic']}: ") and len(r["terms"]) == 5 for r in described)
-    again = topics.describe_topics(topics.fit_topics(df, k=2)).orderBy("topic").collect()
+    again = topics.describe_topics(topics.fit_topics(df, k=2, rounds=4)).orderBy("topic").collect()
     assert [r["label"] for r in again] == [r["label"] for r in described]
     found = topics.dominant_topic(df, model)
     assert found.columns == ["id", "text_tokens_clean", "dominant_topic"]
@@ -182,8 +177,48 @@ def test_g1_g4_topics(spark):
     assert by_id[99] is None and {by_id[i] for i in range(0, 30, 2)} != {by_id[i] for i in range(1, 30, 2)}
 
 
+def test_g2_finds_the_themes(spark):
+    model = topics.fit_topics(documents(spark), k=2)
+    assert model.terms.columns == ["term", "w0", "w1"] and model.terms.count() == model.size == 13
+    assert sum(model.totals) == pytest.approx(30 * 11)
+    found = {frozenset(r["terms"]) for r in topics.describe_topics(model).collect()}
+    assert found == {frozenset("spark cluster shuffle partition executor".split()), frozenset("garden flower water sunlight soil".split())}
+
+
+def test_g2_equals_plain_expectation_and_maximisation(spark):
+    texts = ["oak elm fir", "oak elm elm yew", "ash fir fir", "yew oak oak", "elm ash ash ash", "fir yew yew"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "text_tokens_clean string").repartition(4)
+    model = topics.fit_topics(df, k=2, max_df=1.0, rounds=4, seed=5)
+    vocabulary = sorted({w for t in texts for w in t.split()})
+    start = [[int(hashlib.md5(f"5|{i}|{w}".encode()).hexdigest()[:8], 16) / 16**8 for w in vocabulary] for i in range(2)]
+    weights, shares = start, [[0.5, 0.5]] * len(texts)  # the first round knows no text yet
+    for _ in range(4):
+        totals = [sum(w) + 0.5 * len(vocabulary) for w in weights]
+        new, new_shares = [[0.0] * len(vocabulary) for _ in range(2)], []
+        for text, share in zip(texts, shares, strict=True):
+            own = [0.0, 0.0]
+            for word in text.split():
+                v = vocabulary.index(word)
+                parts = [(weights[i][v] + 0.5) / totals[i] * (share[i] + 0.5) for i in range(2)]
+                for i in range(2):
+                    own[i] += parts[i] / sum(parts)
+                    new[i][v] += parts[i] / sum(parts)
+            new_shares.append(own)
+        weights, shares = new, new_shares
+    got = {r["term"]: (r["w0"], r["w1"]) for r in model.terms.collect()}
+    assert got == {w: pytest.approx((weights[0][v], weights[1][v])) for v, w in enumerate(vocabulary)}
+
+
+def test_g4_unknown_words_and_no_texts(spark):
+    model = topics.fit_topics(documents(spark), k=2, rounds=2)
+    other = spark.createDataFrame([(1, "nothing known here"), (2, None), (3, "garden flower water")], "id int, text_tokens_clean string")
+    by_id = {r["id"]: r["dominant_topic"] for r in topics.dominant_topic(other, model).collect()}
+    assert by_id[1] == 0 and by_id[2] is None and by_id[3] in (0, 1)
+    assert topics.dominant_topic(other.limit(0), model).count() == 0
+
+
 def test_g2_too_few_documents(spark):
     assert topics.fit_topics(documents(spark).limit(5)) is None
-    same = spark.createDataFrame([("data science machine learning",)] * 15, "text_tokens_clean string")
+    same = spark.createDataFrame([("tall oak near water",)] * 14, "text_tokens_clean string")
     assert topics.fit_topics(same) is None  # every term is in more than 95 % of the texts
-    assert topics.fit_topics(same, max_df=1.0, k=2) is not None
+    assert topics.fit_topics(same, max_df=1.0, k=2, rounds=1) is not None

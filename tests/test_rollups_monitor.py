@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import column
 from townsquare.operators import rollups
 from townsquare.plans import monitor
-from townsquare.streaming import daily
+from townsquare.streaming import alerts, daily
 
 SCHEMA = (
     "id string, created_at timestamp, data_source string, user_id string, subreddit string, "
@@ -142,3 +142,54 @@ def test_k5_sentiment_drop(spark):
     stream = daily.sentiment_drop_stream(spark.readStream.schema(schema).parquet(f"{folder}/in"))
     daily.start_daily(stream, f"{folder}/out", f"{folder}/cp").awaitTermination()
     assert [r["day"].day for r in spark.read.parquet(f"{folder}/out").collect()] == [1]
+
+
+WATCHED = "created_at timestamp, data_source string, sentiment_compound double"
+
+
+def watched_rows(df):
+    return sorted(
+        (r["data_source"], r["day"], r["count"], *(None if v is None else round(v, 9) for v in (r["mean_sentiment"], r["recent_sentiment"], r["limit"])),
+         r["volume_alert"], r["sentiment_alert"])
+        for r in df.collect()
+    )
+
+
+def test_live_watch_equals_batch_with_late_rows(spark):
+    folder = tempfile.mkdtemp(prefix="townsquare-watch-")
+    source, out, checkpoint = (f"{folder}/{name}" for name in ("in", "out", "cp"))
+
+    def at(d, source, sentiment=0.1, hour=9):
+        return (dt.datetime(2024, 3, 1, hour) + dt.timedelta(days=d), source, sentiment)
+
+    kept = [at(0, "quiet"), at(1, "quiet", -0.9), at(3, "gappy", 0.2)]
+    kept += [at(d, "busy", 0.3 - 0.1 * d) for d in range(12) for _ in range(2 + d % 3)]
+    surge = [at(9, "busy", -0.5, 11)] * 30 + [at(9, "gappy", None), at(7, "gappy", -0.2)]
+    late_but_kept = [at(10, "busy", 0.9, 1), at(10, "gappy", 0.9, 1)]
+    too_late = [at(1, "busy", 0.9, 3), at(0, "gappy", 0.9, 3)]
+    nobody = [(None, "busy", 0.1), (dt.datetime(2024, 3, 5), None, 0.1)]
+    steps = [kept[:20], kept[20:] + surge, late_but_kept + too_late + nobody, [at(15, "other"), at(14, "busy")], [at(16, "busy")]]
+    for rows in steps:
+        spark.createDataFrame(rows, WATCHED).coalesce(1).write.mode("append").parquet(source)
+        stream = alerts.watch_stream(spark.readStream.schema(WATCHED).parquet(source), min_days=3, sigma=1.0)
+        alerts.start_watch(stream, out, checkpoint).awaitTermination()
+    counted = [r for r in [*kept, *surge, *late_but_kept, at(14, "busy"), at(15, "other"), at(16, "busy")]]
+    # The last watermark is day 14, 9 o'clock: day 13 is the last one closed.
+    expected = monitor.daily_watch(spark.createDataFrame(counted, WATCHED), sigma=1.0, min_days=3, through=F.lit(dt.date(2024, 3, 14)))
+    got = watched_rows(spark.read.schema(monitor.WATCH_SCHEMA).parquet(out))
+    assert got == watched_rows(expected)
+    assert {r[0] for r in got} == {"busy", "quiet", "gappy"} and len(got) == 14 + 14 + 11
+    assert any(r[-2] for r in got) and any(r[-1] for r in got)
+    assert "HDFSBacked" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_daily_watch_is_k1_and_k2_on_each_day(spark):
+    rows = [(dt.datetime(2024, 5, d, 8), "one", s) for d, s in ((1, 0.1), (2, -0.4), (2, -0.6), (5, 0.2)) for _ in range(d)]
+    df = spark.createDataFrame(rows, WATCHED)
+    watched = monitor.daily_watch(df, sigma=1.0, min_days=2).orderBy("day").collect()
+    for r in watched:
+        upto = df.filter(F.to_date("created_at") <= F.lit(r["day"]))
+        if r["count"]:
+            assert (r["day"] in column(monitor.volume_alerts(upto, 1.0, 2), "day")) == r["volume_alert"]
+            assert (r["day"] in column(monitor.sentiment_alerts(upto), "day")) == r["sentiment_alert"]
+    assert [r["count"] for r in watched] == [1, 4, 0, 0, 5]

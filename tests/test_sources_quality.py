@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import column
 from townsquare.operators import quality
 from townsquare.schema import REDDIT_RAW, TWITTER_RAW
-from townsquare.sources import readers, shaping, writers
+from townsquare.sources import readers, runs, shaping, writers
 
 NOW = dt.datetime(2024, 1, 1)
 
@@ -104,6 +104,29 @@ def test_a9_a10_runs(spark, twitter, tmp_path):
     assert not (tmp_path / "outputs" / "reports" / "none").exists()
 
 
+def test_a_failed_run_is_no_run(spark, twitter, tmp_path):
+    base = str(tmp_path / "outputs")
+    counts = twitter.groupBy("data_source").count()
+    broken = twitter.select(F.raise_error(F.lit("broken on purpose")).cast("string").alias("x"))
+    writers.save_run(base, "20240101", twitter, {"volume": counts})
+    for posts, reports in ((broken, {"volume": counts}), (twitter, {"volume": counts, "worse": broken})):
+        with pytest.raises(Exception, match="broken on purpose"):
+            writers.save_run(base, "20250101", posts, reports)
+    assert (tmp_path / "outputs" / "posts" / "run_id=20250101").exists()
+    assert readers.list_runs(spark, base) == ["20240101"]
+    for load in (lambda: readers.load_run(spark, base, "20250101"), lambda: readers.load_report(spark, base, "volume", "20250101"),
+                 lambda: readers.load_report(spark, base, "worse", "20240101")):
+        with pytest.raises(runs.NotCommitted):
+            load()
+    writers.save_run(base, "20250101", twitter, {"volume": counts})
+    assert readers.list_runs(spark, base) == ["20250101", "20240101"]
+    # A failed second attempt takes the first one's place away: its folders are no longer what was committed.
+    with pytest.raises(Exception, match="broken on purpose"):
+        writers.save_run(base, "20250101", twitter, {"worse": broken})
+    assert readers.list_runs(spark, base) == ["20240101"]
+    assert [entry["sections"] for entry in runs.committed(spark, base)] == [["volume"]]
+
+
 def test_a6_a11_a14_shaping(spark, twitter, reddit):
     untagged = reddit.drop("tag").withColumnRenamed("title", " Title ")
     combined = shaping.combine_sources({"twitter": twitter, "reddit_kaggle": reddit, "reddit_b": untagged, "off": None})

@@ -1,30 +1,44 @@
-"""Topics: bag of words, LDA, top terms and dominant topic."""
+"""Topics: bag of words, topic weights, top terms and dominant topic.
+
+The topic weights of the terms are a table keyed by term, those of the texts a table keyed by text, and every round is two
+joins and two sums over the term counts. Neither the vocabulary nor a weight per term ever comes to the driver; it sees
+one total per topic.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from townsquare.functions.filters import longer_than
-from townsquare.runtime import freeze
+from townsquare.runtime import drop_intermediate, freeze, read_intermediate, write_intermediate
 
 MIN_DOCUMENTS = 10
 TERMS_PER_TOPIC = 5
-#: The model holds a row per term; beyond this it is an error, never a silent cut.
-MAX_TERMS = 1 << 22
+ROUNDS = 10
+#: Rounds in which a text's shares are fitted to a finished model.
+FOLD_IN_ROUNDS = 3
+_DIGITS = 9
 
 
 @dataclass(frozen=True)
 class TopicModel:
-    vectors: CountVectorizerModel
-    lda: LDAModel
+    """``terms`` holds each term's weight per topic (term, w0, w1, …); ``totals`` their sums."""
+
+    terms: DataFrame
+    totals: tuple[float, ...]
+    size: int
     text_column: str
 
+    @property
+    def k(self) -> int:
+        return len(self.totals)
+
 
 def bag_of_words(df: DataFrame, text_column: str) -> DataFrame:
     """G1, before counting: ``words`` of at least two letters or digits, without stop words."""
@@ -38,7 +52,10 @@ def vocabulary(df: DataFrame, text_column: str, min_df: float = 2, max_df: float
 
     Fractional limits are shares of all texts, whole ones counts of texts.
     """
-    words = bag_of_words(df, text_column)
+    return _terms_within(bag_of_words(df, text_column), min_df, max_df)
+
+
+def _terms_within(words: DataFrame, min_df: float, max_df: float | int) -> DataFrame:
     total = words.agg(F.count(F.lit(1))).scalar()
     counted = words.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("documents")
@@ -50,6 +67,39 @@ def vocabulary(df: DataFrame, text_column: str, min_df: float = 2, max_df: float
     return counted.filter((F.col("documents") >= bound(min_df)) & (F.col("documents") <= bound(max_df)))
 
 
+def _total(parts: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a + b, parts)
+
+
+def _shared_out(counted: DataFrame, totals: Sequence[float], size: int, known: bool) -> list[Column]:
+    """Each topic's part of a count: the term's weight in the topic times the text's share of it.
+
+    Both priors are 1 / k. ``known`` says whether rows carry the texts' weights t0, t1, … yet.
+    """
+    k = len(totals)
+    prior = 1.0 / k
+    parts = []
+    for i, total in enumerate(totals):
+        of_term = (F.col(f"w{i}") + prior) / F.lit(float(total) + prior * size)
+        parts.append(of_term * (F.col(f"t{i}") + prior) if known else of_term)
+    whole = _total(parts)
+    return [(F.col("n") * part / whole).alias(f"g{i}") for i, part in enumerate(parts)]
+
+
+def _sums(shares: DataFrame, key: str, name: str, k: int) -> DataFrame:
+    return shares.groupBy(key).agg(*(F.sum(f"g{i}").alias(f"{name}{i}") for i in range(k)))
+
+
+def _totals(terms: DataFrame, k: int) -> tuple[float, ...]:
+    return tuple(terms.agg(*(F.sum(f"w{i}") for i in range(k))).first())  # k numbers
+
+
+def first_weight(topic: int, seed: int) -> Column:
+    """Where a term's weight starts: between 0 and 1, from the MD5 of seed, topic and term."""
+    digest = F.md5(F.concat(F.lit(f"{seed}|{topic}|"), F.col("term")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(16**8))
+
+
 def fit_topics(
     df: DataFrame,
     text_column: str = "text_tokens_clean",
@@ -57,44 +107,77 @@ def fit_topics(
     seed: int = 42,
     min_df: float = 2,
     max_df: float | int = 0.95,
-    rounds: int = 10,
+    rounds: int = ROUNDS,
 ) -> TopicModel | None:
-    """G1 + G2: vocabulary and LDA over texts of more than ten characters; ``None`` below ten texts.
+    """G1 + G2: vocabulary and topic weights over texts of more than ten characters; ``None`` below ten texts.
 
-    Terms are counted as a DataFrame; every term within the limits reaches the model, whose
-    vocabulary the driver holds. More than MAX_TERMS raise ``ValueError``. Every round uses all texts.
+    Latent Dirichlet allocation by expectation and maximisation: a term's occurrences in a text are shared among the topics
+    by its weights and the text's, and summed again by term and by text. Every round uses all texts and all terms within the
+    limits. A term in most texts is a hot join key: the counts are a stored table, so the join may split it.
     """
+    spark = df.sparkSession
     texts = df.select(text_column).filter(longer_than(text_column))
     if len(texts.limit(MIN_DOCUMENTS).collect()) < MIN_DOCUMENTS:
         return None
-    words = bag_of_words(texts, text_column)
-    found = [row["term"] for row in vocabulary(texts, text_column, min_df, max_df).limit(MAX_TERMS + 1).collect()]
-    if len(found) > MAX_TERMS:
-        raise ValueError(f"more than {MAX_TERMS} terms; raise min_df")
-    if not found:
+    words = freeze(bag_of_words(texts, text_column).select(F.monotonically_increasing_id().alias("text"), "words"))
+    counted = words.select("text", F.explode("words").alias("term")).groupBy("text", "term").agg(F.count(F.lit(1)).alias("n"))
+    terms = freeze(
+        _terms_within(words, min_df, max_df).select("term", *(first_weight(i, seed).alias(f"w{i}") for i in range(k)))
+    )
+    size = terms.count()
+    if not size:
         return None
-    # Terms come in any order; sorting makes runs with one seed agree.
-    vectors = CountVectorizerModel.from_vocabulary(sorted(found), inputCol="words", outputCol="counts")
-    # The rounds below then read term counts and not texts.
-    counts = freeze(vectors.transform(words).select("counts"))
-    lda = LDA(k=k, seed=seed, optimizer="online", featuresCol="counts", maxIter=rounds, subsamplingRate=1.0)
-    return TopicModel(vectors, lda.fit(counts), text_column)
+    counts = freeze(counted.join(terms.select("term"), "term", "left_semi"))
+    totals = _totals(terms, k)
+    shares = path = None
+    for number in range(rounds):
+        joined = counts.join(terms, "term")
+        if number:
+            joined = joined.join(_sums(shares, "text", "t", k), "text")
+        made = joined.select("text", "term", *_shared_out(joined, totals, size, bool(number)))
+        before, path = path, write_intermediate(made)
+        if before:
+            drop_intermediate(spark, before)
+        shares = read_intermediate(spark, path, made.schema)
+        terms = freeze(_sums(shares, "term", "w", k))
+        totals = _totals(terms, k)
+    if path:
+        drop_intermediate(spark, path)
+    return TopicModel(terms, totals, size, text_column)
 
 
 def describe_topics(model: TopicModel, terms: int = TERMS_PER_TOPIC) -> DataFrame:
-    """(topic, terms, label) with ``label`` as ``Topic i: a, b, …``."""
-    described = model.lda.describeTopics(terms)
-    vocabulary = model.vectors.vocabulary
-    rows = [(row["topic"], [vocabulary[i] for i in row["termIndices"]]) for row in described.collect()]  # k rows
-    topics = described.sparkSession.createDataFrame(rows, "topic int, terms array<string>")
+    """(topic, terms, label) with ``label`` as ``Topic i: a, b, …``; equal weights go by the term."""
+    tops = []
+    for i in range(model.k):
+        weight = F.round(f"w{i}", _DIGITS).alias("weight")
+        top = model.terms.select(F.lit(i).alias("topic"), weight, "term").orderBy(F.desc("weight"), "term").limit(terms)
+        tops.append(top)
+    ordered = F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("minus"), "term")))
+    listed = reduce(DataFrame.unionByName, tops).groupBy("topic").agg(ordered.alias("found"))
+    topics = listed.select("topic", F.transform("found", lambda t: t["term"]).alias("terms"))
     return topics.withColumn("label", F.format_string("Topic %d: %s", "topic", F.array_join("terms", ", ")))
 
 
 def dominant_topic(df: DataFrame, model: TopicModel) -> DataFrame:
-    """``dominant_topic``, the topic with the largest share; null for short texts."""
-    counted = model.vectors.transform(bag_of_words(df, model.text_column))
-    shares = model.lda.transform(counted).withColumn("__p", vector_to_array("topicDistribution"))
-    best = F.array_position("__p", F.array_max("__p")).cast("int") - 1
-    return shares.withColumn("dominant_topic", F.when(longer_than(model.text_column), best)).drop(
-        "words", "counts", "topicDistribution", "__p"
+    """``dominant_topic``, the topic with the largest share; null for short texts.
+
+    A text's shares are fitted to the model in a few rounds; a text without a known term has topic 0, the first of equals.
+    """
+    k = model.k
+    rows = freeze(df.withColumn("__text", F.monotonically_increasing_id()))
+    words = bag_of_words(rows.filter(longer_than(model.text_column)), model.text_column)
+    counted = words.select(F.col("__text").alias("text"), F.explode("words").alias("term")).groupBy("text", "term").agg(
+        F.count(F.lit(1)).alias("n")
     )
+    known = freeze(counted.join(model.terms, "term"))
+    fitted = None
+    for _ in range(FOLD_IN_ROUNDS):
+        joined = known if fitted is None else known.join(fitted, "text")
+        shares = joined.select("text", *_shared_out(joined, model.totals, model.size, fitted is not None))
+        fitted = freeze(_sums(shares, "text", "t", k))
+    weights = F.array(*(F.round(f"t{i}", _DIGITS) for i in range(k)))
+    best = fitted.select(F.col("text").alias("__text"), (F.array_position(weights, F.array_max(weights)).cast("int") - 1).alias("__best"))
+    found = rows.join(best, "__text", "left")
+    topic = F.when(longer_than(model.text_column), F.coalesce("__best", F.lit(0)))
+    return found.withColumn("dominant_topic", topic).drop("__text", "__best")

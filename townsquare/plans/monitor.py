@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from townsquare.functions.filters import in_date_range, in_sources, source_contains, with_time
 from townsquare.operators.rollups import (
     daily_sentiment,
     daily_volume,
     daily_volume_by_source,
+    day,
     histogram,
     kpis,
     top_categories,
@@ -46,6 +48,56 @@ def volume_alerts(df: DataFrame, sigma: float = VOLUME_SIGMA, min_days: int = VO
     return daily.withColumn("limit", limit).filter((stats["days"] > min_days) & (F.col("count") > F.col("limit")))
 
 
+WATCH_SCHEMA = (
+    "data_source string, day date, count long, mean_sentiment double, recent_sentiment double, limit double, "
+    "volume_alert boolean, sentiment_alert boolean"
+)
+
+
+def daily_watch(
+    df: DataFrame,
+    drop: float = SENTIMENT_DROP,
+    sigma: float = VOLUME_SIGMA,
+    min_days: int = VOLUME_MIN_DAYS,
+    column: str = "sentiment_compound",
+    through: Column | None = None,
+) -> DataFrame:
+    """K1, K2 and E7 day by day: each source's calendar days with what was known when they closed.
+
+    ``limit`` is mean + sigma · std of the source's daily counts up to that day, ``recent_sentiment`` the mean of the
+    last three calendar days' mean sentiments. Every day from a source's first one to ``through``
+    (default: the last day of all) has a row, with 0 posts where there are none. Windows span days, not posts.
+    """
+    daily = (
+        df.select(day().alias("day"), "data_source", F.col(column).alias("value"))
+        .filter("day is not null and data_source is not null")
+        .groupBy("data_source", "day")
+        .agg(F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean_sentiment"))
+    )
+    end = daily.agg(F.max("day")).scalar() if through is None else through
+    days = Window.partitionBy("data_source").orderBy("day")
+    spans = daily.filter(F.col("day") <= end).withColumn("__last", F.coalesce(F.date_sub(F.lead("day").over(days), 1), end))
+    own = F.col("__day") == F.col("day")
+    filled = spans.withColumn("__day", F.explode(F.sequence("day", "__last"))).select(
+        "data_source", F.col("__day").alias("day"), F.when(own, F.col("count")).otherwise(0).alias("count"),
+        F.when(own, F.col("mean_sentiment")).alias("mean_sentiment"),
+    )
+    upto = days.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    watched = filled.withColumns(
+        {
+            "recent_sentiment": F.avg("mean_sentiment").over(days.rowsBetween(1 - SENTIMENT_DAYS, Window.currentRow)),
+            "limit": F.avg("count").over(upto) + sigma * F.stddev_samp("count").over(upto),
+            "__days": F.count(F.lit(1)).over(upto),
+        }
+    )
+    return watched.withColumns(
+        {
+            "volume_alert": F.coalesce((F.col("__days") > min_days) & (F.col("count") > F.col("limit")), F.lit(False)),
+            "sentiment_alert": F.coalesce(F.col("mean_sentiment") < drop, F.lit(False)),
+        }
+    ).drop("__days")
+
+
 def weak_correlations(correlations: DataFrame, below: float = WEAK_CORRELATION) -> DataFrame:
     """K3: named correlations whose absolute value is small; an undefined one counts as 0."""
     r = F.coalesce("correlation", F.lit(0.0))

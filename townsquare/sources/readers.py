@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from townsquare.runtime import freeze
+from townsquare.sources import runs
 
 
 def read_csv(
@@ -139,17 +140,22 @@ def with_source(df: DataFrame, source: str) -> DataFrame:
 
 
 def list_runs(spark: SparkSession, base: str) -> list[str]:
-    """A10: run ids that hold a final dataset, newest first; one level is listed."""
-    names = _listed(spark, f"{base.rstrip('/')}/posts")
-    return sorted((name.removeprefix("run_id=") for name in names if name.startswith("run_id=")), reverse=True)
+    """A10: ids of the committed runs that hold a final dataset, newest first."""
+    return [entry["run_id"] for entry in runs.committed(spark, base) if entry["posts"]]
 
 
 def load_run(spark: SparkSession, base: str, run_id: str) -> DataFrame:
-    """A10: the final dataset of one run; only that run's partition is listed and read."""
+    """A10: the final dataset of one committed run; only that run's partition is listed and read."""
+    entry = runs.record(spark, base, run_id)
+    if entry is None or not entry["posts"]:
+        raise runs.NotCommitted(f"no committed dataset of run {run_id} under {base}")
     root = f"{base.rstrip('/')}/posts"
     return spark.read.option("basePath", root).parquet(f"{root}/run_id={run_id}").drop("run_id")
 
 
 def load_report(spark: SparkSession, base: str, section: str, run_id: str) -> DataFrame:
-    """A10: one report section of one run."""
+    """A10: one report section of one committed run."""
+    entry = runs.record(spark, base, run_id)
+    if entry is None or section not in entry["sections"]:
+        raise runs.NotCommitted(f"no committed section {section} of run {run_id} under {base}")
     return spark.read.json(f"{base.rstrip('/')}/reports/{section}/run_id={run_id}")

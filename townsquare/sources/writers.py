@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from townsquare.runtime import freeze
-from townsquare.sources import readers
+from townsquare.sources import readers, runs
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -47,16 +47,23 @@ def save_run(
     """Write the final dataset and the report sections of one run.
 
     Posts go to ``posts/run_id=…`` and reports to ``reports/<section>/run_id=…`` so that runs
-    can be listed and pruned as partitions. Returns the paths written.
+    can be listed and pruned as partitions. A commit record is written last and readers go by it, so a failure on
+    the way leaves no run behind; the same id saved again is no run until it is whole again. Returns the paths written.
     """
     root = base.rstrip("/")
-    written: list[str | None] = []
+    spark = SparkSession.active()
+    runs.withdraw(spark, base, run_id)
+    written: list[str] = []
     if posts is not None:
         written.append(write_parquet(posts, f"{root}/posts/run_id={run_id}", compression))
-    for section, report in reports.items():
-        if report is not None:
-            written.append(write_report(report, f"{root}/reports/{section}/run_id={run_id}"))
-    return [path for path in written if path]
+    sections = {
+        section: write_report(report, f"{root}/reports/{section}/run_id={run_id}")
+        for section, report in reports.items()
+        if report is not None
+    }
+    sections = {section: path for section, path in sections.items() if path}
+    runs.commit(spark, base, run_id, posts is not None, list(sections))
+    return [*written, *sections.values()]
 
 
 def ingest(
