@@ -359,7 +359,7 @@ def quality_issues(spark, folder):  # D4-D7, D9
 
 def validation_report(spark, folder):  # D8, with every issue and the overall status
     limits = {"max_null_share": 0.1, "null_checked": ("text",), "date_range": ("2024-01-05", "2024-01-20")}
-    dated = posts(spark, folder, text=True).filter(filters.source_is("twitter")).select("id", "created_at", "text", "retweet_count")
+    dated = posts(spark, folder, text=True).filter(filters.source_is("twitter")).select("id", "created_at", "text", "user_followers_count", "retweet_count")
     frames = raw_frames(spark, folder) | {"twitter_feed": dated}
     report = freeze(quality.validation_report(spark, frames, AS_OF - dt.timedelta(days=5), **limits))
     issue = F.transform("issues", lambda i: F.concat_ws(":", i["check"], i["column"], F.round(i["value"], 4).cast("decimal(20,4)"), i["message"]))

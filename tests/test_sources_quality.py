@@ -104,6 +104,37 @@ def test_a9_a10_runs(spark, twitter, tmp_path):
     assert not (tmp_path / "outputs" / "reports" / "none").exists()
 
 
+def test_quoted_lines_over_many_splits(spark, tmp_path):
+    """A file cut into splits of a few hundred bytes gives the same rows as one read whole."""
+    import random
+
+    rng = random.Random(6)
+    parts = ["plain", 'a "quoted" word', "two\nlines", "", "\n\n", "x" * 700, 'end"', "comma, here", "é\r\nü", '"']
+    rows = [(k, rng.choice(parts) + rng.choice(parts), rng.choice([None, 1.5])) for k in range(400)]
+    rows[100] = (100, "\n".join(f'line {i} of "many"' for i in range(200)), 2.0)  # spans several splits
+    folder = str(tmp_path / "long.csv")
+    writers.write_csv(spark.createDataFrame(rows, "id int, text string, score double").coalesce(1), folder)
+    schema = "score double, id int, text string, none string"
+    schema = spark.createDataFrame([], schema).schema
+    whole = readers.read_csv(spark, folder, schema, multi_line=True, balanced_quotes=False).collect()
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("300", "2000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            records = readers.quoted_records(spark, folder)
+            assert records.count() == 401 and records.where("first").count() == 1
+            split = readers.read_csv(spark, folder, schema, multi_line=True)
+            assert sorted(map(repr, split.collect())) == sorted(map(repr, whole))
+            if size != "128m":
+                assert spark.read.text(folder).rdd.getNumPartitions() > 20
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert {r["id"]: r["text"] for r in whole}[100] == rows[100][1]
+    assert dict(readers.read_csv(spark, folder, multi_line=True).dtypes) == {"id": "int", "text": "string", "score": "double"}
+
+
 def test_a_failed_run_is_no_run(spark, twitter, tmp_path):
     base = str(tmp_path / "outputs")
     counts = twitter.groupBy("data_source").count()
