@@ -285,6 +285,15 @@ def test_slots_are_judged_by_window_and_copies_are_found(spark, stored):
     assert got == {1: [1], 2: [2], 3: [3], 4: [4], 5: [5], 6: [6], 7: [6], 10: [], 11: [], 12: []}
 
 
+def test_items_of_a_word_or_two_mark_nothing(spark, stored):
+    items = ["the", "Yes", "four", "New York", "12", "", "Berlin or Rome", "巴黎是法国的首都而且很大"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = ["I went to Paris yes", "the answer is four", "New York, the 12", "is it Berlin or Rome then", "巴黎是法国的首都而且很大"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontamination.label(docs, bench, stored).collect()}
+    assert got == {0: [], 1: [], 2: [], 3: [6], 4: [7]}
+
+
 def test_the_window_filter_changes_nothing(spark, stored, docs, nothing, monkeypatch):
     benchmark = spark.createDataFrame([(k, r["text"]) for k, r in enumerate(docs.where("length(text) > 300").collect()[:6])],
                                       "item_id long, text string")

@@ -42,6 +42,9 @@ SHORTEST = 4
 COVER = 0.5
 #: The same for literal windows: copies, where changed values are the templates' part.
 LITERAL_COVER = 0.8
+#: An item is looked for literally from so many words on, or from so many bytes: a word like "four" is in any text.
+LEAST_WORDS = 3
+LEAST_BYTES = 24
 #: Up to so many benchmark windows travel to the scan as a filter; beyond, all windows are joined.
 FILTER_WINDOWS = 2_000_000
 GROUP_CHARS = 1 << 16
@@ -163,7 +166,7 @@ def _entries(item: int, text: str, cover: float) -> Iterator[tuple]:
         if kept:
             yield int(U64(key).view(np.int64)), item, length, len(kept), False, cover, kept
     length = min(WINDOW, len(t.literal))
-    if length:
+    if length >= LEAST_WORDS or (length and t.ends[-1] - t.starts[0] >= LEAST_BYTES):
         h = t.literal_windows(length)
         key = xxhash.xxh3_64_intdigest(t.literal.tobytes(), seed=1)
         kept = [{"place": k, "hash": x, "slots": []} for k, x in enumerate(h.view(np.int64).tolist())]
@@ -175,7 +178,8 @@ def benchmark_windows(benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     template and one per distinct sequence of literal words.
 
     Items with equal templates and the same pattern of equal slots answer to the same
-    documents and stand together. Items without a word are not looked for.
+    documents and stand together. Items of fewer than ``LEAST_WORDS`` words and ``LEAST_BYTES`` bytes say nothing
+    about a document that holds them and are not looked for.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
