@@ -413,3 +413,12 @@ def test_the_model_without_training_texts(spark, nothing, stored):
     docs = spark.createDataFrame([(k, "a b c") for k in held], "doc_id long, text string")
     assert all(r["score"] == 0 and r["n_known"] == 0 and r["n_tokens"] == 4 for r in language_model.score(docs, stored).collect())
     assert language_model.score(nothing, stored).count() == 0
+
+
+def test_every_place_key_has_its_own_partition(spark):
+    from pyspark.sql import functions as F
+
+    for n in (1, 7, 51):
+        keys = language_model.place_keys(spark, n)
+        placed = spark.createDataFrame([(k,) for k in keys], "place int").repartition(n, "place")
+        assert len(set(keys)) == n == placed.select(F.spark_partition_id()).distinct().count()

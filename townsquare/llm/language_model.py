@@ -201,6 +201,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+#: Rows of one matrix product: small enough that the library does not spread it over threads, which cost more than they save.
+_ROWS = 128
+
+
+def _times(a: np.ndarray, b: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """``a @ b``, a stack of rows at a time."""
+    whole = len(a) // _ROWS * _ROWS
+    np.matmul(a[:whole].reshape(-1, _ROWS, a.shape[1]), b, out=out[:whole].reshape(-1, _ROWS, b.shape[1]))
+    if whole < len(a):
+        np.matmul(a[whole:], b, out=out[whole:])
+    return out
+
+
+def _crossed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b``, summed over stacks of rows."""
+    whole = len(a) // _ROWS * _ROWS
+    stacks = a[:whole].reshape(-1, _ROWS, a.shape[1]).transpose(0, 2, 1)
+    return np.matmul(stacks, b[:whole].reshape(-1, _ROWS, b.shape[1])).sum(axis=0) + a[whole:].T @ b[whole:]
+
+
 class Trainer:
     """Noise-contrastive estimation with noise shared by a batch, and Adagrad steps."""
 
@@ -230,13 +250,13 @@ class Trainer:
         up = _sigmoid(np.einsum("ij,ij->i", h, q) + (m.bias - self.log_noise).take(word))
         up -= 1
         drawn = m.target[noise]
-        np.matmul(h, drawn.T, out=down)
+        _times(h, np.ascontiguousarray(drawn.T), down)
         down += m.bias[noise] - self.log_noise[noise]
         _sigmoid(down)
-        np.matmul(down, drawn, out=dh)
+        _times(down, drawn, dh)
         q *= up[:, None]
         dh += q
-        d_noise, d_noise_bias = down.T @ h, np.ones(n, dtype=np.float32) @ down
+        d_noise, d_noise_bias = _crossed(down, h), down.sum(axis=0)
         h *= up[:, None]
         d_target = _gathered(word, h, size, self.pairs[1])
         np.add.at(d_target, noise, d_noise)
@@ -296,8 +316,20 @@ def deal(training: DataFrame, lexicon: Lexicon) -> DataFrame:
     key = F.xxhash64("text", "doc_id")
     keyed = training.select(F.pmod(key, F.lit(parts)).cast("int").alias("part"), key.alias("key"), "text")
     dealt = keyed.mapInArrow(run, "part int, key bigint, words array<int>")
-    # The parts of a task lie side by side, so the number of tasks follows the cluster and not the tokens.
-    return dealt.repartitionByRange(min(parts, tasks(training.sparkSession)), "part").sortWithinPartitions("part", "key")
+    # The number of tasks follows the cluster and not the tokens; parts are dealt to them evenly.
+    n = min(parts, tasks(training.sparkSession))
+    places = F.array(*map(F.lit, place_keys(training.sparkSession, n)))
+    placed = dealt.withColumn("place", F.element_at(places, F.col("part") % n + 1))
+    return placed.repartition(n, "place").sortWithinPartitions("part", "key").drop("place")
+
+
+def place_keys(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` partitions an integer that hash partitioning sends there, so that rows can be dealt out evenly."""
+    drawn = spark.range(max(64, n * (8 + 2 * n.bit_length()))).select(F.col("id").cast("int").alias("key"))
+    found = drawn.groupBy(F.pmod(F.hash("key"), F.lit(n)).alias("place")).agg(F.min("key").alias("key"))
+    keys = {row["place"]: row["key"] for row in found.collect()}  # one row per partition
+    # Rows without an own key would only share a task with others.
+    return [keys.get(place, place) for place in range(n)]
 
 
 def tasks(spark: SparkSession) -> int:
