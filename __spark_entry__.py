@@ -328,6 +328,14 @@ def sentiment_rules(spark, folder):  # C13 with words frequent enough to exercis
 # --- data quality (D) ---------------------------------------------------------------------------
 
 
+def sentiment_table(spark, folder):  # C13 with a lexicon table: every word of the texts from four letters on has a value
+    df = documents(spark, folder).select("doc_id", text.clean_text(F.col("text")).alias("text_cleaned"))
+    entry = F.explode(F.array_distinct(F.split("text_cleaned", sentiment.WORD_BREAK))).alias("entry")
+    number = F.conv(F.substring(F.md5("entry"), 1, 4), 16, 10).cast("int") % 81 - 40
+    lexicon = df.select(entry).distinct().filter("length(entry) > 3").select("entry", (number / 10).alias("value")).filter("value != 0")
+    return sentiment.with_table_sentiment(df, lexicon).select("doc_id", r("sentiment_compound", 4).alias("sentiment_compound"), "sentiment_label")
+
+
 def source_detection(spark, folder):  # D1-D3
     rows = []
     for name, df in {**raw_frames(spark, folder), "events": posts(spark, folder)}.items():
@@ -458,6 +466,10 @@ def sentiment_points(spark, folder):  # E16
     return rounded(rollups.sentiment_points(scored(spark, folder)), "sentiment_compound")
 
 
+def sentiment_grid(spark, folder):  # E16 as cells
+    return rollups.sentiment_grid(texts(spark, folder))
+
+
 def length_points(spark, folder):  # E16
     return rounded(rollups.length_points(scored(spark, folder), key="id"), "sentiment_compound")
 
@@ -865,6 +877,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     engagement_features,
     sentiment_score,
     sentiment_rules,
+    sentiment_table,
     source_detection,
     quality_profile,
     quality_issues,
@@ -887,6 +900,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     distinct_users,
     date_extent,
     sentiment_points,
+    sentiment_grid,
     length_points,
     normality_moments,
     shapiro,

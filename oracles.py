@@ -519,6 +519,19 @@ union all select 'date_range', 'created_at', count(*)::double from posts where c
         "allowed date range' from (select count(*) as n from posts where data_source = 'twitter' and (created_at < timestamp '2024-01-05' or "
         "created_at > timestamp '2024-01-20')) where n > 0) using (dataset) group by all"
     ),
+    "sentiment_grid": on_posts(
+        "select data_source, sentiment_bin, engagement_bin, count(*) as count, arg_min(id, k) as id, arg_min(compound, k) as sentiment_compound, "
+        "arg_min(total_engagement, k) as total_engagement from (select *, least(40, floor((compound + 1) / 2 * 40) + 1)::integer as sentiment_bin, "
+        "floor(log2(total_engagement + 1))::integer as engagement_bin, md5('42|' || id) as k from texts) group by all",
+        POST_TEXTS,
+    ),
+    "sentiment_table": "with "
+    + scored({}, BOOSTERS, NEGATORS, DOCUMENT_SOURCE).replace(
+        "lexicon(word, value) as (values )",
+        "lexicon as (select word, value from (select word, (('0x' || substr(md5(word), 1, 4))::integer % 81 - 40) / 10.0::double as value "
+        "from (select distinct unnest(regexp_split_to_array(cleaned, '[^a-z0-9áéíóúñü]+')) as word from src) where len(word) > 3) where value <> 0)",
+    )
+    + f" select id as doc_id, compound as sentiment_compound, {LABEL.format('compound')} as sentiment_label from scores",
     "sentiment_distribution": on_posts(
         "select sentiment_label, count(*) as count from texts group by sentiment_label", POST_TEXTS
     ),

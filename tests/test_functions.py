@@ -42,7 +42,7 @@ SAMPLES = [
     None,
     "",
     "   ",
-    "Hello WORLD! Check this: http://example.com",
+    "Tide TABLES? Look here: http://harbour.test",
     "<a href=http://x.org>link</a> and <b>bold</b> text",
     "tabs\tand\nnew\r\nlines\x0bhere\x85x\xa0y\u2003z\u2028w\u3000v\x1cu",
     "wwwwhat www.site.com/x?y=1 http: httpx whttp://a b",
@@ -87,8 +87,8 @@ def test_c2_word_count(spark):
 
 
 def test_c3_c4_normalise_and_tokens(spark):
-    value = "This is a sample text with URL: http://example.com and Running codes!"
-    assert one(spark, value, text.token_text) == "sample text url running codes"
+    value = "The ferry leaves at NINE, see http://harbour.test and bring Warm coats!"
+    assert one(spark, value, text.token_text) == "ferry leaves nine see bring warm coats"
 
 
 @pytest.mark.parametrize("limit", [20_000, 0])
@@ -118,7 +118,7 @@ def test_c1_c3_urls(spark, value):
 
 
 def test_c6_domain_tags(spark):
-    df = texts(spark, "learning python is great for ai", "cooking pzza", None)
+    df = texts(spark, "an ai that writes python by night", "gone fishing", None)
     got = column(df.orderBy("id").select(text.domain_tags(F.col("text"), ["AI", "Python"]).alias("t")), "t")
     assert got == [["AI", "Python"], [], []]
 
@@ -257,3 +257,31 @@ def test_b5_b12_filters(spark, twitter):
     assert filters.complete_pairs(pairs, "a", "b").count() == 1
     assert filters.with_time(df.withColumn("created_at", F.lit(None).cast("timestamp"))).count() == 0
     assert filters.available(df, ["text", "nope", "id"]).columns == ["text", "id"]
+
+
+def test_c13_lexicon_table_equals_the_map(spark):
+    words = ["good", "bad", "very", "not", "but", "plain", "slightly", "awful", "fine!", "why?", "hot dog", "hot"]
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(14))) + "!" * (k % 6) + "?" * (k % 5) for k in range(200)] + [None, ""]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text_cleaned string")
+    values = {"good": 1.9, "bad": -2.5, "awful": -2.0, "fine": 0.8, "hot": 0.5}
+    table = spark.createDataFrame(list(values.items()), "entry string, value double")
+    got = {r["k"]: r["sentiment_compound"] for r in sentiment.with_table_sentiment(df, table).collect()}
+    want = {r["k"]: r["sentiment_compound"] for r in sentiment.with_sentiment(df, lexicon=values).collect()}
+    assert got == want and len(got) == 202
+
+
+def test_c13_entries_of_several_words(spark):
+    table = [("hot dog", 2.0), ("dog", -1.0), ("hot dog stand", -3.0), ("Hot  Dog", 4.0), ("", 9.0), ("bad", None), ("very good", 1.0)]
+    lexicon = spark.createDataFrame(table, "entry string, value double")
+    texts = ["a hot dog", "dog hot dog", "hot dog stand", "not a hot dog", "very good", "hot", "very dog"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text_cleaned string")
+    got = {r["k"]: r["sentiment_compound"] for r in sentiment.with_table_sentiment(df, lexicon).collect()}
+
+    def squashed(s):
+        return round(s / (s * s + 15) ** 0.5, 4)
+
+    # "hot dog" is listed twice, with a mean of 3; a booster inside an entry is no booster.
+    assert got == {0: squashed(3), 1: squashed(2), 2: squashed(-3), 3: squashed(3 * -0.74), 4: squashed(1), 5: 0.0, 6: squashed(-1.293)}
+    none = sentiment.with_table_sentiment(df, lexicon.limit(0))
+    assert {r["sentiment_compound"] for r in none.collect()} == {0.0}

@@ -1,6 +1,7 @@
 """E and K: roll-ups, top lists, alerts and the daily stream."""
 
 import datetime as dt
+import math
 import tempfile
 
 import pytest
@@ -144,6 +145,19 @@ def test_k5_sentiment_drop(spark):
     assert [r["day"].day for r in spark.read.parquet(f"{folder}/out").collect()] == [1]
 
 
+def test_e16_grid_counts_every_post_once(spark, few):
+    cells = rollups.sentiment_grid(few.withColumn("sentiment_compound", F.col("sentiment_polarity"))).collect()
+    assert sum(r["count"] for r in cells) == few.count()
+    by_id = {r["id"]: r for r in few.collect()}
+    for r in cells:
+        post = by_id[r["id"]]
+        assert (post["data_source"], post["total_engagement"]) == (r["data_source"], r["total_engagement"])
+        assert r["engagement_bin"] == int(math.log2(post["total_engagement"] + 1))
+        assert (r["sentiment_bin"] - 1) / 20 - 1 <= post["sentiment_compound"] + 1e-9 <= r["sentiment_bin"] / 20 - 1 + 1e-6
+    same = few.unionByName(few.withColumn("id", F.concat("id", F.lit("x"))))
+    assert rollups.sentiment_grid(same).count() == len(cells)
+
+
 WATCHED = "created_at timestamp, data_source string, sentiment_compound double"
 
 

@@ -50,13 +50,13 @@ def test_a2_a8_parquet(spark, twitter, tmp_path):
 
 def test_a3_raw_folder(spark, twitter, reddit, tmp_path):
     folder = str(tmp_path / "raw")
-    writers.write_csv(reddit, f"{folder}/kaggle_reddit.csv")
+    writers.write_csv(reddit, f"{folder}/forum_dump.csv")
     writers.write_parquet(twitter, f"{folder}/tw.parquet")
-    (tmp_path / "raw" / "one.csv").write_text("id,text\n1,hello\n")
+    (tmp_path / "raw" / "one.csv").write_text("id,text\n1,low tide\n")
     (tmp_path / "raw" / ".hidden.csv").write_text("id\n1\n")
     (tmp_path / "raw" / "notes.txt").write_text("x")
     found = readers.read_raw_folder(spark, folder)
-    assert {name: df.count() for name, df in found.items()} == {"kaggle_reddit.csv": 3, "tw.parquet": 3, "one.csv": 1}
+    assert {name: df.count() for name, df in found.items()} == {"forum_dump.csv": 3, "tw.parquet": 3, "one.csv": 1}
 
 
 def test_a4_fallback(spark, twitter, tmp_path):
@@ -79,8 +79,8 @@ def test_a5_sample(spark):
 
 def test_a4_a7_ingest(spark, twitter, reddit, tmp_path):
     raw = str(tmp_path)
-    local = writers.write_csv(reddit, f"{raw}/kaggle_reddit.csv")
-    feed = writers.write_csv(twitter, f"{raw}/twitter_mock.csv")
+    local = writers.write_csv(reddit, f"{raw}/forum_dump.csv")
+    feed = writers.write_csv(twitter, f"{raw}/short_posts.csv")
     places = {"reddit_kaggle": [f"{raw}/download.csv", local], "twitter": [feed], "gone": [f"{raw}/none.csv"]}
     assert writers.ingest(spark, places, raw) == {"reddit_kaggle": local, "twitter": feed}
     paths = writers.ingest(spark, places, raw, sampled=("reddit_kaggle",), n=2)
@@ -176,7 +176,7 @@ def test_d1_source_detection(spark, twitter, reddit):
     assert quality.detect_source(twitter, "x.csv") == "twitter"
     assert quality.detect_source(reddit, "twitter.csv") == "reddit"
     plain = spark.createDataFrame([(1,)], "score int")
-    assert quality.detect_source(plain, "kaggle_reddit.csv") == "reddit"
+    assert quality.detect_source(plain, "forum_dump.csv") == "reddit"
     assert quality.detect_source(plain, "x.csv") == "unknown"
     assert quality.detect_source(plain.withColumnRenamed("score", "retweet_count"), "random_name.csv") == "twitter"
     assert quality.detect_source(plain.withColumnRenamed("score", "subreddit"), "x.csv") == "reddit"

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import string
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from townsquare.functions.text import LETTERS, bind
+from townsquare.runtime import freeze
 
 # Word scores as in the public VADER lexicon (MIT licence), from -4 (worst) to 4 (best).
 LEXICON: Mapping[str, float] = {
@@ -236,6 +238,99 @@ def sentiment_compound(
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), score))
 
 
+def _scanned(words: Column, hits: Column, but: Column, boosters: Mapping[str, float], negators: tuple[str, ...]) -> Column:
+    """Sum of the scores of ``hits`` (place, n, value) in one pass over ``words``; the rules are those of ``sentiment_compound``.
+
+    The pass carries the next hit's index, the end of the last entry and what the three words before do to a score.
+    """
+    boosts = _literal_map(boosters)
+    back = range(1, len(DAMPING) + 1)
+    start = F.struct(
+        F.lit(0).alias("at"), F.lit(0).alias("end"), F.lit(0.0).alias("sum"),
+        *(F.lit(0.0).alias(f"boost{d}") for d in back), *(F.lit(0).alias(f"flip{d}") for d in back),
+    )
+
+    def step(acc: Column, word: Column) -> Column:
+        hit = F.get(hits, acc["at"])
+        here = F.coalesce(hit["place"] == word["place"], F.lit(False))
+        covered = word["place"] < acc["end"]
+        counts = here & ~covered
+        shift = reduce(lambda x, y: x + y, (acc[f"boost{d}"] * F.lit(damping) for d, damping in zip(back, DAMPING, strict=True)))
+        flips = reduce(lambda x, y: x + y, (acc[f"flip{d}"] for d in back))
+        first = word["place"] + 1
+        side = F.when(but == 0, 1.0).when(first < but, BEFORE_BUT).when(first > but, AFTER_BUT).otherwise(1.0)
+        score = (hit["value"] + F.signum(hit["value"]) * shift) * F.pow(F.lit(NEGATION), flips) * side
+        own = F.when(covered | here, 0.0).otherwise(F.coalesce(F.try_element_at(boosts, word["word"]), F.lit(0.0)))
+        return F.struct(
+            (acc["at"] + here.cast("int")).alias("at"),
+            F.when(counts, word["place"] + hit["n"]).otherwise(acc["end"]).alias("end"),
+            (acc["sum"] + F.when(counts, score).otherwise(0.0)).alias("sum"),
+            own.alias("boost1"), *(acc[f"boost{d - 1}"].alias(f"boost{d}") for d in back if d > 1),
+            word["word"].isin(list(negators)).cast("int").alias("flip1"), *(acc[f"flip{d - 1}"].alias(f"flip{d}") for d in back if d > 1),
+        )
+
+    placed = F.transform(words, lambda word, place: F.struct(place.alias("place"), word.alias("word")))
+    return F.aggregate(placed, start, step, lambda acc: acc["sum"])
+
+
+def _compound_of_hits(text: Column, words: Column, hits: Column, boosters: Mapping[str, float], negators: tuple[str, ...]) -> Column:
+    """The compound score from lexicon entries found at places of ``words``."""
+    order = F.array_sort(hits, lambda a, b: F.when(a["place"] != b["place"], a["place"] - b["place"]).otherwise(b["n"] - a["n"]))
+    # The longest entry of a place stands first there.
+    longest = bind(
+        order, lambda found: F.filter(found, lambda hit, i: F.coalesce(F.get(found, i - 1)["place"] != hit["place"], F.lit(True)))
+    )
+    questions = _count(text, "?")
+    emphasis = F.least(_count(text, "!"), F.lit(MAX_EXCLAMATIONS)) * F.lit(EXCLAMATION) + F.when(questions > 3, MANY_QUESTIONS).when(
+        questions > 1, questions * F.lit(QUESTION)
+    ).otherwise(0.0)
+    raw = bind(
+        bind(longest, lambda found: _scanned(words, found, F.array_position(words, F.lit("but")), boosters, negators)),
+        lambda s: bind(s + F.signum(s) * emphasis, lambda moved: moved / F.sqrt(moved * moved + F.lit(ALPHA))),
+    )
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.round(raw, 4)))
+
+
+def with_table_sentiment(
+    df: DataFrame,
+    lexicon: DataFrame,
+    text_column: str = "text_cleaned",
+    inclusive: bool = True,
+    boosters: Mapping[str, float] = BOOSTERS,
+    negators: tuple[str, ...] = NEGATORS,
+) -> DataFrame:
+    """C13-C16 with a lexicon table (entry, value) of any size, entries of several words included.
+
+    Entries are looked up by a join: every run of as many words as the longest entry has meets the table, which Spark
+    broadcasts while it is small. Of overlapping entries the leftmost counts, and at one place the longest. Repeated
+    entries have the mean of their values; entries without a word are ignored. Texts are written once and stay in their rows.
+    """
+    key, entry = "__text_row", F.array_join(F.array_remove(F.split(F.lower("entry"), WORD_BREAK), ""), " ")
+    table = lexicon.select(entry.alias("gram"), F.col("value").cast("double").alias("value")).filter("gram != '' and value is not null")
+    table = freeze(table.groupBy("gram").agg(F.avg("value").alias("value")))
+    longest = table.agg(F.max(F.size(F.split("gram", " ")))).first()[0] or 0  # one number
+    words = F.array_remove(F.split(F.coalesce(F.col(text_column), F.lit("")), WORD_BREAK), "")
+    rows = freeze(df.withColumn(key, F.monotonically_increasing_id()).withColumn("__words", words))
+    runs = rows.select(key, "__words", F.posexplode("__words").alias("place", "word"))
+    grams = F.array(
+        *(
+            F.struct(F.lit(n).alias("n"), F.when(F.col("place") + n <= F.size("__words"), F.array_join(F.slice("__words", F.col("place") + 1, n), " ")).alias("gram"))
+            for n in range(1, longest + 1)
+        )
+    )
+    found = (
+        runs.select(key, "place", F.inline(grams)).filter("gram is not null").join(table, "gram")
+        .groupBy(key).agg(F.collect_list(F.struct("place", "n", "value")).alias("__hits"))
+    ) if longest else None
+    kind = "array<struct<place:int,n:int,value:double>>"
+    joined = rows.withColumn("__hits", F.lit(None).cast(kind)) if found is None else rows.join(found, key, "left")
+    hits = F.coalesce(F.col("__hits"), F.array().cast(kind))
+    score = _compound_of_hits(F.coalesce(F.col(text_column), F.lit("")), F.col("__words"), hits, boosters, negators)
+    scored = joined.withColumn("sentiment_compound", score).drop(key, "__words", "__hits")
+    label = label_inclusive(F.col("sentiment_compound")) if inclusive else label_strict(F.col("sentiment_compound"))
+    return scored.withColumns({"sentiment_label": label, "sentiment_polarity": F.col("sentiment_compound")})
+
+
 def label_strict(score: Column, cut: float = CUT) -> Column:
     """C14: strict cuts, as at load time."""
     return F.when(score > cut, "positive").when(score < -cut, "negative").otherwise("neutral")

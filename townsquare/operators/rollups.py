@@ -228,6 +228,28 @@ def sentiment_points(df: DataFrame) -> DataFrame:
     return available(df, ("id", "data_source", "sentiment_compound", "total_engagement", "word_count"))
 
 
+def sentiment_grid(df: DataFrame, bins: int = 40, seed: int = 42) -> DataFrame:
+    """E16, bounded: sentiment against engagement as cells, each with its count and one post that stands for it.
+
+    Sentiment has ``bins`` equal cells from -1 to 1, engagement a cell per power of two, so there are at most 64 times
+    ``bins`` rows per source whatever the number of posts. The post is the one with the least MD5 of seed and id.
+    """
+    score, amount = F.col("sentiment_compound"), F.greatest(F.col("total_engagement").cast("double"), F.lit(0.0))
+    known = df.filter("sentiment_compound is not null and total_engagement is not null")
+    cells = known.select(
+        "data_source",
+        F.least(F.lit(bins), F.floor((score + 1) / 2 * bins) + 1).cast("int").alias("sentiment_bin"),
+        F.floor(F.log2(amount + 1)).cast("int").alias("engagement_bin"),
+        F.struct(
+            F.md5(F.concat(F.lit(f"{seed}|"), F.col("id").cast("string"))).alias("order"),
+            "id", score.alias("sentiment_compound"), amount.alias("total_engagement"),
+        ).alias("post"),
+    )
+    return cells.groupBy("data_source", "sentiment_bin", "engagement_bin").agg(
+        F.count(F.lit(1)).alias("count"), F.min("post").alias("post")
+    ).select("data_source", "sentiment_bin", "engagement_bin", "count", "post.id", "post.sentiment_compound", "post.total_engagement")
+
+
 def length_points(df: DataFrame, n: int = 1000, seed: int = 42, key: str | None = None) -> DataFrame:
     """Sentiment against word count, a bounded repeatable sample."""
     return seeded_sample(available(df, ("id", "data_source", "word_count", "sentiment_compound")), n, seed, key)
