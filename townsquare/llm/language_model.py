@@ -113,15 +113,14 @@ def frequent_words(counts: DataFrame) -> DataFrame:
     scale of counts, found from a histogram of a few hundred rows, so nothing is sorted. Of the
     step that no longer fits, the words with the smallest mixed hashes come along."""
     step = F.floor(F.log2(F.col("c")) * 16)
-    wanted = F.col("word") == F.lit(int(END.view(np.int64)))
-    left = FREQUENT
+    end = F.col("word") == F.lit(int(END.view(np.int64)))
+    left, least = FREQUENT, None
     for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
         if row["count"] > left:
             share = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int((1 << 20) * 0.95 * left / row["count"])
-            return counts.where(wanted | ((step == row["step"]) & share))
-        wanted |= step == row["step"]
-        left -= row["count"]
-    return counts.where(wanted)
+            return counts.where(end | (step > row["step"]) | ((step == row["step"]) & share))
+        left, least = left - row["count"], row["step"]
+    return counts.where(end if least is None else end | (step >= least))
 
 
 class Lexicon:
@@ -194,8 +193,8 @@ def _gathered(index: np.ndarray, values: np.ndarray, size: int, room: np.ndarray
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """The logistic function, in place."""
-    np.clip(x, -30, 30, out=x)
     np.negative(x, out=x)
+    np.minimum(x, 30, out=x)  # the other end is safe: exp only gets small there
     np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
@@ -235,6 +234,7 @@ class Trainer:
         self.rows = [np.empty((BATCH_TOKENS, WIDTH), dtype=np.float32) for _ in range(5)]
         self.pairs = [np.empty((2 * BATCH_TOKENS, WIDTH), dtype=np.float32) for _ in range(2)]
         self.against = np.empty((BATCH_TOKENS, NOISE), dtype=np.float32)
+        self.ones = np.ones((BATCH_TOKENS, 1), dtype=np.float32)
 
     def step(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> None:
         m = self.model
@@ -256,7 +256,7 @@ class Trainer:
         _times(down, drawn, dh)
         q *= up[:, None]
         dh += q
-        d_noise, d_noise_bias = _crossed(down, h), down.sum(axis=0)
+        d_noise, d_noise_bias = _crossed(down, h), _crossed(self.ones[:n], down)[0]
         h *= up[:, None]
         d_target = _gathered(word, h, size, self.pairs[1])
         np.add.at(d_target, noise, d_noise)
@@ -265,9 +265,7 @@ class Trainer:
         np.multiply(dh, m.near, out=both[:n])
         np.multiply(dh, m.far, out=both[n:])
         d_context = _gathered(np.concatenate([near, far]), both, size, self.pairs[1])
-        a *= dh
-        b *= dh
-        d_near, d_far = a.sum(axis=0), b.sum(axis=0)
+        d_near, d_far = np.einsum("ij,ij->j", a, dh), np.einsum("ij,ij->j", b, dh)
         for x, g, s in zip(m.arrays(), [d_context, d_target, d_near, d_far, d_bias], self.squares, strict=True):
             g /= np.sqrt(np.float32(n))
             s += g * g
