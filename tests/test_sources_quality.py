@@ -176,7 +176,7 @@ def test_d1_source_detection(spark, twitter, reddit):
     assert quality.detect_source(twitter, "x.csv") == "twitter"
     assert quality.detect_source(reddit, "twitter.csv") == "reddit"
     plain = spark.createDataFrame([(1,)], "score int")
-    assert quality.detect_source(plain, "forum_dump.csv") == "reddit"
+    assert quality.detect_source(plain, "reddit-2019.csv") == "reddit"
     assert quality.detect_source(plain, "x.csv") == "unknown"
     assert quality.detect_source(plain.withColumnRenamed("score", "retweet_count"), "random_name.csv") == "twitter"
     assert quality.detect_source(plain.withColumnRenamed("score", "subreddit"), "x.csv") == "reddit"
