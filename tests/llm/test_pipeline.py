@@ -36,7 +36,7 @@ def test_stages_take_effect(spark, tmp_path):
 
 
 def test_all_are_registered():
-    assert [q.split("_")[0] for q in QUERIES] == [*(f"op{k}" for k in range(1, 11)), "pipeline"]
+    assert [q.split("_")[0] for q in QUERIES] == [*(f"op{k}" for k in range(1, 14)), "pipeline"]
 
 
 def test_the_entry_works_without_the_text_operators(tmp_path):
