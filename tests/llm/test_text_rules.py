@@ -247,6 +247,39 @@ def test_splices_equal_whole_encodings(counter, text):
     assert counter.of_texts([text]) == [whole]
 
 
+def odd_texts():
+    rng = random.Random(9)
+    alphabets = ["".join(chr(0x4E00 + 7 * k) for k in range(2000)), "ABCDEFabcdef0123456789+/", "aab", "e\u0301\u0323o\u1100\u1161\u11a8",
+                 "'sdtrevml!<|>", "a\U0001f600é ß\u0130\u212a"]
+    return ["".join(rng.choice(letters) for _ in range(4000)) for letters in alphabets] + ["<|endoftext|>'s!" * 300]
+
+
+@pytest.mark.parametrize("text", odd_texts())
+def test_splices_inside_words_equal_whole_encodings(counter, text):
+    whole = len(counter.tokenizer.encode(text, add_special_tokens=False))
+    for chunk, overlap in ((97, 8), (200, 64), (512, 100), (1000, 33)):
+        assert counter.of_huge(text, chunk, overlap) == whole
+
+
+def test_long_texts_without_white_space_are_linear(counter):
+    rng = random.Random(10)
+    text = "".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(1_000_000))
+    read = 0
+    encode = counter._tokens
+
+    def counted(text, begin, end):
+        nonlocal read
+        read += end - begin
+        return encode(text, begin, end)
+
+    counter._tokens = counted
+    try:
+        total = counter.of_huge(text)
+    finally:
+        del counter._tokens
+    assert total == len(counter.tokenizer.encode(text, add_special_tokens=False)) and read < 2 * len(text)
+
+
 # --- languages ----------------------------------------------------------------------------------
 
 

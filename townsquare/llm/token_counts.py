@@ -1,15 +1,18 @@
 """Token counts by overlap resynchronisation.
 
-Huge documents are encoded in overlapping chunks with offsets. Two chunks are spliced at a
-boundary that is proven stable: both encodings start a token there and the character before
-it is white space, which no token of this tokenizer can span. If an overlap holds no such
-boundary it is widened. Shorter documents fall apart at white space as it is; their distinct
-words are encoded once a worker.
+Huge documents are encoded in overlapping chunks with offsets. Two chunks are spliced behind a
+token that both encodings hold at the same place. That is proven stable: merges of this kind
+of tokenizer give a sequence exactly if they give each two neighbours in it, and here every
+two neighbours stand side by side in one of the encodings; a token at the end of a word has
+another id than one inside, so both agree on the words too. If an overlap holds no such
+token it is widened, and if a whole chunk holds none the chunks grow. Shorter documents fall
+apart at white space; their distinct words are encoded once a worker.
 """
 
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +28,8 @@ LIMIT = 2048
 HUGE_CHARS = 1 << 16
 CHUNK_CHARS = 1 << 14
 OVERLAP_CHARS = 256
+#: Characters between a splice and the end of an overlap: more than any special string or contraction has.
+MARGIN_CHARS = 32
 GROUP_CHARS = 1 << 19
 #: Words whose counts a worker remembers.
 KNOWN_WORDS = 1_000_000
@@ -79,45 +84,63 @@ class Counter:
         edges = np.searchsorted(starts, np.cumsum([0] + [len(d) + 1 for d in data]))
         return (sums[edges[1:]] - sums[edges[:-1]]).tolist()
 
-    def _starts(self, text: str, begin: int, end: int) -> np.ndarray:
-        offsets = self.tokenizer.encode(text[begin:end], add_special_tokens=False).offsets
-        return np.array([a for a, _ in offsets], dtype=np.int64) + begin
+    def _tokens(self, text: str, begin: int, end: int) -> np.ndarray:
+        """Rows (id, start, end) of the tokens of a part, placed in the whole text."""
+        found = self.tokenizer.encode(text[begin:end], add_special_tokens=False)
+        out = np.empty((len(found.ids), 3), dtype=np.int64)
+        out[:, 0] = found.ids
+        out[:, 1:] = np.array(found.offsets, dtype=np.int64).reshape(-1, 2) + begin
+        return out
 
     def of_huge(self, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
-        """Tokens of one text by overlapping chunks."""
-        total, begin = 0, 0
-        from_here, end = 0, min(len(text), chunk)
-        own = self._starts(text, begin, end)
+        """Tokens of one text by overlapping chunks, larger ones where these cannot be aligned."""
+        while True:
+            total = self._spliced(text, chunk, overlap)
+            if total is not None:
+                return total
+            chunk, overlap = 2 * chunk, 2 * overlap
+
+    def _spliced(self, text: str, chunk: int, overlap: int) -> int | None:
+        total, from_here, end = 0, 0, min(len(text), chunk)
+        own = self._tokens(text, 0, end)
         while end < len(text):
             width = overlap
             while True:
-                next_begin = max(from_here, end - width)
+                begin = max(from_here, end - width)
                 next_end = min(len(text), max(end + chunk - overlap, end + width))
-                following = self._starts(text, next_begin, next_end)
-                splice = self._stable(text, own, following, next_begin, end)
-                if splice is not None or next_begin == from_here:
+                following = self._tokens(text, begin, next_end)
+                splice = self._stable(text, own, following, begin, end)
+                if splice is not None:
                     break
+                if begin == from_here:
+                    return None
                 width *= 2
-            if splice is None:
-                # No stable boundary in all that is open: read it on as one chunk.
-                end = next_end
-                own = self._starts(text, from_here, end)
-                begin = from_here
-                continue
-            total += int(((own >= from_here) & (own < splice)).sum())
-            from_here, begin, end, own = splice, next_begin, next_end, following
-        return total + int((own >= from_here).sum())
+            total += int(((own[:, 1] >= from_here) & (own[:, 1] < splice)).sum())
+            from_here, end, own = splice, next_end, following
+        return total + int((own[:, 1] >= from_here).sum())
 
     @staticmethod
     def _stable(text: str, left: np.ndarray, right: np.ndarray, begin: int, end: int) -> int | None:
-        """The last position at which both encodings start a token behind white space."""
-        both = np.intersect1d(left[left > begin], right[right < end])
-        for p in both[::-1]:
-            if text[p - 1] in " \t\n\v\f\r":
-                return int(p)
+        """The last place behind a token of both encodings, well inside the part that both have read."""
+        left = left[np.searchsorted(left[:, 1], begin) :]
+        right = right[: np.searchsorted(right[:, 1], end)]
+        both = set(map(tuple, left.tolist())) & set(map(tuple, right.tolist()))
+        for place in sorted({stop for _, start, stop in both if start > begin}, reverse=True):
+            if not begin + MARGIN_CHARS <= place <= end - MARGIN_CHARS or _composes(text, place):
+                continue
+            # No token, as one that holds part of a character, may reach over the place.
+            if all((x[x[:, 1] < place, 2] <= place).all() for x in (left, right)):
+                return place
         return None
 
 
+def _composes(text: str, place: int) -> bool:
+    """Whether a character may be joined with those before it when the text is normalised."""
+    pair = text[place - 1 : place + 1]
+    parts = (unicodedata.normalize("NFC", c) for c in pair)
+    return unicodedata.combining(pair[-1]) != 0 or unicodedata.normalize("NFC", pair) != "".join(parts)
+
+
 def _groups(texts: list[str]) -> Iterator[list[int]]:
     rows, size = [], 0
     for row, text in enumerate(texts):
