@@ -8,6 +8,7 @@ import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
 from townsquare.llm import decontamination, language_model, mixture, near_duplicates, repeated_text
@@ -178,9 +179,9 @@ def brute_targets(sizes):
     return goals
 
 
-@pytest.mark.parametrize("buckets", [1000, 5])
-def test_mixture_meets_its_targets(spark, stored, docs, corpus, monkeypatch, buckets):
-    monkeypatch.setattr(mixture, "BUCKET_DOCUMENTS", buckets)
+@pytest.mark.parametrize("bits", [15, 4, 1])
+def test_mixture_meets_its_targets(spark, stored, docs, corpus, monkeypatch, bits):
+    monkeypatch.setattr(mixture, "PLACE_BITS", bits)
     rng = random.Random(6)
     rows = list(corpus) + [(1000 + k, prose(rng, rng.randrange(1, 60)), "aa", rng.choice(["s0", "s1", "tiny"])) for k in range(400)]
     rows += [(2000, "one two", "aa", "small"), (2001, "", "aa", "void")]
@@ -211,6 +212,23 @@ def test_mixture_in_documents(spark, stored, docs, nothing):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_a_mix_can_be_mixed_again(spark, stored, docs):
+    once = mixture.mixed_documents(docs, stored)
+    again = mixture.mixed_documents(once.withColumn("mix_epochs", F.lit(-1)).withColumn("place", F.lit("p")), stored)
+    assert again.columns == [*docs.columns, "place", "mix_epochs"]
+    rows = again.collect()
+    assert rows and all(r["mix_epochs"] >= 1 and r["place"] == "p" for r in rows)
+
+
+@pytest.mark.parametrize("quality", [1.0, 0.4, 0.001])
+def test_places_stay_fine_at_any_quality(spark, quality):
+    uniform = (F.shiftrightunsigned(F.xxhash64("id"), 11).cast("double") + 0.5) / float(1 << 53)
+    places = spark.range(100_000).select(mixture.place_of(-F.log(uniform) / quality).alias("place"))
+    upper = places.groupBy(F.shiftright("place", mixture.PLACE_BITS).alias("b")).count().agg(F.max("count")).first()[0]
+    whole = places.groupBy("place").count().agg(F.max("count")).first()[0]
+    assert upper < 300 and whole <= 3
+
+
 def test_keys_prefer_quality(spark, stored):
     rng = random.Random(1)
     rows = [(k, prose(rng, 30), "a") for k in range(500)] + [(500 + k, "## $$ " * 15, "a") for k in range(500)]
@@ -416,8 +434,6 @@ def test_the_model_without_training_texts(spark, nothing, stored):
 
 
 def test_every_place_key_has_its_own_partition(spark):
-    from pyspark.sql import functions as F
-
     for n in (1, 7, 51):
         keys = language_model.place_keys(spark, n)
         placed = spark.createDataFrame([(k,) for k in keys], "place int").repartition(n, "place")

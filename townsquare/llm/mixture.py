@@ -4,9 +4,11 @@ Every document gets an exponential key divided by its quality weight. Within a s
 documents are taken in key order until the source's budget of words is met; whole passes
 over the source come first, the sampled part follows.
 
-The order is never built as a whole: a histogram of the keys finds, for each source, the
-bucket in which the budget ends, and only that bucket's few thousand documents are ordered.
-Every other document is decided by comparing its key.
+The order is never built as a whole. The logarithm of a key, as a whole number, is its place:
+a histogram of the places' upper half finds, for each source, the bucket in which the budget
+ends, a histogram of the lower half goes on inside that bucket, and only the documents of one
+place are ordered. Every other document is decided by comparing its place. The logarithm keeps
+the buckets fine whatever the quality weights are.
 """
 
 from __future__ import annotations
@@ -18,8 +20,10 @@ from townsquare.llm.common import Stored
 
 MAX_EPOCHS = 3
 SOURCE_WEIGHTS = (1, 2, 3)
-#: Documents a bucket of the key histogram holds on average.
-BUCKET_DOCUMENTS = 1000
+#: Bits of each half of a place, so buckets of a histogram: two levels tell 2^30 places apart.
+PLACE_BITS = 15
+#: The logarithm of a key lies within this distance of 0.
+LOG_RANGE = 64.0
 _WORDS = r"[^\x20\x09-\x0D]+"
 _ODD = "#*$%&|<>{}[]=_~^\\"
 
@@ -33,8 +37,30 @@ def quality_of(odd: Column, size: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + odd / F.greatest(size, F.lit(1)))
 
 
+def place_of(key: Column) -> Column:
+    """The logarithm of a key as a whole number of twice PLACE_BITS bits; it rises with the key."""
+    share = (F.log(F.greatest(key, F.lit(1e-27))) + LOG_RANGE) / (2 * LOG_RANGE)
+    last = (1 << 2 * PLACE_BITS) - 1
+    return F.least(F.lit(last), F.floor(share * (last + 1))).cast("bigint")
+
+
+def _ends(rows: DataFrame, bucket: Column, start: Column) -> DataFrame:
+    """Per source the bucket in which its budget ends, and the words before it.
+
+    A source has 2^PLACE_BITS buckets at most, so the running sum goes over a bounded group.
+    """
+    along = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        rows.groupBy("source", bucket.alias("bucket"), "budget", start.alias("start")).agg(F.sum("size").alias("words"))
+        .withColumn("before", F.col("start") + F.coalesce(F.sum("words").over(along), F.lit(0)))
+        .where((F.col("before") <= F.col("budget")) & (F.col("before") + F.col("words") > F.col("budget")))
+        .select(F.col("source").alias("e_source"), F.col("bucket").alias("e_bucket"), F.col("before").alias("e_before"))
+        .coalesce(1)
+    )
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """Narrow rows (doc_id, source, text_key, size, key, bucket fraction); the text is read once.
+    """Narrow rows (doc_id, source, text_key, size, key, place); the text is read once.
 
     The key is a pure function of the row, so reruns and retried tasks agree.
     """
@@ -49,7 +75,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     draw = F.xxhash64(F.lit("mixture"), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text_key")))
     uniform = (F.shiftrightunsigned(draw, 11).cast("double") + 0.5) / F.lit(float(1 << 53))
     key = -F.log(uniform) / F.col("quality")
-    return rows.withColumn("key", key).withColumn("place", F.lit(1.0) - F.exp(-F.col("key"))).drop("quality")
+    return rows.withColumn("key", key).withColumn("place", place_of(F.col("key"))).drop("quality")
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = SOURCE_WEIGHTS) -> DataFrame:
@@ -60,7 +86,7 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = SOURCE_WEIGHTS) -> Data
     until none is above. In order of size over weight the stopped sources come first, so
     running sums solve it in one pass. These windows run over one row per source.
     """
-    per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
+    per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     by_name = Window.orderBy(F.col("source").isNull(), F.col("source"))
     weight = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
     rows = per_source.withColumn("weight", weight.cast("double"))
@@ -84,8 +110,7 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = SOURCE_WEIGHTS) -> Data
         rows.withColumn("target", target)
         .withColumn("epochs", F.when(size > 0, F.least(F.lit(MAX_EPOCHS), F.floor(F.col("target") / size))).otherwise(0).cast("bigint"))
         .withColumn("budget", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * size))
-        .withColumn("buckets", F.ceil(F.col("documents") / BUCKET_DOCUMENTS).cast("bigint"))
-        .select("source", "source_size", "target", "epochs", "budget", "buckets", "weight")
+        .select("source", "source_size", "target", "epochs", "budget", "weight")
     )
 
 
@@ -102,20 +127,16 @@ def mix(docs: DataFrame, stored: Stored) -> DataFrame:
     base = stored.put(keyed(docs))
     goals = stored.put(targets(base).coalesce(1))
     goal = goals.withColumnRenamed("source", "g_source")
-    rows = base.join(goal, F.col("source").eqNullSafe(F.col("g_source"))).drop("g_source").withColumn(
-        "bucket", F.floor(F.col("place") * F.col("buckets"))
-    )
-    histogram = rows.groupBy("source", "bucket", "budget").agg(F.sum("size").alias("words"))
-    along = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ends = (
-        histogram.withColumn("before", F.coalesce(F.sum("words").over(along), F.lit(0)))
-        .where((F.col("before") <= F.col("budget")) & (F.col("before") + F.col("words") > F.col("budget")))
-        .select(F.col("source").alias("e_source"), F.col("bucket").alias("e_bucket"), F.col("before").alias("e_before"))
-    )
-    ends = stored.put(ends.coalesce(1))
+    rows = base.join(goal, F.col("source").eqNullSafe(F.col("g_source"))).drop("g_source")
+    upper = F.shiftright("place", PLACE_BITS)
+    first = stored.put(_ends(rows, upper, F.lit(0)))
+    inside = rows.join(first, F.col("source").eqNullSafe(F.col("e_source")) & (upper == F.col("e_bucket")))
+    inside = stored.put(inside.select("source", "place", "key", "doc_id", "text_key", "size", "budget", "e_before"))
+    ends = stored.put(_ends(inside, F.col("place"), F.col("e_before")))
     order = Window.partitionBy("source").orderBy("key", "doc_id", "text_key")
     last_bucket = (
-        rows.join(ends, F.col("source").eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("e_bucket")))
+        inside.drop("e_before")
+        .join(ends, F.col("source").eqNullSafe(F.col("e_source")) & (F.col("place") == F.col("e_bucket")))
         .groupBy("source", "key", "doc_id", "text_key", "budget", "e_before").agg(F.sum("size").alias("words"))
         .withColumn("up_to", F.col("e_before") + F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .where(F.col("up_to") - F.col("words") / 2 <= F.col("budget"))
@@ -128,8 +149,8 @@ def mix(docs: DataFrame, stored: Stored) -> DataFrame:
     )
     own = F.struct("key", "doc_id", "text_key")
     sampled = F.when(F.col("e_bucket").isNull(), F.col("budget") > 0).otherwise(
-        (F.col("bucket") < F.col("e_bucket"))
-        | ((F.col("bucket") == F.col("e_bucket")) & F.coalesce(own <= F.col("last"), F.lit(False)))
+        (F.col("place") < F.col("e_bucket"))
+        | ((F.col("place") == F.col("e_bucket")) & F.coalesce(own <= F.col("last"), F.lit(False)))
     )
     return (
         rows.join(limits, F.col("source").eqNullSafe(F.col("e_source")), "left")
@@ -142,7 +163,12 @@ def mix(docs: DataFrame, stored: Stored) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, stored: Stored) -> DataFrame:
-    """The documents the mix takes, with ``mix_epochs``: how many passes include each one."""
+    """The documents the mix takes, with ``mix_epochs``: how many passes include each one.
+
+    A column of that name, as in this function's own output, is replaced. Null and empty texts
+    have no words: they go with the passes of their source. Equal rows are tied and go or stay
+    together; a null source is a source; an empty table stays empty; other columns are kept.
+    """
     wanted = (
         mix(docs, stored).where("copies > 0")
         .groupBy(F.col("doc_id").alias("__llm_doc"), F.col("source").alias("__llm_source"), F.col("text_key").alias("__llm_key"))
@@ -154,4 +180,5 @@ def mixed_documents(docs: DataFrame, stored: Stored) -> DataFrame:
         & F.col("source").cast("string").eqNullSafe(F.col("__llm_source"))
         & (F.col("__llm_own") == F.col("__llm_key"))
     )
-    return own.join(wanted, same).select(*docs.columns, "mix_epochs")
+    kept = [own[f"`{name}`"] for name in docs.columns if name.lower() != "mix_epochs"]
+    return own.join(wanted, same).select(*kept, wanted["mix_epochs"])
