@@ -72,6 +72,31 @@ def test_short_and_shifted_licence_forms(spark, stored):
     assert got[1]["score"] > 0.9 and got[3]["score"] > 0.9
 
 
+def test_names_score_below_notices(spark, stored):
+    cases = [
+        ("He will unlicense the car.", "", 0.0),
+        ("a bsd license plate", "bsd", licenses.MENTIONED),
+        ("Unlike the MIT license, ours forbids it.", "mit", licenses.MENTIONED),
+        ("Released under the MIT License.", "mit", licenses.DECLARED),
+        ("SPDX-License-Identifier: MIT", "mit", licenses.DECLARED),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 license", "cc-attribution-nc", licenses.DECLARED),
+        ("This work is licensed under a Creative Commons Attribution license", "cc-attribution", 1.0),
+        ("Available under CC BY-SA 4.0", "cc-attribution-sa,cc-by", 1.0),
+        ("see the Eclipse Public License 2.0", "epl", licenses.MENTIONED),
+        ("Licensed under GPLv3", "gnu-gpl", licenses.DECLARED),
+        ("distributed under CC0 1.0", "cc0", licenses.DECLARED),
+        ("Distributed under the Boost Software License, Version 1.0", "boost", licenses.DECLARED),
+        (licenses.TEMPLATES[12][1], "boost", 1.0),
+        (licenses.TEMPLATES[13][1], "cc0", 1.0),
+        (licenses.TEMPLATES[14][1], "epl", 1.0),
+        (licenses.TEMPLATES[15][1], "zlib", 1.0),
+    ]
+    rows = [(k, text) for k, (text, _, _) in enumerate(cases)] + [(100 + k, "prose") for k in range(40)]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), stored).collect()}
+    for k, (text, labels, score) in enumerate(cases):
+        assert (got[k]["labels"], got[k]["score"]) == (labels, score), text
+
+
 def test_every_notice_of_a_long_list_is_found(spark, stored):
     notices = [(label, text) for label, text, _ in licenses.TEMPLATES[:11]]
     filler = " ".join(f"w{k}" for k in range(40))

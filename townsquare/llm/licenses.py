@@ -39,20 +39,45 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software",)),
     ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in"
      " compliance with the license", ("apache license version 2 0",)),
-    *((label, name, (name,)) for label, names in {
-        "apache-2.0": ("apache license version 2 0", "apache license 2 0", "apache 2 0 license", "identifier apache 2 0"),
-        "bsd": ("bsd license", "bsd 2 clause", "bsd 3 clause", "2 clause bsd", "3 clause bsd"),
-        "cc-attribution": ("creative commons attribution",),
-        "gnu-agpl": ("gnu affero general public license", "identifier agpl 3 0"),
-        "gnu-gpl": ("gnu general public license", "gnu gpl", "identifier gpl 2 0", "identifier gpl 3 0"),
-        "gnu-lgpl": ("gnu lesser general public license", "gnu lgpl", "identifier lgpl 2 1", "identifier lgpl 3 0"),
-        "isc": ("isc license", "identifier isc"),
-        "mit": ("mit license", "identifier mit"),
-        "mpl": ("mozilla public license", "identifier mpl 2 0"),
-        "unlicense": ("unlicense license", "the unlicense", "identifier unlicense"),
-    }.items() for name in names),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"
+     " and accompanying documentation covered by this license", ("organization obtaining", "accompanying documentation covered")),
+    ("cc0", "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of"
+     " his or her rights to the work worldwide under copyright law", ("public domain by waiving", "copyright law")),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license",
+     ("eclipse public license", "accompanying materials")),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held"
+     " liable for any damages arising from the use of this software", ("event will", "authors be held liable")),
 )
-#: Words too common to be looked up; base phrases keep theirs.
+#: Fixed names: the lines by which a text declares, or only mentions, a licence.
+NAMES = {
+    "apache-2.0": ("apache license version 2 0", "apache license 2 0", "apache 2 0 license", "identifier apache 2 0"),
+    "boost": ("boost software license", "identifier bsl 1 0"),
+    "bsd": ("bsd license", "bsd 2 clause", "bsd 3 clause", "2 clause bsd", "3 clause bsd"),
+    "cc-attribution": ("creative commons attribution",),
+    "cc-attribution-nc": ("creative commons attribution noncommercial", "creative commons attribution non commercial", "cc by nc"),
+    "cc-attribution-nc-nd": ("creative commons attribution noncommercial noderivatives", "cc by nc nd"),
+    "cc-attribution-nc-sa": ("creative commons attribution noncommercial sharealike", "cc by nc sa"),
+    "cc-attribution-nd": ("creative commons attribution noderivatives", "creative commons attribution noderivs", "cc by nd"),
+    "cc-attribution-sa": ("creative commons attribution sharealike", "creative commons attribution share alike", "cc by sa"),
+    "cc0": ("cc0 1 0", "cc0 license", "identifier cc0 1 0"),
+    "epl": ("eclipse public license", "identifier epl 2 0"),
+    "gnu-agpl": ("gnu affero general public license", "identifier agpl 3 0", "agplv3"),
+    "gnu-gpl": ("gnu general public license", "gnu gpl", "identifier gpl 2 0", "identifier gpl 3 0", "gplv2", "gplv3"),
+    "gnu-lgpl": ("gnu lesser general public license", "gnu lgpl", "identifier lgpl 2 1", "identifier lgpl 3 0", "lgplv2", "lgplv3"),
+    "isc": ("isc license", "identifier isc"),
+    "mit": ("mit license", "identifier mit"),
+    "mpl": ("mozilla public license", "identifier mpl 2 0"),
+    "unlicense": ("unlicense license", "unlicense org", "identifier unlicense"),
+    "zlib": ("zlib license", "identifier zlib"),
+}
+#: Notices come first, then a form for every name.
+FORMS = (*TEMPLATES, *((label, name, (name,)) for label, names in NAMES.items() for name in names))
+#: A name within so many words behind one of these is declared, any other one is mentioned.
+GRANTS = frozenset("licensed released distributed available published provided identifier".split())
+GRANT_WORDS = 6
+#: Scores of names, below that of a whole notice.
+DECLARED, MENTIONED = 0.95, 0.5
+#: Words too common to be looked up; base phrases keep theirs, key phrases have none.
 COMMON = frozenset("a and any are for in into is of or that the this to use under with you".split())
 #: A candidate needs this share of the weight of its template's words, in order and near their places.
 MIN_SCORE = 0.6
@@ -65,13 +90,15 @@ class Index:
     """Licence words by hash, the words of the templates and of their key phrases, with places."""
 
     def __init__(self) -> None:
-        words = {w for t in TEMPLATES for w in t[1].split()} - COMMON
+        if any(COMMON & set(phrase.split()) for form in FORMS for phrase in form[2]):
+            raise ValueError("a key phrase holds a word that is not looked up")
+        words = {w for form in FORMS for w in form[1].split()} - COMMON | GRANTS
         words |= {w for phrase in BASE.values() for w in phrase.split()}
         self.words = sorted(words)
         self.number = {w: k for k, w in enumerate(self.words)}
         self.parts: list[list[tuple[int, int]]] = []
         self.keys: list[list[list[tuple[int, int]]]] = []
-        for t, (_, text, phrases) in enumerate(TEMPLATES):
+        for t, (_, text, phrases) in enumerate(FORMS):
             parts = text.split()
             self.parts.append([(self.number[w], k) for k, w in enumerate(parts) if w in self.number])
             self.keys.append([])
@@ -79,6 +106,7 @@ class Index:
                 look = phrase.split()
                 at = next(k for k in range(len(parts)) if parts[k : k + len(look)] == look)
                 self.keys[t].append([(self.number[w], at + k) for k, w in enumerate(look) if w in self.number])
+        self.grants = {self.number[w] for w in GRANTS}
         self.base = {label: [self.number[w] for w in phrase.split()] for label, phrase in BASE.items()}
         codes = np.array([_code(w) for w in self.words], dtype=U64)
         order = np.argsort(codes)
@@ -197,20 +225,40 @@ def _aligned(parts: list[tuple[int, int]], at: dict[int, int], shift: int, ancho
 
 
 def templates_in(words: list[int], places: list[int], lookup: Lookup) -> dict[str, float]:
-    """Labels of the templates found, each with its best score."""
+    """Labels of the forms found, each with its best score.
+
+    Of names that begin at one place the longest counts, and a notice whose key phrase is the
+    beginning of another licence's name does not: an attribution licence with a condition is
+    not the plain one.
+    """
     ix, idf = index(), lookup.idf
     hits = np.flatnonzero(lookup.entry[np.asarray(words)])
     found: dict[str, float] = {}
     if not len(hits):
         return found
     at = dict(zip(places, words, strict=True))
+    names: dict[int, tuple[int, str]] = {}
+    for hit in hits:
+        for form, there in lookup.postings[words[hit]]:
+            shift = places[hit] - there
+            first = ix.keys[form][0]
+            if form >= len(TEMPLATES) and all(at.get(shift + k) == w for w, k in first):
+                names[shift] = max(names.get(shift, (0, "")), (shift + len(first), FORMS[form][0]))
+    for start, (_, label) in names.items():
+        declared = any(at.get(place) in ix.grants for place in range(start - GRANT_WORDS, start + 1))
+        found[label] = max(found.get(label, 0.0), DECLARED if declared else MENTIONED)
     for hit in hits:
         for template, there in lookup.postings[words[hit]]:
+            if template >= len(TEMPLATES):
+                continue
             shift = places[hit] - there
             first, *others = ix.keys[template]
             label, text, phrases = TEMPLATES[template]
             if found.get(label) == 1.0 or not all(at.get(shift + k) == w for w, k in first):
                 continue
+            stop, name = names.get(shift + first[0][1], (0, label))
+            if name != label and stop > shift + first[-1][1] + 1:
+                continue
             drift = SLACK + len(text.split()) // 4
             if not all(
                 any(all(at.get(shift + move + k) == w for w, k in phrase) for move in range(-drift, drift + 1))
@@ -228,7 +276,8 @@ def templates_in(words: list[int], places: list[int], lookup: Lookup) -> dict[st
 def scan(docs: DataFrame, stored: Stored) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    ``score`` is 1 where a base phrase stands, else that of the best template, else 0. Null
+    ``score`` is 1 where a base phrase stands, else that of the best form, else 0: up to 1 for a
+    notice, DECLARED for a name behind a word of granting, MENTIONED for any other name. Null
     and empty texts have no words. Rows are independent but for the word frequencies: ids
     may be null or repeat, other columns are ignored, an empty table gives an empty result.
     """
