@@ -179,23 +179,21 @@ class Model:
             at += x.size
 
 
-def _gathered(index: np.ndarray, values: np.ndarray, size: int, room: np.ndarray) -> np.ndarray:
-    """Sums of the rows of ``values`` by ``index``; ``room`` holds the sorted rows."""
+def _gathered(index: np.ndarray, values: np.ndarray, out: np.ndarray, room: np.ndarray) -> None:
+    """Sums of the rows of ``values`` by ``index`` into ``out``; ``room`` holds the sorted rows."""
     # Small whole numbers are sorted by their digits, in linear time; pairs of floats are added as one complex number.
-    order = np.argsort(index.astype(np.uint16) if size <= 1 << 16 else index, kind="stable")
+    order = np.argsort(index.astype(np.uint16) if len(out) <= 1 << 16 else index, kind="stable")
     ordered = index.take(order)
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     values.take(order, axis=0, out=room[: len(order)], mode="clip")
-    out = np.zeros((size, values.shape[1]), dtype=np.float32)
+    out.fill(0)
     out[ordered[first]] = np.add.reduceat(room[: len(order)].view(np.complex64), first, axis=0).view(np.float32)
-    return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """The logistic function, in place."""
-    np.negative(x, out=x)
-    np.minimum(x, 30, out=x)  # the other end is safe: exp only gets small there
-    np.exp(x, out=x)
+def _sigmoid_of_negative(x: np.ndarray) -> np.ndarray:
+    """The logistic function of ``-x``, in place; it is 0 where exp is infinite."""
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
@@ -231,45 +229,57 @@ class Trainer:
         self.squares = [np.full(x.shape, 1e-2, dtype=np.float32) for x in self.model.arrays()]
         self.seen = 0
         # Room for a batch, kept from step to step: fresh pages for every product would cost as much as the sums.
-        self.rows = [np.empty((BATCH_TOKENS, WIDTH), dtype=np.float32) for _ in range(5)]
-        self.pairs = [np.empty((2 * BATCH_TOKENS, WIDTH), dtype=np.float32) for _ in range(2)]
+        self.rows = [np.empty((BATCH_TOKENS, WIDTH), dtype=np.float32) for _ in range(4)]
+        self.sorted = np.empty((BATCH_TOKENS, WIDTH), dtype=np.float32)
         self.against = np.empty((BATCH_TOKENS, NOISE), dtype=np.float32)
         self.ones = np.ones((BATCH_TOKENS, 1), dtype=np.float32)
+        self.sums = [np.empty((len(share), WIDTH), dtype=np.float32) for _ in range(5)]
+        self.roots = [np.empty_like(x) for x in self.model.arrays()]
 
     def step(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> None:
+        """One step of Adagrad. What is linear in a context's vector is done once a symbol and not once a token:
+        the weighted vectors before they are taken, and the weights on the sums by symbol."""
         m = self.model
         size, n = len(m.bias), len(word)
+        scale = np.float32(1 / math.sqrt(n))
         noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), size - 1)
-        a, b, q, h, dh = (room[:n] for room in self.rows)
-        down, both = self.against[:n], self.pairs[0][: 2 * n]
-        for source, index, out in ((m.context, near, a), (m.context, far, b), (m.target, word, q)):
-            source.take(index, axis=0, out=out, mode="clip")
-        np.multiply(a, m.near, out=h)
-        np.multiply(b, m.far, out=dh)
-        h += dh
-        up = _sigmoid(np.einsum("ij,ij->i", h, q) + (m.bias - self.log_noise).take(word))
+        h, b, q, dh = (room[:n] for room in self.rows)
+        down = self.against[:n]
+        weighted, d_far_rows, d_near_rows, d_target, d_context = self.sums
+        np.multiply(m.context, m.near, out=weighted).take(near, axis=0, out=h, mode="clip")
+        np.multiply(m.context, m.far, out=weighted).take(far, axis=0, out=b, mode="clip")
+        m.target.take(word, axis=0, out=q, mode="clip")
+        h += b
+        offset = self.log_noise - m.bias
+        up = _sigmoid_of_negative(offset.take(word) - np.einsum("ij,ij->i", h, q))
         up -= 1
+        up *= scale
         drawn = m.target[noise]
-        _times(h, np.ascontiguousarray(drawn.T), down)
-        down += m.bias[noise] - self.log_noise[noise]
-        _sigmoid(down)
+        _times(h, np.ascontiguousarray(-drawn.T), down)
+        down += offset[noise]
+        _sigmoid_of_negative(down)
+        drawn *= scale
         _times(down, drawn, dh)
         q *= up[:, None]
         dh += q
-        d_noise, d_noise_bias = _crossed(down, h), _crossed(self.ones[:n], down)[0]
+        d_noise, d_noise_bias = _crossed(down, h) * scale, _crossed(self.ones[:n], down)[0] * scale
         h *= up[:, None]
-        d_target = _gathered(word, h, size, self.pairs[1])
+        _gathered(word, h, d_target, self.sorted)
         np.add.at(d_target, noise, d_noise)
         d_bias = np.bincount(word, weights=up, minlength=size).astype(np.float32)
         np.add.at(d_bias, noise, d_noise_bias)
-        np.multiply(dh, m.near, out=both[:n])
-        np.multiply(dh, m.far, out=both[n:])
-        d_context = _gathered(np.concatenate([near, far]), both, size, self.pairs[1])
-        d_near, d_far = np.einsum("ij,ij->j", a, dh), np.einsum("ij,ij->j", b, dh)
-        for x, g, s in zip(m.arrays(), [d_context, d_target, d_near, d_far, d_bias], self.squares, strict=True):
-            g /= np.sqrt(np.float32(n))
-            s += g * g
-            g /= np.sqrt(s)
+        _gathered(near, dh, d_near_rows, self.sorted)
+        _gathered(far, dh, d_far_rows, self.sorted)
+        d_near, d_far = (np.einsum("ij,ij->j", m.context, rows) for rows in (d_near_rows, d_far_rows))
+        np.multiply(d_near_rows, m.near, out=d_context)
+        d_far_rows *= m.far
+        d_context += d_far_rows
+        gradients = [d_context, d_target, d_near, d_far, d_bias]
+        for x, g, s, root in zip(m.arrays(), gradients, self.squares, self.roots, strict=True):
+            np.multiply(g, g, out=root)
+            s += root
+            np.sqrt(s, out=root)
+            g /= root
             g *= np.float32(RATE)
             x -= g
         self.seen += n
