@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from townsquare.functions import features, filters, sentiment, text
+from townsquare.functions import features, filters, lemmas, sentiment, text
 from townsquare.operators import (
     correlation,
     graph,
@@ -262,6 +262,16 @@ def lemmatised_join(spark, folder):  # C5, table too large for the plan
     return _lemmatised(spark, folder, max_rows_in_plan=0)
 
 
+def noun_lemmas(spark, folder):  # C5, words and the lemmas that rules and the vocabulary give
+    df = documents(spark, folder).select(text.tokens(text.normalise(F.col("text"))).alias("tokens"))
+    return lemmas.noun_lemmas(df, "tokens")
+
+
+def lemmatised_nouns(spark, folder):  # C5 without a table
+    df = freeze(documents(spark, folder).select("doc_id", text.tokens(text.normalise(F.col("text"))).alias("tokens")))
+    return lemmas.lemmatise_nouns(df, "tokens").select("doc_id", "text_tokens_clean")
+
+
 def domain_tags(spark, folder):  # C6
     cleaned = text.clean_text(F.col("text"))
     tags = text.domain_tags(cleaned, DOMAINS)
@@ -872,6 +882,8 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     nlp_pages,
     lemmatised,
     lemmatised_join,
+    noun_lemmas,
+    lemmatised_nouns,
     domain_tags,
     parsed_times,
     engagement_features,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from townsquare.functions.lemmas import NOUN_EXCEPTIONS
 from townsquare.functions.sentiment import BOOSTERS, LEXICON, NEGATORS
 from townsquare.functions.text import FUSED_WORDS, STOP_WORDS
 
@@ -341,15 +342,34 @@ WATCHED = (
 )
 
 
-PLURALS = f"""
-toks as (select doc_id, {token_list('text')} as ws from documents),
-vocabulary as (select distinct unnest(ws) as token from toks),
-lemmas as (select a.token, b.token as lemma from vocabulary a join vocabulary b on a.token = b.token || 's'),
+# Each token replaced by its lemma, the list joined again.
+PLACED = """
 placed as (select doc_id, unnest(ws) as token, generate_subscripts(ws, 1) as place from toks where len(ws) > 0),
 joined as (select doc_id, string_agg(coalesce(lemma, token), ' ' order by place) as t
            from placed left join lemmas using (token) group by doc_id)
 select doc_id, coalesce(t, '') as text_tokens_clean from documents left join joined using (doc_id)"""
 
+PLURALS = f"""
+toks as (select doc_id, {token_list('text')} as ws from documents),
+vocabulary as (select distinct unnest(ws) as token from toks),
+lemmas as (select a.token, b.token as lemma from vocabulary a join vocabulary b on a.token = b.token || 's'),
+{PLACED}"""
+
+NOUNS = f"""
+toks as (select doc_id, {token_list('text')} as ws from documents),
+vocabulary as (select token, count(*) as n from (select unnest(ws) as token from toks) group by token),
+rules(suffix, ending) as (values ('s', ''), ('ses', 's'), ('ves', 'f'), ('xes', 'x'), ('zes', 'z'),
+                                 ('ches', 'ch'), ('shes', 'sh'), ('men', 'man'), ('ies', 'y')),
+exceptions(token, fixed) as (values {", ".join(f"('{token}', '{lemma}')" for token, lemma in NOUN_EXCEPTIONS.items())}),
+made as (select token, left(token, length(token) - length(suffix)) || ending as lemma
+         from vocabulary join rules on ends_with(token, suffix) and length(token) > length(suffix)
+         where not ends_with(token, 'ss')),
+ruled as (select token, list(lemma order by length(lemma), lemma)[1] as best
+          from made where lemma in (select token from vocabulary where n >= 2) group by token),
+lemmas as (select token, coalesce(fixed, best) as lemma
+           from vocabulary left join ruled using (token) left join exceptions using (token)
+           where coalesce(fixed, best) <> token)"""
+
 # Moments as power sums around the mean.
 K2 = """
 v as (select total_engagement as x from engaged),
@@ -455,6 +475,8 @@ ORACLES: dict[str, str] = {
     "nlp_pages": f"select page_id, array_to_string({token_list('html')}, ' ') as text_tokens_clean from pages",
     "lemmatised": f"with {PLURALS}",
     "lemmatised_join": f"with {PLURALS}",
+    "noun_lemmas": f"with {NOUNS} select token, lemma from lemmas",
+    "lemmatised_nouns": f"with {NOUNS}, {PLACED}",
     "domain_tags": f"select doc_id, {TAGS.replace('{0}', clean('text'))} as tech_keywords from documents",
     "parsed_times": (
         "select event_id, case event_id % 3 when 2 then null else strftime(ts, '%Y-%m-%d %H:%M:%S') end as iso, "

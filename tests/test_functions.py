@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import column
-from townsquare.functions import features, filters, sentiment, text
+from townsquare.functions import features, filters, lemmas, sentiment, text
 
 
 def texts(spark, *values):
@@ -97,8 +97,8 @@ def test_c5_lemmas_in_plan_and_by_join(spark, limit):
         [(1, ["cats", "run", "cats"]), (2, []), (3, ["dogs"]), (4, None), (5, ["cats", "run", "cats"])],
         "id int, tokens array<string>",
     )
-    lemmas = spark.createDataFrame([("cats", "cat"), ("dogs", "dog")], "token string, lemma string")
-    got = text.lemmatise(df, "tokens", lemmas, max_rows_in_plan=limit).orderBy("id")
+    table = spark.createDataFrame([("cats", "cat"), ("dogs", "dog")], "token string, lemma string")
+    got = text.lemmatise(df, "tokens", table, max_rows_in_plan=limit).orderBy("id")
     assert column(got, "text_tokens_clean") == ["cat run cat", "", "dog", None, "cat run cat"]
 
 
@@ -106,11 +106,44 @@ def test_c5_lemmas_in_plan_and_by_join(spark, limit):
 def test_c5_both_paths_agree_on_odd_lists(spark, limit):
     rows = [(1, ["a b", "cats"]), (2, ["a", "b", "cats"]), (3, [None, "cats"]), (4, ["cats"]), (5, [None]), (6, [""])]
     df = spark.createDataFrame(rows, "id int, tokens array<string>")
-    lemmas = spark.createDataFrame([("cats", "feline"), ("cats", "cat"), (None, "x")], "token string, lemma string")
-    got = text.lemmatise(df, "tokens", lemmas, max_rows_in_plan=limit).orderBy("id")
+    table = spark.createDataFrame([("cats", "feline"), ("cats", "cat"), (None, "x")], "token string, lemma string")
+    got = text.lemmatise(df, "tokens", table, max_rows_in_plan=limit).orderBy("id")
     assert column(got, "text_tokens_clean") == ["a b cat", "a b cat", "cat", "cat", "", ""]
 
 
+NOUN_LISTS = [
+    (1, ["boxes", "box", "box", "churches", "church", "church", "glass", "glas", "glas"]),
+    (2, ["cities", "city", "city", "women", "woman", "woman", "wolves", "wolf", "wolf"]),
+    (3, ["this", "mice", "news", "new", "new", "ferries", "ferry", None]),
+    (4, ["buses", "buse", "buse", "bus", "bus"]),
+    (5, None),
+    (6, []),
+]
+
+
+def test_c5_nouns_by_rules(spark):
+    df = spark.createDataFrame(NOUN_LISTS, "id int, tokens array<string>")
+    got = {row["token"]: row["lemma"] for row in lemmas.noun_lemmas(df, "tokens").collect()}
+    # "ferry" occurs once only, "glass" ends in ss, "news" is an exception, of "buse" and "bus" the shorter one counts.
+    assert got == {
+        "boxes": "box", "churches": "church", "cities": "city", "women": "woman", "wolves": "wolf", "mice": "mouse",
+        "buses": "bus",
+    }
+    assert lemmas.noun_lemmas(df.limit(0), "tokens").count() == 0
+    texts = column(lemmas.lemmatise_nouns(df, "tokens").orderBy("id"), "text_tokens_clean")
+    assert texts[2:] == ["this mouse news new new ferries ferry", "bus buse buse bus bus", None, ""]
+
+
+def test_c5_nouns_with_own_exceptions_and_limit(spark):
+    df = spark.createDataFrame(NOUN_LISTS, "id int, tokens array<string>")
+    own = spark.createDataFrame([("mice", "rodent"), ("mice", "zoo"), ("boxes", "boxes"), ("this", None)], "token string, lemma string")
+    for parts in (1, 5):
+        got = lemmas.noun_lemmas(df.repartition(parts), "tokens", min_count=1, exceptions=own)
+        pairs = {row["token"]: row["lemma"] for row in got.collect()}
+        assert pairs["mice"] == "rodent" and pairs["ferries"] == "ferry" and pairs["news"] == "new"
+        assert "boxes" not in pairs and "this" not in pairs and "glass" not in pairs
+
+
 @pytest.mark.parametrize("value", ["see wttpfoo bar", "hww.x stays", "a http://x.y b", "www.z w", "http", "www x"])
 def test_c1_c3_urls(spark, value):
     assert one(spark, value, text.clean_text) == reference_clean(value)

@@ -6,12 +6,14 @@ import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import partial, reduce
+from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from townsquare.functions.features import with_engagement, with_engagement_rate, with_z_scores
 from townsquare.functions.filters import audience, fill_metrics, fill_unknown, text_or_title
+from townsquare.functions.lemmas import lemmatise_nouns
 from townsquare.functions.sentiment import with_sentiment
 from townsquare.functions.text import clean_text, domain_tags, lemmatise, normalise, tokens, word_count
 from townsquare.operators import graph as graphs
@@ -112,9 +114,9 @@ def transform_posts(
 
 
 def enrich_columns(
-    posts: DataFrame, domains: Iterable[str] = TECHNOLOGY_DOMAINS, lemmas: DataFrame | None = None
+    posts: DataFrame, domains: Iterable[str] = TECHNOLOGY_DOMAINS, lemmas: DataFrame | Literal["rules"] | None = None
 ) -> DataFrame:
-    """L2, row by row: tokens (lemmas if a table is given), final sentiment label and domain tags.
+    """L2, row by row: tokens (lemmas if a table, or ``"rules"`` for nouns, is given), final sentiment label and domain tags.
 
     Tokens come from the post's text, else its title; a table with neither is returned as it is.
     Sentiment and tags read the cleaned text, in which digits and marks survive.
@@ -126,8 +128,12 @@ def enrich_columns(
     df = df.withColumn("__tokens", tokens(normalise(text)))
     if lemmas is None:
         df = df.withColumn("text_tokens_clean", F.array_join("__tokens", " "))
-    else:
+    elif isinstance(lemmas, DataFrame):
         df = lemmatise(df, "__tokens", lemmas)
+    elif lemmas == "rules":
+        df = lemmatise_nouns(df, "__tokens")
+    else:
+        raise ValueError(f"lemmas are a table or 'rules', not {lemmas!r}")
     return with_sentiment(df.drop("__tokens")).withColumn("tech_keywords", domain_tags(F.col("text_cleaned"), domains))
 
 
@@ -145,7 +151,7 @@ def text_reports(posts: DataFrame, topics: bool = True, num_topics: int = 5, see
 
 
 def enrich_text(
-    posts: DataFrame, domains: Iterable[str] = TECHNOLOGY_DOMAINS, lemmas: DataFrame | None = None, **topic_settings
+    posts: DataFrame, domains: Iterable[str] = TECHNOLOGY_DOMAINS, lemmas: DataFrame | Literal["rules"] | None = None, **topic_settings
 ) -> NlpResult | None:
     """L2 as a job of its own; ``None`` if the table has neither text nor title."""
     if not {"text", "title"} & set(posts.columns):
@@ -247,7 +253,7 @@ def run_job(
     spark: SparkSession,
     frames: Mapping[str, DataFrame],
     params: Params = Params(),
-    lemmas: DataFrame | None = None,
+    lemmas: DataFrame | Literal["rules"] | None = None,
     out: tuple[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """L4: the whole job over one DataFrame per source; ``out`` = (base folder, run id) also stores it.
