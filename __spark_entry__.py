@@ -22,6 +22,7 @@ from townsquare.operators import (
     normality,
     quality,
     rollups,
+    run_states,
     timeseries,
     topics,
 )
@@ -786,6 +787,31 @@ def monitoring_read(spark, folder):  # A10, E6, E9, E10, E12, K1, K2: a committe
     return whole
 
 
+def rollups_over_runs(spark, folder):  # E2, E4, E6, E9 from the states of three runs; posts are not read again, a broken run not at all
+    base = scratch(spark)
+    table = scored(spark, folder)
+    for number in range(3):
+        part = table.where(F.pmod(F.crc32("id"), F.lit(3)) == number)
+        writers.save_run(base, f"2024010{number + 1}_000000", None, {}, states=run_states.post_states(part))
+    broken = {"daily": run_states.post_states(table)["daily"].withColumn("posts", F.raise_error(F.lit("this run breaks off")).cast("long"))}
+    with contextlib.suppress(Exception):
+        writers.save_run(base, "20240201_000000", None, {}, states=broken)
+    daily, engagement = (readers.load_states(spark, base, name) for name in ("daily", "engagement"))
+
+    def figures(part: str, df: DataFrame, *keys: str) -> DataFrame:
+        names = [c for c in df.columns if c not in keys]
+        entries = F.array(*(F.struct(F.lit(c).alias("figure"), F.col(c).cast("double").alias("value")) for c in names))
+        item = F.concat_ws(" ", *(F.col(k).cast("string") for k in keys)).alias("item")
+        return df.select(F.lit(part).alias("part"), item, F.explode(entries).alias("e")).select("part", "item", "e.figure", r("e.value").alias("value"))
+
+    return reduce(DataFrame.union, [
+        figures("platform_summary", run_states.platform_summary(daily, engagement), "data_source"),
+        figures("daily_metrics", run_states.daily_metrics(daily), "day"),
+        figures("daily_volume_by_source", run_states.daily_volume_by_source(daily), "day", "data_source"),
+        figures("kpis", run_states.kpis(daily)),
+    ])
+
+
 def analysis_job(spark, folder):  # L3: the figures of the analysis sections over one post table, in long form
     params = jobs.Params(domains=DOMAINS, network_metrics=("community_metrics", "top_users"))
     table = scored(spark, folder, "text_cleaned", "author")
@@ -958,6 +984,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     watch_stream,
     daily_watch,
     monitoring_read,
+    rollups_over_runs,
     transform_job,
     nlp_job,
     analysis_job,

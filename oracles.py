@@ -819,6 +819,30 @@ from (select count(*) filter (t) as n1, count(*) filter (not t) as n2, avg(v) fi
         WATCHED, POST_TEXTS + ", " + watched("(select cast(max(ts) - interval 2 day as date) - 1 from events)")
     ),
     "daily_watch": on_posts(WATCHED, POST_TEXTS + ", " + watched("(select max(day) from posts)")),
+    "rollups_over_runs": on_posts(
+        "select part, item, figure, round(value, 6) + 0.0 as value from ("
+        + " union all ".join(
+            f"select '{part}' as part, {item} as item, '{name}' as figure, ({figure})::double as value from {source}"
+            for part, item, source, names in (
+                ("platform_summary", "data_source", "polar group by data_source", (
+                    ("sentiment_polarity_mean", "round(avg(polarity), 4)"), ("sentiment_polarity_std", "round(stddev_samp(polarity), 4)"),
+                    ("sentiment_polarity_count", "count(polarity)"), ("total_engagement_mean", "round(avg(total_engagement), 4)"),
+                    ("total_engagement_sum", "round(sum(total_engagement), 4)"), ("total_engagement_median", "round(median(total_engagement), 4)"),
+                )),
+                ("daily_metrics", "day::varchar", "metrics", tuple(
+                    (c, c) for c in ("sentiment_polarity", "total_engagement", "reddit_engagement", "word_count")
+                )),
+                ("daily_volume_by_source", "day || ' ' || data_source", "posts group by day, data_source", (("count", "count(*)"),)),
+                ("kpis", "''", "engaged", (
+                    ("total_posts", "count(*)"), ("reddit_posts", "count(*) filter (data_source like '%reddit%')"),
+                    ("twitter_posts", "count(*) filter (data_source = 'twitter')"), ("total_engagement", "sum(total_engagement)"),
+                )),
+            )
+            for name, figure in names
+        )
+        + ")",
+        DAILY_METRICS,
+    ),
     "monitoring_read": on_posts(
         "select '20240101_000000' as run_id, part, item, round(value, 4) + 0.0 as value from ("
         "select 'kpis' as part, 'total_posts' as item, count(*)::double as value from near "

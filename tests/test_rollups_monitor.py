@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import column
-from townsquare.operators import rollups
+from townsquare.operators import rollups, run_states
 from townsquare.plans import monitor
+from townsquare.sources import readers, runs, writers
 from townsquare.streaming import alerts, daily
 
 SCHEMA = (
@@ -207,3 +208,44 @@ def test_daily_watch_is_k1_and_k2_on_each_day(spark):
             assert (r["day"] in column(monitor.volume_alerts(upto, 1.0, 2), "day")) == r["volume_alert"]
             assert (r["day"] in column(monitor.sentiment_alerts(upto), "day")) == r["sentiment_alert"]
     assert [r["count"] for r in watched] == [1, 4, 0, 0, 5]
+
+
+def test_rollups_from_run_states_equal_those_of_all_posts(spark, tmp_path):
+    rows = [
+        (dt.datetime(2024, 1, 1 + i % 7, i % 24) if i % 11 else None, ("twitter", "reddit_kaggle", "reddit_kaggle", None)[i % 4],
+         float(i * i % 37) if i % 5 else None, float(i % 13), i % 17, 1e6 + (i % 19) / 7 if i % 3 else None)
+        for i in range(300)
+    ]
+    schema = "created_at timestamp, data_source string, total_engagement double, reddit_engagement double, word_count int, sentiment_polarity double"
+    posts = spark.createDataFrame(rows, schema).withColumn("number", F.monotonically_increasing_id())
+    base = str(tmp_path)
+    # Runs of unlike size, an empty one, and one without the sentiment column; each saved on its own.
+    for run_id, condition in (("r1", "number % 10 < 7"), ("r2", "number % 10 >= 7"), ("r3", "false")):
+        part = posts.where(condition)
+        writers.save_run(base, run_id, None, {}, states=run_states.post_states(part if run_id != "r3" else part.drop("sentiment_polarity")))
+    daily, engagement = (readers.load_states(spark, base, name) for name in ("daily", "engagement"))
+    assert all("/states/" in name for name in daily.inputFiles() + engagement.inputFiles())
+
+    def same(left, right):
+        assert left.columns == right.columns
+        a, b = (sorted((tuple(r) for r in df.collect()), key=repr) for df in (left, right))
+        assert len(a) == len(b)
+        for x, y in ((u, v) for r, s in zip(a, b, strict=True) for u, v in zip(r, s, strict=True)):
+            assert x == (pytest.approx(y, rel=1e-9) if isinstance(y, float) else y)
+
+    same(run_states.platform_summary(daily, engagement), rollups.platform_summary(posts))
+    same(run_states.daily_metrics(daily), rollups.daily_metrics(posts))
+    same(run_states.daily_volume_by_source(daily), rollups.daily_volume_by_source(posts))
+    same(run_states.kpis(daily), rollups.kpis(posts))
+    one = readers.load_states(spark, base, "daily", ["r2"])
+    same(run_states.kpis(one), rollups.kpis(posts.where("number % 10 >= 7")))
+    with pytest.raises(runs.NotCommitted):
+        readers.load_states(spark, base, "daily", ["r2", "r9"])
+
+
+def test_run_states_of_posts_without_the_columns(spark):
+    bare = spark.createDataFrame([("twitter", dt.datetime(2024, 1, 1))], "data_source string, created_at timestamp")
+    states = run_states.post_states(bare)
+    assert list(states) == ["daily"] and run_states.post_states(bare.drop("created_at")) == {}
+    assert [tuple(r) for r in run_states.platform_summary(states["daily"]).collect()] == [("twitter", 1)]
+    assert run_states.kpis(states["daily"].limit(0)).first()["total_posts"] == 0

@@ -140,10 +140,12 @@ def tie_sums(counts: DataFrame) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, quantiles: Mapping[str, float], group: Sequence[str] = ()
+    df: DataFrame, value: str, quantiles: Mapping[str, float], group: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, per group or (one row) over all rows.
 
+    With ``weight``, a column of whole numbers, a row stands for that many equal ones.
+
     Unlike ``percentile`` no task holds a group's distinct values: each wanted position is found
     among the running counts of the range-partitioned distinct values.
     """
@@ -151,7 +153,7 @@ def exact_quantiles(
     rows = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     for name in group:
         rows = rows.filter(F.col(name).isNotNull())
-    counts = rows.groupBy(*group, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy(*group, F.col(value).cast("double").alias("__v")).agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n"))
     placed = running_total(counts, "__v", "n", group)
 
     def at(position):

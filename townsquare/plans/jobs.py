@@ -35,6 +35,7 @@ from townsquare.operators.rollups import (
     platforms,
     top_users,
 )
+from townsquare.operators.run_states import post_states
 from townsquare.operators.timeseries import decompose, stationarity
 from townsquare.plans.monitor import alerts
 from townsquare.runtime import freeze
@@ -284,5 +285,5 @@ def run_job(
     results["posts"] = posts
     if out is not None:
         reports = {name: df for name, df in results.items() if name != "posts"}
-        save_run(out[0], out[1], posts, reports)
+        save_run(out[0], out[1], posts, reports, states=post_states(posts))
     return results

@@ -238,3 +238,17 @@ def load_report(spark: SparkSession, base: str, section: str, run_id: str) -> Da
     if entry is None or section not in entry["sections"]:
         raise runs.NotCommitted(f"no committed section {section} of run {run_id} under {base}")
     return spark.read.json(f"{base.rstrip('/')}/reports/{section}/run_id={run_id}")
+
+
+def load_states(spark: SparkSession, base: str, name: str, run_ids: Iterable[str] | None = None) -> DataFrame:
+    """A10: one state of several committed runs (all that have it, if none are named), with a column ``run_id``.
+
+    Only the states are listed and read, never the posts. Columns that some runs lack are null there.
+    """
+    found = {entry["run_id"] for entry in runs.committed(spark, base) if name in entry.get("states", ())}
+    wanted = sorted(found if run_ids is None else set(run_ids))
+    if not wanted or not found.issuperset(wanted):
+        raise runs.NotCommitted(f"no committed state {name} of {sorted(set(wanted) - found) or 'any run'} under {base}")
+    root = f"{base.rstrip('/')}/states/{name}"
+    reader = spark.read.option("basePath", root).option("mergeSchema", True)
+    return reader.parquet(*(f"{root}/run_id={run_id}" for run_id in wanted)).withColumn("run_id", F.col("run_id").cast("string"))

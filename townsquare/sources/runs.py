@@ -26,13 +26,13 @@ def _place(base: str, run_id: str) -> str:
     return f"{base.rstrip('/')}/commits/{run_id}.json"
 
 
-def commit(spark: SparkSession, base: str, run_id: str, posts: bool, sections: Sequence[str]) -> None:
+def commit(spark: SparkSession, base: str, run_id: str, posts: bool, sections: Sequence[str], states: Sequence[str] = ()) -> None:
     """Declare a run whole, with the parts it has."""
     final = _place(base, run_id)
     store, hidden = _store(spark, f"{base.rstrip('/')}/commits/.{run_id}.{uuid.uuid4().hex}")
     out = store.create(hidden, True)
     try:
-        out.write(bytearray(json.dumps({"run_id": run_id, "posts": posts, "sections": sorted(sections)}).encode()))
+        out.write(bytearray(json.dumps({"run_id": run_id, "posts": posts, "sections": sorted(sections), "states": sorted(states)}).encode()))
     finally:
         out.close()
     if not store.rename(hidden, _store(spark, final)[1]):
@@ -47,7 +47,7 @@ def withdraw(spark: SparkSession, base: str, run_id: str) -> None:
 
 
 def record(spark: SparkSession, base: str, run_id: str) -> dict | None:
-    """What a committed run holds: ``run_id``, ``posts`` (whether there is a final dataset), ``sections``."""
+    """What a committed run holds: ``run_id``, ``posts`` (whether there is a final dataset), ``sections``, ``states``."""
     store, path = _store(spark, _place(base, run_id))
     if not store.exists(path):
         return None

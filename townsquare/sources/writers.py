@@ -43,10 +43,11 @@ def save_run(
     posts: DataFrame | None,
     reports: Mapping[str, DataFrame | None],
     compression: str = "snappy",
+    states: Mapping[str, DataFrame] | None = None,
 ) -> list[str]:
-    """Write the final dataset and the report sections of one run.
+    """Write the final dataset, the report sections and the mergeable states of one run.
 
-    Posts go to ``posts/run_id=…`` and reports to ``reports/<section>/run_id=…`` so that runs
+    Posts go to ``posts/run_id=…``, reports to ``reports/<section>/run_id=…`` and states to ``states/<name>/run_id=…`` so that runs
     can be listed and pruned as partitions. A commit record is written last and readers go by it, so a failure on
     the way leaves no run behind; the same id saved again is no run until it is whole again. Returns the paths written.
     """
@@ -62,8 +63,12 @@ def save_run(
         if report is not None
     }
     sections = {section: path for section, path in sections.items() if path}
-    runs.commit(spark, base, run_id, posts is not None, list(sections))
-    return [*written, *sections.values()]
+    kept = {
+        name: write_parquet(state, f"{root}/states/{name}/run_id={run_id}", compression)
+        for name, state in (states or {}).items()
+    }
+    runs.commit(spark, base, run_id, posts is not None, list(sections), list(kept))
+    return [*written, *sections.values(), *kept.values()]
 
 
 def ingest(
