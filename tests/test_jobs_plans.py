@@ -43,6 +43,13 @@ def test_l2_nlp(spark):
     assert jobs.enrich_text(df.select(F.lit(1).alias("x"))) is None
 
 
+def test_l2_nouns_by_rules(spark):
+    df = spark.createDataFrame([("Two sheds with solar tiles",), ("One shed",), ("That shed",), (None,)], "text string")
+    assert column(jobs.enrich_columns(df, lemmas="rules"), "text_tokens_clean") == ["two shed solar tiles", "one shed", "shed", ""]
+    with pytest.raises(ValueError, match="'rules'"):
+        jobs.enrich_columns(df, lemmas="all")
+
+
 def test_f20_summary(spark):
     found = spark.createDataFrame(
         [("length_and_replies", 0.44, 0.0312, "kendall", True), ("faint", 0.07, 0.61, "spearman", False)],
