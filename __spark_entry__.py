@@ -95,8 +95,8 @@ def scored(spark: SparkSession, folder: str, *more: str, only: tuple[str, ...] =
 
 
 def daily_table(spark: SparkSession, folder: str) -> DataFrame:
-    """The daily metrics as a stored table of one row a day; the posts are scored on the way and not stored."""
-    return freeze(rollups.daily_metrics(texts(spark, folder)))
+    """The daily metrics as a stored table of one row a day, from the scored posts."""
+    return freeze(rollups.daily_metrics(scored(spark, folder)))
 
 
 def measured(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -343,7 +343,9 @@ def sentiment_table(spark, folder):  # C13 with a lexicon table: every word of t
     df = documents(spark, folder).select("doc_id", text.clean_text(F.col("text")).alias("text_cleaned"))
     entry = F.explode(F.array_distinct(F.split("text_cleaned", sentiment.WORD_BREAK))).alias("entry")
     number = F.conv(F.substring(F.md5("entry"), 1, 4), 16, 10).cast("int") % 81 - 40
-    lexicon = df.select(entry).distinct().filter("length(entry) > 3").select("entry", (number / 10).alias("value")).filter("value != 0")
+    # Stored, so that values are made of distinct words only: Spark would move the filter on them below the grouping.
+    words = freeze(df.select(entry).distinct())
+    lexicon = words.filter("length(entry) > 3").select("entry", (number / 10).alias("value")).filter("value != 0")
     return sentiment.with_table_sentiment(df, lexicon).select("doc_id", r("sentiment_compound", 4).alias("sentiment_compound"), "sentiment_label")
 
 

@@ -195,10 +195,10 @@ def sentiment_compound(
     """
     # The lexicon's order stays fixed so that the plan is the same in every run.
     scored = sorted(lexicon)
-    scores, boosts = _literal_map(lexicon), _literal_map(boosters)
+    values, boosts = _literal_map(lexicon), _literal_map(boosters)
 
     def word_score(words: Column, hit: Column, but: Column) -> Column:
-        base = F.try_element_at(scores, hit["word"])
+        base = F.try_element_at(values, hit["word"])
         place = hit["place"]  # 0-based
         shift = F.lit(0.0)
         flips = F.lit(0)
@@ -216,12 +216,9 @@ def sentiment_compound(
     def total(words: Column) -> Column:
         placed = F.transform(words, lambda word, place: F.struct(place.alias("place"), word.alias("word")))
         hits = F.filter(placed, lambda hit: hit["word"].isin(scored))
-        but = F.array_position(words, F.lit("but"))
-        return F.aggregate(
-            F.transform(hits, lambda hit: word_score(words, hit, but)),
-            F.lit(0.0),
-            lambda acc, score: acc + score,
-        )
+        # Bound, so that the words are searched once a text and not once a hit.
+        scores = bind(F.array_position(words, F.lit("but")), lambda but: F.transform(hits, lambda hit: word_score(words, hit, but)))
+        return F.aggregate(scores, F.lit(0.0), lambda acc, score: acc + score)
 
     def compound(text: Column) -> Column:
         words = F.array_remove(F.split(text, WORD_BREAK), "")
@@ -239,7 +236,7 @@ def sentiment_compound(
 
 
 def _scanned(words: Column, hits: Column, but: Column, boosters: Mapping[str, float], negators: tuple[str, ...]) -> Column:
-    """Sum of the scores of ``hits`` (place, n, value) in one pass over ``words``; the rules are those of ``sentiment_compound``.
+    """Sum of the scores of ``hits`` (place, minus its number of words, value) in one pass over ``words``; the rules are those of ``sentiment_compound``.
 
     The pass carries the next hit's index, the end of the last entry and what the three words before do to a score.
     """
@@ -263,7 +260,7 @@ def _scanned(words: Column, hits: Column, but: Column, boosters: Mapping[str, fl
         own = F.when(covered | here, 0.0).otherwise(F.coalesce(F.try_element_at(boosts, word["word"]), F.lit(0.0)))
         return F.struct(
             (acc["at"] + here.cast("int")).alias("at"),
-            F.when(counts, word["place"] + hit["n"]).otherwise(acc["end"]).alias("end"),
+            F.when(counts, word["place"] - hit["minus"]).otherwise(acc["end"]).alias("end"),
             (acc["sum"] + F.when(counts, score).otherwise(0.0)).alias("sum"),
             own.alias("boost1"), *(acc[f"boost{d - 1}"].alias(f"boost{d}") for d in back if d > 1),
             word["word"].isin(list(negators)).cast("int").alias("flip1"), *(acc[f"flip{d - 1}"].alias(f"flip{d}") for d in back if d > 1),
@@ -275,8 +272,8 @@ def _scanned(words: Column, hits: Column, but: Column, boosters: Mapping[str, fl
 
 def _compound_of_hits(text: Column, words: Column, hits: Column, boosters: Mapping[str, float], negators: tuple[str, ...]) -> Column:
     """The compound score from lexicon entries found at places of ``words``."""
-    order = F.array_sort(hits, lambda a, b: F.when(a["place"] != b["place"], a["place"] - b["place"]).otherwise(b["n"] - a["n"]))
-    # The longest entry of a place stands first there.
+    # By place, and the longest entry of a place stands first there.
+    order = F.sort_array(hits)
     longest = bind(
         order, lambda found: F.filter(found, lambda hit, i: F.coalesce(F.get(found, i - 1)["place"] != hit["place"], F.lit(True)))
     )
@@ -285,7 +282,8 @@ def _compound_of_hits(text: Column, words: Column, hits: Column, boosters: Mappi
         questions > 1, questions * F.lit(QUESTION)
     ).otherwise(0.0)
     raw = bind(
-        bind(longest, lambda found: _scanned(words, found, F.array_position(words, F.lit("but")), boosters, negators)),
+        # The place of "but" is bound too: inside the pass it would be searched for at every word.
+        bind(longest, lambda found: bind(F.array_position(words, F.lit("but")), lambda but: _scanned(words, found, but, boosters, negators))),
         lambda s: bind(s + F.signum(s) * emphasis, lambda moved: moved / F.sqrt(moved * moved + F.lit(ALPHA))),
     )
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.round(raw, 4)))
@@ -311,18 +309,22 @@ def with_table_sentiment(
     longest = table.agg(F.max(F.size(F.split("gram", " ")))).first()[0] or 0  # one number
     words = F.array_remove(F.split(F.coalesce(F.col(text_column), F.lit("")), WORD_BREAK), "")
     rows = freeze(df.withColumn(key, F.monotonically_increasing_id()).withColumn("__words", words))
-    runs = rows.select(key, "__words", F.posexplode("__words").alias("place", "word"))
-    grams = F.array(
-        *(
-            F.struct(F.lit(n).alias("n"), F.when(F.col("place") + n <= F.size("__words"), F.array_join(F.slice("__words", F.col("place") + 1, n), " ")).alias("gram"))
-            for n in range(1, longest + 1)
+
+    def grams(word: Column, place: Column) -> Column:
+        longer = (
+            F.struct(F.lit(n).alias("n"), F.when(place + n <= F.size("__words"), F.array_join(F.slice("__words", place + 1, n), " ")).alias("gram"))
+            for n in range(2, longest + 1)
         )
-    )
+        return F.array(F.struct(F.lit(1).alias("n"), word.alias("gram")), *longer)
+
+    # Runs are made inside the row: an exploded row does not carry its text's words.
+    runs = rows.select(key, F.posexplode("__words" if longest == 1 else F.transform("__words", grams)).alias("place", "at"))
+    singles = runs.select(key, "place", F.lit(1).alias("n"), F.col("at").alias("gram")) if longest == 1 else runs.select(key, "place", F.inline("at"))
     found = (
-        runs.select(key, "place", F.inline(grams)).filter("gram is not null").join(table, "gram")
-        .groupBy(key).agg(F.collect_list(F.struct("place", "n", "value")).alias("__hits"))
+        singles.filter("gram is not null").join(table, "gram")
+        .groupBy(key).agg(F.collect_list(F.struct("place", (-F.col("n")).alias("minus"), "value")).alias("__hits"))
     ) if longest else None
-    kind = "array<struct<place:int,n:int,value:double>>"
+    kind = "array<struct<place:int,minus:int,value:double>>"
     joined = rows.withColumn("__hits", F.lit(None).cast(kind)) if found is None else rows.join(found, key, "left")
     hits = F.coalesce(F.col("__hits"), F.array().cast(kind))
     score = _compound_of_hits(F.coalesce(F.col(text_column), F.lit("")), F.col("__words"), hits, boosters, negators)
