@@ -418,6 +418,74 @@ def test_the_gain_rises_with_the_corpus(spark, stored, monkeypatch):
     assert gains[1] > gains[0] and gains[1] > 0.2
 
 
+def test_a_training_step_works_on_the_symbols_of_its_batch(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    share = rng.dirichlet(np.ones(2048))
+    trainer = language_model.Trainer(share, 1)
+    far, near, word = rng.integers(0, 40, (3, 700))
+    noise = np.searchsorted(trainer.cumulative, np.random.default_rng((language_model.SEED, 1)).random(language_model.NOISE))
+    before, squares = [x.astype(float) for x in trainer.model.arrays()], [s.astype(float) for s in trainer.squares]
+    sums, gathered = [], language_model._gathered
+    monkeypatch.setattr(language_model, "_gathered", lambda *args: sums.append(gathered(*args)) or sums[-1])
+    trainer.step(far, near, word)
+    own = len({*far, *near, *word, *noise})
+    assert len(sums) == 3 and all(x is not None and len(x) == own < 110 for x in sums)
+
+    # The same step, written plainly over all symbols.
+    context, target, w_near, w_far, bias = before
+    h = context[near] * w_near + context[far] * w_far
+    logit = lambda words, scores: scores + bias[words] - np.log(language_model.NOISE * share[words])
+    up = (1 / (1 + np.exp(-logit(word, (h * target[word]).sum(axis=1)))) - 1) / np.sqrt(700)
+    down = 1 / (1 + np.exp(-logit(noise, h @ target[noise].T))) / np.sqrt(700)
+    dh = up[:, None] * target[word] + down @ target[noise]
+    grads = [np.zeros_like(x) for x in before]
+    np.add.at(grads[0], near, dh * w_near)
+    np.add.at(grads[0], far, dh * w_far)
+    np.add.at(grads[1], word, up[:, None] * h)
+    np.add.at(grads[1], noise, down.T @ h)
+    grads[2][:], grads[3][:] = (dh * context[near]).sum(axis=0), (dh * context[far]).sum(axis=0)
+    np.add.at(grads[4], word, up)
+    np.add.at(grads[4], noise, down.sum(axis=0))
+    for x, old, g, s in zip(trainer.model.arrays(), before, grads, squares, strict=True):
+        assert np.allclose(x, old - language_model.RATE * g / np.sqrt(s + g * g), atol=1e-5)
+
+
+def test_words_are_looked_up_without_a_search(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    top = 1 << 64
+    for n in (1, 2, 3000):
+        words = np.unique(np.concatenate([[language_model.END], rng.integers(0, top, n - 1, dtype=np.uint64)]))
+        if n == 3000:  # words of one upper part, and the least and the greatest of all
+            words = np.unique(np.concatenate([words, np.arange(50, dtype=np.uint64), np.uint64(top - 1) - np.arange(50, dtype=np.uint64)]))
+        counts = rng.integers(1, 9, len(words))
+        classes = np.zeros((2, language_model.CLASSES), dtype=np.int64)
+        own = (words % np.uint64(language_model.CLASSES)).astype(int)
+        np.add.at(classes[0], own, counts)
+        np.add.at(classes[1], own, 1)
+        lexicon = language_model.Lexicon(words, counts, tuple(classes))
+        asked = np.concatenate([words, words + np.uint64(1), words - np.uint64(1), rng.integers(0, top, 500, dtype=np.uint64)])
+        known = {int(w): (int(i), int(c)) for w, i, c in zip(lexicon.words, lexicon.index, lexicon.counts, strict=True)}
+        with monkeypatch.context() as patched:
+            patched.setattr(np, "searchsorted", None)
+            index, found = lexicon.look(asked)
+        expected = [known.get(int(w), (int(w) % language_model.CLASSES, -1)) for w in asked]
+        assert [*zip(index.tolist(), found.tolist(), strict=True)] == expected
+
+
+def test_rare_words_are_counted_by_text():
+    import numpy as np
+
+    words, text = np.array([9, 4, 9, 4, 4, 7, 2**63], dtype=np.uint64), np.array([1, 1, 1, 2, 2, 4, 4])
+    found, times, edges = language_model._counted_by_text(words, text, 6)
+    assert found.tolist() == [4, 9, 4, 7, 2**63] and times.tolist() == [1, 2, 2, 1, 1] and edges.tolist() == [0, 0, 2, 3, 3, 5, 5]
+    none = language_model._counted_by_text(words[:0], text[:0], 2)
+    assert [x.tolist() for x in none] == [[], [], [0, 0, 0]]
+
+
 def test_frequent_words_of_one_count(spark, monkeypatch):
     monkeypatch.setattr(language_model, "FREQUENT", 1000)
     end = int(language_model.END.view("int64"))

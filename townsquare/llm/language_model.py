@@ -138,6 +138,9 @@ class Lexicon:
         index[order] = np.arange(CLASSES, CLASSES + len(order))
         by_hash = np.argsort(words)
         self.words, self.counts, self.index = words[by_hash], counts[by_hash], index[by_hash]
+        #: Where the words begin whose hashes share their upper bits; few words do.
+        self.bits = max(1, (2 * len(words)).bit_length())
+        self.first = np.searchsorted(self.words, np.arange(1 << self.bits, dtype=U64) << U64(64 - self.bits)).astype(np.int32)
         self.total, self.distinct, self.size = int(classes[0].sum()), int(classes[1].sum()), CLASSES + len(order)
         tokens, distinct = (x.astype(np.int64) for x in classes)
         np.subtract.at(tokens, own_class[order], counts[order])
@@ -149,10 +152,18 @@ class Lexicon:
 
     def look(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols and counts; a count of -1 marks words beyond the frequent ones."""
-        at = np.searchsorted(self.words, h)
-        at[at == len(self.words)] = 0
-        found = self.words[at] == h
-        return np.where(found, self.index[at], (h & U64(CLASSES - 1)).astype(np.int32)), np.where(found, self.counts[at], -1)
+        last = len(self.words) - 1
+        at = np.minimum(self.first.take((h >> U64(64 - self.bits)).view(np.int64)), last)
+        less = np.flatnonzero((self.words.take(at) < h) & (at < last))
+        while len(less):
+            at[less] += 1
+            further = at[less]
+            less = less[(self.words.take(further) < h[less]) & (further < last)]
+        beyond = np.flatnonzero(self.words.take(at) != h)
+        index, counts = self.index.take(at), self.counts.take(at)
+        index[beyond] = (h[beyond] & U64(CLASSES - 1)).astype(np.int32)
+        counts[beyond] = -1
+        return index, counts
 
 
 class Model:
@@ -179,15 +190,11 @@ class Model:
             at += x.size
 
 
-def _gathered(index: np.ndarray, values: np.ndarray, out: np.ndarray, room: np.ndarray) -> None:
-    """Sums of the rows of ``values`` by ``index`` into ``out``; ``room`` holds the sorted rows."""
-    # Small whole numbers are sorted by their digits, in linear time; pairs of floats are added as one complex number.
-    order = np.argsort(index.astype(np.uint16) if len(out) <= 1 << 16 else index, kind="stable")
-    ordered = index.take(order)
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    values.take(order, axis=0, out=room[: len(order)], mode="clip")
-    out.fill(0)
-    out[ordered[first]] = np.add.reduceat(room[: len(order)].view(np.complex64), first, axis=0).view(np.float32)
+def _gathered(places: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows of ``values`` in ``size`` rows; ``places`` are those of a row's pairs of floats, added as one complex number."""
+    out = np.zeros((size, values.shape[1]), dtype=np.float32)
+    np.add.at(out.view(np.complex64).reshape(-1), places.reshape(-1), values.view(np.complex64).reshape(-1))
+    return out
 
 
 def _sigmoid_of_negative(x: np.ndarray) -> np.ndarray:
@@ -218,6 +225,14 @@ def _crossed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.matmul(stacks, b[:whole].reshape(-1, _ROWS, b.shape[1])).sum(axis=0) + a[whole:].T @ b[whole:]
 
 
+def _add_to_rows(a: np.ndarray, row: np.ndarray) -> None:
+    """``a += row``, a stack of rows at a time."""
+    whole = len(a) // _ROWS * _ROWS
+    stacks = a[:whole].reshape(-1, _ROWS * len(row))
+    stacks += np.tile(row, _ROWS)
+    a[whole:] += row
+
+
 class Trainer:
     """Noise-contrastive estimation with noise shared by a batch, and Adagrad steps."""
 
@@ -230,58 +245,69 @@ class Trainer:
         self.seen = 0
         # Room for a batch, kept from step to step: fresh pages for every product would cost as much as the sums.
         self.rows = [np.empty((BATCH_TOKENS, WIDTH), dtype=np.float32) for _ in range(4)]
-        self.sorted = np.empty((BATCH_TOKENS, WIDTH), dtype=np.float32)
         self.against = np.empty((BATCH_TOKENS, NOISE), dtype=np.float32)
-        self.ones = np.ones((BATCH_TOKENS, 1), dtype=np.float32)
-        self.sums = [np.empty((len(share), WIDTH), dtype=np.float32) for _ in range(5)]
-        self.roots = [np.empty_like(x) for x in self.model.arrays()]
+        self.ones = np.ones(BATCH_TOKENS, dtype=np.float32)
+        self.number = np.zeros(len(share), dtype=np.intp)
+        self.places = np.arange(len(share) * WIDTH // 2).reshape(len(share), WIDTH // 2)
 
     def step(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> None:
-        """One step of Adagrad. What is linear in a context's vector is done once a symbol and not once a token:
-        the weighted vectors before they are taken, and the weights on the sums by symbol."""
+        """One step of Adagrad, on the rows of the symbols in the batch and its noise: all others have no gradient.
+
+        What is linear in a context's vector is done once a symbol and not once a token: the weighted vectors
+        before they are taken, and the weights on the sums by symbol.
+        """
         m = self.model
         size, n = len(m.bias), len(word)
         scale = np.float32(1 / math.sqrt(n))
         noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), size - 1)
+        present = np.zeros(size, dtype=bool)
+        for symbols in (far, near, word, noise):
+            present[symbols] = True
+        own = np.flatnonzero(present)
+        size = len(own)
+        self.number[own] = np.arange(size)
+        far, near, word, noise = (self.number.take(x) for x in (far, near, word, noise))
+        context, target = m.context.take(own, axis=0), m.target.take(own, axis=0)
+        offset = (self.log_noise - m.bias).take(own)
         h, b, q, dh = (room[:n] for room in self.rows)
         down = self.against[:n]
-        weighted, d_far_rows, d_near_rows, d_target, d_context = self.sums
-        np.multiply(m.context, m.near, out=weighted).take(near, axis=0, out=h, mode="clip")
-        np.multiply(m.context, m.far, out=weighted).take(far, axis=0, out=b, mode="clip")
-        m.target.take(word, axis=0, out=q, mode="clip")
+        (context * m.near).take(near, axis=0, out=h, mode="clip")
+        (context * m.far).take(far, axis=0, out=b, mode="clip")
+        target.take(word, axis=0, out=q, mode="clip")
         h += b
-        offset = self.log_noise - m.bias
-        up = _sigmoid_of_negative(offset.take(word) - np.einsum("ij,ij->i", h, q))
+        np.multiply(h, q, out=b)
+        up = _sigmoid_of_negative(offset.take(word) - b @ self.ones[:WIDTH])
         up -= 1
         up *= scale
-        drawn = m.target[noise]
+        drawn = target.take(noise, axis=0)
         _times(h, np.ascontiguousarray(-drawn.T), down)
-        down += offset[noise]
+        _add_to_rows(down, offset.take(noise))
         _sigmoid_of_negative(down)
         drawn *= scale
         _times(down, drawn, dh)
-        q *= up[:, None]
+        d_noise, d_noise_bias = _crossed(down, h) * scale, self.ones[:n] @ down * scale
+        b[...] = up[:, None]
+        q *= b
         dh += q
-        d_noise, d_noise_bias = _crossed(down, h) * scale, _crossed(self.ones[:n], down)[0] * scale
-        h *= up[:, None]
-        _gathered(word, h, d_target, self.sorted)
+        h *= b
+        d_target = _gathered(self.places.take(word, axis=0), h, size)
         np.add.at(d_target, noise, d_noise)
         d_bias = np.bincount(word, weights=up, minlength=size).astype(np.float32)
         np.add.at(d_bias, noise, d_noise_bias)
-        _gathered(near, dh, d_near_rows, self.sorted)
-        _gathered(far, dh, d_far_rows, self.sorted)
-        d_near, d_far = (np.einsum("ij,ij->j", m.context, rows) for rows in (d_near_rows, d_far_rows))
-        np.multiply(d_near_rows, m.near, out=d_context)
+        d_near_rows, d_far_rows = (_gathered(self.places.take(x, axis=0), dh, size) for x in (near, far))
+        d_near, d_far = (np.einsum("ij,ij->j", context, rows) for rows in (d_near_rows, d_far_rows))
+        d_near_rows *= m.near
         d_far_rows *= m.far
-        d_context += d_far_rows
-        gradients = [d_context, d_target, d_near, d_far, d_bias]
-        for x, g, s, root in zip(m.arrays(), gradients, self.squares, self.roots, strict=True):
-            np.multiply(g, g, out=root)
-            s += root
-            np.sqrt(s, out=root)
+        d_near_rows += d_far_rows
+        gradients = [d_near_rows, d_target, d_near, d_far, d_bias]
+        every = slice(None)
+        for x, g, s, rows in zip(m.arrays(), gradients, self.squares, (own, own, every, every, own), strict=True):
+            root = s[rows] + g * g
+            s[rows] = root
+            np.sqrt(root, out=root)
             g /= root
             g *= np.float32(RATE)
-            x -= g
+            x[rows] -= g
         self.seen += n
 
     def learn(self, index: np.ndarray, starts: np.ndarray, end: int) -> None:
@@ -437,12 +463,22 @@ class Tables:
         self.log_sum = np.log(product) + tops[1][:, None] + tops[0][None, :]
 
     def log_probability(self, far: np.ndarray, near: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return (self.near[near, word] + self.far[far, word] - self.log_sum[far, near]).astype(np.float64)
+        size = len(self.near)
+        by_near, by_far, log_sum = self.near.take(near * size + word), self.far.take(far * size + word), self.log_sum.take(far * size + near)
+        return (by_near + by_far - log_sum).astype(np.float64)
 
 
 _TABLES: dict[str, Tables] = {}
 
 
+def _counted_by_text(words: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of each of ``n`` texts, how often each occurs in it, and where each text's words begin and end."""
+    order = np.lexsort((words, text))
+    words, text = words[order], text[order]
+    new = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (text[1:] != text[:-1])])[: len(words)])
+    return words[new], np.diff(np.append(new, len(words))), np.searchsorted(text[new], np.arange(n + 1))
+
+
 def score(docs: DataFrame, stored: Stored) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -475,7 +511,7 @@ def score(docs: DataFrame, stored: Stored) -> DataFrame:
         texts = [as_text(t) for t in texts]
         names = ("n_tokens", "n_top", "log_count", "log_model")
         out = {n: np.zeros(len(texts)) for n in names}
-        tail: list[list[dict]] = [[] for _ in texts]
+        tail, tails = [], [0]
         for rows in groups(texts):
             h, starts = tokens([texts[r] for r in rows])
             if model is None:
@@ -494,17 +530,15 @@ def score(docs: DataFrame, stored: Stored) -> DataFrame:
             for n, v in zip(names, values, strict=True):
                 out[n][rows] = np.add.reduceat(v.astype(np.float64), starts)
             at = np.flatnonzero(rare)
-            edges = np.searchsorted(at, [*starts, len(h)])
-            for d in np.flatnonzero(np.diff(edges)):
-                words, times = np.unique(h[at[edges[d] : edges[d + 1]]], return_counts=True)
-                tail[rows[d]] = [
-                    {"word": w, "times": t} for w, t in zip(words.view(np.int64).tolist(), times.tolist(), strict=True)
-                ]
-        kind = pa.list_(pa.struct([("word", pa.int64()), ("times", pa.int32())]))
+            words, times, edges = _counted_by_text(h[at], np.searchsorted(starts, at, side="right") - 1, len(starts))
+            tail.append((words.view(np.int64), times))
+            tails.extend((tails[-1] + edges[1:]).tolist())
+        words, times = (np.concatenate([t[k] for t in tail]) for k in (0, 1))
+        rare_words = pa.StructArray.from_arrays([pa.array(words, pa.int64()), pa.array(times, pa.int32())], names=["word", "times"])
         return {
             "doc_id": pa.array(ids, pa.int64()), "held_out": held, "n_tokens": out["n_tokens"].astype(np.int64),
             "n_top": out["n_top"].astype(np.int64), "log_count": out["log_count"], "log_model": out["log_model"],
-            "tail": pa.array(tail, kind),
+            "tail": pa.ListArray.from_arrays(pa.array(tails, pa.int32()), rare_words),
         }
 
     schema = (
